@@ -3,6 +3,7 @@
 from leadgrid.plans import (  # noqa: F401
     q_entity,
     q_rules,
+    q_signals,
     q_text,
 )
 from leadgrid.plans.registry import REGISTRY
