@@ -75,17 +75,33 @@ def matched_terms(col: Column, terms: TermList, word: bool = False) -> Column:
         hits = [F.when(folded.rlike(rf"(?U)\b{_quote(t.lower())}\b"), F.lit(t)) for t in terms]
     else:
         hits = [F.when(has_term(folded, t), F.lit(t)) for t in terms]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return _without_nulls(hits) if hits else F.array().cast("array<string>")
 
 
-def term_count(col: Column, terms: TermList) -> Column:
-    """Number of distinct terms found; integer arithmetic only, no arrays."""
-    folded = F.lower(F.coalesce(col, F.lit("")))
+def _without_nulls(items: Sequence[Column]) -> Column:
+    """Array of the distinct non-null items, compiled.
+
+    ``array_compact`` is a higher-order function: everything below it is interpreted and a
+    shared subexpression such as ``lower(text)`` is computed again for every item.
+    """
+    return F.array_except(F.array(*items), F.array(F.lit(None).cast("string")))
+
+
+def _folded(col: Column, folded: bool) -> Column:
+    return col if folded else F.lower(F.coalesce(col, F.lit("")))
+
+
+def term_count(col: Column, terms: TermList, folded: bool = False) -> Column:
+    """Number of distinct terms found; integer arithmetic only, no arrays.
+
+    ``folded`` says that the text is in lower case already.
+    """
+    folded = _folded(col, folded)
     return _total([has_term(folded, t).cast("int") for t in terms])
 
 
-def any_term(col: Column, terms: TermList) -> Column:
-    folded = F.lower(F.coalesce(col, F.lit("")))
+def any_term(col: Column, terms: TermList, folded: bool = False) -> Column:
+    folded = _folded(col, folded)
     return _any([has_term(folded, t) for t in terms])
 
 
@@ -120,8 +136,7 @@ def pattern_label(col: Column, patterns: PatternList) -> Column:
 
 def pattern_labels(col: Column, patterns: PatternList) -> Column:
     """All labels whose regex matches, in list order."""
-    return F.array_compact(F.array(*[F.when(col.rlike(_ci(rx)), F.lit(label))
-                                     for label, rx in patterns]))
+    return _without_nulls([F.when(col.rlike(_ci(rx)), F.lit(label)) for label, rx in patterns])
 
 
 def any_pattern(col: Column, patterns: Sequence[str]) -> Column:
@@ -174,14 +189,15 @@ def split_fragments(col: Column, shortest: int = 35, longest: int = 900) -> Colu
 def extract_evidence(col: Column, terms: TermList, limit: int = 12, longest: int = 900,
                      before: int = 240, after: int = 360) -> Column:
     """Exact fragments that hold a term, then local windows round each term's first hit."""
-    chunks = F.filter(split_raw(col), lambda x: _any([has_term(F.lower(x), t) for t in terms]))
+    chunks = F.filter(split_raw(col), lambda x: let(F.lower(x), lambda low: _any([has_term(low, t) for t in terms])))
     exact = F.transform(chunks, lambda x: F.substring(x, 1, longest))
     text = F.coalesce(col, F.lit(""))
     folded = F.lower(text)
-    windows = F.array_compact(F.array(*[_window(text, folded, t.lower(), before, after)
-                                        for t in terms]))
-    both = F.concat(exact, F.filter(windows, lambda x: x != ""))
-    return F.slice(distinct_folded(both, normalize_text), 1, limit)
+    windows = F.array_remove(_without_nulls([_window(text, folded, t.lower(), before, after)
+                                             for t in terms]), "")
+    found = F.slice(distinct_folded(F.concat(exact, windows), normalize_text), 1, limit)
+    # Most texts hold no term at all; the compiled test spares them the array work.
+    return F.when(any_term(col, terms), found).otherwise(F.array().cast("array<string>"))
 
 
 def _window(text: Column, folded: Column, term: str, before: int, after: int) -> Column:
@@ -205,16 +221,16 @@ def excerpt(title: Column, company: Column, text: Column, evidence: Column,
 
 def score_fragment(col: Column, weighted_terms: Sequence[tuple[int, TermList]],
                    weighted_patterns: Sequence[tuple[int, str]] = (),
-                   flags: Sequence[tuple[int, TermList]] = ()) -> Column:
+                   flags: Sequence[tuple[int, TermList]] = (), folded: bool = False) -> Column:
     """Weighted rule score of a fragment.
 
     ``weighted_terms`` add their weight once per distinct term, ``weighted_patterns`` and
     ``flags`` once per rule.
     """
-    folded = F.lower(F.coalesce(col, F.lit("")))
-    parts = [F.lit(w) * term_count(folded, terms) for w, terms in weighted_terms]
-    parts += [F.when(folded.rlike(_ci(rx)), F.lit(w)).otherwise(0) for w, rx in weighted_patterns]
-    parts += [F.when(any_term(folded, terms), F.lit(w)).otherwise(0) for w, terms in flags]
+    low = _folded(col, folded)
+    parts = [F.lit(w) * term_count(low, terms, True) for w, terms in weighted_terms]
+    parts += [F.when(low.rlike(_ci(rx)), F.lit(w)).otherwise(0) for w, rx in weighted_patterns]
+    parts += [F.when(any_term(low, terms, True), F.lit(w)).otherwise(0) for w, terms in flags]
     return _total(parts)
 
 

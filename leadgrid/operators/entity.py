@@ -125,13 +125,17 @@ def mark_exists(base: DataFrame, key: str, others: DataFrame, out: str) -> DataF
     return joined.withColumn(out, before | F.col("_seen").isNotNull()).drop("_seen")
 
 
-def relink_contacts(contacts: DataFrame, companies: DataFrame, company: DataFrame) -> DataFrame:
-    """People keyed by domain: their company's by id, else their e-mail domain; only
-    people whose domain is a known company stay."""
+def link_domains(contacts: DataFrame, companies: DataFrame) -> DataFrame:
+    """People keyed by domain: their company's by id, else their e-mail domain."""
     by_id = companies.select(F.col("id").alias("company_id"), norm_domain(F.col("domain")).alias("_by_id"))
-    linked = contacts.join(by_id, "company_id", "left") \
+    return contacts.join(by_id, "company_id", "left") \
         .withColumn("company_domain", F.coalesce("_by_id", norm_domain(email_domain(F.col("email"))))) \
         .where(F.col("company_domain").isNotNull()).drop("_by_id")
+
+
+def relink_contacts(contacts: DataFrame, companies: DataFrame, company: DataFrame) -> DataFrame:
+    """Linked people whose domain is a known company."""
+    linked = link_domains(contacts, companies)
     known = company.select(F.col("domain").alias("company_domain"))
     return linked.join(known, "company_domain", "left_semi")
 
@@ -243,8 +247,10 @@ def canonical_tables(lists: DataFrame, companies: DataFrame, profiles: DataFrame
                      crawls: DataFrame, contacts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(company with contact signals, contact), both lazy."""
     company = canonical_company(lists, companies, profiles, crawls)
-    contact = relink_contacts(contacts, companies, company)
-    return backfill_contact_signals(company, contact), contact
+    linked = link_domains(contacts, companies)
+    # The left join drops unknown domains by itself: counting needs no second company build.
+    known = company.select(F.col("domain").alias("company_domain"))
+    return backfill_contact_signals(company, linked), linked.join(known, "company_domain", "left_semi")
 
 
 # --- registries and the lead layer -------------------------------------------

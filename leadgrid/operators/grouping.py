@@ -41,6 +41,15 @@ def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     return best_k_per_key(df, keys, order, 1)
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters test.
+
+    A filter on a plain projection is pushed below it and evaluates the expression a second
+    time; a generated column stays where it is.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+
+
 def newest_struct(columns: Sequence[str], *order: Column) -> Column:
     """Aggregate that keeps ``columns`` of the row with the greatest ``order`` (nulls lowest)."""
     return F.max_by(F.struct(*columns), F.struct(*order))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadgrid.functions import keys, text
-from leadgrid.operators.grouping import best_k_per_key, first_seen
+from leadgrid.operators.grouping import best_k_per_key, computed_once, first_seen
 
 # Queue order of the review priorities; anything else comes last.
 PRIORITY_ORDER = {"high": 0, "medium": 1, "review": 2, "low": 3}
@@ -87,8 +87,7 @@ def normalize_job(df: DataFrame, rules: SignalRules) -> DataFrame:
     title, body_text = F.coalesce("role_title", F.lit("")), F.coalesce("description_text", F.lit(""))
     whole = text.normalize_space(F.concat_ws(" ", title, body_text))
     flat = text.normalize_space(body_text)
-    judged = raw.withColumns({
-        "_pre": prefilter(whole, rules.positive, rules.negative),
+    judged = computed_once(raw, "_pre", prefilter(whole, rules.positive, rules.negative)).withColumns({
         "_warn": text.source_warnings(body_text, rules.hidden),
         "_evidence": text.extract_evidence(body_text, rules.positive, rules.evidence_limit)})
     hidden = F.size("_warn") > 0
@@ -130,7 +129,7 @@ def dedupe_richest(df: DataFrame, keys_: Sequence[str], text_col: str, arrival:
 
 def is_clean_high(priority: Column, reasons: Column) -> Column:
     """High priority without any negative reason."""
-    return (priority == "high") & ~F.exists(reasons, lambda r: r.startswith("negative:"))
+    return (priority == "high") & ~F.contains(F.concat_ws("\n", F.lit(""), reasons), F.lit("\nnegative:"))
 
 
 def pipeline_status(fit: Column, signal: Column, account: Column, region: Column, employer: Column,
@@ -154,9 +153,12 @@ def freshness(df: DataFrame, time_col: str, as_of: Column, seconds: int) -> Data
 
 
 def top_fragments(col: Column, score: Callable[[Column], Column], limit: int = 3) -> Column:
-    """Best distinct fragments of one text by score; the earlier one wins a tie."""
-    scored = F.transform(text.split_fragments(col),
-                         lambda x, i: F.struct((-score(x)).alias("s"), i.alias("i"), x.alias("x")))
+    """Best distinct fragments of one text by score; the earlier one wins a tie.
+
+    ``score`` gets the fragment in lower case. Texts stay in their row: no shuffle.
+    """
+    scored = F.transform(text.split_fragments(col), lambda x, i: F.struct(
+        text.let(F.lower(x), lambda low: -score(low)).alias("s"), i.alias("i"), x.alias("x")))
     ranked = F.transform(F.sort_array(scored), lambda e: e["x"])
     return F.slice(text.distinct_folded(ranked), 1, limit)
 
@@ -272,7 +274,7 @@ def company_review(df: DataFrame, rules: SignalRules) -> DataFrame:
 def _briefs(clean: DataFrame, rules: SignalRules, k: int = 4, longest: int = 5000) -> DataFrame:
     """Up to four distinct "title: fragments" briefs per company, newest posting first."""
     best = top_fragments(F.col("_body"), rules.fragment_score or F.length, 3)
-    lines = clean.select("company_key", "_posted", "arrival", "role_title", best.alias("_f")) \
+    lines = computed_once(clean, "_f", best).select("company_key", "_posted", "arrival", "role_title", "_f") \
         .where(F.size("_f") > 0) \
         .withColumn("brief", F.concat(F.coalesce("role_title", F.lit("untitled")), F.lit(": "), F.array_join("_f", " | ")))
     return _joined_best(lines, text.normalize_text(F.col("brief")), "brief", k, "\n\n", longest, "description_brief", F.lit(0))
@@ -280,8 +282,10 @@ def _briefs(clean: DataFrame, rules: SignalRules, k: int = 4, longest: int = 500
 
 def _targets(clean: DataFrame, rules: SignalRules, k: int = 3, longest: int = 2200) -> DataFrame:
     """Up to three distinct fragments that name a target customer."""
-    hits = F.filter(text.split_fragments(F.col("_body")), lambda x: text.any_term(x, rules.targets))
-    rows = clean.select("company_key", "_posted", "arrival", F.posexplode(hits).alias("_pos", "fragment"))
+    hits = F.filter(text.split_fragments(F.col("_body")), lambda x: text.let(
+        F.lower(x), lambda low: text.any_term(low, rules.targets, folded=True)))
+    rows = clean.select("company_key", "_posted", "arrival", F.posexplode_outer(hits).alias("_pos", "fragment")) \
+        .where(F.col("fragment").isNotNull())
     return _joined_best(rows, F.lower("fragment"), "fragment", k, "\n", longest, "target_evidence", F.col("_pos"))
 
 

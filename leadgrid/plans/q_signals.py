@@ -9,13 +9,14 @@ from leadgrid.operators import signals
 from leadgrid.plans import vocab
 from leadgrid.plans.q_text import _CHUNKS, _DECODE
 from leadgrid.plans.registry import query
-from leadgrid.plans.sqltext import hits, quoted, sp
+from leadgrid.plans.sqltext import hits, sp
+from leadgrid.session import written
 
 LOCATIONS = (("north", r"must be based in the north"), ("south", r"que.{0,20}que"))
 
 
 def score(col):
-    return text.score_fragment(col, [(3, vocab.POSITIVE), (2, vocab.TARGETS), (-2, vocab.LOW_VALUE)])
+    return text.score_fragment(col, [(3, vocab.POSITIVE), (2, vocab.TARGETS), (-2, vocab.LOW_VALUE)], folded=True)
 
 
 RULES = signals.SignalRules(
@@ -133,10 +134,10 @@ def _ranked(source: str) -> str:
 
 
 @query("top_fragments", f"""WITH docs AS (SELECT doc_id AS arrival, text AS body FROM documents), {_ranked('docs')}
-    SELECT arrival AS doc_id, best FROM best3""")
+    SELECT doc_id, best FROM documents LEFT JOIN best3 ON arrival = doc_id""")
 def top_fragments(t):
     best = signals.top_fragments(F.col("text"), score, 3)
-    return t("documents").select("doc_id", F.array_join(best, " | ").alias("best")).where("best <> ''")
+    return t("documents").select("doc_id", F.nullif(F.array_join(best, " | "), F.lit("")).alias("best"))
 
 
 @query("review_queue", f"""WITH {JOBS} SELECT source_job_id, priority AS prefilter_priority, posted_at FROM jobs
@@ -185,7 +186,8 @@ _KEYED = f"""clean AS (SELECT *, coalesce('name:' || lower(company_name), 'domai
       upper(prim.location) NOT IN ('EN', 'FR') AS flag_foreign_source, prim.company_domain IS NULL AS flag_missing_domain,
       description_brief, target_evidence FROM grp JOIN prim USING (company_key) LEFT JOIN briefs USING (company_key) LEFT JOIN tgts USING (company_key)""")
 def company_review(t):
-    return signals.company_review(normalized(t), RULES).select(
+    rows = written(normalized(t), "signals")  # stored before review, as the workflow does
+    return signals.company_review(rows, RULES).select(
         "company_key", "source_job_id", "company_name", "company_domain", "job_count", "latest_posted_at",
         "description_chars_total", "flag_selling_abroad", "market_mentions", "outbound_terms", "flag_recruiter",
         "flag_foreign_source", "flag_missing_domain", "description_brief", "target_evidence")

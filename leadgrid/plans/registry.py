@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from leadgrid.plans.standins import STANDINS, TABLES, with_standins
+from leadgrid.sources.tables import spread_small
+
+# Tables whose queries are CPU-heavy per row.
+TEXT_TABLES = ("documents", "pages", "conversations")
 
 
 class Tables:
@@ -22,7 +26,8 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(self.path(name))
+            df = self.spark.read.parquet(self.path(name))
+            return spread_small(df) if name in TEXT_TABLES else df
         needs, sql = STANDINS[name]
         return self.spark.sql(sql, **{n: self(n) for n in needs})
 

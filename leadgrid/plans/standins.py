@@ -147,8 +147,8 @@ _SQL = {
     "postings": """
         SELECT doc_id, 'main' AS workspace, source AS feed,
           CASE WHEN doc_id % 50 = 0 THEN '' ELSE CAST(doc_id AS STRING) END AS raw_id,
-          CASE WHEN doc_id % 9 = 0 THEN '' ELSE concat(source, ' Holding ', CAST(doc_id % 211 AS STRING)) END AS company_name,
-          CASE WHEN doc_id % 4 = 0 THEN NULL ELSE concat('https://www.', source, CAST(doc_id % 211 AS STRING), '.example.com/jobs') END AS company_website,
+          CASE WHEN doc_id % 9 = 0 THEN '' ELSE concat(source, ' Holding ', CAST(doc_id % 5 AS STRING)) END AS company_name,
+          CASE WHEN doc_id % 4 = 0 THEN NULL ELSE concat('https://www.', source, CAST(doc_id % 5 AS STRING), '.example.com/jobs') END AS company_website,
           concat('Role  ', lang, ' ', CAST(doc_id % 17 AS STRING)) AS title,
           concat('https://jobs.example/', CAST(doc_id AS STRING)) AS url,
           CASE WHEN doc_id % 3 = 0 THEN concat(CAST(n_chars AS STRING), ' employees') WHEN doc_id % 3 = 1 THEN '1,234 staff' END AS employees,

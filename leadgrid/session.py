@@ -61,3 +61,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    For results that several branches read: computed once, column-pruned by each reader, and
+    still there when executors are lost.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
