@@ -64,17 +64,17 @@ def has_term(folded: Column, term: str) -> Column:
     return F.contains(folded, F.lit(term.lower()))
 
 
-def matched_terms(col: Column, terms: TermList, word: bool = False) -> Column:
-    """Terms that occur in the text, case folded, in list order.
+def matched_terms(col: Column, terms: TermList, word: bool = False, prefix: str = "") -> Column:
+    """Terms that occur in the text, case folded, in list order, each after ``prefix``.
 
     A term matches inside words, unless ``word`` asks for whole words.
     One ``lower`` is shared by all comparisons through subexpression elimination.
     """
     folded = F.lower(F.coalesce(col, F.lit("")))
     if word:
-        hits = [F.when(folded.rlike(rf"(?U)\b{_quote(t.lower())}\b"), F.lit(t)) for t in terms]
+        hits = [F.when(folded.rlike(rf"(?U)\b{_quote(t.lower())}\b"), F.lit(prefix + t)) for t in terms]
     else:
-        hits = [F.when(has_term(folded, t), F.lit(t)) for t in terms]
+        hits = [F.when(has_term(folded, t), F.lit(prefix + t)) for t in terms]
     return _without_nulls(hits) if hits else F.array().cast("array<string>")
 
 

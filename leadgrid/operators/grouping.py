@@ -47,7 +47,8 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     A filter on a plain projection is pushed below it and evaluates the expression a second
     time; a generated column stays where it is.
     """
-    return df.select("*", F.explode_outer(F.array(value)).alias(name))
+    raw = df.withColumn("_raw", value)
+    return raw.select(*df.columns, F.explode_outer(F.array("_raw")).alias(name))
 
 
 def newest_struct(columns: Sequence[str], *order: Column) -> Column:

@@ -43,12 +43,11 @@ def prefilter(body: Column, positive: Sequence[str], negative: Sequence[str], sh
 
     Two positive terms are high, one is medium, else any negative is low, else review.
     """
-    good, bad = text.matched_terms(body, positive), text.matched_terms(body, negative)
-    priority = F.when(F.size(good) >= 2, "high").when(F.size(good) == 1, "medium") \
-                .when(F.size(bad) > 0, "low").otherwise("review")
-    reasons = F.concat(
-        F.transform(F.slice(good, 1, shown), lambda x: F.concat(F.lit("positive:"), x)),
-        F.transform(F.slice(bad, 1, shown), lambda x: F.concat(F.lit("negative:"), x)))
+    n_good, n_bad = text.term_count(body, positive), text.term_count(body, negative)
+    priority = F.when(n_good >= 2, "high").when(n_good == 1, "medium") \
+                .when(n_bad > 0, "low").otherwise("review")
+    reasons = F.concat(F.slice(text.matched_terms(body, positive, prefix="positive:"), 1, shown),
+                       F.slice(text.matched_terms(body, negative, prefix="negative:"), 1, shown))
     return F.struct(priority.alias("priority"), reasons.alias("reasons"))
 
 

@@ -1,6 +1,7 @@
 """Registered queries: each runs an operator over whole tables, most with an SQL twin."""
 
 from leadgrid.plans import (  # noqa: F401
+    q_contacts,
     q_entity,
     q_rules,
     q_signals,
