@@ -3,6 +3,7 @@
 from leadgrid.plans import (  # noqa: F401
     q_contacts,
     q_entity,
+    q_lists,
     q_rules,
     q_signals,
     q_text,
