@@ -2,11 +2,13 @@
 
 from leadgrid.plans import (  # noqa: F401
     q_contacts,
+    q_delivery,
     q_entity,
     q_lists,
     q_rules,
     q_signals,
     q_text,
+    q_validate,
 )
 from leadgrid.plans.registry import REGISTRY
 
