@@ -5,8 +5,10 @@ from leadgrid.plans import (  # noqa: F401
     q_delivery,
     q_entity,
     q_lists,
+    q_pages,
     q_rules,
     q_signals,
+    q_stream,
     q_text,
     q_validate,
 )

@@ -28,7 +28,7 @@ SPECIALISTS = (
     ("sea", "maritime", 0.9, ("ocean", "shipping", "port")),
 )
 PAGE_CATEGORIES = (
-    ("offer", r"\b(?:the|le|der)\b"), ("audience", r"\b(?:and|et|und)\b"),
+    ("offer", r"[ .](?:the|le|der)[ ,.]"), ("audience", r"[ .](?:and|et|und)[ ,.]"),
     ("industry", r"tion"), ("proof", r"\d{3}"), ("b2b", r"that|que|ander"), ("identity", r"©|example"),
 )
 SPAM_RULES = (
