@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import html as html_names
 from collections.abc import Callable, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -247,13 +249,9 @@ def decode_entities(col: Column) -> Column:
 
 
 def _unescape():
-    import html
-
-    import pandas as pd
-
     @F.pandas_udf("string")
     def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+        return texts.map(html_names.unescape, na_action="ignore")
 
     return unescape
 

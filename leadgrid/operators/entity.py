@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -243,14 +243,21 @@ def canonical_company(lists: DataFrame, companies: DataFrame, profiles: DataFram
     return merged.withColumns({c: is_true(F.col(c)) for c in ("has_linkedin", "classified")})
 
 
-def canonical_tables(lists: DataFrame, companies: DataFrame, profiles: DataFrame,
-                     crawls: DataFrame, contacts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(company with contact signals, contact), both lazy."""
+def canonical_tables(lists: DataFrame, companies: DataFrame, profiles: DataFrame, crawls: DataFrame, contacts: DataFrame,
+                     store: Callable[[DataFrame, str], DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(company with contact signals, contact).
+
+    Lazy, unless ``store`` writes the company table and reads it back: then the people are
+    matched against the stored table instead of a second build.
+    """
     company = canonical_company(lists, companies, profiles, crawls)
     linked = link_domains(contacts, companies)
     # The left join drops unknown domains by itself: counting needs no second company build.
+    full = backfill_contact_signals(company, linked)
+    if store:
+        full = company = store(full, "company")
     known = company.select(F.col("domain").alias("company_domain"))
-    return backfill_contact_signals(company, linked), linked.join(known, "company_domain", "left_semi")
+    return full, linked.join(known, "company_domain", "left_semi")
 
 
 # --- registries and the lead layer -------------------------------------------

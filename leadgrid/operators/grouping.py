@@ -1,8 +1,8 @@
 """Group-wise building blocks that stay even when one key holds a third of all rows.
 
-* a single winner per key is a ``max_by``/``min_by`` aggregate: combined on the map side,
-  so a hot key ships one row per map task;
-* the best k per key filter ``row_number`` directly, which lets Spark place a
+* a winner that is computed beside other aggregates is a ``max_by``/``min_by``: combined on
+  the map side, so a hot key ships one row per map task;
+* the best row or the best k rows per key filter ``row_number`` directly, which lets Spark place a
   WindowGroupLimit before the exchange: at most k rows per key and map task are shuffled;
 * a global numbering ranks inside range partitions and adds partition offsets, so no
   single task ever sees all rows.
@@ -19,6 +19,8 @@ from leadgrid.session import cut_lineage
 
 # Above this k Spark no longer plants the group limit before the exchange.
 GROUP_LIMIT_MAX = 1000
+# monotonically_increasing_id keeps the partition above and the place below this bit.
+PARTITION_BITS = 33
 
 
 def best_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
@@ -60,20 +62,20 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_no
     """1-based position of every row in a total order, without one task seeing all rows.
 
     Rows are range-partitioned by the full order (which must be unique, so that no key is
-    hot), the layout is checkpointed, and each partition's offset comes from the counts of
-    the partitions before it: a table with one row per partition.
+    hot) and sorted within each partition; a row's place in its partition is stored with it
+    by a checkpoint, which fixes the layout. The offset of a partition comes from the counts
+    of those before it: a table with one row per partition. One shuffle in all.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    ranged = cut_lineage(ranged)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order) \
+               .withColumn("_id", F.monotonically_increasing_id())
+    ranged = cut_lineage(ranged).withColumn("_part", F.shiftright("_id", PARTITION_BITS))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_part").orderBy(*order)
-    numbered = ranged.withColumn("_rn", F.row_number().over(local))
+    within = F.col("_id").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
     # One row per partition: its size is bounded by the partition count.
-    return numbered.join(F.broadcast(offsets), "_part") \
-                   .withColumn(out, F.col("_rn").cast("bigint") + F.col("_off")) \
-                   .drop("_part", "_rn", "_off")
+    return ranged.join(F.broadcast(offsets), "_part") \
+                 .withColumn(out, within + F.col("_off") + 1).drop("_part", "_id", "_off")
 
 
 def first_seen(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:

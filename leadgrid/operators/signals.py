@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from typing import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +38,6 @@ class SignalRules:
     fragment_score: Callable[[Column], Column] | None = None
     excerpt_chars: int = 6000
     evidence_limit: int = 12
-    labels: dict[str, str] = field(default_factory=dict)
 
 
 def prefilter(body: Column, positive: Sequence[str], negative: Sequence[str], shown: int = 8) -> Column:
@@ -302,34 +304,60 @@ def _joined_best(rows: DataFrame, key: Column, value: str, k: int, glue: str, lo
 
 # --- dictionaries and grids --------------------------------------------------
 
-SMALL_DICTIONARY = 500
+# Dictionaries up to these sizes (checked) are literals, or one automaton per worker.
+SMALL_DICTIONARY = 50
+AUTOMATON_DICTIONARY = 200_000
 
 
 def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, term_col: str,
               anchor: int = 3) -> DataFrame:
     """One (id, term) row for every dictionary term that a text contains, case folded.
 
-    A dictionary of at most ``SMALL_DICTIONARY`` terms (checked) becomes literals tested in
-    one scan without any join. A larger one is matched by an equi-join of each text's
-    distinct letter groups with each term's first letters, then verified: no nested loop, and
-    no group of texts or terms is paired beyond the terms that start with the same letters.
+    A small dictionary becomes literals tested in one compiled scan. A medium one is shipped
+    to the workers as an automaton that reads each text once, whatever the number of terms.
+    Both sizes are checked; neither shuffles texts. A larger one is matched by an equi-join of
+    each text's distinct letter groups with each term's first letters and then verified: no
+    nested loop, and a text meets only the terms that start with letters it has.
     """
     folded = terms.select(F.lower(term_col).alias("term")).where("term <> ''").distinct()
-    small = folded.limit(SMALL_DICTIONARY + 1).collect()  # bounded by the limit
-    if len(small) <= SMALL_DICTIONARY:
-        found = text.matched_terms(F.col(text_col), sorted(r["term"] for r in small))
-        return texts.select(id_col, F.explode(found).alias("term"))
+    most = AUTOMATON_DICTIONARY if _has_automaton() else SMALL_DICTIONARY
+    words = sorted(r["term"] for r in folded.limit(most + 1).collect())  # bounded by the limit
+    if len(words) <= SMALL_DICTIONARY:
+        return texts.select(id_col, F.explode(text.matched_terms(F.col(text_col), words)).alias("term"))
+    if len(words) <= most:
+        find = _automaton(texts.sparkSession.sparkContext.broadcast(words))
+        return texts.select(id_col, F.explode(find(F.lower(text_col))).alias("term"))
     return _anchored_term_join(texts, id_col, text_col, folded, anchor)
 
 
+def _has_automaton() -> bool:
+    return importlib.util.find_spec("ahocorasick") is not None
+
+
+def _automaton(words):
+    """Arrow UDF: the distinct dictionary words of each text, by Aho-Corasick."""
+    @F.pandas_udf("array<string>")
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+        machine = ahocorasick.Automaton()
+        for word in words.value:
+            machine.add_word(word, word)
+        machine.make_automaton()
+        for batch in batches:
+            yield batch.map(lambda s: list({w for _, w in machine.iter(s)}) if s else [])
+
+    return find
+
+
 def _anchored_term_join(texts: DataFrame, id_col: str, text_col: str, folded: DataFrame, anchor: int) -> DataFrame:
-    # Every prefix length up to ``anchor`` occurs, so terms shorter than the anchor match too.
+    # Every length up to the anchor occurs among the groups, so shorter terms match too.
     keyed = folded.withColumn("_g", F.substring("term", 1, anchor))
     lowered = texts.select(id_col, F.lower(text_col).alias("_t"))
-    lengths = range(1, anchor + 1)
-    grams = F.array_distinct(F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("_t") - n + 1)),
-                    lambda i, n=n: F.substring(F.col("_t"), i, F.lit(n))) for n in lengths])))
+
+    def groups(n: int) -> Column:
+        last = F.greatest(F.lit(1), F.length("_t") - n + 1)
+        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("_t"), i, F.lit(n)))
+    grams = F.array_distinct(F.flatten(F.array(*[groups(n) for n in range(1, anchor + 1)])))
     prefixes = keyed.select("_g").distinct()
     present = lowered.select(id_col, F.explode(grams).alias("_g")).join(prefixes, "_g", "left_semi")
     pairs = present.join(keyed, "_g").select(id_col, "term")

@@ -264,14 +264,25 @@ def experiment_verdict(t):
     return delivery.experiment_verdict(arms).select("experiment_id", "lift_pct", "verdict")
 
 
-@query("bounce_triage", f"""SELECT inbox_id, CASE WHEN pct > 5 THEN 'stop' WHEN pct > 3 AND hard > 0.5 THEN 'list_problem' WHEN pct > 3 THEN 'reputation' ELSE 'ok' END AS triage,
-      CASE WHEN pct < 1 THEN 'excellent' WHEN pct < 2 THEN 'normal' WHEN pct <= 3 THEN 'yellow' WHEN pct <= 5 THEN 'red' ELSE 'stop' END AS band,
-      CASE WHEN 100 - pct * 8 > 90 THEN 'great' WHEN 100 - pct * 8 >= 80 THEN 'acceptable' WHEN 100 - pct * 8 >= 70 THEN 'yellow' ELSE 'red' END AS placement
-    FROM (SELECT inbox_id, {rate('sum(bounces)', 'sum(sent)', 100)} AS pct, (inbox_id % 10) / 10 AS hard FROM inbox_stats GROUP BY 1)""")
+_PER_INBOX = f"(SELECT inbox_id, {rate('sum(bounces)', 'sum(sent)', 100)} AS pct, (inbox_id % 10) / 10 AS hard FROM inbox_stats GROUP BY 1)"
+
+
+def per_inbox(t):
+    return t("inbox_stats").groupBy("inbox_id").agg(bands.ratio(F.sum("bounces"), F.sum("sent"), 100.0).alias("pct"))
+
+
+@query("bounce_triage", f"""SELECT inbox_id, CASE WHEN pct > 5 THEN 'stop' WHEN pct > 3 AND hard > 0.5 THEN 'list_problem'
+    WHEN pct > 3 THEN 'reputation' ELSE 'ok' END AS triage FROM {_PER_INBOX}""")
 def bounce_triage(t):
-    per = t("inbox_stats").groupBy("inbox_id").agg(bands.ratio(F.sum("bounces"), F.sum("sent"), 100.0).alias("pct"))
-    return per.select("inbox_id", delivery.bounce_triage(F.col("pct"), F.col("inbox_id") % 10 / 10).alias("triage"),
-                      bands.bounce_band(F.col("pct")).alias("band"), bands.placement_band(100 - F.col("pct") * 8).alias("placement"))
+    return per_inbox(t).select("inbox_id", delivery.bounce_triage(F.col("pct"), F.col("inbox_id") % 10 / 10).alias("triage"))
+
+
+@query("health_bands", f"""SELECT inbox_id, CASE WHEN pct < 1 THEN 'excellent' WHEN pct < 2 THEN 'normal' WHEN pct <= 3 THEN 'yellow' WHEN pct <= 5 THEN 'red' ELSE 'stop' END AS band,
+      CASE WHEN 100 - pct * 8 > 90 THEN 'great' WHEN 100 - pct * 8 >= 80 THEN 'acceptable' WHEN 100 - pct * 8 >= 70 THEN 'yellow' ELSE 'red' END AS placement
+    FROM {_PER_INBOX}""")
+def health_bands(t):
+    return per_inbox(t).select("inbox_id", bands.bounce_band(F.col("pct")).alias("band"),
+                               bands.placement_band(100 - F.col("pct") * 8).alias("placement"))
 
 
 _FLAT = f"lower({sp('text')})"

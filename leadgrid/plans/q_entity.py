@@ -8,6 +8,7 @@ from leadgrid.functions.keys import norm_domain
 from leadgrid.operators import entity
 from leadgrid.plans.registry import query
 from leadgrid.plans.sqltext import nd
+from leadgrid.session import written
 
 LC = f"lc AS (SELECT {nd('domain')} AS nd, * FROM list_companies WHERE {nd('domain')} IS NOT NULL)"
 BEST = """best AS (SELECT * FROM lc QUALIFY row_number() OVER (
@@ -53,8 +54,8 @@ WIDE = ("domain", "name", "website", "description", "linkedin_url", "has_linkedi
         "classified", "crawled")
 
 
-def build(t):
-    return entity.canonical_tables(t("list_companies"), t("companies"), t("profiles"), t("crawl_log"), t("contacts"))
+def build(t, store=None):
+    return entity.canonical_tables(t("list_companies"), t("companies"), t("profiles"), t("crawl_log"), t("contacts"), store)
 
 
 def joined(col):
@@ -128,7 +129,7 @@ def backfill_contact_signals(t):
     WHERE is_b2b IS TRUE AND outbound_fit IN ('high', 'medium') AND has_contacts
       AND EXISTS (SELECT 1 FROM contact ct WHERE ct.company_domain = c.domain AND ct.email IS NOT NULL)""")
 def outbound_ready(t):
-    return entity.outbound_ready(*build(t)).select("domain", "name", "outbound_fit", "n_contacts")
+    return entity.outbound_ready(*build(t, written)).select("domain", "name", "outbound_fit", "n_contacts")
 
 
 _COUNTS = ", ".join(f"count(*) FILTER (WHERE {rule}) AS {name}" for name, rule in entity.COVERAGE.items())
@@ -146,7 +147,9 @@ def coverage(t):
     UNION ALL SELECT 'outbound_ready', count(*) FROM company c WHERE is_b2b IS TRUE AND outbound_fit IN ('high', 'medium')
       AND domain IN (SELECT company_domain FROM contact WHERE email IS NOT NULL)""")
 def coverage_report(t):
-    return entity.coverage_report(*build(t))
+    company, contact = build(t, written)
+    # Both tables are stored once and then reported on, as a rebuild does.
+    return entity.coverage_report(company, written(contact.select("company_domain", "email", "linkedin_url"), "contact"))
 
 
 @query("report_union", """SELECT 'orders' AS metric, count(*) AS value FROM orders

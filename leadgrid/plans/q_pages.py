@@ -265,3 +265,18 @@ def rebuild(t):
     for _ in range(2):  # a rebuild replaces, it never appends
         tables.rebuild(counts, path, ["lang"])
     return t.spark.read.parquet(path).select("lang", "source", "n")
+
+
+@query("write_json", "SELECT doc_id, lang, source FROM documents")
+def write_json(t):
+    path = fresh_path(t.spark, "json")
+    tables.write_json(t("documents").select("doc_id", "lang", "source"), path)
+    return t.spark.read.schema("doc_id bigint, lang string, source string").json(path)
+
+
+@query("write_csv", "SELECT doc_id, text, lang || ' | ' || source AS tags FROM documents")
+def write_csv(t):
+    path = fresh_path(t.spark, "csv")
+    tables.write_csv(t("documents").select("doc_id", "text", F.array("lang", "source").alias("tags")), path)
+    return t.spark.read.schema("doc_id bigint, text string, tags string").csv(
+        path, header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -301,3 +301,10 @@ def html_title(t):
     FROM m""")
 def meta_description(t):
     return t("pages").select("page_id", text.meta_description(F.col("html")).alias("description"))
+
+
+@query("decode_entities", """SELECT page_id, html_title, replace(replace(replace(html_title, '&lt;', '<'), '&#39;', chr(39)), '&amp;', '&') AS decoded
+    FROM (SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS html_title FROM pages)""")
+def decode_entities(t):
+    raw = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return t("pages").select("page_id", raw.alias("html_title")).withColumn("decoded", text.decode_entities(F.col("html_title")))

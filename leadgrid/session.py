@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folder of a local test run, per application.
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(app: str = "leadgrid", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """Session for tests and the bench. On a cluster the submitter's own settings win."""
@@ -44,8 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        configured = tempfile.mkdtemp(prefix="leadgrid-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        app = spark.sparkContext.applicationId
+        configured = _LOCAL_DIRS.setdefault(app, "") or tempfile.mkdtemp(prefix="leadgrid-")
+        _LOCAL_DIRS[app] = configured
     return configured
 
 

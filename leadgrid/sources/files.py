@@ -12,12 +12,15 @@ LEAD_COLUMNS = ("email", "first_name", "last_name", "job_title", "seniority", "l
                 "company_location", "email_status", "source", "source_id")
 
 
-def read_items(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+def read_items(spark: SparkSession, path: str, schema: StructType | str, layout: str = "auto") -> DataFrame:
     """JSON array, JSON lines, or a folder of ``*.json`` of either kind; empty files add nothing.
 
     Files of lines are split and read in parallel. Only files that hold one document, which
-    start with a bracket, are read whole, one task per file.
+    start with a bracket, are read whole, one task per file. ``layout`` may state ``lines`` or
+    ``array`` when it is known, which saves the look at every file.
     """
+    if layout != "auto":
+        return spark.read.schema(schema).option("multiLine", layout == "array").json(path, pathGlobFilter=_glob(path))
     lines = spark.read.schema("value string").text(path, pathGlobFilter=_glob(path)) \
         .withColumn("file", F.col("_metadata.file_path"))
     kinds = lines.where(F.trim("value") != "").groupBy("file").agg(
