@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from leadgrid.functions.bands import is_true, seniority_alias
 from leadgrid.functions.keys import email_domain
 from leadgrid.functions.text import any_term, blank_to_null, normalize_text
-from leadgrid.operators.grouping import best_k_per_key, best_per_key
+from leadgrid.operators.grouping import best_k_per_key, best_per_key, lookup_join
 from leadgrid.session import cut_lineage
 
 SMALL_COMPANY = 20
@@ -54,7 +54,8 @@ def choose_contact(candidates: DataFrame, key: Sequence[str], rank: Column, arri
 
 
 def match_contacts(signals: DataFrame, companies: DataFrame, contacts: DataFrame, as_of: Column,
-                   recontact_days: int, verified: Sequence[str], ranks: Mapping[str, Sequence[str]]) -> DataFrame:
+                   recontact_days: int, verified: Sequence[str], ranks: Mapping[str, Sequence[str]],
+                   signal_id: str = "source_job_id") -> DataFrame:
     """Signal to company by domain to the best person.
 
     The choice depends on the signal only through the small-company flag, so the best person
@@ -73,10 +74,10 @@ def match_contacts(signals: DataFrame, companies: DataFrame, contacts: DataFrame
             F.col("channel").alias("contact_channel"), F.col("email_status").alias("contact_email_status"))
         best = chosen if best is None else best.unionByName(chosen)
     employees = F.coalesce(F.nullif("company_employee_count", F.lit(0)), F.col("_firm_count"))
-    placed = signals.join(firms, "company_domain", "left") \
+    placed = lookup_join(signals, firms, ["company_domain"], signal_id) \
         .withColumn("company_id", F.when(~is_true(F.col("_blocked")), F.col("company_id"))) \
         .withColumn("_small", is_true(employees <= SMALL_COMPANY))
-    out = placed.join(best, ["company_id", "_small"], "left")
+    out = lookup_join(placed, best, ["company_id", "_small"], signal_id)
     hint = F.when(F.col("company_id").isNotNull(),
                   F.when(F.col("_small"), "founder_or_ceo").otherwise("sales_leader"))
     return out.withColumn("buyer_role_hint", hint) \
@@ -187,7 +188,7 @@ def enrich_people(requests: DataFrame, people: DataFrame, request_id: str) -> Da
     for path, key in paths.items():
         book = people.select(F.nullif(key, F.lit("")).alias("_key"), F.col("id")).where("_key IS NOT NULL") \
             .groupBy("_key").agg(F.min("id").alias(f"_{path}"))
-        out = out.withColumn("_key", F.nullif(key, F.lit(""))).join(book, "_key", "left").drop("_key")
+        out = lookup_join(out.withColumn("_key", F.nullif(key, F.lit(""))), book, ["_key"], request_id).drop("_key")
     found = [f"_{p}" for p in paths]
     by = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(p)) for p, c in zip(paths, found)])
     return out.select(*requests.columns, F.coalesce(*found).alias("person_id"), by.alias("resolved_by"),

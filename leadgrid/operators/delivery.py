@@ -182,12 +182,13 @@ def lookup_type(stats: DataFrame, inboxes: DataFrame) -> DataFrame:
     return stats.join(kinds, "inbox_id", "left").withColumn("inbox_type", F.coalesce("inbox_type", F.lit("unknown")))
 
 
-def inbox_type_compare(typed: DataFrame) -> DataFrame:
+def inbox_type_compare(stats: DataFrame, inboxes: DataFrame) -> DataFrame:
     """Per type and in total: inboxes, sends, replies, bounces, rates; best and worst type.
 
-    The inboxes are combined first, so distinct counting needs no second pass over the facts.
+    The facts are combined per inbox before the lookup: a busy inbox is one row by then, and
+    counting distinct inboxes is counting rows.
     """
-    per_box = typed.groupBy("inbox_type", "inbox_id").agg(*[F.sum(c).alias(c) for c in ("sent", "replies", "bounces")])
+    per_box = lookup_type(_totals(stats, "inbox_id"), inboxes)
     out = per_box.rollup("inbox_type").agg(
         F.grouping("inbox_type").alias("_g"), F.count(F.lit(1)).alias("inboxes"),
         *[F.sum(c).alias(c) for c in ("sent", "replies", "bounces")])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadgrid.functions.bands import is_true
 from leadgrid.functions.keys import email_domain, name_key, norm_domain
-from leadgrid.operators.grouping import best_per_key, newest_struct
+from leadgrid.operators.grouping import best_per_key, lookup_join, newest_struct
 
 FIT = ("high", "medium")
 
@@ -128,7 +128,7 @@ def mark_exists(base: DataFrame, key: str, others: DataFrame, out: str) -> DataF
 def link_domains(contacts: DataFrame, companies: DataFrame) -> DataFrame:
     """People keyed by domain: their company's by id, else their e-mail domain."""
     by_id = companies.select(F.col("id").alias("company_id"), norm_domain(F.col("domain")).alias("_by_id"))
-    return contacts.join(by_id, "company_id", "left") \
+    return lookup_join(contacts, by_id, ["company_id"], "id") \
         .withColumn("company_domain", F.coalesce("_by_id", norm_domain(email_domain(F.col("email"))))) \
         .where(F.col("company_domain").isNotNull()).drop("_by_id")
 
@@ -262,7 +262,7 @@ def canonical_tables(lists: DataFrame, companies: DataFrame, profiles: DataFrame
 
 # --- registries and the lead layer -------------------------------------------
 
-def match_registry(registry: DataFrame, company: DataFrame) -> DataFrame:
+def match_registry(registry: DataFrame, company: DataFrame, row_id: str) -> DataFrame:
     """Link a registry entity to a company by legal name, else by trade name."""
     named = best_per_key(company.select(name_key(F.col("name")).alias("_nk"), "domain")
                          .where("_nk IS NOT NULL"), ["_nk"], [F.asc("domain")])
@@ -270,7 +270,7 @@ def match_registry(registry: DataFrame, company: DataFrame) -> DataFrame:
     trade = named.select(F.col("_nk").alias("_trade"), F.col("domain").alias("_by_trade"))
     keyed = registry.withColumn("_legal", name_key(F.col("legal_name"))) \
                     .withColumn("_trade", name_key(F.col("trade_name")))
-    joined = keyed.join(legal, "_legal", "left").join(trade, "_trade", "left")
+    joined = lookup_join(lookup_join(keyed, legal, ["_legal"], row_id), trade, ["_trade"], row_id)
     return joined.withColumn("domain", F.coalesce("_by_legal", "_by_trade")) \
         .withColumn("matched_by", F.when(F.col("_by_legal").isNotNull(), "legal_name")
                     .when(F.col("_by_trade").isNotNull(), "trade_name")) \

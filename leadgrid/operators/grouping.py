@@ -53,6 +53,19 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return raw.select(*df.columns, F.explode_outer(F.array("_raw")).alias(name))
 
 
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id: str, spread: int = 256) -> DataFrame:
+    """Left join to a table with one row per key, where many left rows may lack the key.
+
+    Rows without a key match nothing, yet a plain join would send all of them to one task.
+    Here they are spread by ``row_id`` over ``spread`` partitions of their own. A hot key that
+    is present is left to adaptive execution, which splits the left side of a left join.
+    """
+    lacks = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
+    salt = F.when(lacks, F.pmod(F.xxhash64(row_id), F.lit(spread))).otherwise(F.lit(0))
+    return left.withColumn("_spread", salt.cast("int")) \
+               .join(right.withColumn("_spread", F.lit(0)), [*keys, "_spread"], "left").drop("_spread")
+
+
 def newest_struct(columns: Sequence[str], *order: Column) -> Column:
     """Aggregate that keeps ``columns`` of the row with the greatest ``order`` (nulls lowest)."""
     return F.max_by(F.struct(*columns), F.struct(*order))

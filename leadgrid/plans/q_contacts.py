@@ -60,7 +60,7 @@ def matched(t):
         "row_id", domain.alias("company_domain"),
         F.expr("CASE WHEN row_id % 10 = 0 THEN 0 WHEN row_id % 3 = 0 THEN staff_linkedin END").alias("company_employee_count"))
     firms = t("companies").withColumn("domain", domain).where("domain IS NOT NULL")
-    return contacts.match_contacts(signals, firms, t("contacts"), at(NOW), 90, ["verified"], RANKS)
+    return contacts.match_contacts(signals, firms, t("contacts"), at(NOW), 90, ["verified"], RANKS, "row_id")
 
 
 @query("match_contacts", f"""WITH {MATCHED} SELECT row_id, company_id, contact_id, coalesce(channel, 'unmatched') AS outcome,

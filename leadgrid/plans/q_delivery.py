@@ -152,13 +152,14 @@ def inbox_type(t):
 _TYPED = f"typed AS (SELECT s.*, coalesce(inbox_type, 'unknown') AS inbox_type FROM inbox_stats s LEFT JOIN (SELECT inbox_id, {_TYPE} AS inbox_type FROM inboxes WHERE inbox_id % 9 <> 0) USING (inbox_id))"
 
 
-def typed(t):
-    return delivery.lookup_type(t("inbox_stats"), t("inboxes").where("inbox_id % 9 <> 0"))
+def known_inboxes(t):
+    return t("inboxes").where("inbox_id % 9 <> 0")
 
 
 @query("lookup_type", f"WITH {_TYPED} SELECT inbox_id, campaign_id, inbox_type, sum(sent)::BIGINT AS sent FROM typed GROUP BY 1, 2, 3")
 def lookup_type(t):
-    return typed(t).groupBy("inbox_id", "campaign_id", "inbox_type").agg(F.sum("sent").alias("sent"))
+    per = t("inbox_stats").groupBy("inbox_id", "campaign_id").agg(F.sum("sent").alias("sent"))
+    return delivery.lookup_type(per, known_inboxes(t))
 
 
 @query("inbox_type_compare", f"""WITH {_TYPED}, c AS (SELECT inbox_type, count(DISTINCT inbox_id) AS inboxes, {_SUMS} FROM typed GROUP BY 1),
@@ -167,7 +168,7 @@ def lookup_type(t):
       NOT tot AND sent > 500 AND {rate('bounces', 'sent', 100)} > 3 AS elevated_bounce,
       NOT tot AND row_number() OVER (PARTITION BY tot ORDER BY rr DESC, inbox_type) = 1 AS is_best, NOT tot AND row_number() OVER (PARTITION BY tot ORDER BY rr, inbox_type) = 1 AS is_worst FROM a""")
 def inbox_type_compare(t):
-    return delivery.inbox_type_compare(typed(t))
+    return delivery.inbox_type_compare(t("inbox_stats"), known_inboxes(t))
 
 
 _KINDS = ("opened", "clicked", "replied", "bounced")

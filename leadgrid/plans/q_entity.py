@@ -180,7 +180,7 @@ def match_registry(t):
     registry = t("customer").select(
         "c_custkey", F.expr("CASE WHEN c_custkey % 2 = 0 THEN concat('SUPPLIER - ', lpad(c_custkey, 9, '0')) END").alias("legal_name"),
         F.expr("concat('Supplíer#', lpad(c_custkey div 3, 9, '0'))").alias("trade_name"))
-    return entity.match_registry(registry, firms).select("c_custkey", "domain", "matched_by")
+    return entity.match_registry(registry, firms, "c_custkey").select("c_custkey", "domain", "matched_by")
 
 
 @query("join_crawl_registry", f"""

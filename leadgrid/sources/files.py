@@ -44,10 +44,14 @@ def read_jsonl_glob(spark: SparkSession, pattern: str, schema: StructType | str)
     return spark.read.schema(schema).json(pattern)
 
 
-def read_lead_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with quoted fields; header trimmed and lower-cased, missing cells empty."""
+def read_lead_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Header CSV with quoted fields; header trimmed and lower-cased, missing cells empty.
+
+    Line breaks inside quotes need one task per file; ``multi_line=False`` lets Spark split
+    large files that have none.
+    """
     raw = spark.read.option("header", True).option("quote", '"').option("escape", '"') \
-        .option("multiLine", True).option("mode", "PERMISSIVE").csv(path)
+        .option("multiLine", multi_line).option("mode", "PERMISSIVE").csv(path)
     names = [c.strip().lower() for c in raw.columns]
     return raw.toDF(*names).select(*[F.coalesce(F.trim(c), F.lit("")).alias(c) for c in names])
 
