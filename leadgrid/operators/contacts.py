@@ -24,11 +24,11 @@ def title_rank(title: Column, small: Column, small_buyers: Sequence[str], sales_
     Small companies are bought for by their owner, others by the head of sales.
     """
     folded = normalize_text(title)
-    owner, leader = any_term(folded, small_buyers), any_term(folded, sales_leaders)
+    owner, leader = any_term(folded, small_buyers, True), any_term(folded, sales_leaders, True)
     small = is_true(small)
     return F.when(folded == "", 0).when((small & owner) | (~small & leader), 100) \
             .when((small & leader) | (~small & owner), 70) \
-            .when(any_term(folded, sales_words), 30).otherwise(0)
+            .when(any_term(folded, sales_words, True), 30).otherwise(0)
 
 
 def contact_candidates(contacts: DataFrame, as_of: Column, recontact_days: int,

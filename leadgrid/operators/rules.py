@@ -30,8 +30,8 @@ def classify_company(df: DataFrame, rules: Sequence[Rule], fields: Sequence[str]
         why = F.lit(reason)
         if refine and bucket in refine:
             more, better = refine[bucket]
-            why = F.when(any_term(text, more), F.lit(better)).otherwise(why)
-        steps.append((any_term(text, terms), F.struct(F.lit(bucket).alias("bucket"), why.alias("reason"))))
+            why = F.when(any_term(text, more, folded=True), F.lit(better)).otherwise(why)
+        steps.append((any_term(text, terms, folded=True), F.struct(F.lit(bucket).alias("bucket"), why.alias("reason"))))
     fallback = F.struct(F.lit(default[0]).alias("bucket"), F.lit(default[1]).alias("reason"))
     out = df.withColumn("_text", joined_text(*[F.col(f) for f in fields])) \
             .withColumn("_hit", first_match(steps, fallback))
@@ -57,7 +57,7 @@ def specialist_ensemble(df: DataFrame, specialists: Sequence[tuple[str, str, flo
     for i in order:
         name, bucket, confidence, terms = specialists[i]
         evidence = F.array_join(F.slice(matched_terms(F.col("_text"), terms), 1, 3), ", ")
-        steps.append((any_term(F.col("_text"), terms), _verdict(name, bucket, confidence, evidence)))
+        steps.append((any_term(F.col("_text"), terms, folded=True), _verdict(name, bucket, confidence, evidence)))
     nobody = _verdict("manager", "review", 0.2, F.lit("no specialist matched"))
     return df.withColumn("_text", text).withColumn("_best", first_match(steps, nobody)) \
              .select("*", "_best.*").drop("_text", "_best")
