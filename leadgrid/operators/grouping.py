@@ -62,8 +62,10 @@ def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], row_id:
     """
     lacks = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))
     salt = F.when(lacks, F.pmod(F.xxhash64(row_id), F.lit(spread))).otherwise(F.lit(0))
+    # Always 0, yet no literal: the optimizer would drop a constant from the hash keys.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
     return left.withColumn("_spread", salt.cast("int")) \
-               .join(right.withColumn("_spread", F.lit(0)), [*keys, "_spread"], "left").drop("_spread")
+               .join(right.withColumn("_spread", zero.cast("int")), [*keys, "_spread"], "left").drop("_spread")
 
 
 def newest_struct(columns: Sequence[str], *order: Column) -> Column:

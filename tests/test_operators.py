@@ -414,6 +414,20 @@ def test_group_limit_runs_before_the_exchange(spark):
     assert rows(grouping.best_k_per_key(df, ["k"], [F.asc("id")], 2000).groupBy("k").count().where("count > 1")) == [(0, 334)]
 
 
+def test_rows_without_key_are_spread(spark):
+    left = spark.range(3000).withColumn("k", F.when(F.col("id") % 3 == 0, F.col("id") % 50))
+    right = spark.range(40).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = grouping.lookup_join(left, right, ["k"], "id")
+        assert "hashpartitioning(k" in plan_of(out) and plan_of(out).count("_spread") > 2
+        assert all("_spread" in line for line in plan_of(out).split("\n") if "hashpartitioning" in line)
+        assert rows(out) == rows(left.join(right, "k", "left"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_large_k_keeps_exactly_the_best(spark):
     df = spark.range(6000).withColumn("k", F.lit(1))
     got = grouping.best_k_per_key(df, ["k"], [F.desc("id")], 1500)
