@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as html_names
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -74,7 +75,7 @@ def matched_terms(col: Column, terms: TermList, word: bool = False, prefix: str
     """
     folded = F.lower(F.coalesce(col, F.lit("")))
     if word:
-        hits = [F.when(folded.rlike(rf"(?U)\b{_quote(t.lower())}\b"), F.lit(prefix + t)) for t in terms]
+        hits = [F.when(folded.rlike(rf"(?U)\b{quote_regex(t.lower())}\b"), F.lit(prefix + t)) for t in terms]
     else:
         hits = [F.when(has_term(folded, t), F.lit(prefix + t)) for t in terms]
     return _without_nulls(hits) if hits else F.array().cast("array<string>")
@@ -112,7 +113,8 @@ def title_matches(col: Column, keywords: TermList) -> Column:
     return any_term(col, keywords)
 
 
-def _quote(term: str) -> str:
+def quote_regex(term: str) -> str:
+    """The term as a literal pattern."""
     return "".join("\\" + ch if ch in r"\.^$|?*+()[]{}-" else ch for ch in term)
 
 
@@ -127,7 +129,7 @@ def _any(parts: Sequence[Column]) -> Column:
 # --- patterns --------------------------------------------------------------
 
 def _ci(pattern: str) -> str:
-    return pattern if pattern.startswith("(?") and "i" in pattern[:5] else "(?i)" + pattern
+    return pattern if re.match(r"\(\?[a-zA-Z]*i", pattern) else "(?i)" + pattern
 
 
 def pattern_label(col: Column, patterns: PatternList) -> Column:
@@ -179,9 +181,13 @@ def split_raw(col: Column) -> Column:
     return F.filter(F.transform(parts, normalize_space), lambda x: x != "")
 
 
-def split_fragments(col: Column, shortest: int = 35, longest: int = 900) -> Column:
-    """Readable fragments of a text: split at bullets, line and sentence ends, kept by length."""
-    clean = F.replace(decode_basic_entities(F.coalesce(col, F.lit(""))),
+def split_fragments(col: Column, shortest: int = 35, longest: int = 900,
+                    decode: Callable[[Column], Column] | None = None) -> Column:
+    """Readable fragments of a text: split at bullets, line and sentence ends, kept by length.
+
+    The five common entities are decoded; pass ``decode=decode_entities`` for all of them.
+    """
+    clean = F.replace((decode or decode_basic_entities)(F.coalesce(col, F.lit(""))),
                       F.lit(" "), F.lit(" "))
     parts = F.transform(F.split(clean, FRAGMENT_BREAK),
                         lambda x: F.btrim(normalize_space(x), F.lit(FRAGMENT_TRIM)))

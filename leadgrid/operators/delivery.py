@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from leadgrid.functions.bands import is_true, ratio, round_half_up
 from leadgrid.functions.keys import email_domain, send_key
-from leadgrid.functions.text import blank_to_null, normalize_space, strip_html
+from leadgrid.functions.text import blank_to_null, normalize_space, quote_regex, strip_html
 from leadgrid.operators.grouping import best_per_key
 
 # Reply labels that count as positive, and those left out of the net.
@@ -366,7 +366,7 @@ def spam_terms(df: DataFrame, id_col: str, text_col: str, rules: Sequence[tuple[
     for kind, severity, terms in rules:
         for term in terms:
             if kind == "word":
-                hit = F.col("_flat").rlike(rf"(?<![a-z0-9]){term}(?![a-z0-9])")
+                hit = F.col("_flat").rlike(rf"(?<![a-z0-9]){quote_regex(term)}(?![a-z0-9])")
             else:
                 hit = F.contains("_flat", F.lit(term))
             tests.append(F.when(hit, finding(kind, severity, term)))

@@ -158,7 +158,7 @@ def attempt_state(t):
 
 def queue_before(t):
     """Stand-in queue: some pages profiled, some with another text, some unknown."""
-    body = F.expr("substr(text, 1, 50 + 20 * (doc_id % 40))")
+    body = F.expr("CASE WHEN doc_id % 9 = 0 THEN lang ELSE text END")
     return t("documents").where("doc_id % 4 <> 0").select(
         F.concat(F.lit("co"), "doc_id").alias("domain"),
         F.expr("CASE doc_id % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'not_profileable' ELSE 'processing' END").alias("profile_status"),
@@ -175,13 +175,13 @@ def _stamp(day):
 def crawls_now(t):
     return t("documents").where("doc_id % 5 <> 0").select(
         F.concat(F.lit("co"), "doc_id").alias("domain"), (F.col("doc_id") % 7 != 0).alias("ok"),
-        F.expr("CASE WHEN doc_id % 11 = 0 THEN NULL ELSE substr(text, 1, 50 + 20 * (doc_id % 40)) END").alias("clean_text"),
+        F.expr("CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN lang ELSE text END").alias("clean_text"),
         _stamp("2024-01-01").alias("crawled_at"))
 
 
 QUEUE_SQL = """q AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'not_profileable' ELSE 'processing' END AS st,
-      CASE WHEN doc_id % 2 = 0 THEN sha256(substr(text, 1, 50 + 20 * (doc_id % 40))) END AS h, CASE WHEN doc_id % 3 = 0 THEN 'p' END AS ph FROM documents WHERE doc_id % 4 <> 0),
-    c AS (SELECT doc_id, doc_id % 7 <> 0 AS ok, coalesce(CASE WHEN doc_id % 11 = 0 THEN NULL ELSE substr(text, 1, 50 + 20 * (doc_id % 40)) END, '') AS body FROM documents WHERE doc_id % 5 <> 0),
+      CASE WHEN doc_id % 2 = 0 THEN sha256(CASE WHEN doc_id % 9 = 0 THEN lang ELSE text END) END AS h, CASE WHEN doc_id % 3 = 0 THEN 'p' END AS ph FROM documents WHERE doc_id % 4 <> 0),
+    c AS (SELECT doc_id, doc_id % 7 <> 0 AS ok, coalesce(CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN lang ELSE text END, '') AS body FROM documents WHERE doc_id % 5 <> 0),
     d AS (SELECT *, length(trim(body)) AS n, CASE WHEN length(trim(body)) > 0 THEN sha256(body) END AS nh FROM c),
     j AS (SELECT coalesce(q.doc_id, d.doc_id) AS id, q.doc_id IS NOT NULL AS old, d.doc_id IS NOT NULL AS hit, q.*, d.*, h IS DISTINCT FROM nh AS changed FROM q FULL JOIN d ON q.doc_id = d.doc_id),
     after AS (SELECT 'co' || id AS domain, CASE WHEN NOT hit THEN st WHEN n < 300 THEN 'not_profileable' WHEN NOT old THEN 'pending' WHEN changed AND ph IS NULL THEN 'pending'

@@ -37,8 +37,9 @@ def stream_dedupe_postings(t):
 @query("stream_richest_postings", """SELECT lang, source, doc_id, length(text)::BIGINT AS n_text FROM documents
     QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY length(text) DESC, doc_id) = 1""")
 def stream_richest_postings(t):
-    schema = "doc_id bigint, lang string, source string, text string"
-    out = jobs.run_versioned(stream(t, "documents").select("doc_id", "lang", "source", "text"), fresh_path(t.spark, "richest"), schema,
+    table = jobs.VersionedTable(fresh_path(t.spark, "richest"), "doc_id bigint, lang string, source string, text string",
+                                ["lang", "source"])
+    out = jobs.run_versioned(stream(t, "documents").select("doc_id", "lang", "source", "text"), table,
                              jobs.richest_step(["lang", "source"], "text", "doc_id"), fresh_path(t.spark, "richest-checkpoint"))
     return out.select("lang", "source", "doc_id", F.length("text").cast("bigint").alias("n_text"))
 
@@ -84,8 +85,10 @@ def trailing_rates(t):
     QUALIFY row_number() OVER (PARTITION BY workspace, lead_email ORDER BY sent_at DESC, campaign_id DESC, step DESC) = 1
       AND sent_at > (SELECT max(sent_at) FROM sends) - INTERVAL 1 DAY""")
 def contact_state(t):
-    return jobs.run_versioned(stream(t, "sends"), fresh_path(t.spark, "touch"), jobs.CONTACT_STATE, jobs.contact_state_step(1),
-                              fresh_path(t.spark, "touch-checkpoint"))
+    table = jobs.VersionedTable(fresh_path(t.spark, "touch"), jobs.CONTACT_STATE, ["workspace", "lead_email"])
+    state = jobs.run_versioned(stream(t, "sends"), table, jobs.contact_state_step, fresh_path(t.spark, "touch-checkpoint"))
+    newest = state.agg(F.max("last_at").alias("m"))
+    return jobs.live_contacts(state, newest.scalar(), 1)
 
 
 @query("late_replies", """SELECT s.event_id, s.lead, s.campaign_id, r.event_id AS reply_event FROM sends s JOIN replies r ON r.lead = s.lead AND r.campaign_id = s.campaign_id
@@ -103,11 +106,8 @@ def freshness_stream(t):
 
 @query("sync_profile_queue_stream", f"WITH {QUEUE_SQL} SELECT * FROM after")
 def sync_profile_queue_stream(t):
-    from leadgrid.streaming.jobs import _version
-    path = fresh_path(t.spark, "queue")
-    schema = QUEUE_SCHEMA.replace(" timestamp", " timestamp_ntz")
-    # Version -1 is the queue before the stream starts.
-    queue_before(t).write.parquet(_version(path, -1))
+    table = jobs.VersionedTable(fresh_path(t.spark, "queue"), QUEUE_SCHEMA.replace(" timestamp", " timestamp_ntz"), ["domain"])
+    table.write(queue_before(t), -1)  # the queue before the stream starts
     now = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
-    out = jobs.run_versioned(restream(crawls_now(t), "crawls"), path, schema, jobs.profile_queue_step(now), fresh_path(t.spark, "queue-checkpoint"))
+    out = jobs.run_versioned(restream(crawls_now(t), "crawls"), table, jobs.profile_queue_step(now), fresh_path(t.spark, "queue-checkpoint"))
     return queue_after(out)

@@ -1,14 +1,17 @@
 """The incremental behaviours as Structured Streaming jobs.
 
 Builders take and return streaming DataFrames, so the caller picks source, sink and
-trigger. Jobs that change a table run in ``foreachBatch`` over versions: batch ``n`` reads
-version ``n - 1`` and replaces version ``n``, so a repeated batch gives the same table.
+trigger. Jobs that change a table run in ``foreachBatch``: the table is split into hash
+buckets of its key, and batch ``n`` reads the latest earlier version of the buckets that it
+touches and writes these buckets as version ``n``. A small batch rewrites little of a large
+table, and a repeated batch gives the same table.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,47 +60,71 @@ def to_table(stream: DataFrame, name: str) -> DataFrame:
 
 # --- versions of a table ----------------------------------------------------------
 
-def _version(path: str, n: int) -> str:
-    return os.path.join(path, f"v={n:09d}")
-
-
-def current_version(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Latest finished version of a versioned table; empty when there is none."""
-    numbers = _finished(spark, path)
-    return spark.read.parquet(_version(path, max(numbers))) if numbers else spark.createDataFrame([], schema)
-
-
-def _finished(spark: SparkSession, path: str) -> list[int]:
-    """Version numbers whose write was committed."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = [s.getPath() for s in fs.listStatus(root)]
-    return [int(p.getName().split("=")[1]) for p in found
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-
-
-def versioned(path: str, schema: str, step: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function that applies ``step(table, batch)`` and writes version ``epoch``."""
-    def apply(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        before = [n for n in _finished(spark, path) if n < epoch]
-        table = spark.read.parquet(_version(path, max(before))) if before else spark.createDataFrame([], schema)
-        step(table, batch).write.mode("overwrite").parquet(_version(path, epoch))
-    return apply
-
-
-def run_versioned(stream: DataFrame, path: str, schema: str, step: Callable[[DataFrame, DataFrame], DataFrame],
-                  checkpoint: str) -> DataFrame:
-    run_once(stream.writeStream.foreachBatch(versioned(path, schema, step)).outputMode("append"), checkpoint)
-    return current_version(stream.sparkSession, path, schema)
+Step = Callable[[DataFrame, DataFrame], DataFrame]
+
+
+@dataclass(frozen=True)
+class VersionedTable:
+    """Table in ``path`` with one row per key, kept as versions of hash buckets."""
+
+    path: str
+    schema: str
+    key: Sequence[str]
+    buckets: int = 64
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
+    def _folder(self, version: int) -> str:
+        return os.path.join(self.path, f"v={version:09d}")
+
+    def _latest(self, spark: SparkSession, before: int | None) -> dict[int, str]:
+        """Newest committed folder of every bucket; an unfinished version does not count."""
+        jvm = spark.sparkContext._jvm
+        new_path = jvm.org.apache.hadoop.fs.Path
+        root = new_path(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return {}
+        found: dict[int, tuple[int, str]] = {}
+        for entry in fs.listStatus(root):
+            folder = entry.getPath()
+            version = int(folder.getName().split("=")[1])
+            if (before is not None and version >= before) or not fs.exists(new_path(folder, "_SUCCESS")):
+                continue
+            for leaf in fs.listStatus(folder):
+                name = leaf.getPath().getName()
+                if name.startswith("bucket="):
+                    number = int(name.split("=")[1])
+                    found[number] = max(found.get(number, (version, "")), (version, leaf.getPath().toString()))
+        return {number: where for number, (_, where) in found.items()}
+
+    def read(self, spark: SparkSession, before: int | None = None, only: set[int] | None = None) -> DataFrame:
+        """Current rows, or those before a version, of all buckets or of some."""
+        folders = [where for number, where in self._latest(spark, before).items() if only is None or number in only]
+        return spark.read.schema(self.schema).parquet(*folders) if folders else spark.createDataFrame([], self.schema)
+
+    def write(self, df: DataFrame, version: int) -> None:
+        df.withColumn("bucket", self.bucket()).repartition("bucket") \
+          .write.mode("overwrite").partitionBy("bucket").parquet(self._folder(version))
+
+    def apply(self, step: Step) -> Callable[[DataFrame, int], None]:
+        """``foreachBatch`` function; ``step(table, batch)`` must treat keys independently."""
+        def run(batch: DataFrame, epoch: int) -> None:
+            touched = {r["b"] for r in batch.select(self.bucket().alias("b")).distinct().collect()}  # at most ``buckets`` rows
+            if touched:
+                self.write(step(self.read(batch.sparkSession, epoch, touched), batch), epoch)
+        return run
+
+
+def run_versioned(stream: DataFrame, table: VersionedTable, step: Step, checkpoint: str) -> DataFrame:
+    run_once(stream.writeStream.foreachBatch(table.apply(step)).outputMode("append"), checkpoint)
+    return table.read(stream.sparkSession)
 
 
 # --- queue and ingest ----------------------------------------------------------------
 
-def profile_queue_step(now: Column) -> Callable[[DataFrame, DataFrame], DataFrame]:
+def profile_queue_step(now: Column) -> Step:
     """Batch step that keeps the profile queue in line with new crawls."""
     return lambda queue, crawls: sync_profile_queue(queue, crawls, now)
 
@@ -108,7 +135,7 @@ def stream_dedupe_postings(postings: DataFrame, time_col: str, delay: str = "14
     return event_time(postings, time_col, delay).dropDuplicatesWithinWatermark(list(key))
 
 
-def richest_step(key: Sequence[str], text_col: str, arrival: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+def richest_step(key: Sequence[str], text_col: str, arrival: str) -> Step:
     """Batch step that keeps the richest posting per key over all loads."""
     return lambda table, batch: dedupe_richest(table.unionByName(batch), key, text_col, arrival)
 
@@ -152,33 +179,30 @@ def trailing_rates(events: DataFrame, days: int = 7, delay: str = "1 day") -> Da
 CONTACT_STATE = "workspace string, lead_email string, campaign_id bigint, step int, last_at timestamp_ntz"
 
 
-def contact_state_step(expire_days: int = 90) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """Batch step that keeps the latest touch per lead and forgets leads after ``expire_days``.
+def contact_state_step(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """Batch step that keeps the latest touch per lead, in one aggregation with the table."""
+    fresh = batch.select("workspace", "lead_email", "campaign_id", "step", F.col("sent_at").alias("last_at"))
+    newest = newest_struct(["campaign_id", "step", "last_at"], F.col("last_at"), F.col("campaign_id"), F.col("step"))
+    return state.unionByName(fresh).groupBy("workspace", "lead_email").agg(newest.alias("_n")) \
+                .select("workspace", "lead_email", "_n.*")
 
-    The batch is reduced with the table in one aggregation, one row per lead; expiry is
-    measured against the newest send seen, so a replay gives the same state.
-    """
-    def step(state: DataFrame, batch: DataFrame) -> DataFrame:
-        fresh = batch.select("workspace", "lead_email", "campaign_id", "step", F.col("sent_at").alias("last_at"))
-        latest = state.unionByName(fresh).groupBy("workspace", "lead_email").agg(
-            newest_struct(["campaign_id", "step", "last_at"], F.col("last_at"), F.col("campaign_id"), F.col("step")).alias("_n")) \
-            .select("workspace", "lead_email", "_n.*")
-        newest = latest.agg(F.max("last_at").alias("m"))
-        return latest.where(F.col("last_at") > newest.scalar() - F.make_dt_interval(F.lit(expire_days)))
-    return step
+
+def live_contacts(state: DataFrame, as_of: Column, expire_days: int = 90) -> DataFrame:
+    """Leads touched in the last ``expire_days``; older ones count as never touched."""
+    return state.where(F.col("last_at") > as_of - F.make_dt_interval(F.lit(expire_days)))
 
 
 def late_replies(sends: DataFrame, replies: DataFrame, days: int = 21, delay: str = "1 day", how: str = "left_outer") -> DataFrame:
     """Replies joined to the sends of their lead and campaign that they follow within ``days``.
 
-    State is bounded by time on both sides. A sequence has a handful of steps, so a reply
+    The interval is a literal, so that both watermarks bound the join state. A sequence has a handful of steps, so a reply
     meets a handful of sends.
     """
     s = event_time(sends, "sent_at", delay)
     r = event_time(replies.select(F.col("lead").alias("r_lead"), F.col("campaign_id").alias("r_campaign"), "replied_at",
                                   F.col("event_id").alias("reply_event")), "replied_at", delay)
     near = (F.col("lead") == F.col("r_lead")) & (F.col("campaign_id") == F.col("r_campaign")) \
-        & (F.col("replied_at") >= F.col("sent_at")) & (F.col("replied_at") <= F.col("sent_at") + F.make_dt_interval(F.lit(days)))
+        & (F.col("replied_at") >= F.col("sent_at")) & (F.col("replied_at") <= F.col("sent_at") + F.expr(f"INTERVAL {int(days)} DAYS"))
     return s.join(r, near, how).drop("r_lead", "r_campaign")
 
 

@@ -100,6 +100,17 @@ def test_fragments_by_length(spark):
         "This sentence is long enough to be kept as fragment!", "& also this other one is kept <here>."]
 
 
+def test_patterns_ignore_case_even_after_a_plain_group(spark):
+    assert one(spark, "INFO desk", text.pattern_label(C(), [("hit", "(?:info|id)")])) == "hit"
+    assert one(spark, "x", text.pattern_labels(C(), [("a", "X"), ("b", "y"), ("c", ".")]), "string") == ["a", "c"]
+
+
+def test_fragments_with_all_entities(spark):
+    source = "Das ist ein l&auml;ngerer Satz, der ganz erhalten bleiben soll."
+    assert one(spark, source, text.split_fragments(C(), decode=text.decode_entities)) == [
+        "Das ist ein längerer Satz, der ganz erhalten bleiben soll."]
+
+
 def test_entities(spark):
     assert one(spark, "a &amp;lt; b", text.decode_basic_entities(C())) == "a &lt; b"
     assert one(spark, "caf&eacute; &#39;x&#39;", text.decode_entities(C())) == "café 'x'"
