@@ -10,11 +10,11 @@ an eighth of it, so that a long document at the edge leaves no gap.
 
 Random numbers are digits of the MD5 of the id, so reruns agree. Running sums are taken per
 (source, bucket of the random number) and offset by the sums of the buckets before: no task
-holds a whole source, however large. Only id, source and size are shuffled.
+holds a whole source, however large. They yield one row of cut points per source, by which
+each document's copies follow without another shuffle. Only id, source and size are shuffled.
 
 Null text has size 0; null is a source of its own, last in order. Rows that repeat an id share
-a random number and are told apart by size; equal rows in all three stay equal in result
-except at the edge of the sample. An empty table yields an empty result. Other columns are ignored.
+a random number and are told apart by size; rows equal in both share their result. An empty table yields an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,42 +72,78 @@ def source_targets(sizes: DataFrame, weight: Callable[[Column], Column], cap: fl
     return spread.select("source", "source_size", share.alias("target"))
 
 
-def running(rows: DataFrame, amount: str, order: list[Column], out: str) -> DataFrame:
-    """Running sum of ``amount`` per source in order of the odds, without a task per source."""
+def running(rows: DataFrame, amount: str, out: str) -> DataFrame:
+    """Running sum of ``amount`` per source in Pareto order, without a task per source."""
     buckets = rows.groupBy("source", "bucket").agg(F.sum(amount).alias("_sum"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select(F.col("source").alias("_source"), F.col("bucket").alias("_bucket"),
                              F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("source", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("_inside", F.sum(amount).over(inside)) \
                .join(offsets, F.col("source").eqNullSafe(F.col("_source")) & (F.col("bucket") == F.col("_bucket"))) \
                .withColumn(out, F.col("_inside") + F.col("_before")).drop("_inside", "_source", "_bucket", "_before")
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        weight: Callable[[Column], Column] = period_weight, cap: float = 3.0) -> DataFrame:
-    """Per document: size, source_size, target of its source, copies, and taken = copies * size."""
+def cut_points(docs: DataFrame, key: str, text: str, source: str, weight: Callable[[Column], Column],
+               cap: float) -> DataFrame:
+    """One row per source: its target, whole copies, and the places in Pareto order where the sample ends."""
     slim = written(docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
                                word_count(text).alias("size")), "mix")
-    targets = source_targets(slim, weight, cap).withColumnRenamed("source", "_source")
+    targets = source_targets(slim, weight, cap)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    plan = written(targets.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
+                   .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")), "mix-plan")
+    rows = with_plan(slim, plan, F.col("key"), F.col("size")).where("p > 0") \
+        .withColumn("bucket", F.floor(F.col("u") * BUCKETS))
+    first = running(rows, "size", "cum").withColumn("first", F.col("cum") <= F.col("wanted"))
+    taken = first.where("first").groupBy("source").agg(F.sum("size").alias("got"), F.max("place").alias("cut")) \
+                 .withColumnRenamed("source", "_source")
+    plan = written(_beside(plan, taken).withColumn("gap", F.col("wanted") - F.coalesce(F.col("got"), F.lit(0)))
+                   .drop("got"), "mix-plan")
+    rows = with_plan(slim, plan, F.col("key"), F.col("size")).where("p > 0") \
+        .withColumn("bucket", F.floor(F.col("u") * BUCKETS)) \
+        .where(F.expr(FITS) & ~F.coalesce(F.col("place") <= F.col("cut"), F.lit(False)))
+    second = running(rows, "size", "cum").where(F.col("cum") - F.col("size") / 2.0 <= F.col("gap"))
+    return _beside(plan, second.groupBy(F.col("source").alias("_source")).agg(F.max("place").alias("cut_small")))
+
+
+# A document fits the second round when it is small beside the gap.
+FITS = "size * 8 <= gap"
+
+
+def with_plan(rows: DataFrame, plan: DataFrame, key: Column, size: Column) -> DataFrame:
+    """Rows beside their source's plan, with their random number and place. The plan has a row per source."""
     odds = F.col("u") / (1 - F.col("u"))
-    rows = slim.join(targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source") \
-               .withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole")) \
-               .withColumn("u", random_unit(F.col("key"))) \
-               .withColumn("q", F.when(F.col("p") > 0, odds / (F.col("p") / (1 - F.col("p"))))) \
-               .withColumn("bucket", F.floor(F.col("u") * BUCKETS)) \
-               .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size"))
-    order = [F.col("q"), F.col("key"), F.col("size")]
-    first = running(rows, "size", order, "cum") \
-        .withColumn("first", (F.col("p") > 0) & (F.col("cum") <= F.col("wanted")))
-    got = first.groupBy("source").agg(F.sum(F.when(F.col("first"), F.col("size")).otherwise(0)).alias("got")) \
-               .withColumnRenamed("source", "_source")
-    gap = first.join(got, F.col("source").eqNullSafe(F.col("_source"))).drop("_source") \
-               .withColumn("gap", F.col("wanted") - F.col("got"))
-    small = (F.col("p") > 0) & ~F.col("first") & (F.col("size") * 8 <= F.col("gap"))
-    second = running(gap.withColumn("fit", F.when(small, F.col("size")).otherwise(0)), "fit", order, "cum_fit")
-    extra = F.col("first") | (small & (F.col("cum_fit") - F.col("size") / 2.0 <= F.col("gap")))
-    copies = (F.col("whole") + F.when(extra, 1).otherwise(0)).cast("long")
-    return second.select(F.col("key").alias(key), "source", "size", "source_size", "target",
-                         copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return _beside(rows, plan.withColumnRenamed("source", "_source")).withColumn("u", random_unit(key)) \
+        .withColumn("q", F.when(F.col("p") > 0, odds / (F.col("p") / (1 - F.col("p"))))) \
+        .withColumn("place", F.struct(F.col("q"), key.alias("key"), size.alias("size")))
+
+
+def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
+    return rows.join(by_source, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+
+
+def _copies() -> Column:
+    sampled = (F.col("place") <= F.col("cut")) | (F.expr(FITS) & (F.col("place") <= F.col("cut_small")))
+    return (F.col("whole") + F.when((F.col("p") > 0) & sampled, 1).otherwise(0)).cast("long")
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+        weight: Callable[[Column], Column] = period_weight, cap: float = 3.0) -> DataFrame:
+    """Per document: size, source_size, target of its source, copies, and taken = copies * size."""
+    plan = cut_points(docs, key, text, source, weight, cap)
+    slim = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
+                       word_count(text).alias("size"))
+    return with_plan(slim, plan, F.col("key"), F.col("size")).withColumn("copies", _copies()).select(
+        F.col("key").alias(key), "source", "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat_by_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
+                  weight: Callable[[Column], Column] = period_weight, cap: float = 3.0) -> DataFrame:
+    """The mix itself: every row as often as its copies say, in the columns given. Texts are not shuffled
+    unless the table of sources is too large to broadcast."""
+    plan = cut_points(docs, key, text, source, weight, cap)
+    whole = docs.select(F.struct("*").alias("doc"), F.col(source).cast("string").alias("source"))
+    placed = with_plan(whole.withColumn("size", word_count(f"doc.{text}")), plan, F.col(f"doc.{key}"), F.col("size"))
+    return placed.select("doc", F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))).alias("_copy")).select("doc.*")

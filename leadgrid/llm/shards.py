@@ -5,12 +5,12 @@ the highest score wins. The score of a shard depends on the key and that shard a
 shard takes rows only into itself, about its weight's share, and a lost one gives up only its own.
 
 Slots number the rows of a shard from 0 without gaps, in order of the key's MD5. They are
-counted per (shard, bucket of the MD5) and offset by the counts of the buckets before, so no
-task holds a whole shard. Texts are read once, for size and CRC, and never shuffled.
+counted per (shard, bucket of the MD5) and offset by the counts of the buckets before, which
+need the keys alone: no task holds a whole shard, and rows are shuffled once, into their buckets.
 
 Null text has no bytes: size 1, CRC 0. A null key counts as the empty key. Equal keys share a
-shard; their rows get different slots. An empty table yields an empty result; other columns
-are ignored.
+shard; their rows get different slots. An empty table yields an empty result. Other columns
+are kept; of the names added here, the operator's own values win.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadgrid.llm.common import utf8
-from leadgrid.session import written
 
 # Hexadecimal digits of the MD5 that make a number, its range, and the digits of a bucket.
 _DIGITS, _BUCKET_DIGITS = 13, 3
@@ -44,23 +43,25 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 
 def shard_documents(docs: DataFrame, weights: Sequence[float], grown: Sequence[float] | None = None,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: size (bytes + 1), text_crc32, shard, slot, and the shard under ``grown`` weights.
+    """The rows with size (bytes + 1), text_crc32, shard, slot, and the shard under ``grown`` weights.
 
     ``grown`` defaults to the same weights and one more shard of mean weight.
     """
     more = list(grown) if grown is not None else [*weights, sum(weights) / len(weights)]
     body = utf8(text)
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary"))
-    slim = written(docs.select(
-        F.col(key).alias("key"), (F.octet_length(body) + 1).cast("long").alias("size"),
-        F.crc32(body).alias("text_crc32"), rendezvous(F.col(key), weights).alias("shard"),
-        rendezvous(F.col(key), more).alias("grown_shard"), digest.alias("digest")), "shards")
-    bucket = F.substring("digest", 1, _BUCKET_DIGITS)
-    counts = slim.groupBy("shard", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("shard", "bucket").orderBy("digest", "key", "text_crc32", "size")
-    placed = slim.withColumn("bucket", bucket).withColumn("inside", F.row_number().over(inside) - 1)
-    return placed.join(offsets, ["shard", "bucket"]).select(
-        F.col("key").alias(key), "size", "text_crc32", "shard",
-        (F.col("inside") + F.col("before")).cast("long").alias("slot"), "grown_shard")
+    bucket = F.substring("_digest", 1, _BUCKET_DIGITS)
+    counts = docs.select(rendezvous(F.col(key), weights).alias("shard"), digest.alias("_digest")) \
+                 .groupBy("shard", bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = docs.withColumns({
+        "size": (F.octet_length(body) + 1).cast("long"), "text_crc32": F.crc32(body),
+        "shard": rendezvous(F.col(key), weights), "grown_shard": rendezvous(F.col(key), more), "_digest": digest,
+    }).withColumn("_bucket", bucket)
+    inside = Window.partitionBy("shard", "_bucket").orderBy("_digest", key, "text_crc32", "size")
+    placed = rows.withColumn("_inside", F.row_number().over(inside) - 1)
+    return placed.join(offsets, ["shard", "_bucket"]) \
+                 .withColumn("slot", (F.col("_inside") + F.col("_before")).cast("long")) \
+                 .select(*[c for c in docs.columns if c not in ("size", "text_crc32", "shard", "slot", "grown_shard")],
+                         "size", "text_crc32", "shard", "slot", "grown_shard")
