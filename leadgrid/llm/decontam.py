@@ -24,11 +24,14 @@ from collections.abc import Iterator
 from functools import reduce
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leadgrid.llm.common import WORD_TABLE, batched, fold_words, id_and_bytes, rows_of
+from leadgrid.session import written
 
 # A run of hit words: words first..end-1, bytes start..stop-1 of the original text.
 Run = tuple[int, int, int, int]
@@ -138,21 +141,44 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from batched(rows(), _RESULT)
 
 
+def pattern_blocks(benchmark: DataFrame, item: str, text: str, window: int, block_patterns: int) -> list[Broadcast]:
+    """All patterns in broadcasts of about ``block_patterns`` patterns of at most ``window`` words."""
+    patterns = item_patterns(benchmark, item, text, window).persist()
+    blocks = max(1, -(-patterns.count() // block_patterns))
+    block_of = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
+    held = [benchmark.sparkSession.sparkContext.broadcast(
+        [(bytes(r["pattern"]), list(r["items"])) for r in patterns.where(block_of == block).collect()])
+        for block in range(blocks)]
+    patterns.unpersist()
+    return held
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
+               item_text: str = "text", window: int = 10, block_patterns: int = 50_000) -> DataFrame:
+    """The documents, all columns, that hold no window of any item; texts are not shuffled."""
+    for number, held in enumerate(pattern_blocks(benchmark, item, item_text, window, block_patterns)):
+        if number:  # one automaton at a time
+            docs = written(docs, "clean")
+        docs = docs.where(~_contains(held)(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
+    return docs
+
+
+def _contains(held: Broadcast):
+    @F.pandas_udf("boolean")
+    def contains(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = build_automaton(held.value)
+        for bodies in batches:
+            yield pd.Series([bool(hit_words(b, automaton)[1]) for b in bodies], dtype=bool)
+    return contains
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
                   item: str = "item_id", item_text: str = "text", window: int = 10,
                   block_patterns: int = 50_000) -> DataFrame:
     """Per document: words, hit words, items found and the spans of hits (words, original bytes)."""
-    spark = docs.sparkSession
-    patterns = item_patterns(benchmark, item, item_text, window).persist()
-    blocks = max(1, -(-patterns.count() // block_patterns))
-    block_of = F.pmod(F.xxhash64("pattern"), F.lit(blocks))
+    held = pattern_blocks(benchmark, item, item_text, window, block_patterns)
     rows = id_and_bytes(docs, key, text).withColumn("text_hash", F.xxhash64("body"))
-    # Each broadcast holds about block_patterns patterns of at most ``window`` words.
-    held = [spark.sparkContext.broadcast([(bytes(r["pattern"]), list(r["items"])) for r in
-                                          patterns.where(block_of == block).collect()])
-            for block in range(blocks)]
-    patterns.unpersist()
-    if blocks == 1:
+    if len(held) == 1:
         return rows.mapInArrow(_scan(held[0], False), RESULT).withColumnRenamed("key", key)
     hits = reduce(DataFrame.unionByName, [rows.mapInArrow(_scan(h, True), HITS) for h in held])
     merged = hits.groupBy("key", "text_hash").agg(F.flatten(F.collect_list("runs")).alias("runs"),

@@ -16,7 +16,7 @@ import numpy as np
 WIDTH = 88
 _WORDS = WIDTH // 8
 _FAN_IN = 64
-_LANE = 128
+_LANE = 16
 
 
 def as_words(keys: np.ndarray) -> np.ndarray:

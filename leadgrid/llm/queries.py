@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadgrid.llm import decontam, licenses, mixing, shards, topk, warc
+from leadgrid.llm import decontam, langid, licenses, mixing, quality, shards, simhash, suffixes, topk, warc
 from leadgrid.session import fresh_path
 
 
@@ -23,6 +23,10 @@ def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"), with_text=False).drop("kept")
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontam.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("spans")
@@ -32,6 +36,14 @@ def op4_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, folder, "documents"))
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     root = fresh_path(spark, "warc")
     warc.write_archive(table(spark, folder, "pages"), root)
@@ -48,9 +60,13 @@ def op9_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op3_decontaminate, op4_exact_top_k, op7_warc, op8_mix_sources,
-                            op9_rendezvous_shards)}
+    f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_decontaminate, op4_exact_top_k, op5_quality,
+                            op6_simhash, op7_warc, op8_mix_sources, op9_rendezvous_shards, op10_language)}
 
 _FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -251,3 +251,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     prints = written(fingerprints(docs, key, text, shingle, by_words=True), "simhash")
     return components(prints, word_distance, segments, shingle_distance(similarity)) \
         .select(F.col("key").alias(key), "component_id")
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents, all columns, without those whose near-duplicate group has a smaller id.
+
+    Rows without an id stay: they are no copy of a smaller one.
+    """
+    found = near_duplicates(docs, key, text, **options)
+    copies = found.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_copy")).distinct()
+    # Written first, so that the size of the list is known when the join is planned.
+    copies = written(copies, "copies")
+    return docs.join(copies, F.col(key) == F.col("_copy"), "left_anti")

@@ -29,6 +29,8 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +40,7 @@ from leadgrid.llm.common import batched, rows_of
 from leadgrid.session import written
 
 _LEVEL = 4
-_SAMPLE = 4096
+_SAMPLE = 1024
 _NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # fixed value: the URL namespace
 MANIFEST = "shard int, seq int, temporary string, name string, bytes long, records long, sha256 string"
 _MANIFEST_SCHEMA = pa.schema([("shard", pa.int32()), ("seq", pa.int32()), ("temporary", pa.string()),
@@ -130,11 +132,15 @@ class _File:
         return (self.shard, self.seq, self.temporary, self.name, self.bytes, self.records, self.digest.hexdigest())
 
 
-def shard_bounds(pages: DataFrame, key: str, total_bytes: int, shard_bytes: int) -> list[int]:
+def shard_bounds(pages: DataFrame, key: str, rows: int, total_bytes: int, shard_bytes: int) -> list[int]:
     """Ids that divide the pages into about ``total_bytes / shard_bytes`` ranges; the same in every run."""
-    shards = min(_SAMPLE // 4, max(1, -(-total_bytes // shard_bytes)))
-    ids = pages.where(F.col(key).isNotNull()).select(key).orderBy(F.xxhash64(key), key).limit(_SAMPLE)
-    sample = sorted(r[0] for r in ids.collect())  # at most _SAMPLE ids
+    shards = max(1, -(-total_bytes // shard_bytes))
+    size = _SAMPLE + 16 * shards
+    # About twice the sample passes the bound on hashes, so that no task sorts or sends more.
+    bound = int(min(1.0, 2 * size / max(1, rows)) * 2 ** 64) - 2 ** 63
+    hashed = pages.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(key).alias("h")) \
+                  .where(F.col("h") <= min(bound, 2 ** 63 - 1))
+    sample = sorted(r[0] for r in hashed.orderBy("h", "id").limit(size).collect())  # at most ``size`` ids
     return sorted({sample[len(sample) * i // shards] for i in range(1, shards)}) if sample else []
 
 
@@ -160,15 +166,16 @@ def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str =
     spark = pages.sparkSession
     slim = pages.select(F.col(key).cast("long").alias("key"), F.col(url).cast("string").alias("url"),
                         F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary").alias("body"))
-    total = slim.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    bounds = shard_bounds(slim, "key", total, shard_bytes)
-    shard = F.lit(0)
-    for_bounds = F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>")
-    if bounds:  # number of bounds at or below the id
-        shard = F.coalesce(F.size(F.filter(for_bounds, lambda b: b <= F.col("key"))), F.lit(0))
-    ranged = with_revisits(slim, "key", revisit_bytes).withColumn("shard", F.when(F.col("key").isNull(), F.lit(0))
-                                                                  .otherwise(shard).cast("int")) \
-        .repartition(len(bounds) + 1, "shard") \
+    rows, total = slim.agg(F.count(F.lit(1)), F.sum(F.octet_length("body"))).first()
+    bounds = shard_bounds(slim, "key", rows, total or 0, shard_bytes)
+
+    @F.pandas_udf("int")
+    def shard_of(ids: pd.Series) -> pd.Series:  # number of bounds at or below the id; 0 without an id
+        places = np.searchsorted(np.array(bounds, np.int64), ids.fillna(0).astype("int64"), side="right")
+        return pd.Series(np.where(ids.isna(), 0, places).astype("int32"))
+
+    ranged = with_revisits(slim, "key", revisit_bytes).withColumn("shard", shard_of("key")) \
+        .repartitionById(len(bounds) + 1, "shard") \
         .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "url", "refers_to", "body")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
