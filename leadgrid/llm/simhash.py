@@ -6,7 +6,7 @@ least one of their segments. Each distinct fingerprint enters its segment tables
 Hamming ball: itself, for r = 1 also each value with one more bit set (of two values one bit
 apart the smaller reaches the larger), for r = 2 each value with one bit flipped (two values two
 bits apart share a value between them). Fingerprints that meet under a key are compared over
-all 64 bits.
+all 64 bits, and over a longer sketch where there is one.
 
 Copies collapse before any table is built: a node is a distinct fingerprint with its smallest
 document. Keys are spread by hash; a task gets about a million entries and emits at most a
@@ -23,7 +23,8 @@ Other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +40,14 @@ SEED = 42
 _CHUNK = 65536
 _CROWD = 64
 _ENTRIES = 1_000_000
-_PRINT_SCHEMA = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("fp2", pa.int64())])
+_PRINT_SCHEMA = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
 _BLOB_SCHEMA = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
-_ENTRY = np.dtype([("key", "<u4"), ("fp", "<u8"), ("fp2", "<u8"), ("node", "<i8")])
 
-Features = Callable[[list[bytes]], Iterable[bytes]]
+
+def _entry(sketch_words: int) -> np.dtype:
+    """A fingerprint filed under a key; with a sketch of that many 64-bit words."""
+    fields = [("key", "<u4"), ("fp", "<u8"), ("node", "<i8")]
+    return np.dtype(fields + [("sketch", "<u8", (sketch_words,))] if sketch_words else fields)
 
 
 def shingles(words: list[bytes], n: int) -> Iterator[bytes]:
@@ -52,42 +56,31 @@ def shingles(words: list[bytes], n: int) -> Iterator[bytes]:
         yield b" ".join(words[i:i + n])
 
 
-def fingerprint(features: Iterable[bytes]) -> int:
-    """SimHash of the features as an unsigned number; 0 without features."""
-    votes, n, held = np.zeros(64, np.int64), 0, []
-
-    def count() -> None:
-        bits = np.unpackbits(np.array(held, dtype=">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        votes.__iadd__(bits.sum(axis=0, dtype=np.int64))
-
-    for f in features:
-        held.append(xxhash.xxh64_intdigest(f, SEED))
-        if len(held) == _CHUNK:
-            count()
-            n += len(held)
-            held = []
-    if held:
-        count()
-        n += len(held)
-    return int.from_bytes(np.packbits(2 * votes > n).tobytes(), "big") if n else 0
-
-
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
+def simhash(features: Iterable[bytes], words: int = 1) -> bytes:
+    """SimHash of the features, 64 bits for each of the hash seeds SEED, SEED + 1, ...; zeros without features."""
+    votes, n = np.zeros((words, 64), np.int64), 0
+    features = iter(features)
+    while part := list(islice(features, _CHUNK)):
+        n += len(part)
+        for w in range(words):
+            hashes = np.array([xxhash.xxh64_intdigest(f, SEED + w) for f in part], dtype=">u8")
+            votes[w] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > n, axis=1).tobytes() if n else bytes(8 * words)
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, by_words: bool = False) -> DataFrame:
-    """(key, fp, fp2): the fingerprint of word shingles; with ``by_words`` that of the distinct
-    words as ``fp`` and that of the shingles as ``fp2``."""
+def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, sketch_words: int = 0) -> DataFrame:
+    """(key, fp, sketch): fp is the SimHash of the word shingles. With ``sketch_words`` it is that of
+    the distinct words, and the sketch is a SimHash of the shingles with so many 64-bit words."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc, body in rows_of(batches, "key", "body"):
                 words = space_words(body)
-                of_shingles = _signed(fingerprint(shingles(words, shingle)))
-                yield (doc, _signed(fingerprint(set(words))), of_shingles) if by_words else (doc, of_shingles, 0)
+                short = simhash(set(words) if sketch_words else shingles(words, shingle))
+                sketch = simhash(shingles(words, shingle), sketch_words) if sketch_words else b""
+                yield doc, int.from_bytes(short, "big", signed=True), sketch
         yield from batched(rows(), _PRINT_SCHEMA)
 
-    return id_and_bytes(docs, key, text).mapInArrow(scan, "key long, fp long, fp2 long")
+    return id_and_bytes(docs, key, text).mapInArrow(scan, "key long, fp long, sketch binary")
 
 
 def segment_bounds(segments: int) -> list[tuple[int, int]]:
@@ -107,27 +100,29 @@ def ball(values: np.ndarray, bits: int, radius: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(index), np.concatenate(keys)
 
 
-def _entries(distance: int, segments: int, buckets: int):
+def _entries(distance: int, segments: int, buckets: int, sketch_words: int):
     """Distinct fingerprints to packed entries by bucket; a bucket serves one segment."""
-    radius = distance // segments
+    radius, entry = distance // segments, _entry(sketch_words)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            fp2 = batch.column("fp2").to_numpy().view(np.uint64)
-            node = batch.column("node").to_numpy()
+            fp, node = batch.column("fp").to_numpy().view(np.uint64), batch.column("node").to_numpy()
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8").reshape(len(fp), sketch_words)
             for s, (first, bits) in enumerate(segment_bounds(segments)):
                 values = (fp >> np.uint64(first)) & np.uint64((1 << bits) - 1)
                 index, keys = ball(values, bits, radius)
                 bucket = (keys * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(buckets)
                 order = np.argsort(bucket, kind="stable")
                 ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                packed = np.empty(len(order), _ENTRY)
-                at = index[order]
-                packed["key"], packed["fp"], packed["fp2"], packed["node"] = keys[order], fp[at], fp2[at], node[at]
-                rows = [(s * buckets + b, packed[ends[b]:ends[b + 1]].tobytes())
-                        for b in range(buckets) if ends[b] < ends[b + 1]]
-                yield from batched(iter(rows), _BLOB_SCHEMA)
+                for b in range(buckets):
+                    chosen = order[ends[b]:ends[b + 1]]
+                    if len(chosen):
+                        packed, at = np.empty(len(chosen), entry), index[chosen]
+                        packed["key"], packed["fp"], packed["node"] = keys[chosen], fp[at], node[at]
+                        if sketch_words:
+                            packed["sketch"] = sketch[at]
+                        yield pa.RecordBatch.from_arrays([pa.array([s * buckets + b], pa.int64()),
+                                                          pa.array([packed.tobytes()], pa.binary())], schema=_BLOB_SCHEMA)
     return file
 
 
@@ -153,14 +148,20 @@ class Forest:
         return [(x, self.root(x)) for x in self.parent if self.root(x) != x]
 
 
-def near_pairs(entries: np.ndarray, distance: int, distance2: int | None) -> Forest:
+def near_pairs(entries: np.ndarray, distance: int, sketch_distance: int) -> Forest:
     """Spanning forest over the entries that share a key and lie within the distances."""
     entries = entries[np.argsort(entries["key"], kind="stable")]
-    fp, fp2, node = entries["fp"], entries["fp2"], entries["node"]
+    fp, node = entries["fp"], entries["node"]
+    sketch = entries["sketch"] if "sketch" in entries.dtype.names else None
 
     def near(i, j) -> np.ndarray:
+        """Which of the pairs (i, j) are near; ``j`` is an array, ``i`` an array as long or one place."""
         close = np.bitwise_count(fp[i] ^ fp[j]) <= distance
-        return close if distance2 is None else close & (np.bitwise_count(fp2[i] ^ fp2[j]) <= distance2)
+        if sketch is not None and close.any():
+            at = np.flatnonzero(close)
+            left = sketch[i] if np.ndim(i) == 0 else sketch[i[at]]
+            close[at] = np.bitwise_count(left ^ sketch[j[at]]).sum(axis=1, dtype=np.int64) <= sketch_distance
+        return close
 
     forest = Forest()
     starts = np.flatnonzero(np.r_[True, entries["key"][1:] != entries["key"][:-1]])
@@ -194,33 +195,34 @@ def near_pairs(entries: np.ndarray, distance: int, distance2: int | None) -> For
     return forest
 
 
-def links(nodes: DataFrame, distance: int, segments: int, distance2: int | None) -> DataFrame:
-    """(a, b) links between nodes (node, fp, fp2); connects whatever is within the distances."""
-    if distance // segments > 2:
-        raise ValueError("take more segments: a ball's radius is at most 2")
-    width = 64 // segments + 1
+def links(nodes: DataFrame, distance: int, segments: int, sketch_words: int, sketch_distance: int) -> DataFrame:
+    """(a, b) links between nodes (node, fp, sketch); connects whatever is within the distances."""
+    if not 2 <= segments or distance // segments > 2:
+        raise ValueError("take at least two segments, and so many that a ball's radius is at most 2")
+    width, entry = 64 // segments + 1, _entry(sketch_words)
     buckets = max(1, math.ceil(nodes.count() * (1, width // 2 + 1, width)[distance // segments] / _ENTRIES))
 
     def compare(table: pa.Table) -> pa.Table:
-        entries = np.concatenate([np.frombuffer(b, _ENTRY) for b in table.column("blob").to_pylist()])
-        found = near_pairs(entries, distance, distance2).links()
+        entries = np.concatenate([np.frombuffer(b, entry) for b in table.column("blob").to_pylist()])
+        found = near_pairs(entries, distance, sketch_distance).links()
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
                          "b": pa.array([b for _, b in found], pa.int64())})
 
-    blobs = nodes.mapInArrow(_entries(distance, segments, buckets), "bucket long, blob binary")
+    blobs = nodes.mapInArrow(_entries(distance, segments, buckets, sketch_words), "bucket long, blob binary")
     return blobs.groupBy("bucket").applyInArrow(compare, "a long, b long")
 
 
-def components(prints: DataFrame, distance: int, segments: int, distance2: int | None = None) -> DataFrame:
-    """(key, fp, fp2, component_id): components of the links between written ``prints``."""
-    nodes = written(prints.groupBy("fp", "fp2").agg(F.min("key").alias("node")), "simhash-nodes")
-    joined = stars(links(nodes.where("node IS NOT NULL"), distance, segments, distance2))
-    # One row per document that shares its id or links; the rest keep their own node.
+def components(prints: DataFrame, distance: int, segments: int, sketch_words: int = 0,
+               sketch_distance: int = 0) -> DataFrame:
+    """(key, fp, sketch, component_id): components of the links between written ``prints``."""
+    nodes = written(prints.groupBy("fp", "sketch").agg(F.min("key").alias("node")), "simhash-nodes")
+    joined = stars(links(nodes.where("node IS NOT NULL"), distance, segments, sketch_words, sketch_distance))
+    # A node without links is its own component.
     placed = nodes.join(joined.withColumnRenamed("a", "node"), "node", "left") \
-                  .select(F.col("fp").alias("_fp"), F.col("fp2").alias("_fp2"),
+                  .select(F.col("fp").alias("_fp"), F.col("sketch").alias("_sketch"),
                           F.coalesce("b", "node").alias("component_id"))
-    return prints.join(placed, (F.col("fp") == F.col("_fp")) & (F.col("fp2") == F.col("_fp2")), "left") \
-                 .drop("_fp", "_fp2")
+    return prints.join(placed, (F.col("fp") == F.col("_fp")) & (F.col("sketch") == F.col("_sketch")), "left") \
+                 .drop("_fp", "_sketch")
 
 
 def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
@@ -232,24 +234,25 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return found.select(F.col("key").alias(key), digits.alias("fingerprint"), "component_id")
 
 
-def shingle_distance(similarity: float) -> int:
-    """Bits by which fingerprints of shingle sets of that Jaccard similarity differ, with 1.5 deviations added.
+def sketch_bits(similarity: float, bits: int) -> int:
+    """Differing bits of sketches of shingle sets of that Jaccard similarity, half a deviation added.
 
     Equal-sized sets of similarity s have the cosine 2s / (1 + s); a bit differs with probability angle / pi.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * p + 1.5 * math.sqrt(64 * p * (1 - p)))
+    return round(bits * p + 0.5 * math.sqrt(bits * p * (1 - p)))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    similarity: float = 0.8, word_distance: int = 8, segments: int = 3) -> DataFrame:
+                    similarity: float = 0.8, word_distance: int = 8, segments: int = 3,
+                    sketch_words: int = 4) -> DataFrame:
     """(key, component_id) of documents whose word shingles are about ``similarity`` alike or more.
 
     An edit changes one distinct word but several shingles, so the tables are searched by the
-    fingerprint of distinct words, which moves least; the fingerprint of the shingles decides.
+    fingerprint of distinct words, which moves least; a longer SimHash of the shingles decides.
     """
-    prints = written(fingerprints(docs, key, text, shingle, by_words=True), "simhash")
-    return components(prints, word_distance, segments, shingle_distance(similarity)) \
+    prints = written(fingerprints(docs, key, text, shingle, sketch_words), "simhash")
+    return components(prints, word_distance, segments, sketch_words, sketch_bits(similarity, 64 * sketch_words)) \
         .select(F.col("key").alias(key), "component_id")
 
 
