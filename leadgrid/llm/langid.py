@@ -87,7 +87,7 @@ def spherical_clusters(vectors: np.ndarray, clusters: int, rounds: int = 12) ->
     return centers, (vectors @ centers.T).argmax(axis=1)
 
 
-def learn(rows: DataFrame, clusters: int, per_language: int, margin: float) -> tuple[np.ndarray, list[tuple]]:
+def learn(rows: DataFrame, clusters: int, per_language: int, margin: float, slack: float) -> tuple[np.ndarray, list[tuple]]:
     """(idf, [(language, centroid, reach)]) from training rows (key, lang, body)."""
     n, frequency = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + frequency)) + 1
@@ -101,7 +101,7 @@ def learn(rows: DataFrame, clusters: int, per_language: int, margin: float) -> t
     def cluster(key: tuple, table: pa.Table) -> pa.Table:
         vectors = np.stack([vector(ngram_counts(b), idf) for b in table.column("body").to_pylist()])
         centers, own = spherical_clusters(vectors, clusters)
-        reach = [float((1 - vectors[own == c] @ centers[c]).max(initial=0)) * margin for c in range(len(centers))]
+        reach = [float((1 - vectors[own == c] @ centers[c]).max(initial=0)) * margin + slack for c in range(len(centers))]
         return pa.table([[key[0].as_py()] * len(centers), [c.astype("<f8").tobytes() for c in centers], reach],
                         schema=_CENTROIDS)
 
@@ -117,12 +117,12 @@ def is_held_out(key: str) -> Column:
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", clusters: int = 4,
-             per_language: int = 400, margin: float = 1.1) -> DataFrame:
+             per_language: int = 400, margin: float = 1.1, slack: float = 0.01) -> DataFrame:
     """Per document: held_out, lang_pred, score (cosine of the nearest centroid), rejected."""
     named = docs.select(F.col(key).cast("long").alias("key"), F.col(lang).cast("string").alias("lang"),
                         utf8(text).alias("body"))
     training = named.where(F.col("key").isNotNull() & F.col("lang").isNotNull() & ~is_held_out("key"))
-    idf, centroids = learn(training, clusters, per_language, margin)
+    idf, centroids = learn(training, clusters, per_language, margin, slack)
     names = [c[0] for c in centroids]
     centers = np.stack([c[1] for c in centroids]) if centroids else np.zeros((0, DIM))
     reach = np.array([c[2] for c in centroids])
