@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadgrid.functions.text import fold_accents, normalize_space
@@ -127,9 +127,17 @@ def name_key(col: Column) -> Column:
                                             r"[^a-z0-9]+", " ")), F.lit(""))
 
 
-def send_key(workspace: Column, lead: Column, campaign: Column, step: Column,
-             sent_at: Column) -> Column:
-    """Deterministic id of one send, so that a repeated load adds nothing."""
-    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in
-             (workspace, lead, campaign, step, sent_at)]
+def epoch_micros(df: DataFrame, col: str) -> Column:
+    """Microseconds since 1970 of a time column; wall-clock times are read as UTC. No session setting matters."""
+    kind = dict(df.dtypes)[col]
+    if kind == "string":  # a provider's text is the same everywhere
+        return F.col(col)
+    if kind == "timestamp_ntz":
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(col))
+    return F.unix_micros(F.col(col).cast("timestamp"))
+
+
+def send_key(workspace: Column, lead: Column, campaign: Column, step: Column, sent_micros: Column) -> Column:
+    """Deterministic id of one send, so that a repeated load adds nothing; the time as ``epoch_micros``."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (workspace, lead, campaign, step, sent_micros)]
     return F.sha2(F.concat_ws("|", *parts), 256)

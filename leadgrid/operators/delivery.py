@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leadgrid.functions.bands import is_true, ratio, round_half_up
-from leadgrid.functions.keys import email_domain, send_key
+from leadgrid.functions.keys import email_domain, epoch_micros, send_key
 from leadgrid.functions.text import blank_to_null, normalize_space, quote_regex, strip_html
 from leadgrid.operators.grouping import best_per_key
 
@@ -38,8 +38,9 @@ def sync_events(events: DataFrame, workspace: str) -> tuple[DataFrame, DataFrame
     lead = F.lower(F.coalesce(F.nullif("lead", F.lit("")), "to_address_email_list", F.lit("")))
     sender = F.lower(F.coalesce("from_address_email", F.lit("")))
     step = F.coalesce(F.nullif("step", F.lit(0)), F.lit(1))
-    sends = events.where(kind.isin(*SENT_TYPES)).select(
-        send_key(F.lit(workspace), lead, F.col("campaign_id"), step, when).alias("send_id"),
+    sent = events.where(kind.isin(*SENT_TYPES)).withColumn("_when", when)
+    sends = sent.select(
+        send_key(F.lit(workspace), lead, F.col("campaign_id"), step, epoch_micros(sent, "_when")).alias("send_id"),
         F.lit(workspace).alias("workspace"), lead.alias("lead_email"), email_domain(lead).alias("lead_domain"),
         "campaign_id", step.alias("sequence_step"), when.alias("sent_at"))
     replies = events.where(kind.isin(*RECEIVED_TYPES)).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadgrid.functions import bands
+from leadgrid.functions import bands, keys
 from leadgrid.operators import delivery
 from leadgrid.plans import vocab
 from leadgrid.plans.registry import query
@@ -37,11 +37,11 @@ def sync_events(t):
                        F.col("replied_at").alias("at"), "body"))
 
 
-@query("send_key", """SELECT event_id, sha256('main|' || lead_email || '|' || campaign_id || '|' || step || '|') AS send_id FROM sends""")
+@query("send_key", """SELECT event_id, sha256('main|' || lead_email || '|' || campaign_id || '|' || step || '|' || epoch_us(sent_at)) AS send_id FROM sends""")
 def send_key(t):
-    from leadgrid.functions.keys import send_key as key
-    return t("sends").select("event_id", key(F.col("workspace"), F.col("lead_email"), F.col("campaign_id"), F.col("step"),
-                                             F.lit(None)).alias("send_id"))
+    sends = t("sends")
+    return sends.select("event_id", keys.send_key(F.col("workspace"), F.col("lead_email"), F.col("campaign_id"), F.col("step"),
+                                                  keys.epoch_micros(sends, "sent_at")).alias("send_id"))
 
 
 @query("campaign_to_angle", """SELECT event_id, campaign_id, 'campaign ' || s_suppkey AS campaign_name, 'angle-' || n_nationkey AS angle_slug FROM sends

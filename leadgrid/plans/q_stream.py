@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadgrid.operators.crawl import QUEUE_SCHEMA
+from leadgrid.operators.crawl import sync_profile_queue
 from leadgrid.plans.q_pages import QUEUE_SQL, crawls_now, queue_after, queue_before
 from leadgrid.plans.registry import query
 from leadgrid.plans.standins import STANDINS
@@ -27,75 +27,80 @@ def restream(df, name):
     return df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
-@query("stream_dedupe_postings", "SELECT user_id, event_type, count(*) AS n FROM (SELECT DISTINCT user_id, event_type, props FROM events) GROUP BY 1, 2")
+@query("stream_dedupe_postings", """SELECT user_id, event_type, props, min(ts) AS first_at FROM events GROUP BY 1, 2, 3""")
 def stream_dedupe_postings(t):
-    once = jobs.stream_dedupe_postings(stream(t, "events").select("user_id", "event_type", "props", "ts"), "ts", "60 days",
-                                       ["user_id", "event_type", "props"])
-    return jobs.to_table(once, "postings").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    loads = jobs.to_table(stream(t, "events").select("user_id", "event_type", "props", "ts"), "postings")
+    return jobs.stream_dedupe_postings(loads, "ts", ["user_id", "event_type", "props"]).withColumnRenamed("ts", "first_at")
 
 
 @query("stream_richest_postings", """SELECT lang, source, doc_id, length(text)::BIGINT AS n_text FROM documents
     QUALIFY row_number() OVER (PARTITION BY lang, source ORDER BY length(text) DESC, doc_id) = 1""")
 def stream_richest_postings(t):
-    table = jobs.VersionedTable(fresh_path(t.spark, "richest"), "doc_id bigint, lang string, source string, text string",
-                                ["lang", "source"])
-    out = jobs.run_versioned(stream(t, "documents").select("doc_id", "lang", "source", "text"), table,
-                             jobs.richest_step(["lang", "source"], "text", "doc_id"), fresh_path(t.spark, "richest-checkpoint"))
+    loads = jobs.to_table(stream(t, "documents").select("doc_id", "lang", "source", "text"), "richest")
+    out = jobs.stream_richest_postings(loads, ["lang", "source"], "text", "doc_id")
     return out.select("lang", "source", "doc_id", F.length("text").cast("bigint").alias("n_text"))
 
 
+def twice(df):
+    """The load, and the same rows again."""
+    return df.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+
+
 @query("stream_replies", "SELECT event_id, label, replied_at FROM replies")
 def stream_replies(t):
-    twice = stream(t, "replies").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return jobs.to_table(jobs.stream_replies(twice, "event_id"), "replies").select("event_id", "label", jobs.wall_clock("replied_at"))
+    loads = jobs.to_table(twice(stream(t, "replies")), "replies")
+    return jobs.stream_replies(loads, "event_id").select("event_id", "label", "replied_at")
 
 
-@query("stream_sends", "SELECT event_id, lead_email, campaign_id, step, sent_at FROM sends")
+@query("stream_sends", """SELECT min(event_id) AS event_id, lead_email, campaign_id, step, sent_at,
+    sha256('main|' || lead_email || '|' || campaign_id || '|' || step || '|' || epoch_us(sent_at)) AS send_id FROM sends GROUP BY ALL""")
 def stream_sends(t):
-    twice = stream(t, "sends").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return jobs.to_table(jobs.stream_sends(twice), "sends").select("event_id", "lead_email", "campaign_id", "step", jobs.wall_clock("sent_at"))
+    loads = jobs.to_table(twice(stream(t, "sends")), "sends")
+    return jobs.stream_sends(loads).select("event_id", "lead_email", "campaign_id", "step", "sent_at", "send_id")
 
 
-def _closed(step_days: int) -> str:
-    """Windows of seven days, every ``step_days``, that the watermark has passed."""
+def _spans(step_days: int) -> str:
+    """Windows of seven days, every ``step_days``, the running ones included."""
     spans = f"generate_series(0, {7 // step_days - 1})" if step_days < 7 else "[0]"
     return f"""WITH e AS (SELECT *, unnest({spans}) AS back FROM mail_events),
     w AS (SELECT make_timestamp(((epoch_us(ts) // (86400000000 * {step_days})) - back) * 86400000000 * {step_days}) AS window_start, * FROM e),
     g AS (SELECT window_start, window_start + INTERVAL 7 DAY AS window_end, campaign_id, count(*) FILTER (WHERE kind = 'sent') AS sent,
       count(*) FILTER (WHERE kind = 'replied') AS replies, count(*) FILTER (WHERE kind = 'bounced') AS bounces FROM w GROUP BY 1, 2, 3)
-    SELECT *, {rnd(rate('replies', 'sent', 100), 2)} AS reply_pct, {rnd(rate('bounces', 'sent', 100), 2)} AS bounce_pct FROM g
-    WHERE window_end <= (SELECT max(ts) FROM mail_events) - INTERVAL 1 DAY"""
+    SELECT *, {rnd(rate('replies', 'sent', 100), 2)} AS reply_pct, {rnd(rate('bounces', 'sent', 100), 2)} AS bounce_pct FROM g"""
 
 
-def windows(rates):
+def windows(changes):
+    rates = jobs.newest_changes(changes, jobs.RATE_KEY)
     return rates.select(jobs.wall_clock("window_start"), jobs.wall_clock("window_end"), *rates.columns[2:])
 
 
-@query("weekly_rates", _closed(7))
+@query("weekly_rates", _spans(7))
 def weekly_rates(t):
-    return windows(jobs.to_table(jobs.weekly_rates(stream(t, "mail_events")), "weekly"))
+    return windows(jobs.to_changes(jobs.weekly_rates(stream(t, "mail_events")), "weekly"))
 
 
-@query("trailing_rates", _closed(1))
+@query("trailing_rates", _spans(1))
 def trailing_rates(t):
-    return windows(jobs.to_table(jobs.trailing_rates(stream(t, "mail_events")), "trailing"))
+    return windows(jobs.to_changes(jobs.trailing_rates(stream(t, "mail_events")), "trailing"))
 
 
 @query("contact_state", """SELECT workspace, lead_email, campaign_id, step, sent_at AS last_at FROM sends
     QUALIFY row_number() OVER (PARTITION BY workspace, lead_email ORDER BY sent_at DESC, campaign_id DESC, step DESC) = 1
-      AND sent_at > (SELECT max(sent_at) FROM sends) - INTERVAL 1 DAY""")
+      AND sent_at > (SELECT max(sent_at) FROM sends) - INTERVAL 7 DAY""")
 def contact_state(t):
-    table = jobs.VersionedTable(fresh_path(t.spark, "touch"), jobs.CONTACT_STATE, ["workspace", "lead_email"])
-    state = jobs.run_versioned(stream(t, "sends"), table, jobs.contact_state_step, fresh_path(t.spark, "touch-checkpoint"))
-    newest = state.agg(F.max("last_at").alias("m"))
-    return jobs.live_contacts(state, newest.scalar(), 1)
+    changes = jobs.to_changes(jobs.contact_state(stream(t, "sends"), 7), "touch")
+    newest = changes.agg(F.max("last_at").alias("m"))
+    live = jobs.live_contacts(changes, newest.scalar(), 7)
+    return live.select("workspace", "lead_email", "campaign_id", "step", jobs.wall_clock("last_at"))
 
 
-@query("late_replies", """SELECT s.event_id, s.lead, s.campaign_id, r.event_id AS reply_event FROM sends s JOIN replies r ON r.lead = s.lead AND r.campaign_id = s.campaign_id
-    AND r.replied_at >= s.sent_at AND r.replied_at <= s.sent_at + INTERVAL 21 DAY""")
+@query("late_replies", """WITH r AS (SELECT r.event_id AS reply_event, arg_max(s.event_id, (s.sent_at, s.event_id)) AS send_event, max(s.sent_at) AS sent_at,
+      any_value(r.replied_at) AS replied_at FROM replies r JOIN sends s ON r.lead = s.lead AND r.campaign_id = s.campaign_id AND r.replied_at >= s.sent_at GROUP BY 1)
+    SELECT s.event_id, s.lead, s.campaign_id, r.reply_event FROM sends s LEFT JOIN r ON r.send_event = s.event_id
+      AND r.replied_at <= r.sent_at + INTERVAL 21 DAY""")
 def late_replies(t):
-    joined = jobs.late_replies(stream(t, "sends"), stream(t, "replies"), 21, "30 days", "inner")
-    return jobs.to_table(joined.select("event_id", "lead", "campaign_id", "reply_event"), "late")
+    sends, replies = jobs.to_table(stream(t, "sends"), "sends"), jobs.to_table(stream(t, "replies"), "replies")
+    return jobs.late_replies(sends, replies, 21).select("event_id", "lead", "campaign_id", "reply_event")
 
 
 @query("freshness_stream", """SELECT event_id, event_type FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-20' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-20'""")
@@ -106,8 +111,6 @@ def freshness_stream(t):
 
 @query("sync_profile_queue_stream", f"WITH {QUEUE_SQL} SELECT * FROM after")
 def sync_profile_queue_stream(t):
-    table = jobs.VersionedTable(fresh_path(t.spark, "queue"), QUEUE_SCHEMA.replace(" timestamp", " timestamp_ntz"), ["domain"])
-    table.write(queue_before(t), -1)  # the queue before the stream starts
     now = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
-    out = jobs.run_versioned(restream(crawls_now(t), "crawls"), table, jobs.profile_queue_step(now), fresh_path(t.spark, "queue-checkpoint"))
-    return queue_after(out)
+    loads = jobs.to_table(twice(restream(crawls_now(t), "crawls")), "crawls")
+    return queue_after(sync_profile_queue(queue_before(t), loads, now))

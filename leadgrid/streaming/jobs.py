@@ -1,26 +1,26 @@
 """The incremental behaviours as Structured Streaming jobs.
 
-Builders take and return streaming DataFrames, so the caller picks source, sink and
-trigger. Jobs that change a table run in ``foreachBatch``: the table is split into hash
-buckets of its key, and batch ``n`` reads the latest earlier version of the buckets that it
-touches and writes these buckets as version ``n``. A small batch rewrites little of a large
-table, and a repeated batch gives the same table.
+Two shapes keep every row:
+
+* loads are appended as they come, late or repeated, and the current row per key is resolved
+  from them in batch (``stream_*``): no row is judged by when it arrived;
+* running results (rates, contact touches) are streaming aggregates in update mode. Every batch
+  appends the rows it changed under its own number, which a repeated batch overwrites; the
+  newest change per key is the current result. The watermark bounds the state alone.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from leadgrid.functions.bands import ratio, round_half_up
-from leadgrid.functions.keys import send_key
-from leadgrid.operators.crawl import sync_profile_queue
-from leadgrid.operators.grouping import newest_struct
+from leadgrid.functions.keys import epoch_micros, send_key
+from leadgrid.operators.grouping import best_per_key, newest_struct
 from leadgrid.operators.signals import dedupe_richest
 from leadgrid.session import fresh_path
 
@@ -49,110 +49,71 @@ def run_once(writer: DataStreamWriter, checkpoint: str) -> None:
     writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def to_table(stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream to the end into a Parquet table in the shared folder and read it."""
-    spark = stream.sparkSession
-    out = fresh_path(spark, name)
-    run_once(stream.writeStream.format("parquet").outputMode("append").option("path", out),
-             fresh_path(spark, f"{name}-checkpoint"))
-    return spark.read.schema(stream.schema).parquet(out)
-
-
-# --- versions of a table ----------------------------------------------------------
-
-Step = Callable[[DataFrame, DataFrame], DataFrame]
+# --- loads ------------------------------------------------------------------------------
 
+def append_loads(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Append everything that is available to a Parquet table, row for row, and read the table."""
+    run_once(stream.writeStream.format("parquet").outputMode("append").option("path", path), checkpoint)
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
-@dataclass(frozen=True)
-class VersionedTable:
-    """Table in ``path`` with one row per key, kept as versions of hash buckets."""
 
-    path: str
-    schema: str
-    key: Sequence[str]
-    buckets: int = 64
-
-    def bucket(self) -> Column:
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+def to_table(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream to the end into a new table in the shared folder and read it."""
+    spark = stream.sparkSession
+    return append_loads(stream, fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint"))
 
-    def _folder(self, version: int) -> str:
-        return os.path.join(self.path, f"v={version:09d}")
 
-    def _latest(self, spark: SparkSession, before: int | None) -> dict[int, str]:
-        """Newest committed folder of every bucket; an unfinished version does not count."""
-        jvm = spark.sparkContext._jvm
-        new_path = jvm.org.apache.hadoop.fs.Path
-        root = new_path(self.path)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(root):
-            return {}
-        found: dict[int, tuple[int, str]] = {}
-        for entry in fs.listStatus(root):
-            folder = entry.getPath()
-            version = int(folder.getName().split("=")[1])
-            if (before is not None and version >= before) or not fs.exists(new_path(folder, "_SUCCESS")):
-                continue
-            for leaf in fs.listStatus(folder):
-                name = leaf.getPath().getName()
-                if name.startswith("bucket="):
-                    number = int(name.split("=")[1])
-                    found[number] = max(found.get(number, (version, "")), (version, leaf.getPath().toString()))
-        return {number: where for number, (_, where) in found.items()}
+def _first(loads: DataFrame, keys: Sequence[str], time_col: str) -> DataFrame:
+    """Earliest row per key over all loads; equal times are settled by content."""
+    return best_per_key(loads, keys, [F.asc_nulls_last(time_col), F.xxhash64(*loads.columns)])
 
-    def read(self, spark: SparkSession, before: int | None = None, only: set[int] | None = None) -> DataFrame:
-        """Current rows, or those before a version, of all buckets or of some."""
-        folders = [where for number, where in self._latest(spark, before).items() if only is None or number in only]
-        return spark.read.schema(self.schema).parquet(*folders) if folders else spark.createDataFrame([], self.schema)
 
-    def write(self, df: DataFrame, version: int) -> None:
-        df.withColumn("bucket", self.bucket()).repartition("bucket") \
-          .write.mode("overwrite").partitionBy("bucket").parquet(self._folder(version))
+def stream_dedupe_postings(loads: DataFrame, time_col: str,
+                           key: Sequence[str] = ("workspace", "source", "source_job_id")) -> DataFrame:
+    """First posting per key over all loads; weekly loads overlap and old postings come late."""
+    return _first(loads, key, time_col)
 
-    def apply(self, step: Step) -> Callable[[DataFrame, int], None]:
-        """``foreachBatch`` function; ``step(table, batch)`` must treat keys independently."""
-        def run(batch: DataFrame, epoch: int) -> None:
-            touched = {r["b"] for r in batch.select(self.bucket().alias("b")).distinct().collect()}  # at most ``buckets`` rows
-            if touched:
-                self.write(step(self.read(batch.sparkSession, epoch, touched), batch), epoch)
-        return run
 
+def stream_richest_postings(loads: DataFrame, key: Sequence[str], text_col: str, arrival: str) -> DataFrame:
+    """Richest posting per key over all loads."""
+    return dedupe_richest(loads, key, text_col, arrival)
 
-def run_versioned(stream: DataFrame, table: VersionedTable, step: Step, checkpoint: str) -> DataFrame:
-    run_once(stream.writeStream.foreachBatch(table.apply(step)).outputMode("append"), checkpoint)
-    return table.read(stream.sparkSession)
 
+def stream_replies(loads: DataFrame, id_col: str = "reply_id", time_col: str = "replied_at") -> DataFrame:
+    """Replies once per provider id, however late and however often they were loaded."""
+    return _first(loads, [id_col], time_col)
 
-# --- queue and ingest ----------------------------------------------------------------
 
-def profile_queue_step(now: Column) -> Step:
-    """Batch step that keeps the profile queue in line with new crawls."""
-    return lambda queue, crawls: sync_profile_queue(queue, crawls, now)
+def stream_sends(loads: DataFrame, time_col: str = "sent_at") -> DataFrame:
+    """Sends once under a key made of their own fields, so that a repeated load adds nothing."""
+    key = send_key(F.col("workspace"), F.col("lead_email"), F.col("campaign_id"), F.col("step"),
+                   epoch_micros(loads, time_col))
+    return _first(loads.withColumn("send_id", key), ["send_id"], time_col)
 
 
-def stream_dedupe_postings(postings: DataFrame, time_col: str, delay: str = "14 days",
-                           key: Sequence[str] = ("workspace", "source", "source_job_id")) -> DataFrame:
-    """First posting per key; weekly loads overlap, so the key is remembered for ``delay``."""
-    return event_time(postings, time_col, delay).dropDuplicatesWithinWatermark(list(key))
+# --- running results --------------------------------------------------------------------
 
+def append_changes(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run an update-mode stream; each batch stores the rows it changed under ``batch``, its number."""
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("append").parquet(f"{path}/batch=-1")
 
-def richest_step(key: Sequence[str], text_col: str, arrival: str) -> Step:
-    """Batch step that keeps the richest posting per key over all loads."""
-    return lambda table, batch: dedupe_richest(table.unionByName(batch), key, text_col, arrival)
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+    run_once(stream.writeStream.foreachBatch(store).outputMode("update"), checkpoint)
+    return spark.read.schema(stream.schema.add("batch", "long")).parquet(path)
 
-def stream_replies(replies: DataFrame, id_col: str = "reply_id", time_col: str = "replied_at",
-                   delay: str = "30 days") -> DataFrame:
-    """Replies once per provider id."""
-    return event_time(replies, time_col, delay).dropDuplicatesWithinWatermark([id_col])
 
+def to_changes(stream: DataFrame, name: str) -> DataFrame:
+    spark = stream.sparkSession
+    return append_changes(stream, fresh_path(spark, name), fresh_path(spark, f"{name}-checkpoint"))
 
-def stream_sends(sends: DataFrame, time_col: str = "sent_at", delay: str = "30 days") -> DataFrame:
-    """Sends under a key made of their own fields, so that a repeated load adds nothing."""
-    key = send_key(F.col("workspace"), F.col("lead_email"), F.col("campaign_id"), F.col("step"), F.col(time_col))
-    return event_time(sends.withColumn("send_id", key), time_col, delay).dropDuplicatesWithinWatermark(["send_id"])
 
+def newest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The current row per key."""
+    return best_per_key(changes, keys, [F.desc("batch")]).drop("batch")
 
-# --- rates ---------------------------------------------------------------------------
 
 def _rates(events: DataFrame, window: Column, delay: str) -> DataFrame:
     counted = event_time(events, "ts", delay).groupBy(window.alias("w"), "campaign_id").agg(
@@ -164,49 +125,71 @@ def _rates(events: DataFrame, window: Column, delay: str) -> DataFrame:
         round_half_up(ratio(F.col("bounces"), F.col("sent"), 100.0), 2).alias("bounce_pct"))
 
 
-def weekly_rates(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Reply and bounce rates per campaign and calendar span of seven days, once it is closed."""
+RATE_KEY = ("window_start", "campaign_id")
+
+
+def weekly_rates(events: DataFrame, delay: str = "30 days") -> DataFrame:
+    """Changes of reply and bounce rates per campaign and calendar span of seven days, the running one included.
+
+    Events older than ``delay`` no longer move a rate.
+    """
     return _rates(events, F.window("ts", "7 days"), delay)
 
 
-def trailing_rates(events: DataFrame, days: int = 7, delay: str = "1 day") -> DataFrame:
-    """The same over the last ``days`` days, one result per day."""
+def trailing_rates(events: DataFrame, days: int = 7, delay: str = "30 days") -> DataFrame:
+    """The same over the last ``days`` days, one span per day, the current ones included."""
     return _rates(events, F.window("ts", f"{days} days", "1 day"), delay)
 
 
 # --- contact state -------------------------------------------------------------------
 
-CONTACT_STATE = "workspace string, lead_email string, campaign_id bigint, step int, last_at timestamp_ntz"
+TOUCH_KEY = ("day", "workspace", "lead_email")
 
 
-def contact_state_step(state: DataFrame, batch: DataFrame) -> DataFrame:
-    """Batch step that keeps the latest touch per lead, in one aggregation with the table."""
-    fresh = batch.select("workspace", "lead_email", "campaign_id", "step", F.col("sent_at").alias("last_at"))
+def contact_state(sends: DataFrame, expire_days: int = 90) -> DataFrame:
+    """Changes of the latest touch per lead and day.
+
+    Spark drops a day's state once it lies ``expire_days`` back: by then the touch has
+    expired, and so has any send that comes later still.
+    """
     newest = newest_struct(["campaign_id", "step", "last_at"], F.col("last_at"), F.col("campaign_id"), F.col("step"))
-    return state.unionByName(fresh).groupBy("workspace", "lead_email").agg(newest.alias("_n")) \
-                .select("workspace", "lead_email", "_n.*")
+    touched = event_time(sends, "sent_at", f"{expire_days} days").withColumn("last_at", F.col("sent_at"))
+    return touched.groupBy(F.window("sent_at", "1 day").alias("w"), "workspace", "lead_email").agg(newest.alias("_n")) \
+                  .select(F.col("w.start").alias("day"), "workspace", "lead_email", "_n.*")
 
 
-def live_contacts(state: DataFrame, as_of: Column, expire_days: int = 90) -> DataFrame:
-    """Leads touched in the last ``expire_days``; older ones count as never touched."""
-    return state.where(F.col("last_at") > as_of - F.make_dt_interval(F.lit(expire_days)))
+def live_contacts(changes: DataFrame, as_of: Column, expire_days: int = 90) -> DataFrame:
+    """Latest touch of the leads touched in the last ``expire_days``; older ones count as never touched."""
+    days = newest_changes(changes.where(F.col("last_at") > as_of - F.make_dt_interval(F.lit(expire_days))), TOUCH_KEY)
+    newest = [F.desc("last_at"), F.desc("campaign_id"), F.desc("step")]
+    return best_per_key(days, ["workspace", "lead_email"], newest).drop("day")
 
 
-def late_replies(sends: DataFrame, replies: DataFrame, days: int = 21, delay: str = "1 day", how: str = "left_outer") -> DataFrame:
-    """Replies joined to the sends of their lead and campaign that they follow within ``days``.
+# --- replies and postings ---------------------------------------------------------------
 
-    The interval is a literal, so that both watermarks bound the join state. A sequence has a handful of steps, so a reply
-    meets a handful of sends.
-    """
-    s = event_time(sends, "sent_at", delay)
-    r = event_time(replies.select(F.col("lead").alias("r_lead"), F.col("campaign_id").alias("r_campaign"), "replied_at",
-                                  F.col("event_id").alias("reply_event")), "replied_at", delay)
-    near = (F.col("lead") == F.col("r_lead")) & (F.col("campaign_id") == F.col("r_campaign")) \
-        & (F.col("replied_at") >= F.col("sent_at")) & (F.col("replied_at") <= F.col("sent_at") + F.expr(f"INTERVAL {int(days)} DAYS"))
-    return s.join(r, near, how).drop("r_lead", "r_campaign")
+def late_replies(sends: DataFrame, replies: DataFrame, days: int = 21, lead: str = "lead",
+                 campaign: str = "campaign_id") -> DataFrame:
+    """Sends (event_id, sent_at) with the replies (event_id, replied_at) that they earned, over all loads.
 
-
-def freshness_stream(postings: DataFrame, time_col: str, as_of: Column, days: int = 7, delay: str = "7 days") -> DataFrame:
+    A reply belongs to the latest send of its lead and campaign before it, if that lies at
+    most ``days`` back; a send without replies stays with a null ``reply_event``. One pass in
+    order of time finds the send, so no pairs are formed; a lead's events in one campaign are
+    a short sequence. Events without a lead or campaign meet nothing.
+    """
+    def side(df: DataFrame, time_col: str, is_reply: int) -> DataFrame:
+        return df.where(F.col(lead).isNotNull() & F.col(campaign).isNotNull()).select(
+            F.col(lead).alias("lead"), F.col(campaign).alias("campaign"), F.col(time_col).alias("at"),
+            F.lit(is_reply).alias("is_reply"), "event_id")
+    order = Window.partitionBy("lead", "campaign").orderBy("at", "is_reply", "event_id") \
+                  .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    send = F.last(F.when(F.col("is_reply") == 0, F.struct(F.col("event_id").alias("id"), F.col("at"))),
+                  ignorenulls=True).over(order)
+    earned = side(sends, "sent_at", 0).unionByName(side(replies, "replied_at", 1)).withColumn("send", send) \
+        .where((F.col("is_reply") == 1) & (F.col("at") <= F.col("send.at") + F.expr(f"INTERVAL {int(days)} DAYS"))) \
+        .select(F.col("send.id").alias("_send"), F.col("event_id").alias("reply_event"), F.col("at").alias("replied_at"))
+    return sends.join(earned, F.col("event_id") == F.col("_send"), "left").drop("_send")
+
+
+def freshness_stream(postings: DataFrame, time_col: str, as_of: Column, days: int = 7) -> DataFrame:
     """Only postings of the last ``days`` before ``as_of``."""
-    fresh = F.col(time_col).between(as_of - F.make_dt_interval(F.lit(days)), as_of)
-    return event_time(postings.where(fresh), time_col, delay)
+    return postings.where(F.col(time_col).between(as_of - F.make_dt_interval(F.lit(days)), as_of))

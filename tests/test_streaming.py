@@ -1,5 +1,7 @@
 """Streaming jobs over several small batches."""
 
+import datetime
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -11,55 +13,83 @@ def feed(spark, path, records, schema):
     spark.createDataFrame(records, schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def test_versions_rewrite_only_touched_buckets_and_replay_safely(spark):
-    table = jobs.VersionedTable(fresh_path(spark, "t"), "k string, t string, n int", ["k"], 8)
-    step = jobs.richest_step(["k"], "t", "n")
-    batch = spark.createDataFrame([(f"k{i}", "x", i) for i in range(40)], table.schema)
-    table.apply(step)(batch, 0)
-    one = spark.createDataFrame([("k3", "longer", 99)], table.schema)
-    table.apply(step)(one, 1)
-    table.apply(step)(one, 1)  # the same batch again
-    got = {r["k"]: r["t"] for r in table.read(spark).collect()}
-    assert len(got) == 40 and got["k3"] == "longer" and got["k4"] == "x"
-    newest = [f for f in table._latest(spark, None).values() if "v=000000001" in f]
-    assert len(newest) == 1
-
-
-def test_contact_state_over_two_runs(spark):
-    src, cp = fresh_path(spark, "src"), fresh_path(spark, "cp")
-    schema = "workspace string, lead_email string, campaign_id bigint, step int, sent_at timestamp_ntz"
-    table = jobs.VersionedTable(fresh_path(spark, "touch"), jobs.CONTACT_STATE, ["workspace", "lead_email"], 4)
-    day = lambda d: __import__("datetime").datetime(2024, 1, d)
-    feed(spark, src, [("w", "a", 1, 1, day(1)), ("w", "b", 1, 1, day(2))], schema)
-    jobs.run_versioned(spark.readStream.schema(schema).parquet(src), table, jobs.contact_state_step, cp)
-    feed(spark, src, [("w", "a", 2, 1, day(20)), ("w", "b", 9, 1, day(1))], schema)
-    state = jobs.run_versioned(spark.readStream.schema(schema).parquet(src), table, jobs.contact_state_step, cp)
-    assert rows(state.select("lead_email", "campaign_id")) == [("a", 2), ("b", 1)]
-    live = jobs.live_contacts(state, F.lit("2024-01-21").cast("timestamp_ntz"), 10)
-    assert [r["lead_email"] for r in live.collect()] == ["a"]
-
-
-def test_replies_are_taken_once_over_overlapping_loads(spark):
+def day(n):
+    return datetime.datetime(2024, 1, 1) + datetime.timedelta(days=n - 1)
+
+
+def loads(spark, src, out, cp, schema):
+    return jobs.append_loads(spark.readStream.schema(schema).parquet(src), out, cp)
+
+
+def test_late_and_repeated_replies_are_kept_once(spark):
     src, out, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
     schema = "reply_id string, replied_at timestamp, body string"
-    import datetime
-    when = datetime.datetime(2024, 1, 5)
-    for load in ([("1", when, "a"), ("2", when, "b")], [("2", when, "b"), ("3", when, "c")]):
+    # An old reply comes last, and one that came long ago comes again.
+    for load in ([("a", day(1), "x")], [("b", day(200), "y")], [("old", day(40), "late"), ("c", day(201), "z"), ("a", day(1), "x")]):
+        feed(spark, src, load, schema)
+        table = loads(spark, src, out, cp, schema)
+    assert table.count() == 5
+    assert sorted(r["reply_id"] for r in jobs.stream_replies(table).collect()) == ["a", "b", "c", "old"]
+
+
+def test_late_and_repeated_postings_and_sends(spark):
+    src, out, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = "workspace string, source string, source_job_id string, seen timestamp, text string"
+    for load in ([("w", "s", "1", day(100), "long text")], [("w", "s", "2", day(3), "t")], [("w", "s", "1", day(2), "short"), ("w", "s", "1", day(300), "again")]):
+        feed(spark, src, load, schema)
+        table = loads(spark, src, out, cp, schema)
+    assert rows(jobs.stream_dedupe_postings(table, "seen").select("source_job_id", "text")) == [("1", "short"), ("2", "t")]
+    richest = jobs.stream_richest_postings(table.withColumn("n", F.lit(1)), ["source_job_id"], "text", "n")
+    assert rows(richest.select("source_job_id", "text")) == [("1", "long text"), ("2", "t")]
+    src, out, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = "workspace string, lead_email string, campaign_id long, step int, sent_at timestamp"
+    for load in ([("w", "a", 1, 1, day(90))], [("w", "a", 1, 1, day(2))], [("w", "a", 1, 1, day(90)), ("w", "a", 1, 2, day(90))]):
         feed(spark, src, load, schema)
-        stream = jobs.stream_replies(spark.readStream.schema(schema).parquet(src))
-        jobs.run_once(stream.writeStream.format("parquet").option("path", out), cp)
-    assert sorted(r["reply_id"] for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
-
-
-def test_late_replies_keep_unanswered_sends(spark):
-    import datetime
-    t0 = datetime.datetime(2024, 1, 1)
-    s_path, r_path = fresh_path(spark, "s"), fresh_path(spark, "r")
-    s_schema, r_schema = "lead int, campaign_id int, sent_at timestamp", "lead int, campaign_id int, replied_at timestamp, event_id int"
-    days = datetime.timedelta
-    feed(spark, s_path, [(1, 1, t0), (2, 1, t0), (3, 1, t0 + days(90))], s_schema)
-    feed(spark, r_path, [(1, 1, t0 + days(21), 7), (2, 1, t0 + days(22), 8), (9, 1, t0 + days(90), 9)], r_schema)
-    out = jobs.to_table(jobs.late_replies(spark.readStream.schema(s_schema).parquet(s_path),
-                                          spark.readStream.schema(r_schema).parquet(r_path)), "late")
-    got = {r["lead"]: r["reply_event"] for r in out.collect()}
-    assert got[1] == 7 and got[2] is None
+        table = loads(spark, src, out, cp, schema)
+    assert jobs.stream_sends(table).count() == 3
+
+
+def test_send_ids_do_not_follow_the_session_time_zone(spark):
+    df = spark.createDataFrame([("w", "a", 1, 1, day(2))], "workspace string, lead_email string, campaign_id long, step int, sent_at timestamp") \
+              .withColumn("wall", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")).cache()
+    df.count()
+    found = set()
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Mexico_City"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            for col in ("sent_at", "wall"):
+                found.add((col, jobs.stream_sends(df, col).first()["send_id"]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert len(found) == 2
+
+
+def test_rates_hold_the_running_spans_and_later_events(spark):
+    src, path, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = "ts timestamp, kind string, campaign_id long"
+    for load in ([(day(5), "sent", 1), (day(6), "sent", 1)], [(day(7), "replied", 1), (day(12), "sent", 1)]):
+        feed(spark, src, load, schema)
+        changes = jobs.append_changes(jobs.weekly_rates(spark.readStream.schema(schema).parquet(src)), path, cp)
+    got = jobs.newest_changes(changes, jobs.RATE_KEY)
+    assert sorted((r["sent"], r["replies"], r["reply_pct"]) for r in got.collect()) == [(1, 0, 0.0), (2, 1, 50.0)]
+
+
+def test_contact_state_keeps_the_latest_touch_and_expires(spark):
+    src, path, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = "workspace string, lead_email string, campaign_id long, step int, sent_at timestamp"
+    for load in ([("w", "a", 1, 1, day(1)), ("w", "b", 1, 1, day(2))], [("w", "a", 2, 1, day(20)), ("w", "b", 9, 1, day(1)), ("w", "c", 3, 1, day(19))]):
+        feed(spark, src, load, schema)
+        changes = jobs.append_changes(jobs.contact_state(spark.readStream.schema(schema).parquet(src), 90), path, cp)
+    everyone = jobs.live_contacts(changes, F.lit(day(21)), 90)
+    assert rows(everyone.select("lead_email", "campaign_id")) == [("a", 2), ("b", 1), ("c", 3)]
+    assert rows(jobs.live_contacts(changes, F.lit(day(21)), 10).select("lead_email")) == [("a",), ("c",)]
+
+
+def test_each_reply_belongs_to_the_latest_send_before_it(spark):
+    schema = "event_id long, lead long, campaign_id long, {} timestamp"
+    sends = spark.createDataFrame([(1, 1, 1, day(1)), (2, 1, 1, day(5)), (3, 2, 1, day(1)), (4, None, 1, day(1))], schema.format("sent_at"))
+    replies = spark.createDataFrame([(10, 1, 1, day(6)), (11, 1, 1, day(7)), (12, 2, 1, day(23)), (13, 9, 1, day(2)), (14, None, 1, day(2)),
+                                     (15, 1, 1, day(5))], schema.format("replied_at"))
+    got = rows(jobs.late_replies(sends, replies, 21).select("event_id", "reply_event"))
+    assert got == [(1, None), (2, 10), (2, 11), (2, 15), (3, None), (4, None)]
