@@ -77,7 +77,7 @@ def parse_timestamp(col: Column) -> Column:
 
 
 def country_code_from_address(col: Column) -> Column:
-    """``addressCountry`` of a JSON object in upper case. A hint, never the headquarters."""
+    """``addressCountry`` of a JSON object in upper case (``to_json`` of a struct). A hint, never the headquarters."""
     code = F.get_json_object(col, "$.addressCountry")
     return F.nullif(F.upper(normalize_space(code)), F.lit(""))
 

@@ -42,6 +42,11 @@ def normalize_space(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(col, F.lit("")), SPACES, " "))
 
 
+def strip_space(col: Column) -> Column:
+    """All Unicode whitespace removed at both ends, line ends included; null stays null."""
+    return F.regexp_replace(F.regexp_replace(col, r"(?U)^[\s\x1c-\x1f]+", ""), r"(?U)[\s\x1c-\x1f]+\z", "")
+
+
 def normalize_text(col: Column) -> Column:
     """``normalize_space`` in lower case."""
     return F.lower(normalize_space(col))
@@ -211,7 +216,7 @@ def extract_evidence(col: Column, terms: TermList, limit: int = 12, longest: int
 def _window(text: Column, folded: Column, term: str, before: int, after: int) -> Column:
     at = F.locate(term, folded)
     start = F.greatest(F.lit(1), at - before)
-    return F.when(at > 0, F.trim(F.substring(text, start, at + len(term) + after - start)))
+    return F.when(at > 0, strip_space(F.substring(text, start, at + len(term) + after - start)))
 
 
 def excerpt(title: Column, company: Column, text: Column, evidence: Column,
@@ -250,8 +255,9 @@ def decode_basic_entities(col: Column) -> Column:
 
 
 def decode_entities(col: Column) -> Column:
-    """All named and numeric entities. Only texts that hold ``&`` reach the Python helper."""
-    return F.when(F.contains(col, F.lit("&")), _unescape()(col)).otherwise(col)
+    """All named and numeric entities. The Python helper gets null for texts without ``&``: it is
+    evaluated for every row, whatever condition stands round it."""
+    return F.coalesce(_unescape()(F.when(F.contains(col, F.lit("&")), col)), col)
 
 
 def _unescape():

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leadgrid.functions import keys, text
 from leadgrid.operators.grouping import best_k_per_key, computed_once, first_seen
+from leadgrid.session import written
 
 # Queue order of the review priorities; anything else comes last.
 PRIORITY_ORDER = {"high": 0, "medium": 1, "review": 2, "low": 3}
@@ -59,9 +57,20 @@ def _pick(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*found) if found else F.lit(None).cast("string")
 
 
+def _as_text(df: DataFrame, *names: str) -> DataFrame:
+    """The named columns as JSON text where they are objects."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({n: F.to_json(n) for n in names if kinds.get(n, "").startswith(("struct", "map"))})
+
+
 def normalize_job(df: DataFrame, rules: SignalRules) -> DataFrame:
-    """Raw provider postings to signal rows, one projection after another, no shuffle."""
-    body = [F.trim(F.col(n)) for n in ("descriptionText", "description", "jobDescription") if n in df.columns]
+    """Raw provider postings to signal rows, one projection after another, no shuffle.
+
+    ``raw_payload`` keeps the posting as it came, as JSON.
+    """
+    payload = F.to_json(F.struct(*[c for c in df.columns if c != "arrival"]))
+    df = _as_text(df.withColumn("_payload", payload), "companyAddress")
+    body = [text.strip_space(F.col(n)) for n in ("descriptionText", "description", "jobDescription") if n in df.columns]
     industries = F.lit(None).cast("string")
     if "industries" in df.columns:
         industries = F.array_join("industries", ", ") if dict(df.dtypes)["industries"].startswith("array") \
@@ -84,7 +93,7 @@ def normalize_job(df: DataFrame, rules: SignalRules) -> DataFrame:
         _pick(df, "employmentType").alias("employment_type"),
         _pick(df, "location").alias("location"),
         keys.normalize_timestamp(_pick(df, "postedAt")).alias("posted_at"),
-        *([F.col("arrival")] if "arrival" in df.columns else []))
+        "_payload", *([F.col("arrival")] if "arrival" in df.columns else []))
     title, body_text = F.coalesce("role_title", F.lit("")), F.coalesce("description_text", F.lit(""))
     whole = text.normalize_space(F.concat_ws(" ", title, body_text))
     flat = text.normalize_space(body_text)
@@ -117,7 +126,7 @@ def normalize_job(df: DataFrame, rules: SignalRules) -> DataFrame:
         F.lit(True).alias("needs_human_review"), F.lit("not_started").alias("copy_status"),
         F.lit(None).cast("string").alias("email_subject"), F.lit(None).cast("string").alias("email_1_body"),
         F.lit(None).cast("string").alias("email_2_body"), F.lit("ready_for_analysis").alias("pipeline_status"),
-        "company_description", *(["arrival"] if "arrival" in df.columns else []))
+        "company_description", F.col("_payload").alias("raw_payload"), *(["arrival"] if "arrival" in df.columns else []))
 
 
 def dedupe_richest(df: DataFrame, keys_: Sequence[str], text_col: str, arrival: str) -> DataFrame:
@@ -158,7 +167,12 @@ def top_fragments(col: Column, score: Callable[[Column], Column], limit: int = 3
 
     ``score`` gets the fragment in lower case. Texts stay in their row: no shuffle.
     """
-    scored = F.transform(text.split_fragments(col), lambda x, i: F.struct(
+    return best_fragments(text.split_fragments(col), score, limit)
+
+
+def best_fragments(fragments: Column, score: Callable[[Column], Column], limit: int) -> Column:
+    """The same over fragments that are split already."""
+    scored = F.transform(fragments, lambda x, i: F.struct(
         text.let(F.lower(x), lambda low: -score(low)).alias("s"), i.alias("i"), x.alias("x")))
     ranked = F.transform(F.sort_array(scored), lambda e: e["x"])
     return F.slice(text.distinct_folded(ranked), 1, limit)
@@ -219,75 +233,86 @@ def _company_key() -> Column:
 def company_review(df: DataFrame, rules: SignalRules) -> DataFrame:
     """One row per company over its clean high-priority postings.
 
-    Everything is an aggregate of bounded size: counts, flags, the longest posting, the four
-    best briefs and three target quotes (distinct first, then best k per key). The unbounded
-    lists are ``review_members``.
+    Each posting is decoded and split once and becomes a narrow row, which is stored: no text is
+    read or shuffled again. Everything else is an aggregate of bounded size: counts, flags, the
+    longest posting, the four best briefs and three target quotes (distinct first, then best k
+    per key). The unbounded lists are ``review_members``.
     """
-    clean = df.where(is_clean_high(F.col("prefilter_priority"), F.col("prefilter_reasons"))) \
-              .withColumn("company_key", _company_key()) \
-              .withColumn("_body", F.coalesce("description_text", F.lit(""))) \
-              .withColumn("_posted", F.coalesce("posted_at", F.lit("")))
-    flat = text.normalize_text(text.decode_basic_entities(F.col("_body")))
-    shown = ["company_name", "company_domain", "company_website", "company_linkedin_url", "company_logo_url",
-             "company_employee_count", "company_industries", "company_address_country_code", "source_job_id"]
+    rows = written(_review_rows(df, rules), "review-rows")
     newest_first = F.struct(F.col("_posted"), -F.col("arrival"))
-    about = F.coalesce("company_description", F.lit(""))
-    flags = {f"_m_{i}": F.max(text.any_pattern(F.col("_flat"), [rx])) for i, (_, rx) in enumerate(rules.markets)}
-    terms = {f"_t_{i}": F.max(F.array_contains("prefilter_reasons", f"positive:{t}"))
-             for i, t in enumerate(rules.positive)}
-    grouped = clean.withColumn("_flat", flat).groupBy("company_key").agg(
-        F.max_by(F.struct(*shown), F.struct(F.length("_body"), F.col("_posted"), -F.col("arrival"))).alias("_primary"),
+    grouped = rows.groupBy("company_key").agg(
+        F.max_by(F.struct(*REVIEW_SHOWN), F.struct("_chars", F.col("_posted"), -F.col("arrival"))).alias("_primary"),
         F.count(F.lit(1)).alias("job_count"), F.max("_posted").alias("latest_posted_at"),
-        F.sum(F.length("_body")).alias("description_chars_total"),
-        F.substring(F.max_by(about, F.struct(F.length(about), newest_first)), 1, 1200).alias("company_description"),
-        F.max(text.any_pattern(F.col("_flat"), rules.selling_abroad or ["$^"])).alias("flag_selling_abroad"),
-        F.max(text.any_term(F.col("_flat"), rules.hidden)).alias("_hidden"),
-        F.max(text.any_pattern(F.col("_flat"), rules.recruiter_patterns or ["$^"])).alias("_recruiter"),
-        *[c.alias(n) for n, c in {**flags, **terms}.items()])
+        F.sum("_chars").alias("description_chars_total"),
+        F.substring(F.max_by("_about", F.struct(F.length("_about"), newest_first)), 1, 1200).alias("company_description"),
+        F.max("_abroad").alias("flag_selling_abroad"), F.max("_hidden").alias("flag_hidden_employer"),
+        F.max("_recruiter").alias("_recruiter"),
+        *[F.max(F.array_contains("_markets", label)).alias(f"_m_{i}") for i, (label, _) in enumerate(rules.markets)],
+        *[F.max(F.array_contains("prefilter_reasons", f"positive:{t}")).alias(f"_t_{i}") for i, t in enumerate(rules.positive)])
     markets = F.array_compact(F.array(*[F.when(F.col(f"_m_{i}"), F.lit(label))
                                         for i, (label, _) in enumerate(rules.markets)]))
-    found = F.array_compact(F.array(*[F.when(F.col(f"_t_{i}"), F.lit(t)) for i, t in enumerate(rules.positive)]))
-    country = F.upper(F.coalesce("_primary.company_address_country_code", F.lit("")))
+    # Sorted here, where the vocabulary is known: by folded spelling.
+    by_name = sorted(enumerate(rules.positive), key=lambda e: e[1].casefold())
+    found = F.array_compact(F.array(*[F.when(F.col(f"_t_{i}"), F.lit(t)) for i, t in by_name]))
+    country = F.upper(text.normalize_space(F.col("_primary.company_address_country_code")))
     industry = F.lower(F.coalesce("_primary.company_industries", F.lit("")))
+    away = (country != "") & ~country.isin(*rules.home_countries or [""])
     base = grouped.select(
         "company_key", "_primary.*", "job_count", "latest_posted_at", "description_chars_total",
         "company_description", "flag_selling_abroad",
         F.array_join(markets, ", ").alias("market_mentions"),
-        F.array_join(F.sort_array(found), ", ").alias("outbound_terms"), F.col("_hidden").alias("flag_hidden_employer"),
+        F.array_join(found, ", ").alias("outbound_terms"), "flag_hidden_employer",
         (F.col("_recruiter") | text.any_term(F.col("_primary.company_name"), rules.recruiter_names)
          | industry.contains("staffing") | industry.contains("recruit")).alias("flag_recruiter"),
-        ((country != "") & ~country.isin(*rules.home_countries or [""])).alias("flag_foreign_source"),
-        F.col("_primary.company_domain").isNull().alias("flag_missing_domain"))
+        (away & (country != UNREADABLE_COUNTRY)).alias("flag_foreign_source"),
+        F.col("_primary.company_domain").isNull().alias("flag_missing_domain"),
+        F.when(away, country).alias("_country"))
     base = base.withColumn("automatic_warnings", F.concat_ws(
         " | ",
         F.when(F.col("flag_selling_abroad"), "may sell abroad; check where the company is based"),
         F.when(F.col("flag_hidden_employer"), "employer may be hidden"),
         F.when(F.col("flag_recruiter"), "recruiter or recruiting source; confirm the employer"),
+        F.when(F.col("_country") == UNREADABLE_COUNTRY, "country code of the source cannot be read; headquarters unverified"),
         F.when(F.col("flag_foreign_source"), F.concat(
-            F.lit("source names country "), F.upper("company_address_country_code"), F.lit("; headquarters unverified"))),
+            F.lit("source names country "), F.col("_country"), F.lit("; headquarters unverified"))),
         F.when(F.col("flag_missing_domain"), "domain missing"),
-        F.when(F.col("job_count") > 1, F.concat("job_count", F.lit(" postings merged; check differences")))))
-    briefs = _briefs(clean, rules)
-    targets = _targets(clean, rules)
+        F.when(F.col("job_count") > 1, F.concat("job_count", F.lit(" postings merged; check differences"))))).drop("_country")
+    lines = rows.where(F.col("_brief").isNotNull())
+    briefs = _joined_best(lines, text.normalize_text(F.col("_brief")), "_brief", 4, "\n\n", 5000, "description_brief", F.lit(0))
+    quotes = rows.select("company_key", "_posted", "arrival", F.posexplode("_targets").alias("_pos", "fragment"))
+    targets = _joined_best(quotes, F.lower("fragment"), "fragment", 3, "\n", 2200, "target_evidence", F.col("_pos"))
     return base.join(briefs, "company_key", "left").join(targets, "company_key", "left")
 
 
-def _briefs(clean: DataFrame, rules: SignalRules, k: int = 4, longest: int = 5000) -> DataFrame:
-    """Up to four distinct "title: fragments" briefs per company, newest posting first."""
-    best = top_fragments(F.col("_body"), rules.fragment_score or F.length, 3)
-    lines = computed_once(clean, "_f", best).select("company_key", "_posted", "arrival", "role_title", "_f") \
-        .where(F.size("_f") > 0) \
-        .withColumn("brief", F.concat(F.coalesce("role_title", F.lit("untitled")), F.lit(": "), F.array_join("_f", " | ")))
-    return _joined_best(lines, text.normalize_text(F.col("brief")), "brief", k, "\n\n", longest, "description_brief", F.lit(0))
+REVIEW_SHOWN = ["company_name", "company_domain", "company_website", "company_linkedin_url", "company_logo_url",
+                "company_employee_count", "company_industries", "company_address_country_code", "source_job_id"]
+# Fixed value: the code that a source gives when it has no country.
+UNREADABLE_COUNTRY = "OO"
 
 
-def _targets(clean: DataFrame, rules: SignalRules, k: int = 3, longest: int = 2200) -> DataFrame:
-    """Up to three distinct fragments that name a target customer."""
-    hits = F.filter(text.split_fragments(F.col("_body")), lambda x: text.let(
-        F.lower(x), lambda low: text.any_term(low, rules.targets, folded=True)))
-    rows = clean.select("company_key", "_posted", "arrival", F.posexplode_outer(hits).alias("_pos", "fragment")) \
-        .where(F.col("fragment").isNotNull())
-    return _joined_best(rows, F.lower("fragment"), "fragment", k, "\n", longest, "target_evidence", F.col("_pos"))
+def _review_rows(df: DataFrame, rules: SignalRules) -> DataFrame:
+    """Narrow rows of the clean postings: flags, the "title: best fragments" brief, and the first
+    three distinct fragments that name a target customer (a company shows no more)."""
+    body = F.coalesce("description_text", F.lit(""))
+    clean = df.where(is_clean_high(F.col("prefilter_priority"), F.col("prefilter_reasons"))) \
+              .withColumn("company_key", _company_key()) \
+              .withColumn("_decoded", text.decode_entities(body))
+    split = computed_once(clean, "_frags", text.split_fragments(F.col("_decoded"), decode=lambda c: c)) \
+        .withColumn("_flat", text.normalize_text(F.col("_decoded")))
+    best = best_fragments(F.col("_frags"), rules.fragment_score or F.length, 3)
+    targets = F.filter("_frags", lambda x: text.let(F.lower(x), lambda low: text.any_term(low, rules.targets, folded=True)))
+    return split.withColumn("_best", best).select(
+        "company_key", *REVIEW_SHOWN, "arrival", "prefilter_reasons",
+        F.coalesce("posted_at", F.lit("")).alias("_posted"), F.length(body).alias("_chars"),
+        text.normalize_space(F.col("company_description")).alias("_about"),
+        text.any_pattern(F.col("_flat"), rules.selling_abroad or ["$^"]).alias("_abroad"),
+        text.any_term(F.col("_flat"), rules.hidden).alias("_hidden"),
+        text.any_pattern(F.col("_flat"), rules.recruiter_patterns or ["$^"]).alias("_recruiter"),
+        text.pattern_labels(F.col("_flat"), rules.markets).alias("_markets"),
+        F.when(F.size("_best") > 0, F.concat(F.coalesce(F.nullif(text.normalize_space(F.col("role_title")), F.lit("")),
+                                                        F.lit("untitled")),
+                                             F.lit(": "), F.array_join("_best", " | "))).alias("_brief"),
+        F.slice(text.distinct_folded(targets), 1, 3).alias("_targets"))
 
 
 def _joined_best(rows: DataFrame, key: Column, value: str, k: int, glue: str, longest: int,
@@ -304,64 +329,38 @@ def _joined_best(rows: DataFrame, key: Column, value: str, k: int, glue: str, lo
 
 # --- dictionaries and grids --------------------------------------------------
 
-# Dictionaries up to these sizes (checked) are literals, or one automaton per worker.
-SMALL_DICTIONARY = 50
-AUTOMATON_DICTIONARY = 200_000
+# Letters, digits and underscores make a word.
+WORD = r"[\p{L}\p{N}_]+"
+
+
+def folded_words(col: Column) -> Column:
+    """Words of a text in lower case: runs of letters, digits and underscores."""
+    return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, term_col: str,
-              anchor: int = 3) -> DataFrame:
-    """One (id, term) row for every dictionary term that a text contains, case folded.
+def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, term_col: str) -> DataFrame:
+    """One (id, term) row for every dictionary term whose words stand in a text one after the other.
 
-    A small dictionary becomes literals tested in one compiled scan. A medium one is shipped
-    to the workers as an automaton that reads each text once, whatever the number of terms.
-    Both sizes are checked; neither shuffles texts. A larger one is matched by an equi-join of
-    each text's distinct letter groups with each term's first letters and then verified: no
-    nested loop, and a text meets only the terms that start with letters it has.
+    The same plan for a dictionary of any size: single words meet the distinct words of each
+    text in an equi-join; a phrase meets the places that hold its first word and is then compared
+    with the words that follow there. Places whose word starts no phrase are dropped before
+    their words travel. Terms without a word match nothing; terms that differ in case or
+    punctuation only are one.
     """
-    folded = terms.select(F.lower(term_col).alias("term")).where("term <> ''").distinct()
-    most = AUTOMATON_DICTIONARY if _has_automaton() else SMALL_DICTIONARY
-    words = sorted(r["term"] for r in folded.limit(most + 1).collect())  # bounded by the limit
-    if len(words) <= SMALL_DICTIONARY:
-        return texts.select(id_col, F.explode(text.matched_terms(F.col(text_col), words)).alias("term"))
-    if len(words) <= most:
-        find = _automaton(texts.sparkSession.sparkContext.broadcast(words))
-        return texts.select(id_col, F.explode(find(F.lower(text_col))).alias("term"))
-    return _anchored_term_join(texts, id_col, text_col, folded, anchor)
-
-
-def _has_automaton() -> bool:
-    return importlib.util.find_spec("ahocorasick") is not None
-
-
-def _automaton(words):
-    """Arrow UDF: the distinct dictionary words of each text, by Aho-Corasick."""
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-        machine = ahocorasick.Automaton()
-        for word in words.value:
-            machine.add_word(word, word)
-        machine.make_automaton()
-        for batch in batches:
-            yield batch.map(lambda s: list({w for _, w in machine.iter(s)}) if s else [])
-
-    return find
-
-
-def _anchored_term_join(texts: DataFrame, id_col: str, text_col: str, folded: DataFrame, anchor: int) -> DataFrame:
-    # Every length up to the anchor occurs among the groups, so shorter terms match too.
-    keyed = folded.withColumn("_g", F.substring("term", 1, anchor))
-    lowered = texts.select(id_col, F.lower(text_col).alias("_t"))
-
-    def groups(n: int) -> Column:
-        last = F.greatest(F.lit(1), F.length("_t") - n + 1)
-        return F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(F.col("_t"), i, F.lit(n)))
-    grams = F.array_distinct(F.flatten(F.array(*[groups(n) for n in range(1, anchor + 1)])))
-    prefixes = keyed.select("_g").distinct()
-    present = lowered.select(id_col, F.explode(grams).alias("_g")).join(prefixes, "_g", "left_semi")
-    pairs = present.join(keyed, "_g").select(id_col, "term")
-    return pairs.join(lowered, id_col).where(F.contains("_t", "term")).select(id_col, "term")
+    dictionary = terms.select(folded_words(F.col(term_col)).alias("_w")).where(F.size("_w") > 0).select(
+        F.array_join("_w", " ").alias("term"), F.element_at("_w", 1).alias("_first"), F.size("_w").alias("_n")).distinct()
+    phrases = dictionary.where("_n > 1")
+    words = texts.select(F.col(id_col), folded_words(F.col(text_col)).alias("_w"))
+    single = words.select(id_col, F.explode(F.array_distinct("_w")).alias("_first")) \
+                  .join(dictionary.where("_n = 1"), "_first").select(id_col, "term")
+    longest = phrases.agg(F.coalesce(F.max("_n"), F.lit(1)).alias("n")).scalar()
+    places = words.withColumn("_n", longest).select(id_col, F.explode(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1))),
+        lambda i: F.struct(F.try_element_at("_w", i).alias("first"), F.slice("_w", i, F.col("_n")).alias("run")))).alias("_p")) \
+        .select(id_col, F.col("_p.first").alias("_first"), F.array_join("_p.run", " ").alias("_run"))
+    started = places.join(phrases.select("_first").distinct(), "_first", "left_semi")
+    found = started.join(phrases, "_first").where(F.startswith(F.concat("_run", F.lit(" ")), F.concat("term", F.lit(" "))))
+    return single.unionByName(found.select(id_col, "term").distinct())
 
 
 def search_grid(places: DataFrame, place_col: str, keywords: Sequence[str], seconds: int,

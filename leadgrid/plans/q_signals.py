@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 from leadgrid.functions import text
 from leadgrid.operators import signals
 from leadgrid.plans import vocab
-from leadgrid.plans.q_text import _CHUNKS, _DECODE
+from leadgrid.plans.q_text import _CHUNKS, _DECODE, _FOLD
 from leadgrid.plans.registry import query
-from leadgrid.plans.sqltext import hits, sp
-from leadgrid.session import written
+from leadgrid.plans.sqltext import hits, quoted, sp, strip
 
 LOCATIONS = (("north", r"must be based in the north"), ("south", r"que.{0,20}que"))
 
@@ -31,8 +30,8 @@ def raw_postings(t):
     return t("postings").select(
         F.col("raw_id").alias("id"), F.col("url").alias("link"), F.lit("").alias("title"), F.col("title").alias("jobTitle"),
         F.col("company_name").alias("companyName"), F.col("company_website").alias("companyWebsite"),
-        F.col("employees").alias("companyEmployeesCount"), F.col("description").alias("descriptionText"),
-        F.to_json(F.struct(F.col("location").alias("addressCountry"))).alias("companyAddress"),
+        F.col("employees").alias("companyEmployeesCount"), F.concat("description", F.lit("\n ")).alias("descriptionText"),
+        F.struct(F.col("location").alias("addressCountry")).alias("companyAddress"), F.col("title").alias("companyDescription"),
         F.array(F.col("location"), F.lit("Trade")).alias("industries"), "location",
         F.col("posted_at").alias("postedAt"), F.col("doc_id").alias("arrival"))
 
@@ -46,15 +45,32 @@ _HIDDEN = f"len({hits(sp('description'), vocab.HIDDEN)}) > 0"
 # The normalized rows, from the stand-in postings; ``arrival`` is the document number.
 JOBS = f"""jobs0 AS (SELECT *, {hits(_WHOLE, vocab.POSITIVE)} AS pos, {hits(_WHOLE, vocab.NEGATIVE)} AS neg, {_HIDDEN} AS hid FROM postings),
 jobs AS (SELECT doc_id AS arrival, CASE WHEN raw_id <> '' THEN raw_id ELSE 'hash:' || substr(sha256(url || '|' || {sp('title')} || '|' ||
-      {sp('company_name')} || '|' || substr(trim(description), 1, 500)), 1, 24) END AS source_job_id, {sp('title')} AS role_title,
+      {sp('company_name')} || '|' || substr({strip('description')}, 1, 500)), 1, 24) END AS source_job_id, {sp('title')} AS role_title,
     nullif({sp('company_name')}, '') AS company_name,
     lower(split_part(split_part(company_website, '://www.', 2), '/', 1)) AS company_domain,
-    CASE WHEN length(posted_at) = 10 THEN posted_at || 'T00:00:00+00:00' ELSE posted_at END AS posted_at, trim(description) AS body, location, url,
+    CASE WHEN length(posted_at) = 10 THEN posted_at || 'T00:00:00+00:00' ELSE posted_at END AS posted_at, {strip('description')} AS body, location, url, title AS raw_title,
     CASE WHEN hid THEN 'low' WHEN len(pos) >= 2 THEN 'high' WHEN len(pos) = 1 THEN 'medium' WHEN len(neg) > 0 THEN 'low' ELSE 'review' END AS priority,
     list_concat(list_transform(pos[1:8], lambda x: 'positive:' || x), list_transform(neg[1:8], lambda x: 'negative:' || x),
       CASE WHEN hid THEN ['hidden_employer'] ELSE [] END) AS reasons, pos, neg, hid, employees FROM jobs0)"""
 
 
+def _window(w: str) -> str:
+    at = f"strpos(lower(body), '{w}')"
+    return f"CASE WHEN {at} > 0 THEN {strip(f'substr(body, greatest(1, {at} - 240), {at} + {len(w)} + 360 - greatest(1, {at} - 240))')} END"
+
+
+_LINES = f"list_filter({_CHUNKS.format('body')}, lambda x: x <> '')"
+# Header, then three exact fragments or windows with a positive term, or else the start of the text.
+EXCERPTS = f"""ev0 AS (SELECT arrival, list_concat(list_transform(list_filter({_LINES}, lambda x: len(list_filter({quoted(vocab.POSITIVE)},
+      lambda w: contains(lower(x), w))) > 0), lambda x: substr(x, 1, 900)), list_filter([{', '.join(map(_window, vocab.POSITIVE))}],
+      lambda x: x IS NOT NULL AND x <> '')) AS items FROM jobs),
+    ev1 AS (SELECT arrival, items, list_transform(items, lambda x: {_FOLD}) AS ks FROM ev0),
+    ev AS (SELECT arrival, list_filter(items, lambda x, i: list_position(ks, {_FOLD}) = i)[1:3] AS items FROM ev1),
+    head AS (SELECT arrival, body, items, 'Role: ' || role_title || chr(10) || 'Company: ' || coalesce(company_name, '') AS h FROM jobs JOIN ev USING (arrival)),
+    excerpts AS (SELECT arrival, substr(h || chr(10) || CASE WHEN len(items) > 0 THEN array_to_string(list_transform(items, lambda x: '- ' || x), chr(10))
+      ELSE substr({sp('body')}, 1, greatest(0, 600 - length(h) - 2)) END, 1, 600) AS analysis_excerpt FROM head)"""
+
+
 @query("prefilter", f"WITH {JOBS} SELECT arrival, priority, array_to_string(reasons, ',') AS reasons FROM (SELECT arrival, reasons, "
        "CASE WHEN len(pos) >= 2 THEN 'high' WHEN len(pos) = 1 THEN 'medium' WHEN len(neg) > 0 THEN 'low' ELSE 'review' END AS priority "
        "FROM (SELECT * REPLACE (list_filter(reasons, lambda r: r <> 'hidden_employer') AS reasons) FROM jobs))")
@@ -65,16 +81,16 @@ def prefilter(t):
                                 F.array_join(got["reasons"], ",").alias("reasons"))
 
 
-@query("normalize_job", f"""WITH {JOBS} SELECT arrival, source_job_id, role_title, company_name, company_domain, posted_at,
+@query("normalize_job", f"""WITH {JOBS}, {EXCERPTS} SELECT arrival, analysis_excerpt, source_job_id, role_title, company_name, company_domain, posted_at,
     sha256(body) AS description_hash, TRY_CAST(replace(regexp_extract(coalesce(employees, ''), '\\d[\\d,]*'), ',', '') AS BIGINT) AS company_employee_count,
     upper(location) AS company_address_country_code, location || ', Trade' AS company_industries, priority AS prefilter_priority,
     array_to_string(reasons, ',') AS prefilter_reasons, CASE WHEN hid THEN 'hidden' ELSE 'unreviewed' END AS employer_confidence,
     CASE WHEN hid THEN 'hold' ELSE 'review' END AS campaign_action,
     CASE WHEN regexp_matches(lower({sp('body')}), 'must be based in the north') THEN 'north'
-      WHEN regexp_matches(lower({sp('body')}), 'que.{{0,20}}que') THEN 'south' END AS job_location_requirement FROM jobs""")
+      WHEN regexp_matches(lower({sp('body')}), 'que.{{0,20}}que') THEN 'south' END AS job_location_requirement FROM jobs JOIN excerpts USING (arrival)""")
 def normalize_job(t):
     return normalized(t).select(
-        "arrival", "source_job_id", "role_title", "company_name", "company_domain", "posted_at", "description_hash",
+        "arrival", "analysis_excerpt", "source_job_id", "role_title", "company_name", "company_domain", "posted_at", "description_hash",
         "company_employee_count", "company_address_country_code", "company_industries", "prefilter_priority",
         F.array_join("prefilter_reasons", ",").alias("prefilter_reasons"), "employer_confidence", "campaign_action",
         "job_location_requirement")
@@ -147,11 +163,11 @@ def review_queue(t):
     return signals.review_queue(normalized(t), 40).select("source_job_id", "prefilter_priority", "posted_at")
 
 
-@query("review_packet", f"""WITH {JOBS} SELECT source_job_id, role_title, company_name, company_domain, priority AS prefilter_priority,
-    length(body)::INTEGER AS description_chars, sha256(body) AS description_hash FROM jobs""")
+@query("review_packet", f"""WITH {JOBS}, {EXCERPTS} SELECT source_job_id, role_title, company_name, company_domain, priority AS prefilter_priority,
+    analysis_excerpt, length(body)::INTEGER AS description_chars, sha256(body) AS description_hash FROM jobs JOIN excerpts USING (arrival)""")
 def review_packet(t):
     return signals.review_packet(normalized(t)).select(
-        "source_job_id", "role_title", "company_name", "company_domain", "prefilter_priority",
+        "source_job_id", "role_title", "company_name", "company_domain", "prefilter_priority", "analysis_excerpt",
         "source_integrity.description_chars", "source_integrity.description_hash")
 
 
@@ -168,11 +184,13 @@ _KEYED = f"""clean AS (SELECT *, coalesce('name:' || lower(company_name), 'domai
 @query("company_review", f"""WITH {JOBS}, {_KEYED}, {_ranked('clean')},
     prim AS (SELECT company_key, source_job_id, company_name, company_domain, location FROM clean
       QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY length(body) DESC, posted_at DESC, arrival) = 1),
-    grp AS (SELECT company_key, count(*) AS job_count, max(posted_at) AS latest_posted_at, sum(length(body))::BIGINT AS description_chars_total,
+    about AS (SELECT company_key, substr(about, 1, 1200) AS company_description FROM (SELECT *, {sp('raw_title')} AS about FROM clean)
+      QUALIFY row_number() OVER (PARTITION BY company_key ORDER BY length(about) DESC, posted_at DESC, arrival) = 1),
+    grp AS (SELECT company_key, count(*) AS job_count, bool_or(hid) AS flag_hidden_employer, max(posted_at) AS latest_posted_at, sum(length(body))::BIGINT AS description_chars_total,
       bool_or(regexp_matches(flat, 'that.{{0,80}}with')) AS flag_selling_abroad,
       concat_ws(', ', CASE WHEN bool_or(regexp_matches(flat, 'the\\b')) THEN 'north' END, CASE WHEN bool_or(regexp_matches(flat, '\\ble\\b')) THEN 'south' END,
         CASE WHEN bool_or(regexp_matches(flat, 'that.{{0,80}}with')) THEN 'gap' END) AS market_mentions,
-      array_to_string(list_sort(list_distinct(flatten(list(pos)))), ', ') AS outbound_terms FROM clean GROUP BY 1),
+      (SELECT string_agg(x, ', ' ORDER BY lower(x)) FROM (SELECT DISTINCT unnest(flatten(list(pos))) AS x)) AS outbound_terms FROM clean GROUP BY 1),
     brief0 AS (SELECT company_key, role_title || ': ' || best AS brief, posted_at, arrival FROM clean JOIN best3 USING (arrival)),
     brief1 AS (SELECT * FROM brief0 QUALIFY row_number() OVER (PARTITION BY company_key, lower(brief) ORDER BY posted_at DESC, arrival) = 1),
     brief2 AS (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY posted_at DESC, arrival) AS rn FROM brief1),
@@ -180,33 +198,45 @@ _KEYED = f"""clean AS (SELECT *, coalesce('name:' || lower(company_name), 'domai
     tgt0 AS (SELECT c.company_key, c.posted_at, f.* FROM frags f JOIN clean c USING (arrival) WHERE len({hits('fragment', vocab.TARGETS)}) > 0),
     tgt1 AS (SELECT * FROM tgt0 QUALIFY row_number() OVER (PARTITION BY company_key, lower(fragment) ORDER BY posted_at DESC, arrival, place) = 1),
     tgt2 AS (SELECT *, row_number() OVER (PARTITION BY company_key ORDER BY posted_at DESC, arrival, place) AS rn FROM tgt1),
-    tgts AS (SELECT company_key, substr(string_agg(fragment, chr(10) ORDER BY rn), 1, 2200) AS target_evidence FROM tgt2 WHERE rn <= 3 GROUP BY 1)
-    SELECT company_key, prim.source_job_id, prim.company_name, prim.company_domain, job_count, latest_posted_at, description_chars_total,
-      flag_selling_abroad, market_mentions, outbound_terms, coalesce(contains(lower(prim.company_name), 'holding 7'), false) AS flag_recruiter,
-      upper(prim.location) NOT IN ('EN', 'FR') AS flag_foreign_source, prim.company_domain IS NULL AS flag_missing_domain,
-      description_brief, target_evidence FROM grp JOIN prim USING (company_key) LEFT JOIN briefs USING (company_key) LEFT JOIN tgts USING (company_key)""")
+    tgts AS (SELECT company_key, substr(string_agg(fragment, chr(10) ORDER BY rn), 1, 2200) AS target_evidence FROM tgt2 WHERE rn <= 3 GROUP BY 1),
+    rev AS (SELECT *, coalesce(contains(lower(company_name), 'holding 7'), false) AS flag_recruiter,
+      upper(location) NOT IN ('EN', 'FR') AS flag_foreign_source, company_domain IS NULL AS flag_missing_domain FROM grp JOIN prim USING (company_key))
+    SELECT company_key, source_job_id, company_name, company_domain, job_count, latest_posted_at, description_chars_total, company_description,
+      flag_selling_abroad, market_mentions, outbound_terms, flag_hidden_employer, flag_recruiter, flag_foreign_source, flag_missing_domain,
+      concat_ws(' | ', CASE WHEN flag_selling_abroad THEN 'may sell abroad; check where the company is based' END,
+        CASE WHEN flag_hidden_employer THEN 'employer may be hidden' END,
+        CASE WHEN flag_recruiter THEN 'recruiter or recruiting source; confirm the employer' END,
+        CASE WHEN flag_foreign_source THEN 'source names country ' || upper(location) || '; headquarters unverified' END,
+        CASE WHEN flag_missing_domain THEN 'domain missing' END,
+        CASE WHEN job_count > 1 THEN job_count || ' postings merged; check differences' END) AS automatic_warnings,
+      description_brief, target_evidence FROM rev LEFT JOIN about USING (company_key) LEFT JOIN briefs USING (company_key)
+      LEFT JOIN tgts USING (company_key)""")
 def company_review(t):
-    rows = written(normalized(t), "signals")  # stored before review, as the workflow does
-    return signals.company_review(rows, RULES).select(
+    return signals.company_review(normalized(t), RULES).select(
         "company_key", "source_job_id", "company_name", "company_domain", "job_count", "latest_posted_at",
-        "description_chars_total", "flag_selling_abroad", "market_mentions", "outbound_terms", "flag_recruiter",
-        "flag_foreign_source", "flag_missing_domain", "description_brief", "target_evidence")
+        "description_chars_total", "company_description", "flag_selling_abroad", "market_mentions", "outbound_terms",
+        "flag_hidden_employer", "flag_recruiter", "flag_foreign_source", "flag_missing_domain", "automatic_warnings",
+        "description_brief", "target_evidence")
 
 
 @query("review_members", f"""WITH {JOBS}, {_KEYED} SELECT company_key, posted_at, arrival, role_title, url AS job_url, source_job_id,
-    sha256(body) AS description_hash FROM clean""")
+    sha256(body) AS description_hash, location FROM clean""")
 def review_members(t):
-    return signals.review_members(normalized(t)).drop("location")
+    return signals.review_members(normalized(t))
 
 
-_FIRST_WORD = r"lower(regexp_extract(text, '^\s*([^\s]+)', 1))"
+_WORD_LIST = "regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}_]+')"
 
 
-@query("term_join", f"""SELECT doc_id, term FROM documents JOIN (SELECT DISTINCT {_FIRST_WORD} AS term FROM benchmark) d
-    ON contains(lower(text), term) WHERE term <> ''""")
+@query("term_join", f"""WITH d AS (SELECT DISTINCT array_to_string(w, ' ') AS term FROM (
+      SELECT {_WORD_LIST.format('line')} AS w FROM (SELECT unnest(string_split_regex(text, '[.\n]')) AS line FROM benchmark)
+      UNION ALL SELECT [word] FROM (SELECT unnest({_WORD_LIST.format('text')}) AS word FROM benchmark)) WHERE len(w) > 0),
+    t AS (SELECT doc_id, ' ' || array_to_string({_WORD_LIST.format('text')}, ' ') || ' ' AS flat FROM documents)
+    SELECT doc_id, term FROM t JOIN d ON contains(flat, ' ' || term || ' ')""")
 def term_join(t):
-    words = t("benchmark").select(F.regexp_extract("text", r"^\s*([^\s]+)", 1).alias("term"))
-    return signals.term_join(t("documents"), "doc_id", "text", words, "term")
+    lines = t("benchmark").select(F.explode(F.split("text", r"[.\n]")).alias("term"))
+    words = t("benchmark").select(F.explode(signals.folded_words(F.col("text"))).alias("term"))
+    return signals.term_join(t("documents"), "doc_id", "text", lines.unionByName(words), "term")
 
 
 @query("search_grid", """SELECT c_custkey, keyword, 'https://jobs.example/search?keywords=' || replace(keyword, ' ', '+') || '&location=' ||

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from leadgrid.functions import bands, keys, text
 from leadgrid.plans import vocab
 from leadgrid.plans.registry import query
-from leadgrid.plans.sqltext import bucket, hits, nd, quoted, sp
+from leadgrid.plans.sqltext import bucket, hits, nd, quoted, sp, strip
 
 
 @query("normalize_space", f"SELECT doc_id, {sp('text')} AS clean FROM documents")
@@ -208,8 +208,9 @@ def split_fragments(t):
 
 _EVIDENCE_TERMS = ("outbound", "theon", "sch")
 _WINDOWS = ", ".join(
-    f"CASE WHEN strpos(lower(text), '{w}') > 0 THEN trim(substr(text, greatest(1, strpos(lower(text), '{w}') - 240), "
-    f"strpos(lower(text), '{w}') + {len(w)} + 360 - greatest(1, strpos(lower(text), '{w}') - 240))) END"
+    "CASE WHEN strpos(lower(text), '{w}') > 0 THEN ".replace("{w}", w) + strip(
+        f"substr(text, greatest(1, strpos(lower(text), '{w}') - 240), "
+        f"strpos(lower(text), '{w}') + {len(w)} + 360 - greatest(1, strpos(lower(text), '{w}') - 240))") + " END"
     for w in _EVIDENCE_TERMS)
 _FOLD = r"lower(trim(regexp_replace(replace(x, chr(160), ' '), '\s+', ' ', 'g')))"
 

@@ -16,6 +16,11 @@ def sp(expr: str) -> str:
     return rf"trim(regexp_replace(replace(coalesce({expr}, ''), chr(160), ' '), '\s+', ' ', 'g'))"
 
 
+def strip(expr: str) -> str:
+    """All whitespace removed at both ends."""
+    return rf"regexp_replace({expr}, '^[\s\x{{a0}}]+|[\s\x{{a0}}]+$', '', 'g')"
+
+
 def quoted(terms) -> str:
     return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in terms) + "]"
 
