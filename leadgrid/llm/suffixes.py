@@ -48,7 +48,7 @@ LENGTH, GRAM = 50, 20
 _REACH = LENGTH - GRAM  # bytes before an anchor that a string may start
 # Key of a unit: suffix at the anchor, its length, text before the anchor, its length + 1.
 _SUFFIX, _BEFORE, _USED = 0, LENGTH + 1, LENGTH + 1 + _REACH + 1
-_RUN_BYTES = 16 << 20
+_RUN_BYTES = 4 << 20  # text hashed at once; the hashes take some forty times as much memory
 _BLOBS = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("blob", pa.binary())])
 _BLOB_SQL = "to long, kind int, blob binary"
 _RUN, _COVER = 0, 1
@@ -377,7 +377,7 @@ def _apply_ranges(with_text: bool):
             at = begins[ranges["slot"]] + ranges["at"]
             np.add.at(change, at, 1)
             np.add.at(change, at + ranges["n"], -1)
-        covered = np.cumsum(change[:-1]) > 0
+        covered = np.cumsum(change[:-1], dtype=np.int32) > 0
         rows = []
         for key, body, begin in zip(ids, bodies, begins.tolist(), strict=True):
             gone = covered[begin:begin + len(body)]
@@ -391,7 +391,7 @@ def _apply_ranges(with_text: bool):
 
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = True,
-                   group_bytes: int = 16 << 20, crowd: int = 4096) -> DataFrame:
+                   group_bytes: int = 8 << 20, crowd: int = 4096) -> DataFrame:
     """Per document: bytes, removed bytes, removed runs, SHA-256 of the kept bytes, and these (``with_text``)."""
     body = utf8(text)
     total = docs.agg(F.sum(F.octet_length(body))).first()[0] or 0
