@@ -233,7 +233,8 @@ def angle_performance(sends: DataFrame, replies: DataFrame, angle: str = "angle"
 
 def reply_drop(sends: DataFrame, replies: DataFrame, weeks: int = 4) -> DataFrame:
     """Per campaign and for the fleet, weeks whose reply rate fell under half of the mean of
-    the four weeks before, or by more than 30 % against the week before.
+    the four calendar weeks before, or by more than 30 % against the week before. Weeks without
+    any event count neither for nor against.
 
     Both facts are counted per campaign and week first; the window runs over those counts.
     """
@@ -244,9 +245,10 @@ def reply_drop(sends: DataFrame, replies: DataFrame, weeks: int = 4) -> DataFram
     fleet = per.groupBy("week").agg(F.lit(None).cast("bigint").alias("campaign_id"), F.sum("s").alias("s"), F.sum("r").alias("r"))
     both = per.withColumn("level", F.lit("campaign")).unionByName(fleet.withColumn("level", F.lit("fleet"))) \
         .withColumn("rate", ratio(F.col("r"), F.col("s"), 100.0))
-    series = Window.partitionBy("level", "campaign_id").orderBy("week")
-    before = F.avg("rate").over(series.rowsBetween(-weeks, -1))
-    previous = F.lag("rate").over(series)
+    both = both.withColumn("_n", F.floor(F.datediff("week", F.lit("1970-01-05").cast("date")) / 7))
+    series = Window.partitionBy("level", "campaign_id").orderBy("_n")
+    before = F.avg("rate").over(series.rangeBetween(-weeks, -1))
+    previous = F.avg("rate").over(series.rangeBetween(-1, -1))
     return both.select("level", "campaign_id", "week", F.col("s").alias("sent"), F.col("r").alias("replies"),
                        is_true(F.col("rate") < before * 0.5).alias("real_drop"),
                        is_true(F.col("rate") < previous * 0.7).alias("week_drop"))
@@ -284,8 +286,8 @@ def inbox_health_counts(health: DataFrame) -> DataFrame:
 
 
 def least_used_inboxes(df: DataFrame, tag: str, n: int) -> DataFrame:
-    """The ``n`` connected, unblocked inboxes of a tag with the fewest sends today."""
-    return df.where((F.col("tag") == tag) & is_true(F.col("smtp_ok")) & ~is_true(F.col("is_blocked"))) \
+    """The ``n`` connected, unblocked inboxes with a tag among their ``tags`` and the fewest sends today."""
+    return df.where(is_true(F.array_contains("tags", tag)) & is_true(F.col("smtp_ok")) & ~is_true(F.col("is_blocked"))) \
              .orderBy(F.coalesce("daily_sent", F.lit(0)), "inbox_id").limit(n)
 
 
@@ -327,8 +329,8 @@ def campaign_verdict(rate: Column, baseline: Column) -> Column:
 def experiment_verdict(arms: DataFrame, min_sends: int = 500) -> DataFrame:
     """Control against variant: lift of the positive rate, and what to do with it.
 
-    Needs enough sends per arm; a variant that bounces twice as much is disqualified; a
-    test that changed several things is never adopted.
+    Needs enough sends per arm; a variant that bounces twice as much, or at all when the control
+    never does, is disqualified; a test that changed several things is never adopted.
     """
     def arm(name: str, col: str) -> Column:
         return F.sum(F.when(F.col("arm") == name, F.col(col)).otherwise(0)).alias(f"{name}_{col}")
@@ -339,7 +341,7 @@ def experiment_verdict(arms: DataFrame, min_sends: int = 500) -> DataFrame:
     bounce = {a: ratio(F.col(f"{a}_bounces"), F.col(f"{a}_sent")) for a in ("control", "variant")}
     lift = F.when(rate["control"] > 0, rate["variant"] / rate["control"] - 1)
     verdict = F.when((F.col("control_sent") < min_sends) | (F.col("variant_sent") < min_sends), "too_small") \
-        .when((bounce["control"] > 0) & (bounce["variant"] >= bounce["control"] * 2), "disqualified") \
+        .when((bounce["variant"] > 0) & (bounce["variant"] >= bounce["control"] * 2), "disqualified") \
         .when(lift.isNull(), "inconclusive").when(lift < 0, "loser") \
         .when(F.col("combined") & (lift >= 0.1), "split_follow_up") \
         .when(lift >= 0.2, "adopt").when(lift >= 0.1, "replicate").otherwise("inconclusive")
@@ -352,6 +354,15 @@ def bounce_triage(pct: Column, hard_share: Column) -> Column:
             .when(pct > 3, "reputation").otherwise("ok")
 
 
+def _apart(terms: Sequence[str]) -> list[list[str]]:
+    """Terms in groups in which none is part of another, so that one match hides no other."""
+    groups: list[list[str]] = []
+    for term in dict.fromkeys(terms):
+        home = next((g for g in groups if not any(term in o or o in term for o in g)), None)
+        groups.append([term]) if home is None else home.append(term)
+    return groups
+
+
 def spam_terms(df: DataFrame, id_col: str, text_col: str, rules: Sequence[tuple[str, str, Sequence[str]]]) -> DataFrame:
     """One row per finding: banned words (also inside hyphen compounds), phrases, categories
     from ``rules`` (kind, severity, terms), and style faults.
@@ -363,18 +374,22 @@ def spam_terms(df: DataFrame, id_col: str, text_col: str, rules: Sequence[tuple[
 
     def finding(kind: str, severity: str, term: str) -> Column:
         return F.struct(F.lit(kind).alias("kind"), F.lit(severity).alias("severity"), F.lit(term).alias("term"))
+    def found_words(kind: str, severity: str, terms: Sequence[str]) -> Column:
+        # All words of a group in one pass over the text.
+        either = "|".join(map(quote_regex, terms))
+        hits = F.regexp_extract_all("_flat", F.lit(rf"(?<![a-z0-9])(?:{either})(?![a-z0-9])"), F.lit(0))
+        return F.transform(F.array_distinct(hits), lambda t: F.struct(
+            F.lit(kind).alias("kind"), F.lit(severity).alias("severity"), t.alias("term")))
     tests = []
     for kind, severity, terms in rules:
-        for term in terms:
-            if kind == "word":
-                hit = F.col("_flat").rlike(rf"(?<![a-z0-9]){quote_regex(term)}(?![a-z0-9])")
-            else:
-                hit = F.contains("_flat", F.lit(term))
-            tests.append(F.when(hit, finding(kind, severity, term)))
+        if kind == "word":
+            tests += [found_words(kind, severity, group) for group in _apart(terms)]
+        else:
+            tests += [F.array(F.when(F.contains("_flat", F.lit(t)), finding(kind, severity, t))) for t in terms]
     style = {"all_caps": r"(?<![A-Za-z])[A-Z]{4,}(?![A-Za-z])", "em_dash": "—", "many_exclamations": "!!+",
              "silence_close": r"(?i)(take silence|no reply as|no response means|don.t hear back)"}
-    tests += [F.when(F.col("_text").rlike(rx), finding("style", "low", name)) for name, rx in style.items()]
+    tests += [F.array(F.when(F.col("_text").rlike(rx), finding("style", "low", name))) for name, rx in style.items()]
     none = F.lit(None).cast("struct<kind:string,severity:string,term:string>")
     found = df.select(id_col, flat.alias("_flat"), text.alias("_text")) \
-        .select(id_col, F.explode(F.array_except(F.array(*tests), F.array(none))).alias("f"))
+        .select(id_col, F.explode(F.array_except(F.concat(*tests), F.array(none))).alias("f"))
     return found.select(id_col, "f.*")

@@ -71,8 +71,11 @@ def denylist(df: DataFrame, domains: Sequence[str], key: str = "domain") -> Data
 
 def filter_places(df: DataFrame, state: str | None = None, city: str | None = None,
                   min_population: int | None = None) -> DataFrame:
-    """Places with five-digit codes by state, part of the city name and population."""
-    df = df.withColumn("zip", F.lpad("zip", 5, "0"))
+    """Places with five-digit codes by state, part of the city name and population.
+
+    Short codes are padded; longer ones are no codes and drop out.
+    """
+    df = df.where(F.length("zip") <= 5).withColumn("zip", F.lpad("zip", 5, "0"))
     if state:
         df = df.where(F.upper("state") == state.upper())
     if city:
@@ -256,9 +259,14 @@ def _bucket_columns(prefix: str) -> dict[str, str]:
     return {b: prefix + b.replace("-", "_").replace("+", "_plus") for b in BUCKETS}
 
 
-def team_matrix(df: DataFrame, key: str = "domain") -> DataFrame:
-    """Sales bucket × marketing bucket over distinct companies, with totals both ways."""
-    per = df.groupBy(key).agg(F.max("sales_count").alias("s"), F.max("marketing_count").alias("m"))
+def team_matrix(df: DataFrame, key: str = "domain", relevance: str | None = None) -> DataFrame:
+    """Sales bucket × marketing bucket over distinct companies, with totals both ways.
+
+    ``relevance`` cuts to the companies whose best list row has it.
+    """
+    per = df.groupBy(key).agg(F.max("sales_count").alias("s"), F.max("marketing_count").alias("m"),
+                              *([F.min("relevance").alias("best")] if relevance else []))
+    per = per.where(F.col("best") == relevance) if relevance else per
     cells = per.select(F.coalesce(count_bucket(F.col("s")), F.lit("unknown")).alias("sales_bucket"),
                        count_bucket(F.col("m")).alias("m"))
     marks = [F.count_if(F.col("m") == b).alias(name) for b, name in _bucket_columns("m_").items()]
@@ -396,8 +404,10 @@ def known_vs_new(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
 # --- similarity ------------------------------------------------------------------------
 
 def lookalike(vectors: DataFrame, seeds: DataFrame, id_col: str, vector: str, k: int,
-              cuts: Sequence[tuple[float, str]] = ((0.6, "A"), (0.3, "B"))) -> DataFrame:
-    """The ``k`` rows most like the centroid of the seeds, seeds left out.
+              cuts: Sequence[tuple[float, str]] = ((0.6, "A"), (0.3, "B")), countries: Sequence[str] = (),
+              headcount: tuple[int, int] | None = None) -> DataFrame:
+    """The ``k`` rows most like the centroid of the seeds, seeds left out, of the given
+    ``countries`` (column country) and ``headcount`` range (column headcount).
 
     The centroid has one number per dimension and enters the scan as a scalar subquery, so
     vectors are scored in place and only the best ``k`` per task travel.
@@ -405,7 +415,12 @@ def lookalike(vectors: DataFrame, seeds: DataFrame, id_col: str, vector: str, k:
     chosen = vectors.join(seeds.select(id_col).distinct(), id_col, "left_semi")
     per_dim = chosen.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
     centroid = per_dim.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda e: e["m"]).alias("c"))
-    others = vectors.join(seeds.select(id_col).distinct(), id_col, "left_anti").withColumn("_c", centroid.scalar())
+    others = vectors.join(seeds.select(id_col).distinct(), id_col, "left_anti")
+    if countries:
+        others = others.where(F.col("country").isin(*countries))
+    if headcount:
+        others = others.where(F.col("headcount").between(*headcount))
+    others = others.withColumn("_c", centroid.scalar())
 
     def dot(a: Column, b: Column) -> Column:
         return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)

@@ -21,6 +21,8 @@ DECISION_VALUES = {
     "employer_confidence": ("unreviewed", "verified", "likely", "hidden", "uncertain"),
     "campaign_action": ("review", "contact", "hold", "exclude"),
 }
+# Fields that must be lists of texts.
+DECISION_LISTS = ("prospecting_markets", "outbound_motions")
 DECISION_DEFAULTS = {"prospecting_scope": "unknown", "campaign_action": "review"}
 
 # Row constraints of a company profile. As in a database, a rule that
@@ -91,6 +93,7 @@ def validate_decisions(decisions: DataFrame, sources: DataFrame) -> DataFrame:
     rules["confidence_range"] = is_true(F.col("fit_confidence").between(0, 1))
     rules["ungrounded_quote"] = F.col("_source").isNull() | F.forall(quotes, lambda q: quote_is_grounded(q, F.col("_source")))
     rules["missing_evidence"] = ~positive | (F.size(quotes) > 0)
+    rules |= {f"list_{c}": _is_list(decisions, c) for c in DECISION_LISTS if c in decisions.columns}
     checked = joined.withColumn("errors", row_errors(rules)).withColumn(
         "needs_human_review", F.coalesce("needs_human_review", F.col("fit_confidence") < 0.8))
     status = pipeline_status(*[F.col(c) for c in ("fit", "signal_fit", "account_fit", "company_region_fit",
@@ -98,6 +101,14 @@ def validate_decisions(decisions: DataFrame, sources: DataFrame) -> DataFrame:
     return checked.withColumn("pipeline_status", F.when(F.size("errors") == 0, status)).drop("_source")
 
 
+def _is_list(df: DataFrame, col: str) -> Column:
+    """Null, an array, or text that is a JSON array."""
+    if dict(df.dtypes)[col].startswith("array"):
+        return F.lit(True)
+    text = F.trim(F.col(col).cast("string"))
+    return F.col(col).isNull() | (text.startswith("[") & F.from_json(text, "array<string>").isNotNull())
+
+
 def split_valid(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows without the error column, rejected rows with it)."""
     return checked.where(F.size("errors") == 0).drop("errors"), checked.where(F.size("errors") > 0)
@@ -131,8 +142,8 @@ def consensus_fields(left: Column, right: Column, fields: Sequence[str]) -> Colu
 
 
 def subcat_agree(verifications: DataFrame, labels: DataFrame) -> DataFrame:
-    """Verifier against classifier by domain; null where the classifier said nothing."""
-    verdict = F.coalesce("verify_label", "subcat").alias("subcat_verify")
+    """Verifier against classifier by domain; null where the classifier said nothing. A blank verdict counts as none."""
+    verdict = F.coalesce(F.nullif(F.trim("verify_label"), F.lit("")), "subcat").alias("subcat_verify")
     return verifications.select("domain", verdict).join(
         labels.select("domain", F.col("subcat").alias("classified"), F.lit(True).alias("_has")), "domain", "left") \
         .withColumn("subcat_agree", F.when(F.col("_has"), F.col("classified").eqNullSafe(F.col("subcat_verify")))).drop("_has")

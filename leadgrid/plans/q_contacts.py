@@ -82,7 +82,17 @@ def cap_per_company(t):
                                     [F.asc("seniority"), F.asc("id")], 3)
 
 
-@query("dedupe_either_key")
+# Rounds over all rows: an undecided row that is first for each of its keys is kept, rows that share a key with it go.
+@query("dedupe_either_key", """WITH RECURSIVE s(round, id, linkedin_url, email, k1, k2, st) AS (
+      SELECT 0, id, linkedin_url, email, nullif(linkedin_url, ''), nullif(email, ''),
+        CASE WHEN nullif(linkedin_url, '') IS NULL AND nullif(email, '') IS NULL THEN 'kept' ELSE 'open' END FROM contacts
+      UNION ALL
+      SELECT round + 1, id, linkedin_url, email, k1, k2, CASE WHEN st <> 'open' THEN st WHEN wins THEN 'kept'
+        WHEN (k1 IS NOT NULL AND bool_or(wins) OVER (PARTITION BY k1)) OR (k2 IS NOT NULL AND bool_or(wins) OVER (PARTITION BY k2)) THEN 'gone' ELSE 'open' END
+      FROM (SELECT *, st = 'open' AND (k1 IS NULL OR id = first1) AND (k2 IS NULL OR id = first2) AS wins FROM (
+        SELECT *, min(CASE WHEN st = 'open' THEN id END) OVER (PARTITION BY k1) AS first1,
+          min(CASE WHEN st = 'open' THEN id END) OVER (PARTITION BY k2) AS first2, bool_or(st = 'open') OVER () AS more FROM s) WHERE more))
+    SELECT id, linkedin_url, email FROM s WHERE st = 'kept' AND round = (SELECT max(round) FROM s)""")
 def dedupe_either_key(t):
     people = t("contacts").select("id", "linkedin_url", "email")
     return contacts.dedupe_either_key(people, "id", ["linkedin_url", "email"])

@@ -195,8 +195,8 @@ def angle_performance(t):
     p AS (SELECT 'campaign' AS level, campaign_id, week, sum(s)::BIGINT AS sent, sum(r)::BIGINT AS replies FROM f GROUP BY ALL
       UNION ALL SELECT 'fleet', NULL, week, sum(s)::BIGINT, sum(r)::BIGINT FROM f GROUP BY week),
     q AS (SELECT *, {rate('replies', 'sent', 100)} AS rr FROM p),
-    w AS (SELECT *, avg(rr) OVER (PARTITION BY level, campaign_id ORDER BY week ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS mean4,
-      lag(rr) OVER (PARTITION BY level, campaign_id ORDER BY week) AS prev FROM q)
+    w AS (SELECT *, avg(rr) OVER (PARTITION BY level, campaign_id ORDER BY week RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS mean4,
+      avg(rr) OVER (PARTITION BY level, campaign_id ORDER BY week RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 7 DAY PRECEDING) AS prev FROM q)
     SELECT level, campaign_id, week, sent, replies, coalesce(rr < mean4 * 0.5, false) AS real_drop, coalesce(rr < prev * 0.7, false) AS week_drop FROM w""")
 def reply_drop(t):
     return delivery.reply_drop(t("sends"), t("replies"))
@@ -224,7 +224,8 @@ def inbox_health_counts(t):
 @query("least_used_inboxes", """SELECT inbox_id, coalesce(daily_sent, 0) AS sent_today FROM inboxes WHERE tag = 'active' AND smtp_ok AND NOT is_blocked
     ORDER BY coalesce(daily_sent, 0), inbox_id LIMIT 25""")
 def least_used_inboxes(t):
-    return delivery.least_used_inboxes(t("inboxes"), "active", 25).select("inbox_id", F.coalesce("daily_sent", F.lit(0)).alias("sent_today"))
+    tagged = t("inboxes").withColumn("tags", F.array(F.lit("all"), "tag"))
+    return delivery.least_used_inboxes(tagged, "active", 25).select("inbox_id", F.coalesce("daily_sent", F.lit(0)).alias("sent_today"))
 
 
 _AUTH = """a AS (SELECT domain, bool_or(contains(value, 'v=spf1')) AS spf_present, bool_or(contains(value, '-all')) AS spf_strict,
@@ -254,14 +255,20 @@ def campaign_verdict(t):
 @query("experiment_verdict", f"""WITH e AS (SELECT campaign_id // 2 AS experiment_id, sum(sent) FILTER (WHERE campaign_id % 2 = 0) AS cs, sum(sent) FILTER (WHERE campaign_id % 2 = 1) AS vs,
       sum(replies) FILTER (WHERE campaign_id % 2 = 0) AS cp, sum(replies) FILTER (WHERE campaign_id % 2 = 1) AS vp, sum(bounces) FILTER (WHERE campaign_id % 2 = 0) AS cb,
       sum(bounces) FILTER (WHERE campaign_id % 2 = 1) AS vb FROM inbox_stats GROUP BY 1),
-    l AS (SELECT *, {rate('vp', 'vs')} / nullif({rate('cp', 'cs')}, 0) - 1 AS lift FROM e)
-    SELECT experiment_id, {rnd('lift * 100', 2)} AS lift_pct, CASE WHEN cs < 500 OR vs < 500 THEN 'too_small' WHEN cb > 0 AND {rate('vb', 'vs')} >= 2 * {rate('cb', 'cs')} THEN 'disqualified'
+    e2 AS (FROM e UNION ALL SELECT -1 - experiment_id, cs, vs, cp, vp, 0, vb FROM e),
+    l AS (SELECT *, {rate('vp', 'vs')} / nullif({rate('cp', 'cs')}, 0) - 1 AS lift FROM e2)
+    SELECT experiment_id, {rnd('lift * 100', 2)} AS lift_pct, CASE WHEN cs < 500 OR vs < 500 THEN 'too_small' WHEN vb > 0 AND {rate('vb', 'vs')} >= 2 * {rate('cb', 'cs')} THEN 'disqualified'
       WHEN lift IS NULL THEN 'inconclusive' WHEN lift < 0 THEN 'loser' WHEN experiment_id % 4 = 0 AND lift >= 0.1 THEN 'split_follow_up' WHEN lift >= 0.2 THEN 'adopt'
       WHEN lift >= 0.1 THEN 'replicate' ELSE 'inconclusive' END AS verdict FROM l""")
 def experiment_verdict(t):
     arms = t("inbox_stats").select(
         F.expr("campaign_id div 2").alias("experiment_id"), F.expr("CASE WHEN campaign_id % 2 = 0 THEN 'control' ELSE 'variant' END").alias("arm"),
         "sent", F.col("replies").alias("positive"), "bounces", F.expr("(campaign_id div 2) % 4 = 0").alias("combined"))
+    # The same experiments again, with controls that never bounced.
+    clean = arms.select((-1 - F.col("experiment_id")).alias("experiment_id"), "arm", "sent", "positive",
+                        F.when(F.col("arm") == "variant", F.col("bounces")).otherwise(0).alias("bounces"),
+                        (F.expr("(-1 - experiment_id) % 4") == 0).alias("combined"))
+    arms = arms.unionByName(clean)
     return delivery.experiment_verdict(arms).select("experiment_id", "lift_pct", "verdict")
 
 

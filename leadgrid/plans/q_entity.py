@@ -132,7 +132,11 @@ def outbound_ready(t):
     return entity.outbound_ready(*build(t, written)).select("domain", "name", "outbound_fit", "n_contacts")
 
 
-_COUNTS = ", ".join(f"count(*) FILTER (WHERE {rule}) AS {name}" for name, rule in entity.COVERAGE.items())
+_COUNTS = """count(*) AS total_companies, count(CASE WHEN has_linkedin THEN 1 END) AS with_linkedin_url,
+    count(CASE WHEN employees_on_linkedin >= 1 THEN 1 END) AS with_employee_headcount, count(CASE WHEN linkedin_contacts >= 1 THEN 1 END) AS with_linkedin_contacts,
+    count(CASE WHEN has_contacts THEN 1 END) AS with_any_contact, count(CASE WHEN crawled THEN 1 END) AS crawled,
+    count(CASE WHEN classified THEN 1 END) AS classified, count(CASE WHEN is_b2b THEN 1 END) AS b2b,
+    count(CASE WHEN outbound_fit = 'high' OR outbound_fit = 'medium' THEN 1 END) AS outbound_fit_ok"""
 
 
 @query("coverage", f"WITH {COMPANY} SELECT {_COUNTS} FROM company")
@@ -141,7 +145,7 @@ def coverage(t):
 
 
 @query("coverage_report", f"""WITH {COMPANY}, wide AS (SELECT {_COUNTS} FROM company)
-    SELECT metric, value FROM (UNPIVOT wide ON {', '.join(entity.COVERAGE)} INTO NAME metric VALUE value)
+    SELECT metric, value FROM (UNPIVOT wide ON COLUMNS(*) INTO NAME metric VALUE value)
     UNION ALL SELECT 'contacts', count(*) FROM contact UNION ALL SELECT 'with_email', count(email) FROM contact
     UNION ALL SELECT 'with_linkedin', count(linkedin_url) FROM contact
     UNION ALL SELECT 'outbound_ready', count(*) FROM company c WHERE is_b2b IS TRUE AND outbound_fit IN ('high', 'medium')

@@ -49,11 +49,13 @@ def denylist(t):
 
 
 @query("filter_places", """SELECT lpad(c_custkey::VARCHAR, 5, '0') AS zip, c_name AS city FROM customer
-    WHERE c_mktsegment = 'BUILDING' AND contains(c_name, '00001') AND c_acctbal >= 1000""")
+    WHERE c_mktsegment = 'BUILDING' AND contains(c_name, '00001') AND c_acctbal >= 1000 AND c_custkey < 100000""")
 def filter_places(t):
     places = t("customer").select(F.col("c_custkey").cast("string").alias("zip"), F.col("c_name").alias("city"),
                                   F.col("c_mktsegment").alias("state"), F.col("c_acctbal").alias("population"))
-    return lists.filter_places(places, "building", "R#0000", 1000).where("contains(city, '00001')").select("zip", "city")
+    # The same places again under codes that are too long.
+    places = places.unionByName(places.withColumn("zip", F.concat(F.lit("9"), F.lpad("zip", 5, "0"))))
+    return lists.filter_places(places, "building", "00001", 1000).select("zip", "city")
 
 
 _BAD = r"regexp_matches(coalesce(job_title, ''), '(?i)\bintern(ship)?\b|\bassistant\b|\bcoordinator\b|\bstudent\b|\bpart.time\b|\bretired\b|\btrainee\b')"
@@ -189,16 +191,22 @@ def department_totals(t):
     return lists.department_totals(lists.department_plan(keyed(t), _DEPTS, ["co3.example.com"]), _DEPTS)
 
 
-_CELLS = ", ".join(f"count(*) FILTER (WHERE m = '{b}') AS {n}" for b, n in lists._bucket_columns("m_").items())
+_CELLS = """count(*) FILTER (WHERE m = '0') AS m_0, count(*) FILTER (WHERE m = '1-2') AS m_1_2, count(*) FILTER (WHERE m = '3-10') AS m_3_10,
+    count(*) FILTER (WHERE m = '11-50') AS m_11_50, count(*) FILTER (WHERE m = '50+') AS m_50_plus"""
 
 
-@query("team_matrix", f"""WITH {LC}, c AS (SELECT coalesce({bucket('max(sales_count)')}, 'unknown') AS sales_bucket, {bucket('max(marketing_count)')} AS m FROM lc GROUP BY domain)
-    SELECT sales_bucket, {_CELLS}, count(*) AS total FROM c GROUP BY 1 UNION ALL SELECT 'total', {_CELLS}, count(*) FROM c""")
+@query("team_matrix", f"""WITH {LC}, c AS (SELECT coalesce({bucket('max(sales_count)')}, 'unknown') AS sales_bucket, {bucket('max(marketing_count)')} AS m, min(relevance) AS rel FROM lc GROUP BY domain)
+    SELECT 'all' AS cut, sales_bucket, {_CELLS}, count(*) AS total FROM c GROUP BY 2 UNION ALL SELECT 'all', 'total', {_CELLS}, count(*) FROM c
+    UNION ALL SELECT 'A', sales_bucket, {_CELLS}, count(*) FROM c WHERE rel = 'A' GROUP BY 2
+    UNION ALL SELECT 'A', 'total', {_CELLS}, count(*) FROM c WHERE rel = 'A'""")
 def team_matrix(t):
-    return lists.team_matrix(keyed(t))
+    rows = keyed(t)
+    cut = lists.team_matrix(rows, relevance="A").select(F.lit("A").alias("cut"), "*")
+    return lists.team_matrix(rows).select(F.lit("all").alias("cut"), "*").unionByName(cut)
 
 
-_SCELLS = ", ".join(f"count(*) FILTER (WHERE {bucket('s')} = '{b}') AS {n}" for b, n in lists._bucket_columns("s_").items())
+_SCELLS = """count(*) FILTER (WHERE s = 0) AS s_0, count(*) FILTER (WHERE s IN (1, 2)) AS s_1_2, count(*) FILTER (WHERE s BETWEEN 3 AND 10) AS s_3_10,
+    count(*) FILTER (WHERE s BETWEEN 11 AND 50) AS s_11_50, count(*) FILTER (WHERE s > 50) AS s_50_plus"""
 
 
 @query("vertical_matrix", f"""WITH {LC}, fit AS (SELECT DISTINCT {nd('domain')} AS domain FROM profiles WHERE outbound_fit IN ('high', 'medium') AND is_b2b
@@ -321,8 +329,10 @@ def known_vs_new(t):
     dims AS (SELECT i, avg(embedding[i]::DOUBLE) AS m FROM seed, (SELECT unnest(range(1, (SELECT max(len(embedding)) + 1 FROM embeddings))) AS i) GROUP BY 1),
     cent AS (SELECT list(m ORDER BY i) AS c FROM dims)
     SELECT vec_id, floor(s * 10000 + 0.5)::BIGINT AS score, CASE WHEN s >= 0.2 THEN 'A' WHEN s >= 0.1 THEN 'B' ELSE 'C' END AS relevance FROM (
-      SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], c) AS s FROM embeddings, cent WHERE label <> 3) ORDER BY s DESC, vec_id LIMIT 50""")
+      SELECT vec_id, list_cosine_similarity(embedding::DOUBLE[], c) AS s FROM embeddings, cent WHERE label <> 3 AND label % 4 IN (0, 1)
+        AND vec_id % 300 BETWEEN 20 AND 250) ORDER BY s DESC, vec_id LIMIT 50""")
 def lookalike(t):
     seeds = t("embeddings").where("label = 3").select("vec_id")
-    out = lists.lookalike(t("embeddings"), seeds, "vec_id", "embedding", 50, ((0.2, "A"), (0.1, "B")))
+    firms = t("embeddings").withColumns({"country": F.concat(F.lit("c"), F.col("label") % 4), "headcount": F.col("vec_id") % 300})
+    out = lists.lookalike(firms, seeds, "vec_id", "embedding", 50, ((0.2, "A"), (0.1, "B")), ["c0", "c1"], (20, 250))
     return out.select("vec_id", F.floor(F.col("score") * 10000 + 0.5).alias("score"), "relevance")

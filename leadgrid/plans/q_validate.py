@@ -9,7 +9,27 @@ from leadgrid.plans.registry import query
 from leadgrid.plans.sqltext import nd, rate, rnd, sp
 from leadgrid.sources import tables
 
-_BROKEN = ", ".join(f"CASE WHEN NOT coalesce({r}, true) THEN '{n}' END" for n, r in validate.PROFILE_RULES.items())
+# The profile constraints in words of their own: each expression is true for a row that breaks the rule.
+_ACCEPTED = "coalesce(profile_status, '') = 'accepted'"
+_BREAKS = {
+    "business_model_value": "business_model NOT IN ('b2b', 'b2c', 'mixed', 'noncommercial', 'unclear')",
+    "entity_type_value": "entity_type NOT IN ('company', 'government', 'education', 'nonprofit', 'media_or_directory', 'unclear')",
+    "confidence_value": "confidence NOT IN ('high', 'medium', 'low')",
+    "sales_economics_value": "sales_economics NOT IN ('strong', 'plausible', 'weak', 'not_applicable', 'unclear')",
+    "outbound_fit_value": "outbound_fit NOT IN ('high', 'medium', 'low', 'unclear')",
+    "outbound_scope_value": "outbound_scope NOT IN ('companywide', 'b2b_line_only', 'none', 'unclear')",
+    "status_value": "profile_status NOT IN ('pending', 'processing', 'needs_review', 'accepted', 'failed', 'not_profileable', 'stale')",
+    "b2b_consistency": """CASE WHEN business_model IN ('b2b', 'mixed') THEN is_b2b IS DISTINCT FROM true
+        WHEN business_model IN ('b2c', 'noncommercial') THEN is_b2b IS DISTINCT FROM false
+        WHEN business_model = 'unclear' THEN is_b2b IS NOT NULL WHEN business_model IS NULL THEN false ELSE true END""",
+    "accepted_complete": f"{_ACCEPTED} AND (business_model IS NULL OR outbound_fit IS NULL OR confidence IS NULL)",
+    "b2b_line": f"{_ACCEPTED} AND business_model IN ('b2b', 'mixed') AND b2b_line_present IS DISTINCT FROM true",
+    "noncommercial_economics": f"{_ACCEPTED} AND business_model = 'noncommercial' AND sales_economics <> 'not_applicable'",
+    "noncommercial_fit": f"{_ACCEPTED} AND business_model = 'noncommercial' AND outbound_fit <> 'low'",
+    "scope_needs_line": f"{_ACCEPTED} AND outbound_scope IN ('companywide', 'b2b_line_only') AND b2b_line_present IS DISTINCT FROM true",
+    "no_scope_no_line": f"{_ACCEPTED} AND outbound_scope = 'none' AND b2b_line_present IS DISTINCT FROM false",
+}
+_BROKEN = ", ".join(f"CASE WHEN {broken} THEN '{n}' END" for n, broken in _BREAKS.items())
 
 
 @query("validate_profiles", f"SELECT profile_id, concat_ws(',', {_BROKEN}) AS errors FROM profiles")
@@ -18,8 +38,8 @@ def validate_profiles(t):
 
 
 @query("constraint_report", " UNION ALL ".join(
-    [f"SELECT '{n}' AS rule, count(*) FILTER (WHERE NOT coalesce({r}, true)) AS violations FROM profiles" for n, r in validate.PROFILE_RULES.items()] +
-    ["SELECT 'unique_domain', count(*) FROM (SELECT domain FROM profiles GROUP BY 1 HAVING count(*) > 1)",
+    [f"SELECT '{n}' AS rule, count(*) FILTER (WHERE {broken}) AS violations FROM profiles" for n, broken in _BREAKS.items()] +
+    ["SELECT 'unique_domain', count(*) FROM (SELECT domain FROM (SELECT lower(domain) AS domain FROM profiles) GROUP BY 1 HAVING count(*) > 1)",
      "SELECT 'crawl_exists', count(*) FROM profiles WHERE lower(domain) NOT IN (SELECT lower(domain) FROM crawl_log)"]))
 def constraint_report(t):
     crawls = t("crawl_log").select(F.lower("domain").alias("domain"))
@@ -33,6 +53,7 @@ _DECISION = """SELECT doc_id, CAST(doc_id + CASE WHEN doc_id % 40 = 0 THEN 10000
     CASE WHEN doc_id % 11 = 0 THEN 'foreign' ELSE 'home' END AS company_region_fit, CAST(NULL AS STRING) AS prospecting_scope,
     'likely' AS employer_confidence, CASE WHEN doc_id % 2 = 0 THEN 'contact' END AS campaign_action,
     CASE WHEN doc_id % 13 = 0 THEN 1.5 ELSE (doc_id % 10) / 10 END AS fit_confidence,
+    CASE WHEN doc_id % 17 = 0 THEN 'not a list' WHEN doc_id % 17 = 1 THEN '["national", "b"]' END AS prospecting_markets,
     CASE WHEN doc_id % 6 = 0 THEN 'an invented quote' WHEN doc_id % 6 <> 1 THEN upper(substr(text, 3, 30)) END AS quote, text FROM documents"""
 
 
@@ -42,7 +63,8 @@ _DECISION = """SELECT doc_id, CAST(doc_id + CASE WHEN doc_id % 40 = 0 THEN 10000
     e AS (SELECT *, concat_ws(',', CASE WHEN fit = 'great' THEN 'invalid_fit' END, CASE WHEN account_fit = 'maybe' THEN 'invalid_account_fit' END,
       CASE WHEN NOT known THEN 'unknown_source' END, CASE WHEN fit_confidence > 1 THEN 'confidence_range' END,
       CASE WHEN known AND quote IS NOT NULL AND NOT contains(replace(lower({sp('text')}), 'ß', 'ss'), replace(lower({sp('quote')}), 'ß', 'ss')) THEN 'ungrounded_quote' END,
-      CASE WHEN (fit IN ('high', 'medium') OR signal_fit = 'high') AND quote IS NULL THEN 'missing_evidence' END) AS errors FROM d)
+      CASE WHEN (fit IN ('high', 'medium') OR signal_fit = 'high') AND quote IS NULL THEN 'missing_evidence' END,
+      CASE WHEN prospecting_markets = 'not a list' THEN 'list_prospecting_markets' END) AS errors FROM d)
     SELECT doc_id, errors, review AS needs_human_review, CASE WHEN errors <> '' THEN NULL WHEN company_region_fit = 'foreign' THEN 'not_fit'
       WHEN signal_fit = 'high' THEN CASE WHEN campaign_action = 'contact' AND account_fit = 'high' AND NOT review THEN 'ready_for_contact' ELSE 'qualified' END
       WHEN fit NOT IN ('high', 'medium') THEN 'not_fit' WHEN review THEN 'qualified' ELSE 'ready_for_contact' END AS pipeline_status FROM e""")
@@ -96,10 +118,13 @@ def attach_verifier(t):
     return validate.attach_verifier(*_verdicts(t)).drop("lang")
 
 
-@query("subcat_agree", f"""WITH {_VERDICTS} SELECT domain, coalesce(verify_label, '?') AS subcat_verify, label AS classified,
-    CASE WHEN label IS NOT NULL THEN label = verify_label END AS subcat_agree FROM v LEFT JOIN l USING (domain)""")
+@query("subcat_agree", f"""WITH {_VERDICTS}, w AS (FROM v UNION ALL SELECT 'co' || doc_id, '?' FROM documents WHERE doc_id % 3 = 0)
+    SELECT domain, verify_label AS subcat_verify, label AS classified,
+    CASE WHEN label IS NOT NULL THEN label = verify_label END AS subcat_agree FROM w LEFT JOIN l USING (domain)""")
 def subcat_agree(t):
     labels, checks = _verdicts(t)
+    blank = t("documents").where("doc_id % 3 = 0").select(F.concat(F.lit("co"), "doc_id").alias("domain"), F.lit(" ").alias("verify_label"))
+    checks = checks.unionByName(blank)
     return validate.subcat_agree(checks.withColumn("subcat", F.lit("?")), labels.withColumnRenamed("label", "subcat"))
 
 
@@ -136,7 +161,8 @@ def queue_filter(t):
                                ["entity_type"], ["business_model"]).select("profile_id")
 
 
-@query("upsert", f"""WITH u AS (SELECT {nd('domain')} AS domain, max(name) AS name, max(employee_count) AS n FROM companies GROUP BY 1),
+@query("upsert", f"""WITH u AS (SELECT {nd('domain')} AS domain, employee_count AS n FROM companies
+      QUALIFY row_number() OVER (PARTITION BY {nd('domain')} ORDER BY id DESC) = 1),
     b AS (SELECT {nd('domain')} AS domain, max(name) AS name, max(staff_linkedin) AS n, max(source) AS source FROM list_companies GROUP BY 1)
     SELECT coalesce(b.domain, u.domain) AS domain, b.name, CASE WHEN u.domain IS NOT NULL THEN u.n ELSE b.n END AS n, b.source
     FROM (SELECT * FROM b WHERE domain IS NOT NULL) b FULL JOIN (SELECT * FROM u WHERE domain IS NOT NULL) u ON b.domain = u.domain""")
@@ -144,8 +170,10 @@ def upsert(t):
     from leadgrid.operators.entity import with_domain
     base = with_domain(t("list_companies")).groupBy(F.col("nd").alias("domain")).agg(
         F.max("name").alias("name"), F.max("staff_linkedin").alias("n"), F.max("source").alias("source"))
-    updates = with_domain(t("companies")).groupBy(F.col("nd").alias("domain")).agg(F.max("employee_count").alias("n"))
-    return tables.upsert(base, updates, ["domain"])
+    # Every company twice: its older row has the smaller id and must not win.
+    now = with_domain(t("companies")).where("nd IS NOT NULL").select(F.col("nd").alias("domain"), F.col("employee_count").alias("n"), "id")
+    updates = now.unionByName(now.select("domain", F.lit(-1).alias("n"), (F.col("id") - 1_000_000_000).alias("id")))
+    return tables.upsert(base.where("domain IS NOT NULL"), updates, ["domain"], "id")
 
 
 @query("patch", """SELECT c_custkey, CASE WHEN n IS NULL THEN c_acctbal ELSE mx END AS c_acctbal, CASE WHEN n IS NULL THEN DATE '2024-01-01' ELSE DATE '2024-06-01' END AS updated_at

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from leadgrid.plans.standins import STANDINS, TABLES, with_standins
-from leadgrid.sources.tables import spread_small
 
-# Tables whose queries are CPU-heavy per row.
+# Tables whose queries are CPU-heavy per row, and the setting that spreads them over so many partitions.
+# It is for runs on a few unsplit files, such as the bench; on a cluster it stays unset.
 TEXT_TABLES = ("documents", "pages", "conversations")
+TEXT_PARTITIONS = "spark.leadgrid.textPartitions"
 
 
 class Tables:
@@ -27,7 +28,8 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         if name in TABLES:
             df = self.spark.read.parquet(self.path(name))
-            return spread_small(df) if name in TEXT_TABLES else df
+            parts = self.spark.conf.get(TEXT_PARTITIONS, None) if name in TEXT_TABLES else None
+            return df.repartition(int(parts)) if parts else df
         needs, sql = STANDINS[name]
         return self.spark.sql(sql, **{n: self(n) for n in needs})
 

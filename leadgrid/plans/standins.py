@@ -186,6 +186,8 @@ def with_standins(sql: str) -> str:
     if not ctes:
         return sql.strip()
     body = sql.strip()
+    if body[:15].lower() == "with recursive ":
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body[:5].lower() == "with ":
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType, _parse_datatype_string
 
 # The lead file contract.
 LEAD_COLUMNS = ("email", "first_name", "last_name", "job_title", "seniority", "linkedin_url", "company_name",
@@ -12,27 +12,24 @@ LEAD_COLUMNS = ("email", "first_name", "last_name", "job_title", "seniority", "l
                 "company_location", "email_status", "source", "source_id")
 
 
-def read_items(spark: SparkSession, path: str, schema: StructType | str, layout: str = "auto") -> DataFrame:
-    """JSON array, JSON lines, or a folder of ``*.json`` of either kind; empty files add nothing.
+def read_items(spark: SparkSession, path: str, schema: StructType | str, layout: str = "lines") -> DataFrame:
+    """JSON items of a file or of a folder of ``*.json``; empty files add nothing.
 
-    Files of lines are split and read in parallel. Only files that hold one document, which
-    start with a bracket, are read whole, one task per file. ``layout`` may state ``lines`` or
-    ``array`` when it is known, which saves the look at every file.
+    ``lines``: one object per line, files are split and read in parallel. ``array``: one array
+    or object per file. ``mixed``: files of either kind; each is read whole and parsed by its
+    first character, in the task that read it.
     """
-    if layout != "auto":
+    if layout in ("lines", "array"):
         return spark.read.schema(schema).option("multiLine", layout == "array").json(path, pathGlobFilter=_glob(path))
-    lines = spark.read.schema("value string").text(path, pathGlobFilter=_glob(path)) \
-        .withColumn("file", F.col("_metadata.file_path"))
-    kinds = lines.where(F.trim("value") != "").groupBy("file").agg(
-        F.max(F.ltrim("value").startswith("[")).alias("is_array")).collect()  # one row per input file
-    arrays = [r["file"] for r in kinds if r["is_array"]]
-    plain = [r["file"] for r in kinds if not r["is_array"]]
-    out = spark.createDataFrame([], schema)
-    if arrays:
-        out = out.unionByName(spark.read.schema(schema).option("multiLine", True).json(arrays))
-    if plain:
-        out = out.unionByName(spark.read.schema(schema).json(plain))
-    return out
+    if layout != "mixed":
+        raise ValueError(f"unknown layout {layout}")
+    item = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
+    files = spark.read.schema("value string").text(path, wholetext=True, pathGlobFilter=_glob(path))
+    body = F.btrim("value", F.lit(" \r\n\t"))
+    whole = F.from_json(body, ArrayType(item))
+    lines = F.transform(F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.from_json(x, item))
+    items = F.when(body.startswith("["), whole).otherwise(lines)
+    return files.select(F.explode(items).alias("item")).select("item.*")
 
 
 def _glob(path: str) -> str:

@@ -14,27 +14,22 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when the input has fewer splits than cores.
-
-    Meant for CPU-heavy text work on a few small files. A large input already has more
-    splits than cores and passes through untouched, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Insert new keys and overwrite only the columns that ``updates`` provides.
 
-    Both sides hold one row per key, so the full outer join cannot skew. A provided null
-    overwrites. The result is a new table: write it to a fresh path and swap.
+    Both sides hold one row per key, so the full outer join cannot skew. Of updates that repeat
+    a key the one with the largest ``order`` counts; without ``order`` a repeated key fails the
+    job. A provided null overwrites. The result is a new table: write it to a fresh path and swap.
     """
-    given = [c for c in updates.columns if c not in keys]
+    given = [c for c in updates.columns if c not in keys and c != order]
     unknown = [c for c in given if c not in base.columns]
     if unknown:
         raise ValueError(f"unknown columns {unknown}")
-    fresh = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in given], F.lit(True).alias("_hit"))
+    row = F.struct(*given)
+    one = F.max_by(row, order) if order else F.when(
+        F.count(F.lit(1)) > 1, F.raise_error(F.lit("an update key is repeated"))).otherwise(F.any_value(row))
+    fresh = updates.groupBy(*keys).agg(one.alias("_row")) \
+        .select(*keys, *[F.col(f"_row.{c}").alias(f"_u_{c}") for c in given], F.lit(True).alias("_hit"))
     joined = base.join(fresh, list(keys), "full_outer")
     out = [F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
            for c in base.columns]

@@ -383,7 +383,7 @@ def test_read_items_all_shapes(spark, tmp_path):
     (tmp_path / "a.json").write_text('[{"id": "1"},\n {"id": "2"}]')
     (tmp_path / "b.json").write_text('{"id": "3"}\n{"id": "4"}\n')
     (tmp_path / "c.json").write_text("")
-    got = files.read_items(spark, str(tmp_path), "id string")
+    got = files.read_items(spark, str(tmp_path), "id string", "mixed")
     assert sorted(r["id"] for r in got.collect()) == ["1", "2", "3", "4"]
 
 
