@@ -12,6 +12,7 @@ from leadgrid.functions.bands import is_true, seniority_alias
 from leadgrid.functions.keys import email_domain
 from leadgrid.functions.text import any_term, blank_to_null, normalize_text
 from leadgrid.operators.grouping import best_k_per_key, best_per_key, lookup_join
+from leadgrid.operators.rules import persona_titles
 from leadgrid.session import cut_lineage
 
 SMALL_COMPANY = 20
@@ -169,30 +170,46 @@ def engagers(engagements: DataFrame, insiders: DataFrame, as_of: Column, days: i
         F.max("ts").alias("last_at")).orderBy(F.desc("total"), F.asc("person"))
 
 
-def enrich_people(requests: DataFrame, people: DataFrame, request_id: str) -> DataFrame:
-    """Resolve people by e-mail, else LinkedIn, else name at domain, else phone.
+def _person_keys() -> Column:
+    """(place, key) of every way a person can be found, best first; a name needs all its parts."""
+    clean = lambda c: F.lower(F.trim(c))
+    named = F.when((F.col("first_name") != "") & (F.col("last_name") != ""),
+                   F.concat_ws("|", clean("first_name"), clean("last_name")))
+    found = [("email", 0, clean("email")), ("linkedin", 1, clean("linkedin_url")),
+             ("name", 2, F.concat(named, F.lit("|"), F.col("domain"))),
+             ("name", 2, F.concat(named, F.lit("|"), email_domain(F.col("email")))),
+             ("phone", 3, F.regexp_replace("phone", r"[^0-9+]", ""))]
+    keys = [F.when(key != "", F.struct(F.lit(place).alias("place"), F.concat(F.lit(f"{kind}:"), key).alias("key")))
+            for kind, place, key in found]
+    return F.array_distinct(F.array_compact(F.array(*keys)))
 
-    Each key is looked up in a table of one person per key (smallest id), so no lookup
-    multiplies rows. ``resolved_by`` names the key that answered; ``success`` says if any did.
+
+def enrich_people(requests: DataFrame, people: DataFrame, request_id: str, limit: int = 1) -> DataFrame:
+    """Resolve people by e-mail, else LinkedIn, else name at company or e-mail domain, else phone.
+
+    Keys are rows on both sides, so people are read and joined once; a key offers its
+    ``limit`` smallest ids at most. Of a request's keys the best kind that answers counts, and
+    gives up to ``limit`` people. ``resolved_by`` names it; ``success`` says if any answered.
     """
-    paths = {
-        "email": F.lower(F.trim("email")),
-        "linkedin": F.lower(F.trim("linkedin_url")),
-        "name": F.concat_ws("|", F.lower(F.trim("first_name")), F.lower(F.trim("last_name")), F.col("domain")),
-        "phone": F.regexp_replace("phone", r"[^0-9+]", ""),
-    }
-    # A name key needs all its parts.
-    paths["name"] = F.when((F.col("first_name") != "") & (F.col("last_name") != "") & F.col("domain").isNotNull(),
-                           paths["name"])
-    out = requests
-    for path, key in paths.items():
-        book = people.select(F.nullif(key, F.lit("")).alias("_key"), F.col("id")).where("_key IS NOT NULL") \
-            .groupBy("_key").agg(F.min("id").alias(f"_{path}"))
-        out = lookup_join(out.withColumn("_key", F.nullif(key, F.lit(""))), book, ["_key"], request_id).drop("_key")
-    found = [f"_{p}" for p in paths]
-    by = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(p)) for p, c in zip(paths, found)])
-    return out.select(*requests.columns, F.coalesce(*found).alias("person_id"), by.alias("resolved_by"),
-                      by.isNotNull().alias("success"))
+    book = people.select(F.explode(_person_keys()).alias("_k"), "id").select(F.col("_k.key").alias("_key"), "id").distinct()
+    book = best_k_per_key(book, ["_key"], [F.asc("id")], limit)
+    asked = requests.select(request_id, F.explode(_person_keys()).alias("_k")).select(request_id, "_k.place", F.col("_k.key").alias("_key"))
+    # At most ``limit`` people for each of five keys are gathered.
+    hits = asked.join(book, "_key").groupBy(request_id).agg(
+        F.min("place").alias("_best"), F.collect_set(F.struct("place", "id")).alias("_all"))
+    ids = F.slice(F.sort_array(F.transform(F.filter("_all", lambda h: h["place"] == F.col("_best")), lambda h: h["id"])), 1, limit)
+    answers = hits.select(request_id, "_best", F.explode(ids).alias("person_id"))
+    by = F.element_at(F.array(*[F.lit(k) for k in ("email", "linkedin", "name", "phone")]), F.col("_best") + 1)
+    return requests.join(answers, request_id, "left").withColumn("resolved_by", F.when(F.col("_best").isNotNull(), by)) \
+        .withColumn("success", F.col("_best").isNotNull()).drop("_best")
+
+
+def contact_per_persona(people: DataFrame, company: str, personas: Mapping[str, tuple[Sequence[str], Sequence[str]]],
+                        order: Sequence[Column], title: str = "title") -> DataFrame:
+    """The best contact of each company for each persona (name: included and excluded title words)."""
+    fits = F.array_compact(F.array(*[F.when(persona_titles(F.col(title), include, exclude), F.lit(name))
+                                     for name, (include, exclude) in personas.items()]))
+    return best_per_key(people.withColumn("persona", F.explode(fits)), [company, "persona"], order)
 
 
 # --- search -------------------------------------------------------------------

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from leadgrid.functions.bands import is_true
 from leadgrid.functions.keys import email_domain, name_key, norm_domain
-from leadgrid.operators.grouping import best_per_key, lookup_join, newest_struct
+from leadgrid.operators.grouping import best_per_key, computed_once, lookup_join, newest_struct
 
 FIT = ("high", "medium")
 
 
 def with_domain(df: DataFrame, source: str = "domain", out: str = "nd") -> DataFrame:
     """Rows whose normalized domain is valid, keyed by it (computed once)."""
-    return df.withColumn(out, norm_domain(F.col(source))).where(F.col(out).isNotNull())
+    return computed_once(df, out, norm_domain(F.col(source))).where(F.col(out).isNotNull())
 
 
 def distinct_sorted(col: str) -> Column:
@@ -44,8 +44,8 @@ def latest_per_key(df: DataFrame, key: str, id_col: str, time_col: str = "update
     return best_per_key(df, [key], [F.desc_nulls_last(time_col), F.asc(id_col)])
 
 
-def agg_with_best(lists: DataFrame, carried: Sequence[str]) -> DataFrame:
-    """Group aggregates plus the representative row's ``carried`` columns.
+def agg_with_best(lists: DataFrame, carried: Sequence[str], more: Sequence[Column] = ()) -> DataFrame:
+    """Group aggregates plus the representative row's ``carried`` columns, and ``more`` aggregates.
 
     One shuffle: the representative is a ``max_by`` in the same aggregation, not a join.
     """
@@ -55,7 +55,7 @@ def agg_with_best(lists: DataFrame, carried: Sequence[str]) -> DataFrame:
         F.max("sales_count").alias("sales_count"),
         F.max("marketing_count").alias("marketing_count"),
         distinct_sorted("niche").alias("niches"), distinct_sorted("source").alias("sources"),
-        best.alias("_best")).select("*", "_best.*").drop("_best")
+        best.alias("_best"), *more).select("*", "_best.*").drop("_best")
 
 
 def fill_from(base: DataFrame, key: str, fillers: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -71,11 +71,14 @@ def meta_fillers(lists: DataFrame) -> DataFrame:
 
     Text takes the greatest string; staff only digit strings above zero.
     """
+    return with_domain(lists).groupBy("nd").agg(*_fillers(""))
+
+
+def _fillers(prefix: str) -> list[Column]:
     staff = F.when(F.col("meta_staff").rlike("^[0-9]+$"), F.col("meta_staff").try_cast("int"))
-    return with_domain(lists).groupBy("nd").agg(
-        F.max("meta_linkedin").alias("linkedin_url"),
-        F.max("meta_revenue_range").alias("revenue_range"),
-        F.nullif(F.max(staff), F.lit(0)).alias("employees_on_linkedin"))
+    return [F.max("meta_linkedin").alias(f"{prefix}linkedin_url"),
+            F.max("meta_revenue_range").alias(f"{prefix}revenue_range"),
+            F.nullif(F.max(staff), F.lit(0)).alias(f"{prefix}employees_on_linkedin")]
 
 
 def merge_sources(base: DataFrame, other: DataFrame, key: str, spec: Mapping[str, str]) -> DataFrame:
@@ -200,27 +203,32 @@ MERGE_PROFILES = {"business_model": "prefer", "is_b2b": "prefer", "outbound_fit"
                   "crawled": "or", "sources": "union"}
 
 
+CARRIED = ["name", "company_size", "industry", "meta_linkedin", "meta_revenue_range", "meta_description",
+           "meta_founded_year", "meta_country", "meta_state", "meta_city", "sales_bucket", "marketing_bucket"]
+
+
 def company_from_lists(lists: DataFrame) -> DataFrame:
-    """Companies known from lists, gaps filled from any row of the domain."""
-    base = agg_with_best(lists, ["name", "company_size", "industry", "meta_linkedin",
-                                 "meta_revenue_range"]).select(
-        "nd", "name", F.nullif("meta_linkedin", F.lit("")).alias("linkedin_url"),
-        "employees_on_linkedin", F.col("company_size").alias("size_bucket"),
-        F.nullif("industry", F.lit("")).alias("industry"),
-        F.col("meta_revenue_range").alias("revenue_range"), "sales_count", "marketing_count",
-        "sources", "niches")
-    filled = fill_from(base, "nd", meta_fillers(lists),
-                       ["linkedin_url", "revenue_range", "employees_on_linkedin"])
-    return filled.withColumn("has_linkedin", F.col("linkedin_url").isNotNull()) \
-                 .withColumnRenamed("nd", "domain")
+    """Companies known from lists, gaps filled from any row of the domain: one scan, one aggregation."""
+    base = agg_with_best(lists, CARRIED, _fillers("_fill_"))
+    linkedin = F.coalesce(F.nullif("meta_linkedin", F.lit("")), "_fill_linkedin_url")
+    return base.select(
+        F.col("nd").alias("domain"), "name", F.col("meta_description").alias("description"),
+        linkedin.alias("linkedin_url"), linkedin.isNotNull().alias("has_linkedin"),
+        F.coalesce("employees_on_linkedin", "_fill_employees_on_linkedin").alias("employees_on_linkedin"),
+        F.col("company_size").alias("size_bucket"), F.nullif("industry", F.lit("")).alias("industry"),
+        F.coalesce("meta_revenue_range", "_fill_revenue_range").alias("revenue_range"),
+        F.col("meta_founded_year").alias("founded_year"), F.col("meta_country").alias("hq_country"),
+        F.col("meta_state").alias("hq_state"), F.col("meta_city").alias("hq_city"),
+        "sales_count", "sales_bucket", "marketing_count", "marketing_bucket", "sources", "niches")
 
 
 def company_from_registry(companies: DataFrame) -> DataFrame:
     newest = latest_per_key(with_domain(companies), "nd", "id")
     return newest.select(
-        F.col("nd").alias("domain"), "name", "website", "description", "linkedin_url",
-        F.col("linkedin_url").isNotNull().alias("has_linkedin"), "employee_count", "hq_country",
-        F.array(F.lit("directory")).alias("sources"))
+        F.col("nd").alias("domain"), "name", "website",
+        F.coalesce("description", "description_short").alias("description"), "linkedin_url",
+        F.col("linkedin_url").isNotNull().alias("has_linkedin"), "employee_count", "size_bucket", "industry",
+        "hq_country", "hq_state", "hq_city", F.array(F.lit("directory")).alias("sources"))
 
 
 def company_from_profiles(profiles: DataFrame) -> DataFrame:

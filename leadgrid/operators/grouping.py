@@ -25,10 +25,14 @@ PARTITION_BITS = 33
 
 def best_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
                    rank_as: str | None = None) -> DataFrame:
-    """First ``k`` rows of each key in ``order``; the order must end in a unique column."""
+    """First ``k`` rows of each key in ``order``; the order must end in a unique column.
+
+    The result is the same for every ``k``. Above Spark's own bound for the group limit a first
+    round over input partitions does what the limit does below it.
+    """
     if k > GROUP_LIMIT_MAX:
-        # Two rounds: best k inside salted sub-groups first, so a hot key is cut in parallel.
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(64)))
+        # Best k inside sub-groups of input partitions first, so a hot key is cut in parallel.
+        salted = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(64)))
         inner = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = salted.withColumn("_rn", F.row_number().over(inner)).where(F.col("_rn") <= k) \
                    .drop("_rn", "_salt")

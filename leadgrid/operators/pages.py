@@ -74,10 +74,18 @@ def internal_proof_links(links: Column, host: Column, k: int, proof: Sequence[st
 # --- lines ----------------------------------------------------------------------------
 
 def page_markdown(html: Column) -> Column:
-    """Plain line form of simple HTML: images and links in brackets, block tags end a line."""
+    """Plain line form of simple HTML: images and links in brackets, block tags end a line.
+
+    Attributes may come in any order and either quotes; an image needs no caption.
+    """
     md = F.regexp_replace(html, r"(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->", " ")
     md = F.regexp_replace(md, r"\s+", " ")
+    md = F.regexp_replace(md, r"(?i)\b(src|alt|href)\s*=\s*'([^'<>]*)'", '$1="$2"')
     md = F.regexp_replace(md, r"(?i)<img[^>]*alt=\"([^\"]*)\"[^>]*src=\"([^\" ]*)\"[^>]*>", "![$1]($2)")
+    md = F.regexp_replace(md, r"(?i)<img[^>]*src=\"([^\" ]*)\"[^>]*alt=\"([^\"]*)\"[^>]*>", "![$2]($1)")
+    md = F.regexp_replace(md, r"(?i)<img[^>]*src=\"([^\" ]*)\"[^>]*>", "![]($1)")
+    # Inline markup goes first, so that a link's text is plain.
+    md = F.regexp_replace(md, r"(?i)</?(b|strong|i|em|u|span|small|font|mark)(\s[^>]*)?>", " ")
     md = F.regexp_replace(md, r"(?i)<a [^>]*href=\"([^\" ]*)\"[^>]*>([^<]*)</a>", "[$2]($1)")
     md = F.regexp_replace(md, r"(?i)</?(p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|footer|header|title|br|body|head)[^>]*>", "\n")
     return F.regexp_replace(md, r"<[^>]+>", " ")
@@ -130,15 +138,16 @@ def clean_page_lines(lines: DataFrame, site: str, page: str, budget: int = 10_00
         F.min(F.struct(place.alias("place"), "line", "is_legal", "is_image")).alias("_f")) \
         .select(site, "_f.place", "_f.line", "_f.is_legal", "_f.is_image")
     order = [F.asc("place"), F.asc("line")]
-    shown = best_k_per_key(firsts.where("is_image"), [site], order, images)
-    small = best_k_per_key(firsts.where("is_legal AND NOT is_image"), [site], order, max(1, legal_chars // 2))
-    main = best_k_per_key(firsts.where("NOT is_legal AND NOT is_image"), [site], order, budget // 2)
+    # One ranking within the three classes of lines, each cut by its own limit.
+    classed = firsts.withColumn("_class", F.when(F.col("is_image"), "image").when(F.col("is_legal"), "legal").otherwise("main"))
+    ranked = best_k_per_key(classed, [site, "_class"], order, budget // 2, rank_as="_n")
     size = F.length("line") + 1
-    legal_room = Window.partitionBy(site).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    small = small.withColumn("_used", F.sum(size).over(legal_room)).where(F.col("_used") <= legal_chars).drop("_used")
+    within = Window.partitionBy(site, "_class").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranked.withColumn("_used", F.sum(size).over(within)).where(
+        ((F.col("_class") != "image") | (F.col("_n") <= images)) & ((F.col("_class") != "legal") | (F.col("_used") <= legal_chars)))
     # At most budget lines per site are left, so the running sum and the list are bounded.
-    rows = main.unionByName(small).unionByName(shown)
-    fit = rows.withColumn("_used", F.sum(size).over(legal_room)).where(F.col("_used") <= budget)
+    whole = Window.partitionBy(site).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    fit = rows.withColumn("_used", F.sum(size).over(whole)).where(F.col("_used") <= budget)
     return fit.groupBy(site).agg(F.sort_array(F.collect_list(F.struct("place", "line"))).alias("_l")) \
         .select(site, F.array_join(F.transform("_l", lambda x: x["line"]), "\n").alias("clean_text"),
                 F.size("_l").alias("n_lines"))

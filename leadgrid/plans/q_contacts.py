@@ -148,12 +148,16 @@ _REQ = """req AS (SELECT c_custkey AS rid, CASE WHEN c_custkey % 4 = 0 THEN 'P'
 @query("enrich_people", f"""WITH {_REQ}, ppl AS (SELECT *, 'co' || company_id AS domain FROM contacts),
     e AS (SELECT lower(email) AS k, min(id) AS p FROM ppl WHERE email <> '' GROUP BY 1),
     l AS (SELECT lower(linkedin_url) AS k, min(id) AS p FROM ppl WHERE linkedin_url <> '' GROUP BY 1),
-    n AS (SELECT lower(first_name) AS f, lower(last_name) AS s, domain AS d, min(id) AS p FROM ppl WHERE last_name <> '' GROUP BY 1, 2, 3),
+    n0 AS (SELECT lower(first_name) AS f, lower(last_name) AS s, domain AS d, id FROM ppl WHERE last_name <> ''
+      UNION SELECT lower(first_name), lower(last_name), lower(split_part(email, '@', 2)), id FROM ppl WHERE last_name <> '' AND contains(email, '@')),
+    rn AS (SELECT rid, lower(first_name) AS f, lower(last_name) AS s, domain AS d FROM req
+      UNION SELECT rid, lower(first_name), lower(last_name), lower(split_part(email, '@', 2)) FROM req WHERE contains(email, '@')),
+    n AS (SELECT rid AS k, min(id) AS p FROM rn JOIN n0 USING (f, s, d) GROUP BY 1),
     h AS (SELECT phone AS k, min(id) AS p FROM ppl WHERE phone <> '' GROUP BY 1)
     SELECT rid, coalesce(e.p, l.p, n.p, h.p) AS person_id, CASE WHEN e.p IS NOT NULL THEN 'email' WHEN l.p IS NOT NULL THEN 'linkedin'
       WHEN n.p IS NOT NULL THEN 'name' WHEN h.p IS NOT NULL THEN 'phone' END AS resolved_by, coalesce(e.p, l.p, n.p, h.p) IS NOT NULL AS success
     FROM req LEFT JOIN e ON e.k = lower(req.email) LEFT JOIN l ON l.k = lower(req.linkedin_url)
-      LEFT JOIN n ON n.f = lower(first_name) AND n.s = lower(last_name) AND n.d = req.domain LEFT JOIN h ON h.k = req.phone""")
+      LEFT JOIN n ON n.k = req.rid LEFT JOIN h ON h.k = req.phone""")
 def enrich_people(t):
     sql = _REQ[len("req AS ("):-1].replace("c_custkey // 3", "c_custkey div 3").replace("FROM customer", "FROM {customer}")
     requests = t.spark.sql(sql, customer=t("customer"))
@@ -161,6 +165,18 @@ def enrich_people(t):
     return contacts.enrich_people(requests, people, "rid").select("rid", "person_id", "resolved_by", "success")
 
 
+@query("contact_per_persona", """WITH p AS (SELECT id, company_id, unnest(list_filter([
+        CASE WHEN contains(lower(title), 'founder') OR contains(lower(title), 'ceo') THEN 'owner' END,
+        CASE WHEN contains(lower(title), 'sales') AND NOT contains(lower(title), 'coordinator') THEN 'sales_lead' END,
+        CASE WHEN contains(lower(title), 'marketing') THEN 'marketing_lead' END], lambda x: x IS NOT NULL)) AS persona, last_contacted_at FROM contacts)
+    SELECT company_id, persona, id FROM p QUALIFY row_number() OVER (PARTITION BY company_id, persona ORDER BY last_contacted_at DESC NULLS LAST, id) = 1""")
+def contact_per_persona(t):
+    personas = {"owner": (("founder", "CEO"), ()), "sales_lead": (("sales",), ("coordinator",)), "marketing_lead": (("marketing",), ())}
+    people = t("contacts").select("id", "company_id", "title", "last_contacted_at")
+    best = contacts.contact_per_persona(people, "company_id", personas, [F.desc_nulls_last("last_contacted_at"), F.asc("id")])
+    return best.select("company_id", "persona", "id")
+
+
 FIELDS = {
     "job_titles": ("substring", "title"), "seniority": ("alias", "seniority"), "email_status": ("in", "email_status"),
     "exclude_titles": ("not_substring", "title"), "require_email": ("present", "email"), "revenue_min": ("min", "revenue"),

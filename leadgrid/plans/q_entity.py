@@ -27,12 +27,14 @@ PROFILES = f"""prof AS (SELECT {nd('domain')} AS nd, * FROM profiles WHERE {nd('
 COMPANY = f"""{LC}, {BEST}, {AGG}, {FILL}, {REGISTRY}, {PROFILES},
 keys AS (SELECT nd FROM agg UNION SELECT nd FROM reg UNION SELECT nd FROM prof),
 crawled AS (SELECT DISTINCT {nd('domain')} AS nd FROM crawl_log WHERE ok),
-company0 AS (SELECT k.nd AS domain, coalesce(b.name, r.name) AS name, r.website, r.description,
+company0 AS (SELECT k.nd AS domain, coalesce(b.name, r.name) AS name, r.website, coalesce(b.meta_description, r.description, r.description_short) AS description,
     coalesce(nullif(b.meta_linkedin, ''), f.li, r.linkedin_url) AS linkedin_url,
     coalesce(nullif(b.meta_linkedin, ''), f.li) IS NOT NULL OR r.linkedin_url IS NOT NULL AS has_linkedin,
     coalesce(a.employees_on_linkedin, f.st) AS employees_on_linkedin, r.employee_count,
-    b.company_size AS size_bucket, nullif(b.industry, '') AS industry,
-    coalesce(b.meta_revenue_range, f.rr) AS revenue_range, r.hq_country, a.sales_count, a.marketing_count,
+    coalesce(b.company_size, r.size_bucket) AS size_bucket, coalesce(nullif(b.industry, ''), r.industry) AS industry,
+    coalesce(b.meta_revenue_range, f.rr) AS revenue_range, b.meta_founded_year AS founded_year, coalesce(b.meta_country, r.hq_country) AS hq_country,
+    coalesce(b.meta_state, r.hq_state) AS hq_state, coalesce(b.meta_city, r.hq_city) AS hq_city,
+    a.sales_count, b.sales_bucket, a.marketing_count, b.marketing_bucket,
     list_sort(list_concat(coalesce(a.sources, []), CASE WHEN r.nd IS NULL THEN [] ELSE ['directory'] END,
       CASE WHEN p.nd IS NULL THEN [] ELSE ['crawl'] END)) AS sources, a.niches,
     p.business_model, p.is_b2b, p.outbound_fit, p.what_they_sell, p.primary_customer,
@@ -49,8 +51,8 @@ company AS (SELECT c.*, coalesce(n.n, 0) AS n_contacts, coalesce(n.li, 0) AS lin
   ON n.company_domain = c.domain)"""
 
 WIDE = ("domain", "name", "website", "description", "linkedin_url", "has_linkedin", "employees_on_linkedin",
-        "employee_count", "size_bucket", "industry", "revenue_range", "hq_country", "sales_count",
-        "marketing_count", "business_model", "is_b2b", "outbound_fit", "what_they_sell", "primary_customer",
+        "employee_count", "size_bucket", "industry", "revenue_range", "founded_year", "hq_country", "hq_state", "hq_city",
+        "sales_count", "sales_bucket", "marketing_count", "marketing_bucket", "business_model", "is_b2b", "outbound_fit", "what_they_sell", "primary_customer",
         "classified", "crawled")
 
 

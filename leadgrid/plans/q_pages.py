@@ -49,10 +49,22 @@ def same_page_key(t):
         .select("page_id", "page_key")
 
 
-_MD = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-    '(?is)<(script|style|noscript)[^>]*>.*?</(script|style|noscript)>|<!--.*?-->', ' ', 'g'), '\s+', ' ', 'g'),
-    '(?i)<img[^>]*alt="([^"]*)"[^>]*src="([^" ]*)"[^>]*>', '![\1](\2)', 'g'), '(?i)<a [^>]*href="([^" ]*)"[^>]*>([^<]*)</a>', '[\2](\1)', 'g'),
-    '(?i)</?(p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|footer|header|title|br|body|head)[^>]*>', chr(10), 'g'), '<[^>]+>', ' ', 'g')"""
+def _replaced(steps) -> str:
+    out = "html"
+    for pattern, text in steps:
+        out = f"regexp_replace({out}, '{pattern}', {text}, 'g')"
+    return out
+
+
+# Tags with quotes of either kind, then images by the order of their attributes, links, and what ends a line.
+_MD = _replaced([
+    ("(?is)<(?:script|style|noscript)[^>]*>.*?</(?:script|style|noscript)>|(?s)<!--.*?-->", "' '"), ("[\\t\\n\\r\\f ]+", "' '"),
+    ("(?i)\\b(src|alt|href) *= *''([^''<>]*)''", "'\\1=\"\\2\"'"),
+    ('(?i)<img[^>]*alt="([^"]*)"[^>]*src="([^" ]*)"[^>]*>', "'![\\1](\\2)'"),
+    ('(?i)<img[^>]*src="([^" ]*)"[^>]*alt="([^"]*)"[^>]*>', "'![\\2](\\1)'"), ('(?i)<img[^>]*src="([^" ]*)"[^>]*>', "'![](\\1)'"),
+    ("(?i)</?(?:b|strong|i|em|u|span|small|font|mark)(?: [^>]*)?>", "' '"),
+    ('(?i)<a [^>]*href="([^" ]*)"[^>]*>([^<]*)</a>', "'[\\2](\\1)'"),
+    ("(?i)</?(?:p|div|li|ul|ol|h[1-6]|tr|table|article|section|nav|footer|header|title|br|body|head)[^>]*>", "chr(10)"), ("<[^>]+>", "' '")])
 _HOST = r"regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]+)', 1), '^www\.', '')"
 
 

@@ -33,6 +33,12 @@ _SQL = {
           CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE c_custkey % 3 = 0 END AS ads_runs,
           CASE WHEN c_custkey % 4 = 1 THEN concat('https://linkedin.example/company/', CAST(c_custkey AS STRING)) END AS meta_linkedin,
           CASE WHEN c_custkey % 5 = 2 THEN concat(CAST(c_nationkey AS STRING), 'M') END AS meta_revenue_range,
+          CASE WHEN c_custkey % 3 = 1 THEN concat('about ', c_name) END AS meta_description,
+          CASE WHEN c_custkey % 4 = 2 THEN CAST(1950 + c_nationkey AS STRING) END AS meta_founded_year,
+          CASE WHEN c_custkey % 5 = 3 THEN 'MX' END AS meta_country, CASE WHEN c_custkey % 5 = 3 THEN concat('state ', CAST(c_nationkey AS STRING)) END AS meta_state,
+          CASE WHEN c_custkey % 6 = 3 THEN concat('city ', CAST(c_nationkey AS STRING)) END AS meta_city,
+          CASE c_custkey % 4 WHEN 0 THEN '1-2' WHEN 1 THEN '3-10' WHEN 2 THEN '0' END AS sales_bucket,
+          CASE c_custkey % 3 WHEN 0 THEN '1-2' WHEN 1 THEN '50+' END AS marketing_bucket,
           CASE c_custkey % 8 WHEN 0 THEN CAST(c_nationkey AS STRING) WHEN 1 THEN 'n/a' WHEN 2 THEN '0' END AS meta_staff,
           CASE c_custkey % 6 WHEN 0 THEN 'Freight and Cargo' WHEN 1 THEN 'Software and Data' WHEN 2 THEN 'Warehouse Storage'
                WHEN 3 THEN '' WHEN 4 THEN 'Ocean Shipping' END AS industry,
@@ -46,6 +52,11 @@ _SQL = {
                ELSE concat('co', CAST(s_suppkey * 5 AS STRING), '.example.com') END AS domain,
           concat('https://co', CAST(s_suppkey * 5 AS STRING), '.example.com') AS website,
           CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE concat('supplies ', n_name) END AS description,
+          CASE WHEN s_suppkey % 8 = 0 THEN concat('from ', n_name) END AS description_short,
+          CASE s_suppkey % 5 WHEN 0 THEN '11-50' WHEN 1 THEN '201-500' END AS size_bucket,
+          CASE WHEN s_suppkey % 3 = 0 THEN 'Wholesale' END AS industry,
+          CASE WHEN s_suppkey % 2 = 1 THEN concat('region ', CAST(n_regionkey AS STRING)) END AS hq_state,
+          CASE WHEN s_suppkey % 7 = 1 THEN concat('town ', CAST(s_suppkey AS STRING)) END AS hq_city,
           CASE WHEN s_suppkey % 2 = 0 THEN concat('https://linkedin.example/company/s', CAST(s_suppkey AS STRING)) END AS linkedin_url,
           CASE WHEN s_suppkey % 3 = 1 THEN NULL ELSE CAST(floor(abs(s_acctbal) / 25) AS INTEGER) END AS employee_count,
           n_name AS hq_country, s_suppkey % 13 = 0 AS do_not_contact,

@@ -6,16 +6,17 @@ import os
 import tempfile
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
-
-# Folder of a local test run, per application.
+# Folder of a local test run, and the folders written so far, per application.
 _LOCAL_DIRS: dict[str, str] = {}
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def build_session(app: str = "leadgrid", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """Session for tests and the bench. On a cluster the submitter's own settings win."""
+    """Session for tests and the bench. What is set here comes before the submitter's settings."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -46,7 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         app = spark.sparkContext.applicationId
         configured = _LOCAL_DIRS.setdefault(app, "") or tempfile.mkdtemp(prefix="leadgrid-")
@@ -56,7 +58,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """New, never reused path under the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_intermediate(spark: SparkSession) -> None:
+    """Delete everything written under fresh paths so far; results that still read it must be done."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        store, folder = fs.FileSystem.from_uri(path)
+        if store.get_file_info(folder).type == fs.FileType.Directory:
+            store.delete_dir(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
