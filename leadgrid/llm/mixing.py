@@ -104,7 +104,10 @@ def cut_points(docs: DataFrame, key: str, text: str, source: str, weight: Callab
         .withColumn("bucket", F.floor(F.col("u") * BUCKETS)) \
         .where(F.expr(FITS) & ~F.coalesce(F.col("place") <= F.col("cut"), F.lit(False)))
     second = running(rows, "size", "cum").where(F.col("cum") - F.col("size") / 2.0 <= F.col("gap"))
-    return _beside(plan, second.groupBy(F.col("source").alias("_source")).agg(F.max("place").alias("cut_small")))
+    last = second.groupBy(F.col("source").alias("_source")).agg(F.max("place").alias("cut_small"))
+    # Written, so that its size is known when documents are joined to it: one row per source is
+    # broadcast, and no source's documents meet in one task.
+    return written(_beside(plan, last), "mix-plan")
 
 
 # A document fits the second round when it is small beside the gap.
