@@ -9,7 +9,7 @@ bits apart share a value between them). Fingerprints that meet under a key are c
 all 64 bits, and over a longer sketch where there is one.
 
 Copies collapse before any table is built: a node is a distinct fingerprint with its smallest
-document. Keys are spread by hash; a task gets about a million entries and emits at most a
+document. Keys are spread by hash; a task gets about 250,000 entries and emits at most a
 spanning forest of the links it verified, never the pairs of a group. Under a crowded key a
 pivot links all fingerprints near it, and only those that are not near it are compared further,
 so a tight cluster costs little more than its size.
@@ -39,7 +39,7 @@ from leadgrid.session import written
 SEED = 42
 _CHUNK = 65536
 _CROWD = 64
-_ENTRIES = 1_000_000
+_ENTRIES = 250_000
 _PRINT_SCHEMA = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
 _BLOB_SCHEMA = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
 
