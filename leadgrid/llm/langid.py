@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from leadgrid.llm.common import crc_part, rows_of, tree_sum, utf8
 from leadgrid.operators.grouping import best_k_per_key
+from leadgrid.session import written
 
 BITS = 13
 DIM = 1 << BITS
@@ -93,7 +94,12 @@ def learn(rows: DataFrame, clusters: int, per_language: int, margin: float, slac
     idf = np.log((1 + n) / (1 + frequency)) + 1
     # The sample is chosen by ids alone: the last hash that each language takes.
     ids = rows.select("lang", F.xxhash64("key").alias("h"))
-    last = best_k_per_key(ids.withColumn("u", F.monotonically_increasing_id()), ["lang"], [F.col("h"), F.col("u")],
+    sizes = written(ids.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
+    # About four times the sample passes this bound, so a large language sends no more to be ranked.
+    share = F.lit(4.0 * per_language) / F.col("n")
+    bound = F.when(share < 1, (share * 2.0 ** 64 - 2.0 ** 63).cast("long")).otherwise(F.lit(2 ** 63 - 1))
+    few = ids.join(sizes, F.col("lang") == F.col("_lang")).where(F.col("h") <= bound).select("lang", "h")
+    last = best_k_per_key(few.withColumn("u", F.monotonically_increasing_id()), ["lang"], [F.col("h"), F.col("u")],
                           per_language).groupBy("lang").agg(F.max("h").alias("last")) \
         .withColumnRenamed("lang", "_lang")
     sample = rows.join(last, F.col("lang") == F.col("_lang")).where(F.xxhash64("key") <= F.col("last"))
