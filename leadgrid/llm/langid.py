@@ -102,7 +102,8 @@ def learn(rows: DataFrame, clusters: int, per_language: int, margin: float, slac
     last = best_k_per_key(few.withColumn("u", F.monotonically_increasing_id()), ["lang"], [F.col("h"), F.col("u")],
                           per_language).groupBy("lang").agg(F.max("h").alias("last")) \
         .withColumnRenamed("lang", "_lang")
-    sample = rows.join(last, F.col("lang") == F.col("_lang")).where(F.xxhash64("key") <= F.col("last"))
+    # Written, so that its size is known: texts are not shuffled to meet one row per language.
+    sample = rows.join(written(last, "languages"), F.col("lang") == F.col("_lang")).where(F.xxhash64("key") <= F.col("last"))
 
     def cluster(key: tuple, table: pa.Table) -> pa.Table:
         vectors = np.stack([vector(ngram_counts(b), idf) for b in table.column("body").to_pylist()])
