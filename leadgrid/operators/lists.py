@@ -87,20 +87,20 @@ def filter_places(df: DataFrame, state: str | None = None, city: str | None = No
 
 # --- row checks ----------------------------------------------------------------
 
-def bad_title(title: Column) -> Column:
-    return F.coalesce(title, F.lit("")).rlike("(?i)" + "|".join(BAD_TITLES))
+def bad_title(title: Column, patterns: Sequence[str] = BAD_TITLES) -> Column:
+    return F.coalesce(title, F.lit("")).rlike("(?i)" + "|".join(patterns))
 
 
-def role_mailbox(email: Column) -> Column:
-    return is_true(F.lower(F.split_part(email, F.lit("@"), F.lit(1))).isin(*ROLE_MAILBOXES))
+def role_mailbox(email: Column, mailboxes: Sequence[str] = ROLE_MAILBOXES) -> Column:
+    return is_true(F.lower(F.split_part(email, F.lit("@"), F.lit(1))).isin(*mailboxes))
 
 
-def fake_name(first: Column, last: Column) -> Column:
+def fake_name(first: Column, last: Column, placeholders: Sequence[str] = PLACEHOLDER_NAMES) -> Column:
     """A part is missing, shouted, numbered or a placeholder."""
     first, last = F.coalesce(first, F.lit("")), F.coalesce(last, F.lit(""))
     shouted = (F.upper(first) == first) & (F.length(first) > 2)
     return (first == "") | (last == "") | shouted | first.rlike(r"\d") | last.rlike(r"\d") \
-        | F.lower(first).isin(*PLACEHOLDER_NAMES) | F.lower(last).isin(*PLACEHOLDER_NAMES)
+        | F.lower(first).isin(*placeholders) | F.lower(last).isin(*placeholders)
 
 
 # --- scorecard -----------------------------------------------------------------
@@ -360,7 +360,7 @@ def stratified_sample(df: DataFrame, stratum: Sequence[str], key: str, n: int) -
                           [F.asc("_h"), F.asc(key)], n).drop("_h")
 
 
-def split_search(df: DataFrame, cap: int, outer: str, inner: str) -> DataFrame:
+def split_search(df: DataFrame, cap: int | Column, outer: str, inner: str) -> DataFrame:
     """Disjoint slices that stay under a provider's cap: by ``outer``, and where that is
     over the cap by ``inner`` as well. ``fits`` is false where even that is too large."""
     fine = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))

@@ -44,13 +44,17 @@ def send_key(t):
                                                   keys.epoch_micros(sends, "sent_at")).alias("send_id"))
 
 
-@query("campaign_to_angle", """SELECT event_id, campaign_id, 'campaign ' || s_suppkey AS campaign_name, 'angle-' || n_nationkey AS angle_slug FROM sends
-    LEFT JOIN supplier ON s_suppkey = campaign_id AND s_suppkey % 3 <> 0 LEFT JOIN nation ON n_nationkey = s_nationkey""")
+@query("campaign_to_angle", """SELECT event_id, campaign_id, 'campaign ' || s_suppkey AS campaign_name, 'angle-' || n_nationkey AS angle_slug
+    FROM (SELECT event_id, campaign_id FROM sends UNION ALL SELECT -1 - event_id, -1 - campaign_id FROM sends)
+    LEFT JOIN supplier ON s_suppkey = campaign_id LEFT JOIN nation ON n_nationkey = s_nationkey""")
 def campaign_to_angle(t):
-    campaigns = t("supplier").where("s_suppkey % 3 <> 0").select(
+    campaigns = t("supplier").select(
         F.col("s_suppkey").alias("campaign_id"), F.concat(F.lit("campaign "), "s_suppkey").alias("campaign_name"), F.col("s_nationkey").alias("angle_id"))
     angles = t("nation").select(F.col("n_nationkey").alias("angle_id"), F.concat(F.lit("angle-"), "n_nationkey").alias("angle_slug"))
-    return delivery.campaign_to_angle(t("sends"), campaigns, angles).select("event_id", "campaign_id", "campaign_name", "angle_slug")
+    sends = t("sends").select("event_id", "campaign_id")
+    # The same sends again under campaigns that nobody knows.
+    sends = sends.unionByName(sends.select((-1 - F.col("event_id")).alias("event_id"), (-1 - F.col("campaign_id")).alias("campaign_id")))
+    return delivery.campaign_to_angle(sends, campaigns, angles).select("event_id", "campaign_id", "campaign_name", "angle_slug")
 
 
 @query("render_template", """SELECT lead_id, 'Hi ' || first_name || ', about ' || company_industry || ' at {{city}}' AS body, 'A - B - ' || first_name AS subject,
@@ -149,26 +153,31 @@ def inbox_type(t):
     return t("inboxes").select("inbox_id", delivery.inbox_type(F.col("type"), F.col("smtp_host")).alias("inbox_type"))
 
 
-_TYPED = f"typed AS (SELECT s.*, coalesce(inbox_type, 'unknown') AS inbox_type FROM inbox_stats s LEFT JOIN (SELECT inbox_id, {_TYPE} AS inbox_type FROM inboxes WHERE inbox_id % 9 <> 0) USING (inbox_id))"
+_TYPED = f"typed AS (SELECT s.*, coalesce(inbox_type, 'unknown') AS inbox_type FROM all_stats s LEFT JOIN (SELECT inbox_id, {_TYPE} AS inbox_type FROM inboxes) USING (inbox_id))"
 
 
-def known_inboxes(t):
-    return t("inboxes").where("inbox_id % 9 <> 0")
+# Every figure once more for an inbox that is on no list.
+_STATS = "all_stats AS (FROM inbox_stats UNION ALL SELECT * REPLACE (-inbox_id AS inbox_id) FROM inbox_stats)"
 
 
-@query("lookup_type", f"WITH {_TYPED} SELECT inbox_id, campaign_id, inbox_type, sum(sent)::BIGINT AS sent FROM typed GROUP BY 1, 2, 3")
+def all_stats(t):
+    stats = t("inbox_stats")
+    return stats.unionByName(stats.withColumn("inbox_id", -F.col("inbox_id")))
+
+
+@query("lookup_type", f"WITH {_STATS}, {_TYPED} SELECT inbox_id, campaign_id, inbox_type, sum(sent)::BIGINT AS sent FROM typed GROUP BY 1, 2, 3")
 def lookup_type(t):
-    per = t("inbox_stats").groupBy("inbox_id", "campaign_id").agg(F.sum("sent").alias("sent"))
-    return delivery.lookup_type(per, known_inboxes(t))
+    per = all_stats(t).groupBy("inbox_id", "campaign_id").agg(F.sum("sent").alias("sent"))
+    return delivery.lookup_type(per, t("inboxes"))
 
 
-@query("inbox_type_compare", f"""WITH {_TYPED}, c AS (SELECT inbox_type, count(DISTINCT inbox_id) AS inboxes, {_SUMS} FROM typed GROUP BY 1),
+@query("inbox_type_compare", f"""WITH {_STATS}, {_TYPED}, c AS (SELECT inbox_type, count(DISTINCT inbox_id) AS inboxes, {_SUMS} FROM typed GROUP BY 1),
     a AS (SELECT *, {rate('replies', 'sent')} AS rr, false AS tot FROM c UNION ALL SELECT 'TOTAL', sum(inboxes)::BIGINT, {_SUMS}, 0, true FROM c)
     SELECT inbox_type, inboxes, sent, replies, bounces, {rnd(rate('replies', 'sent', 100), 2)} AS reply_pct, {rnd(rate('bounces', 'sent', 100), 2)} AS bounce_pct,
       NOT tot AND sent > 500 AND {rate('bounces', 'sent', 100)} > 3 AS elevated_bounce,
       NOT tot AND row_number() OVER (PARTITION BY tot ORDER BY rr DESC, inbox_type) = 1 AS is_best, NOT tot AND row_number() OVER (PARTITION BY tot ORDER BY rr, inbox_type) = 1 AS is_worst FROM a""")
 def inbox_type_compare(t):
-    return delivery.inbox_type_compare(t("inbox_stats"), known_inboxes(t))
+    return delivery.inbox_type_compare(all_stats(t), t("inboxes"))
 
 
 _KINDS = ("opened", "clicked", "replied", "bounced")

@@ -154,12 +154,14 @@ def top_n(t):
 
 @query("ads_by_domain", """SELECT 'co' || c_custkey AS domain, max(strftime(o_orderdate, '%Y-%m-%d')) AS ads_last_shown,
     string_agg(DISTINCT nullif(CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderstatus END, ''), ',' ORDER BY nullif(CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderstatus END, '')) AS formats,
-    count(o_orderkey) > 0 AS ads_runs FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON o_custkey = c_custkey GROUP BY 1""")
+    count(o_orderkey) > 0 AS ads_runs FROM (FROM (SELECT c_custkey FROM customer) UNION ALL SELECT -s_suppkey FROM supplier) LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1""")
 def ads_by_domain(t):
-    ads = t("orders").where("o_orderpriority = '1-URGENT'").select(
+    ads = t("orders").select(
         F.concat(F.lit("co"), "o_custkey").alias("domain"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm").alias("last_shown"),
         F.expr("CASE o_orderstatus WHEN 'P' THEN '' ELSE o_orderstatus END").alias("format"))
-    out = lists.ads_by_domain(t("customer").select(F.concat(F.lit("co"), "c_custkey").alias("domain")), ads)
+    # Suppliers stand for the companies that never advertised.
+    firms = t("customer").select("c_custkey").union(t("supplier").select(-F.col("s_suppkey")))
+    out = lists.ads_by_domain(firms.select(F.concat(F.lit("co"), "c_custkey").alias("domain")), ads)
     return out.withColumn("formats", F.nullif("ads_formats", F.lit(""))).drop("ads_formats")
 
 
@@ -296,7 +298,7 @@ def stratified_sample(t):
       sum(n) <= (SELECT count(*) / 3.0 FROM orders) AS fits FROM f GROUP BY 1, 2""")
 def split_search(t):
     orders = t("orders")
-    cap = orders.agg((F.count(F.lit(1)) / 3).alias("cap")).first()["cap"]
+    cap = orders.agg((F.count(F.lit(1)) / 3).alias("cap")).scalar()
     return lists.split_search(orders, cap, "o_orderstatus", "o_orderpriority")
 
 

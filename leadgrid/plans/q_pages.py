@@ -16,10 +16,12 @@ from leadgrid.sources import files, provider, tables
 
 
 @query("profileable", f"""SELECT page_id, CASE WHEN length(body) = 0 THEN 'no_clean_text' WHEN length(body) < 300 THEN 'thin_text' END AS reason
-    FROM (SELECT page_id, CASE WHEN page_id % 9 = 0 THEN '' ELSE {_strip_sql('html')} END AS body FROM pages)""")
+    FROM (SELECT page_id, {_strip_sql('html')} AS body FROM pages UNION ALL SELECT -1 - page_id, '' FROM pages)""")
 def profileable(t):
-    body = F.when(F.col("page_id") % 9 == 0, F.lit("  ")).otherwise(strip_html(F.col("html")))
-    return t("pages").select("page_id", pages.profileable(body).alias("reason"))
+    # Every page once more without any text.
+    bodies = t("pages").select("page_id", strip_html(F.col("html")).alias("body"))
+    bodies = bodies.unionByName(t("pages").select((-1 - F.col("page_id")).alias("page_id"), F.lit("  ").alias("body")))
+    return bodies.select("page_id", pages.profileable(F.col("body")).alias("reason"))
 
 
 _CATS = "concat_ws(',', " + ", ".join(f"CASE WHEN regexp_matches(body, '(?i){rx}') THEN '{n}' END" for n, rx in vocab.PAGE_CATEGORIES) + ")"
@@ -168,11 +170,21 @@ def attempt_state(t):
 
 # --- profile queue ------------------------------------------------------------------
 
+# Every document as five sites: its text in queue and crawl, the same with a thin text and with none in the
+# crawl, one that only the queue knows, and one that only the crawl knows.
+KINDS = ("both", "thin", "none", "queue", "crawl")
+
+
+def sites(t):
+    docs = t("documents").select("doc_id", F.explode(F.array(*[F.lit(k) for k in KINDS])).alias("kind"), "text", "lang")
+    return docs.withColumn("site", F.concat(F.lit("co"), F.col("doc_id").cast("string"), F.lit("-"), "kind"))
+
+
 def queue_before(t):
-    """Stand-in queue: some pages profiled, some with another text, some unknown."""
-    body = F.expr("CASE WHEN doc_id % 9 = 0 THEN lang ELSE text END")
-    return t("documents").where("doc_id % 4 <> 0").select(
-        F.concat(F.lit("co"), "doc_id").alias("domain"),
+    """Stand-in queue: some sites profiled, some with another text, some unknown."""
+    body = F.expr("CASE WHEN kind = 'thin' THEN lang ELSE text END")
+    return sites(t).where("kind <> 'crawl'").select(
+        F.col("site").alias("domain"),
         F.expr("CASE doc_id % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'not_profileable' ELSE 'processing' END").alias("profile_status"),
         F.lit(None).cast("string").alias("profileability_reason"), F.lit(True).alias("source_crawl_ok"), F.lit(0).alias("source_clean_chars"),
         F.when(F.col("doc_id") % 2 == 0, F.sha2(body, 256)).alias("current_source_hash"),
@@ -185,18 +197,19 @@ def _stamp(day):
 
 
 def crawls_now(t):
-    return t("documents").where("doc_id % 5 <> 0").select(
-        F.concat(F.lit("co"), "doc_id").alias("domain"), (F.col("doc_id") % 7 != 0).alias("ok"),
-        F.expr("CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN lang ELSE text END").alias("clean_text"),
+    return sites(t).where("kind <> 'queue'").select(
+        F.col("site").alias("domain"), (F.col("doc_id") % 7 != 0).alias("ok"),
+        F.expr("CASE kind WHEN 'none' THEN NULL WHEN 'thin' THEN lang ELSE text END").alias("clean_text"),
         _stamp("2024-01-01").alias("crawled_at"))
 
 
-QUEUE_SQL = """q AS (SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'not_profileable' ELSE 'processing' END AS st,
-      CASE WHEN doc_id % 2 = 0 THEN sha256(CASE WHEN doc_id % 9 = 0 THEN lang ELSE text END) END AS h, CASE WHEN doc_id % 3 = 0 THEN 'p' END AS ph FROM documents WHERE doc_id % 4 <> 0),
-    c AS (SELECT doc_id, doc_id % 7 <> 0 AS ok, coalesce(CASE WHEN doc_id % 11 = 0 THEN NULL WHEN doc_id % 9 = 0 THEN lang ELSE text END, '') AS body FROM documents WHERE doc_id % 5 <> 0),
+QUEUE_SQL = """s AS (SELECT 'co' || doc_id || '-' || kind AS id, * FROM (SELECT doc_id, text, lang, unnest(['both', 'thin', 'none', 'queue', 'crawl']) AS kind FROM documents)),
+    q AS (SELECT id, CASE doc_id % 3 WHEN 0 THEN 'accepted' WHEN 1 THEN 'not_profileable' ELSE 'processing' END AS st,
+      CASE WHEN doc_id % 2 = 0 THEN sha256(CASE WHEN kind = 'thin' THEN lang ELSE text END) END AS h, CASE WHEN doc_id % 3 = 0 THEN 'p' END AS ph FROM s WHERE kind <> 'crawl'),
+    c AS (SELECT id, doc_id % 7 <> 0 AS ok, coalesce(CASE kind WHEN 'none' THEN NULL WHEN 'thin' THEN lang ELSE text END, '') AS body FROM s WHERE kind <> 'queue'),
     d AS (SELECT *, length(trim(body)) AS n, CASE WHEN length(trim(body)) > 0 THEN sha256(body) END AS nh FROM c),
-    j AS (SELECT coalesce(q.doc_id, d.doc_id) AS id, q.doc_id IS NOT NULL AS old, d.doc_id IS NOT NULL AS hit, q.*, d.*, h IS DISTINCT FROM nh AS changed FROM q FULL JOIN d ON q.doc_id = d.doc_id),
-    after AS (SELECT 'co' || id AS domain, CASE WHEN NOT hit THEN st WHEN n < 300 THEN 'not_profileable' WHEN NOT old THEN 'pending' WHEN changed AND ph IS NULL THEN 'pending'
+    j AS (SELECT coalesce(q.id, d.id) AS site, q.id IS NOT NULL AS old, d.id IS NOT NULL AS hit, q.*, d.*, h IS DISTINCT FROM nh AS changed FROM q FULL JOIN d ON q.id = d.id),
+    after AS (SELECT site AS domain, CASE WHEN NOT hit THEN st WHEN n < 300 THEN 'not_profileable' WHEN NOT old THEN 'pending' WHEN changed AND ph IS NULL THEN 'pending'
         WHEN changed THEN 'stale' WHEN st = 'not_profileable' THEN 'pending' ELSE st END AS profile_status,
       CASE WHEN hit AND n = 0 THEN 'no_clean_text' WHEN hit AND n < 300 THEN 'thin_text' END AS profileability_reason, CASE WHEN hit THEN nh ELSE h END AS current_source_hash,
       CASE WHEN hit AND (changed OR NOT old) THEN false ELSE true END AS needs_review, CASE WHEN hit AND (changed OR NOT old) THEN NULL ELSE 'boom' END AS last_error,
