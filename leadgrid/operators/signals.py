@@ -342,24 +342,24 @@ def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, te
     """One (id, term) row for every dictionary term whose words stand in a text one after the other.
 
     The same plan for a dictionary of any size: single words meet the distinct words of each
-    text in an equi-join; a phrase meets the places that hold its first word and is then compared
-    with the words that follow there. Places whose word starts no phrase are dropped before
-    their words travel. Terms without a word match nothing; terms that differ in case or
+    text in an equi-join; a phrase meets the places that hold its first two words and is then
+    compared with the words that follow there. Places that start no phrase are dropped before
+    their words are joined up. Terms without a word match nothing; terms that differ in case or
     punctuation only are one.
     """
     dictionary = terms.select(folded_words(F.col(term_col)).alias("_w")).where(F.size("_w") > 0).select(
-        F.array_join("_w", " ").alias("term"), F.element_at("_w", 1).alias("_first"), F.size("_w").alias("_n")).distinct()
+        F.array_join("_w", " ").alias("term"), F.array_join(F.slice("_w", 1, 2), " ").alias("_start"),
+        F.size("_w").alias("_n")).distinct()
     phrases = dictionary.where("_n > 1")
     words = texts.select(F.col(id_col), folded_words(F.col(text_col)).alias("_w"))
-    single = words.select(id_col, F.explode(F.array_distinct("_w")).alias("_first")) \
-                  .join(dictionary.where("_n = 1"), "_first").select(id_col, "term")
+    single = words.select(id_col, F.explode(F.array_distinct("_w")).alias("_start")) \
+                  .join(dictionary.where("_n = 1"), "_start").select(id_col, "term")
     longest = phrases.agg(F.coalesce(F.max("_n"), F.lit(1)).alias("n")).scalar()
-    places = words.withColumn("_n", longest).select(id_col, F.explode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("_w"), F.lit(1))),
-        lambda i: F.struct(F.try_element_at("_w", i).alias("first"), F.slice("_w", i, F.col("_n")).alias("run")))).alias("_p")) \
-        .select(id_col, F.col("_p.first").alias("_first"), F.array_join("_p.run", " ").alias("_run"))
-    started = places.join(phrases.select("_first").distinct(), "_first", "left_semi")
-    found = started.join(phrases, "_first").where(F.startswith(F.concat("_run", F.lit(" ")), F.concat("term", F.lit(" "))))
+    places = words.withColumn("_n", longest).select(id_col, "_w", "_n", F.posexplode("_w").alias("_at", "_word")).select(
+        id_col, F.concat_ws(" ", "_word", F.get("_w", F.col("_at") + 1)).alias("_start"),
+        F.array_join(F.slice("_w", F.col("_at") + 1, F.col("_n")), " ").alias("_run"))
+    started = places.join(phrases.select("_start").distinct(), "_start", "left_semi")
+    found = started.join(phrases, "_start").where(F.startswith(F.concat("_run", F.lit(" ")), F.concat("term", F.lit(" "))))
     return single.unionByName(found.select(id_col, "term").distinct())
 
 
