@@ -1,20 +1,24 @@
 """Mixing sources to target weights: Pareto order sampling of documents.
 
 Every source gets a target of words: its weight's share of the total, at most ``cap`` times
-its own words, the excess reshared by weight until no source is above. A source with the ratio
-``target / words = c + p`` takes every document ``c`` times (certain whole copies); the rest
-``p`` is a fixed-size Pareto sample: documents are ranked by the odds of a random number
-divided by the odds of the inclusion probability ``p``, and taken from the smallest on while
-their words fit. A second round fills what is left with the next documents that are at most
-an eighth of it, so that a long document at the edge leaves no gap.
+its own words, the excess reshared by weight until no source is above. Within a source every
+document gets its expected copies, ``min(cap, c * w)``: ``w`` is its inclusion weight (1 unless
+given) and ``c`` makes the expected words the target. The whole part of that are certain copies.
+The fractions are inclusion probabilities of a fixed-size Pareto sample: documents are ranked by
+the odds of a random number divided by the odds of their probability, and taken from the smallest
+on while their words fit. A second round fills what is left with the next documents that are at
+most an eighth of it, so that a long document at the edge leaves no gap.
 
 Random numbers are digits of the MD5 of the id, so reruns agree. Running sums are taken per
-(source, bucket of the random number) and offset by the sums of the buckets before: no task
+(source, bucket of the rank) and offset by the sums of the buckets before: no task
 holds a whole source, however large. They yield one row of cut points per source, by which
 each document's copies follow without another shuffle. Only id, source and size are shuffled.
 
 Null text has size 0; null is a source of its own, last in order. Rows that repeat an id share
-a random number and are told apart by size; rows equal in both share their result. An empty table yields an empty result. Other columns are ignored.
+a random number and are told apart by size; rows equal in both share their result. A null or
+negative inclusion weight counts as 0: such a document is never taken, and a source falls short
+of its target if all others at ``cap`` copies do not reach it. An empty table yields an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +30,8 @@ from pyspark.sql import functions as F
 
 from leadgrid.session import written
 
-BUCKETS = 4096
+# Buckets of the logarithm of the rank: at most one in 1,600 documents of a source meets in one.
+STEPS = 400
 # Digits of the MD5 that make the random number, and the number of their values.
 _DIGITS = 13
 _RANGE = float(16 ** _DIGITS)
@@ -84,24 +89,53 @@ def running(rows: DataFrame, amount: str, out: str) -> DataFrame:
                .withColumn(out, F.col("_inside") + F.col("_before")).drop("_inside", "_source", "_bucket", "_before")
 
 
-def cut_points(docs: DataFrame, key: str, text: str, source: str, weight: Callable[[Column], Column],
-               cap: float) -> DataFrame:
-    """One row per source: its target, whole copies, and the places in Pareto order where the sample ends."""
-    slim = written(docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
-                               word_count(text).alias("size")), "mix")
-    targets = source_targets(slim, weight, cap)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = written(targets.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
-                   .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")), "mix-plan")
-    rows = with_plan(slim, plan, F.col("key"), F.col("size")).where("p > 0") \
-        .withColumn("bucket", F.floor(F.col("u") * BUCKETS))
-    first = running(rows, "size", "cum").withColumn("first", F.col("cum") <= F.col("wanted"))
-    taken = first.where("first").groupBy("source").agg(F.sum("size").alias("got"), F.max("place").alias("cut")) \
-                 .withColumnRenamed("source", "_source")
+def _narrow(key: str, text: str, source: str, inclusion: Column | None) -> list[Column]:
+    weight = F.lit(1.0) if inclusion is None else F.greatest(F.coalesce(inclusion.cast("double"), F.lit(0.0)), F.lit(0.0))
+    return [F.col(key).alias("key"), F.col(source).cast("string").alias("source"), word_count(text).alias("size"),
+            weight.alias("w")]
+
+
+def scales(slim: DataFrame, targets: DataFrame, cap: float, equal: bool, max_rounds: int = 50) -> DataFrame:
+    """The targets with ``c``: expected copies are min(cap, c * w).
+
+    With ``equal`` weights the first value is right. Otherwise documents that reach the cap leave the
+    rest to the others, which raises ``c``; rounds go on until no document joins the capped ones.
+    """
+    def rescaled(plan: DataFrame) -> DataFrame:
+        full = F.col("c") * F.col("w") >= cap
+        sums = _beside(slim, plan.select(F.col("source").alias("_source"), "c")).groupBy(F.col("source").alias("_source")).agg(
+            F.sum(F.when(full, F.col("size")).otherwise(0)).alias("full"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("size") * F.col("w"))).alias("open"))
+        higher = (F.col("target") - F.col("full") * cap) / F.col("open")
+        return written(_beside(plan, sums).withColumn("c", F.when(F.col("open") > 0, F.greatest(F.col("c"), higher))
+                                                      .otherwise(F.col("c"))).select(*plan.columns, "full"), "mix-plan")
+
+    words = slim.groupBy(F.col("source").alias("_source")).agg(F.sum(F.col("size") * F.col("w")).alias("weighted"))
+    plan = written(_beside(targets, words).withColumn(
+        "c", F.when(F.col("weighted") > 0, F.col("target") / F.col("weighted")).otherwise(0.0)).drop("weighted"), "mix-plan")
+    before = None
+    for _ in range(0 if equal else max_rounds):
+        plan = rescaled(plan.drop("full"))
+        full = plan.agg(F.sum("full")).first()[0]
+        if full == before:
+            break
+        before = full
+    return plan.drop("full")
+
+
+def cut_points(slim: DataFrame, weight: Callable[[Column], Column], cap: float, equal: bool) -> DataFrame:
+    """One row per source: target, scale, and the places in Pareto order where its sample ends."""
+    slim = written(slim, "mix")
+    plan = scales(slim, source_targets(slim, weight, cap), cap, equal)
+    certain = with_copies(slim, plan, cap).groupBy(F.col("source").alias("_source")) \
+        .agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
+    plan = written(_beside(plan, certain).withColumn("wanted", F.col("target") - F.col("certain")).drop("certain"), "mix-plan")
+    rows = with_copies(slim, plan, cap).where("p > 0").withColumn("bucket", F.floor(F.log("q") * STEPS))
+    first = running(rows, "size", "cum").where(F.col("cum") <= F.col("wanted"))
+    taken = first.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("got"), F.max("place").alias("cut"))
     plan = written(_beside(plan, taken).withColumn("gap", F.col("wanted") - F.coalesce(F.col("got"), F.lit(0)))
                    .drop("got"), "mix-plan")
-    rows = with_plan(slim, plan, F.col("key"), F.col("size")).where("p > 0") \
-        .withColumn("bucket", F.floor(F.col("u") * BUCKETS)) \
+    rows = with_copies(slim, plan, cap).where("p > 0").withColumn("bucket", F.floor(F.log("q") * STEPS)) \
         .where(F.expr(FITS) & ~F.coalesce(F.col("place") <= F.col("cut"), F.lit(False)))
     second = running(rows, "size", "cum").where(F.col("cum") - F.col("size") / 2.0 <= F.col("gap"))
     last = second.groupBy(F.col("source").alias("_source")).agg(F.max("place").alias("cut_small"))
@@ -114,12 +148,16 @@ def cut_points(docs: DataFrame, key: str, text: str, source: str, weight: Callab
 FITS = "size * 8 <= gap"
 
 
-def with_plan(rows: DataFrame, plan: DataFrame, key: Column, size: Column) -> DataFrame:
-    """Rows beside their source's plan, with their random number and place. The plan has a row per source."""
+def with_copies(rows: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
+    """Rows (key, source, size, w) beside their source's plan, with certain copies, inclusion
+    probability ``p``, rank ``q`` and place in Pareto order. The plan has one row per source."""
+    expected = F.least(F.lit(float(cap)), F.col("c") * F.col("w"))
     odds = F.col("u") / (1 - F.col("u"))
-    return _beside(rows, plan.withColumnRenamed("source", "_source")).withColumn("u", random_unit(key)) \
+    return _beside(rows, plan.withColumnRenamed("source", "_source")) \
+        .withColumn("whole", F.floor(expected)).withColumn("p", expected - F.col("whole")) \
+        .withColumn("u", random_unit(F.col("key"))) \
         .withColumn("q", F.when(F.col("p") > 0, odds / (F.col("p") / (1 - F.col("p"))))) \
-        .withColumn("place", F.struct(F.col("q"), key.alias("key"), size.alias("size")))
+        .withColumn("place", F.struct("q", "key", "size"))
 
 
 def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
@@ -132,21 +170,25 @@ def _copies() -> Column:
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-        weight: Callable[[Column], Column] = period_weight, cap: float = 3.0) -> DataFrame:
-    """Per document: size, source_size, target of its source, copies, and taken = copies * size."""
-    plan = cut_points(docs, key, text, source, weight, cap)
-    slim = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
-                       word_count(text).alias("size"))
-    return with_plan(slim, plan, F.col("key"), F.col("size")).withColumn("copies", _copies()).select(
-        F.col("key").alias(key), "source", "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"))
+        weight: Callable[[Column], Column] = period_weight, cap: float = 3.0,
+        inclusion: Column | None = None) -> DataFrame:
+    """Per document: size, source_size, target of its source, copies, and taken = copies * size.
+
+    ``weight`` gives a source's weight by its place in order; ``inclusion`` is a document's
+    relative inclusion weight, an expression over its columns.
+    """
+    slim = docs.select(*_narrow(key, text, source, inclusion))
+    placed = with_copies(slim, cut_points(slim, weight, cap, inclusion is None), cap).withColumn("copies", _copies())
+    return placed.select(F.col("key").alias(key), "source", "size", "source_size", "target", "copies",
+                         (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def repeat_by_mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
-                  weight: Callable[[Column], Column] = period_weight, cap: float = 3.0) -> DataFrame:
+                  weight: Callable[[Column], Column] = period_weight, cap: float = 3.0,
+                  inclusion: Column | None = None) -> DataFrame:
     """The mix itself: every row as often as its copies say, in the columns given. Texts are not shuffled
     unless the table of sources is too large to broadcast."""
-    plan = cut_points(docs, key, text, source, weight, cap)
-    whole = docs.select(F.struct("*").alias("doc"), F.col(source).cast("string").alias("source"))
-    placed = with_plan(whole.withColumn("size", word_count(f"doc.{text}")), plan, F.col(f"doc.{key}"), F.col("size"))
-    return placed.select("doc", F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))).alias("_copy")).select("doc.*")
+    plan = cut_points(docs.select(*_narrow(key, text, source, inclusion)), weight, cap, inclusion is None)
+    rows = docs.select(F.struct("*").alias("_doc"), *_narrow(key, text, source, inclusion))
+    placed = with_copies(rows, plan, cap)
+    return placed.select("_doc", F.explode(F.array_repeat(F.lit(1), _copies().cast("int"))).alias("_copy")).select("_doc.*")

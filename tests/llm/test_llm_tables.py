@@ -149,6 +149,25 @@ def test_mix_meets_its_targets(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def test_inclusion_weights_make_unequal_probabilities(spark):
+    rows = [(i, "w " * (1 + i % 7), "only" if i % 3 else "other", [0.0, 1.0, 4.0, 40.0, None][i % 5]) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, pull double")
+    got = mixing.mix(df, weight=lambda place: F.lit(1.0), inclusion=F.col("pull")).collect()
+    pull = {i: w or 0.0 for i, _, _, w in rows}
+    for source in ("only", "other"):
+        mine = [r for r in got if r["source"] == source]
+        assert sum(r["taken"] for r in mine) == pytest.approx(mine[0]["target"], rel=0.01)
+        low, high = 0.0, 10.0
+        for _ in range(60):  # the scale at which the expected words are the target
+            c = (low + high) / 2
+            words = sum(r["size"] * min(3, c * pull[r["doc_id"]]) for r in mine)
+            low, high = (c, high) if words < mine[0]["target"] else (low, c)
+        for w in (0.0, 1.0, 4.0, 40.0):
+            mean = np.mean([r["copies"] for r in mine if pull[r["doc_id"]] == w])
+            assert mean == pytest.approx(min(3, c * w), abs=0.08)
+    assert mixing.repeat_by_mix(df, weight=lambda place: F.lit(1.0), inclusion=F.col("pull")).count() == sum(r["copies"] for r in got)
+
+
 def test_repeated_rows_are_the_mix(spark):
     rows = mixed_rows()
     df = mixed(spark, rows)
