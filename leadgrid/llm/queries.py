@@ -180,8 +180,8 @@ WITH RECURSIVE poly(b, step, c) AS (SELECT b, 0, b::BIGINT FROM range(256) t(b)
 crc AS (SELECT list(c ORDER BY b) AS t FROM poly WHERE step = 8),
 d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body, coalesce(doc_id::VARCHAR, '') AS key
     FROM documents),
-sums AS (SELECT rid, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, strlen(body)),
-    lambda i: ('0x' || substr(hex(body), 2 * i::BIGINT + 1, 2))::BIGINT)),
+sums AS (SELECT rid, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(body), '..'),
+    lambda x: ('0x' || x)::BIGINT)),
     lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]))) AS text_crc32 FROM d, crc),
 scores AS (SELECT rid, i, -1.0 / ln({_UNIT.format("key || ':' || i::VARCHAR")}) AS score FROM d, range(17) t(i)),
 shard AS (SELECT rid, arg_max(i, score) FILTER (i < 16) AS shard, arg_max(i, score) AS grown FROM scores GROUP BY rid)
