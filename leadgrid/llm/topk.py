@@ -37,11 +37,11 @@ _TOP_SCHEMA = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_i
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector as doubles) of the rows that take part, one per id."""
-    cells = F.col(vector).cast("array<double>")
-    finite = F.forall(cells, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    """(key, vector) of the rows that take part, one per id."""
+    finite = F.forall(F.col(vector).cast("array<double>"),
+                      lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(
-        F.col(key).cast("long").alias("key"), cells.alias("vector"), finite.alias("_finite")) \
+        F.col(key).cast("long").alias("key"), F.col(vector).alias("vector"), finite.alias("_finite")) \
         .where("_finite").groupBy("key").agg(F.min("vector").alias("vector"))
 
 
@@ -52,9 +52,11 @@ def pack(rows: DataFrame, blocks: int, scale: float) -> DataFrame:
         order = np.argsort(ids)
         flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         dim = keys[1].as_py()
-        cells = np.floor(scale * flat.reshape(len(ids), dim))[order]
+        cells = np.floor(scale * flat.astype(np.float64).reshape(len(ids), dim))[order]
+        # Half the size where single precision holds the whole numbers exactly.
+        kind = "<f4" if np.abs(cells).max(initial=0) <= 2 ** 24 else "<f8"
         return pa.table([[keys[0].as_py()], [dim], [ids[order].astype("<i8").tobytes()],
-                         [cells.astype("<f8").tobytes()]], schema=_PACK_SCHEMA)
+                         [cells.astype(kind).tobytes()]], schema=_PACK_SCHEMA)
 
     return rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))).withColumn("dim", F.size("vector")) \
                .groupBy("block", "dim").applyInArrow(pack_block, _PACK)
@@ -124,7 +126,9 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
 
 
 def _matrix(cells: bytes, rows: int, dim: int) -> np.ndarray:
-    return np.frombuffer(cells, "<f8").reshape(rows, dim) if dim else np.zeros((rows, 0))
+    if not dim:
+        return np.zeros((rows, 0))
+    return np.frombuffer(cells, "<f4" if len(cells) == 4 * rows * dim else "<f8").reshape(rows, dim).astype(np.float64)
 
 
 def _tile(k: int):
