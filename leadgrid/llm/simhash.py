@@ -6,7 +6,8 @@ least one of their segments. Each distinct fingerprint enters its segment tables
 Hamming ball: itself, for r = 1 also each value with one more bit set (of two values one bit
 apart the smaller reaches the larger), for r = 2 each value with one bit flipped (two values two
 bits apart share a value between them). Fingerprints that meet under a key are compared over
-all 64 bits, and over a longer sketch where there is one.
+all 64 bits. Longer sketches are filed in the same way by segments of their own, r = 2, and
+compared over all their bits: no other feature decides which sketches meet.
 
 Copies collapse before any table is built: a node is a distinct fingerprint with its smallest
 document. Keys are spread by hash; a task gets about 250,000 entries and emits at most a
@@ -45,9 +46,9 @@ _BLOB_SCHEMA = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
 
 
 def _entry(sketch_words: int) -> np.dtype:
-    """A fingerprint filed under a key; with a sketch of that many 64-bit words."""
-    fields = [("key", "<u4"), ("fp", "<u8"), ("node", "<i8")]
-    return np.dtype(fields + [("sketch", "<u8", (sketch_words,))] if sketch_words else fields)
+    """A fingerprint filed under a key, or a sketch of that many 64-bit words."""
+    filed = ("sketch", "<u8", (sketch_words,)) if sketch_words else ("fp", "<u8")
+    return np.dtype([("key", "<u4"), filed, ("node", "<i8")])
 
 
 def shingles(words: list[bytes], n: int) -> Iterator[bytes]:
@@ -69,23 +70,22 @@ def simhash(features: Iterable[bytes], words: int = 1) -> bytes:
 
 
 def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, sketch_words: int = 0) -> DataFrame:
-    """(key, fp, sketch): fp is the SimHash of the word shingles. With ``sketch_words`` it is that of
-    the distinct words, and the sketch is a SimHash of the shingles with so many 64-bit words."""
+    """(key, fp, sketch): fp is the SimHash of the word shingles. With ``sketch_words`` the sketch is a
+    SimHash with so many 64-bit words, whose first is fp."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc, body in rows_of(batches, "key", "body"):
                 words = space_words(body)
-                short = simhash(set(words) if sketch_words else shingles(words, shingle))
-                sketch = simhash(shingles(words, shingle), sketch_words) if sketch_words else b""
-                yield doc, int.from_bytes(short, "big", signed=True), sketch
+                bits = simhash(shingles(words, shingle), max(1, sketch_words))
+                yield doc, int.from_bytes(bits[:8], "big", signed=True), bits if sketch_words else b""
         yield from batched(rows(), _PRINT_SCHEMA)
 
     return id_and_bytes(docs, key, text).mapInArrow(scan, "key long, fp long, sketch binary")
 
 
-def segment_bounds(segments: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of each segment of 64 bits."""
-    edges = [64 * i // segments for i in range(segments + 1)]
+def segment_bounds(segments: int, width: int = 64) -> list[tuple[int, int]]:
+    """(first bit, bits) of each segment of ``width`` bits."""
+    edges = [width * i // segments for i in range(segments + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
@@ -100,14 +100,13 @@ def ball(values: np.ndarray, bits: int, radius: int) -> tuple[np.ndarray, np.nda
     return np.concatenate(index), np.concatenate(keys)
 
 
-def _entries(distance: int, segments: int, buckets: int, sketch_words: int):
+def _entries(distance: int, segments: int, buckets: int):
     """Distinct fingerprints to packed entries by bucket; a bucket serves one segment."""
-    radius, entry = distance // segments, _entry(sketch_words)
+    radius, entry = distance // segments, _entry(0)
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp, node = batch.column("fp").to_numpy().view(np.uint64), batch.column("node").to_numpy()
-            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8").reshape(len(fp), sketch_words)
             for s, (first, bits) in enumerate(segment_bounds(segments)):
                 values = (fp >> np.uint64(first)) & np.uint64((1 << bits) - 1)
                 index, keys = ball(values, bits, radius)
@@ -119,13 +118,61 @@ def _entries(distance: int, segments: int, buckets: int, sketch_words: int):
                     if len(chosen):
                         packed, at = np.empty(len(chosen), entry), index[chosen]
                         packed["key"], packed["fp"], packed["node"] = keys[chosen], fp[at], node[at]
-                        if sketch_words:
-                            packed["sketch"] = sketch[at]
-                        yield pa.RecordBatch.from_arrays([pa.array([s * buckets + b], pa.int64()),
-                                                          pa.array([packed.tobytes()], pa.binary())], schema=_BLOB_SCHEMA)
+                        yield _blob(s * buckets + b, packed)
     return file
 
 
+def _blob(bucket: int, packed: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int64()), pa.array([packed.tobytes()], pa.binary())],
+                                      schema=_BLOB_SCHEMA)
+
+
+def segment_values(sketch: np.ndarray, first: int, bits: int) -> np.ndarray:
+    """The ``bits`` bits from ``first`` on of each sketch (rows of 64-bit words)."""
+    word, shift = divmod(first, 64)
+    values = sketch[:, word] >> np.uint64(shift)
+    if shift + bits > 64:
+        values = values | sketch[:, word + 1] << np.uint64(64 - shift)
+    return values & np.uint64((1 << bits) - 1)
+
+
+def _sketches(segments: int, top: int, sketch_words: int):
+    """Distinct sketches to the buckets that hold a key of theirs; a bucket is a segment and the ``top``
+    highest bits of its keys. A ball meets ``top + 1`` buckets, and is spelled out only there."""
+    kind = np.dtype([("sketch", "<u8", (sketch_words,)), ("node", "<i8")])
+
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = np.empty(batch.num_rows, kind)
+            packed["node"] = batch.column("node").to_numpy()
+            packed["sketch"] = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), "<u8").reshape(-1, sketch_words)
+            for s, (first, bits) in enumerate(segment_bounds(segments, 64 * sketch_words)):
+                high = segment_values(packed["sketch"], first, bits) >> np.uint64(bits - top)
+                index, bucket = ball(high, top, 2)
+                order = np.argsort(bucket, kind="stable")
+                ends = np.searchsorted(bucket[order], np.arange((1 << top) + 1))
+                for b in np.flatnonzero(np.diff(ends)).tolist():
+                    yield _blob(s << top | b, packed[index[order[ends[b]:ends[b + 1]]]])
+    return kind, file
+
+
+def sketch_entries(packed: np.ndarray, bucket: int, segments: int, top: int) -> np.ndarray:
+    """Entries of a bucket: a sketch whose own value lies in it under that value and each value with one
+    lower bit flipped, another under the one value in it."""
+    words = packed["sketch"].shape[1]
+    first, bits = segment_bounds(segments, 64 * words)[bucket >> top]
+    values, low = segment_values(packed["sketch"], first, bits), bits - top
+    here = np.uint64(bucket & (1 << top) - 1)
+    home = np.flatnonzero(values >> np.uint64(low) == here)
+    away = np.flatnonzero(values >> np.uint64(low) != here)
+    index, keys = ball(values[home], low, 2)
+    at = np.concatenate([home[index], away])
+    entries = np.empty(len(at), _entry(words))
+    entries["key"] = np.concatenate([keys, here << np.uint64(low) | values[away] & np.uint64((1 << low) - 1)])
+    entries["sketch"], entries["node"] = packed["sketch"][at], packed["node"][at]
+    return entries
+
+
 class Forest:
     """Union-find that keeps only the links that join two trees."""
 
@@ -149,19 +196,15 @@ class Forest:
 
 
 def near_pairs(entries: np.ndarray, distance: int, sketch_distance: int) -> Forest:
-    """Spanning forest over the entries that share a key and lie within the distances."""
+    """Spanning forest over the entries that share a key and lie within the distance of their kind."""
     entries = entries[np.argsort(entries["key"], kind="stable")]
-    fp, node = entries["fp"], entries["node"]
-    sketch = entries["sketch"] if "sketch" in entries.dtype.names else None
+    node, sketched = entries["node"], "sketch" in entries.dtype.names
+    bits = np.ascontiguousarray(entries["sketch" if sketched else "fp"])
 
     def near(i, j) -> np.ndarray:
         """Which of the pairs (i, j) are near; ``j`` is an array, ``i`` an array as long or one place."""
-        close = np.bitwise_count(fp[i] ^ fp[j]) <= distance
-        if sketch is not None and close.any():
-            at = np.flatnonzero(close)
-            left = sketch[i] if np.ndim(i) == 0 else sketch[i[at]]
-            close[at] = np.bitwise_count(left ^ sketch[j[at]]).sum(axis=1, dtype=np.int64) <= sketch_distance
-        return close
+        apart = np.bitwise_count(bits[i] ^ bits[j])
+        return apart.sum(axis=1, dtype=np.int64) <= sketch_distance if sketched else apart <= distance
 
     forest = Forest()
     starts = np.flatnonzero(np.r_[True, entries["key"][1:] != entries["key"][:-1]])
@@ -195,28 +238,47 @@ def near_pairs(entries: np.ndarray, distance: int, sketch_distance: int) -> Fore
     return forest
 
 
-def links(nodes: DataFrame, distance: int, segments: int, sketch_words: int, sketch_distance: int) -> DataFrame:
-    """(a, b) links between nodes (node, fp, sketch); connects whatever is within the distances."""
+def links(nodes: DataFrame, distance: int, segments: int) -> DataFrame:
+    """(a, b) links between nodes (node, fp); connects whatever is within the distance."""
     if not 2 <= segments or distance // segments > 2:
         raise ValueError("take at least two segments, and so many that a ball's radius is at most 2")
-    width, entry = 64 // segments + 1, _entry(sketch_words)
+    width, entry = 64 // segments + 1, _entry(0)
     buckets = max(1, math.ceil(nodes.count() * (1, width // 2 + 1, width)[distance // segments] / _ENTRIES))
 
     def compare(table: pa.Table) -> pa.Table:
-        entries = np.concatenate([np.frombuffer(b, entry) for b in table.column("blob").to_pylist()])
-        found = near_pairs(entries, distance, sketch_distance).links()
-        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()),
-                         "b": pa.array([b for _, b in found], pa.int64())})
+        return _found(near_pairs(np.concatenate([np.frombuffer(b, entry) for b in table.column("blob").to_pylist()]), distance, 0))
 
-    blobs = nodes.mapInArrow(_entries(distance, segments, buckets, sketch_words), "bucket long, blob binary")
+    blobs = nodes.mapInArrow(_entries(distance, segments, buckets), "bucket long, blob binary")
     return blobs.groupBy("bucket").applyInArrow(compare, "a long, b long")
 
 
+def _found(forest: Forest) -> pa.Table:
+    found = forest.links()
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+
+def sketch_links(nodes: DataFrame, distance: int, segments: int, sketch_words: int) -> DataFrame:
+    """(a, b) links between nodes (node, sketch); connects whatever is within the distance."""
+    if distance // segments > 2:
+        raise ValueError("take so many segments that a ball's radius is at most 2")
+    bits = 64 * sketch_words // segments
+    top = min(bits, math.ceil(math.log2(max(1, nodes.count() * (bits + 1) / _ENTRIES))))
+    kind, file = _sketches(segments, top, sketch_words)
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        packed = np.concatenate([np.frombuffer(b, kind) for b in table.column("blob").to_pylist()])
+        return _found(near_pairs(sketch_entries(packed, key[0].as_py(), segments, top), 0, distance))
+
+    return nodes.mapInArrow(file, "bucket long, blob binary").groupBy("bucket").applyInArrow(compare, "a long, b long")
+
+
 def components(prints: DataFrame, distance: int, segments: int, sketch_words: int = 0,
                sketch_distance: int = 0) -> DataFrame:
     """(key, fp, sketch, component_id): components of the links between written ``prints``."""
     nodes = written(prints.groupBy("fp", "sketch").agg(F.min("key").alias("node")), "simhash-nodes")
-    joined = stars(links(nodes.where("node IS NOT NULL"), distance, segments, sketch_words, sketch_distance))
+    known = nodes.where("node IS NOT NULL")
+    joined = stars(sketch_links(known, sketch_distance, segments, sketch_words) if sketch_words
+                   else links(known, distance, segments))
     # A node without links is its own component.
     placed = nodes.join(joined.withColumnRenamed("a", "node"), "node", "left") \
                   .select(F.col("fp").alias("_fp"), F.col("sketch").alias("_sketch"),
@@ -244,15 +306,14 @@ def sketch_bits(similarity: float, bits: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    similarity: float = 0.8, word_distance: int = 8, segments: int = 3,
-                    sketch_words: int = 4) -> DataFrame:
+                    similarity: float = 0.8, segments: int = 15, sketch_words: int = 4) -> DataFrame:
     """(key, component_id) of documents whose word shingles are about ``similarity`` alike or more.
 
-    An edit changes one distinct word but several shingles, so the tables are searched by the
-    fingerprint of distinct words, which moves least; a longer SimHash of the shingles decides.
+    The sketch of the shingles decides, and the tables are searched by its own segments: every
+    pair within its distance meets, whatever kind of edit lies between the two.
     """
     prints = written(fingerprints(docs, key, text, shingle, sketch_words), "simhash")
-    return components(prints, word_distance, segments, sketch_words, sketch_bits(similarity, 64 * sketch_words)) \
+    return components(prints, 0, segments, sketch_words, sketch_bits(similarity, 64 * sketch_words)) \
         .select(F.col("key").alias(key), "component_id")
 
 
