@@ -1,8 +1,9 @@
 """License scan: exact phrases, and an exact set-similarity join of text blocks with templates.
 
 A block is a line, or a window of a longer line: ``2 * w`` words every ``w`` words, ``w`` being
-the words of the longest template, so that a notice is never cut by a window's edge. A block
-matches a template when it holds at least ``threshold`` of the template's distinct words.
+the words of the longest template. The same windows also slide over the words of the whole text,
+whatever its line breaks, so that a notice is cut neither by a window's edge nor by a newline. A
+block matches a template when it holds at least ``threshold`` of the template's distinct words.
 
 The join is exact. Template words are ordered by their corpus-wide document frequency, rarest
 first. With ``need = ceil(threshold * |T|)`` common words required:
@@ -129,14 +130,16 @@ def scan_text(body: bytes, phrases: Mapping[bytes, str], index: TemplateIndex) -
             at = flat.find(b" " + phrase + b" ", at + 1)
     labels, score, hits = set(base), 0.0, 0
     if not index.rare.isdisjoint(words):
-        for block in _blocks(lines, index.window):
-            if index.rare.isdisjoint(block):
-                continue
-            found = list(index.matches(sorted({index.rank[w] for w in block if w in index.rank})))
-            hits += bool(found)
-            for t, common in found:
-                labels.add(index.labels[t])
-                score = max(score, common / len(index.sets[t]))
+        wrapped = _blocks([words], index.window) if len(lines) > 1 else ()
+        for in_line, blocks in ((1, _blocks(lines, index.window)), (0, wrapped)):
+            for block in blocks:
+                if index.rare.isdisjoint(block):
+                    continue
+                found = list(index.matches(sorted({index.rank[w] for w in block if w in index.rank})))
+                hits += in_line and bool(found)
+                for t, common in found:
+                    labels.add(index.labels[t])
+                    score = max(score, common / len(index.sets[t]))
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), 1.0 if base else score, hits)
 
@@ -147,7 +150,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """Per text: word count, phrase places, labels of phrases and of matching templates, best containment.
 
     ``score`` is the largest share of a template found in one block, 0 below the threshold
-    and 1 where a phrase stands; ``n_blocks`` counts the blocks that meet some template.
+    and 1 where a phrase stands; ``n_blocks`` counts the blocks within lines that meet some template.
     """
     spelled = {b" ".join(fold_words(p.encode())): label for p, label in phrases.items()}
     pairs = [(label, t.encode()) for label, texts in templates.items() for t in texts]

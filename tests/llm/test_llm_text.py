@@ -73,6 +73,18 @@ def test_license_scan_equals_brute_force(spark):
     assert sorted_rows(got, *names) == sorted(((i, *brute_license(t)) for i, t in rows), key=repr)
 
 
+def test_wrapped_notices_are_found(spark):
+    notices = [("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
+               ("licensed under the GNU General Public License\nversion 3", "gpl-3"),
+               ("\n".join(licenses.TEMPLATES["mit"][1].split()), "mit"), ("licensed under the\n\nGNU", "")]
+    rows = [(10 * i + at, "zebra\n" * at + text) for i, (text, _) in enumerate(notices) for at in range(10)]
+    rows += [(100 * at, "zebra " * at + notices[0][0]) for at in range(1, 70)]
+    got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in licenses.license_scan(documents(spark, rows)).collect()}
+    for i, (_, label) in enumerate(notices):
+        assert {got[10 * i + at] for at in range(10)} == {(label, 1.0 if label else 0.0, 0)}
+    assert {got[100 * at][0] for at in range(1, 70)} == {"bsd"}
+
+
 def test_license_scan_of_nothing(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
