@@ -6,7 +6,8 @@ Two shapes keep every row:
   from them in batch (``stream_*``): no row is judged by when it arrived;
 * running results (rates, contact touches) are streaming aggregates in update mode. Every batch
   appends the rows it changed under its own number, which a repeated batch overwrites; the
-  newest change per key is the current result. The watermark bounds the state alone.
+  newest change per key is the current result. Rates keep the counts of every span, so an event
+  of any age is added to its own; contact touches are kept until they have expired.
 """
 
 from __future__ import annotations
@@ -25,12 +26,17 @@ from leadgrid.operators.signals import dedupe_richest
 from leadgrid.session import fresh_path
 
 
+def instants(df: DataFrame, col: str) -> DataFrame:
+    """``col`` as instants: wall-clock times are read as UTC."""
+    if dict(df.dtypes)[col] != "timestamp_ntz":
+        return df
+    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(col))
+    return df.withColumn(col, local.cast("timestamp"))
+
+
 def event_time(df: DataFrame, col: str, delay: str) -> DataFrame:
-    """Watermark on ``col``. A watermark needs an instant: wall-clock times are read as UTC."""
-    if dict(df.dtypes)[col] == "timestamp_ntz":
-        local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(col))
-        df = df.withColumn(col, local.cast("timestamp"))
-    return df.withWatermark(col, delay)
+    """Watermark on ``col``, which needs an instant."""
+    return instants(df, col).withWatermark(col, delay)
 
 
 def wall_clock(col: str) -> Column:
@@ -115,8 +121,9 @@ def newest_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best_per_key(changes, keys, [F.desc("batch")]).drop("batch")
 
 
-def _rates(events: DataFrame, window: Column, delay: str) -> DataFrame:
-    counted = event_time(events, "ts", delay).groupBy(window.alias("w"), "campaign_id").agg(
+def _rates(events: DataFrame, window: Column) -> DataFrame:
+    # No watermark: it would drop events whose span ended before it. The state is three counts per span and campaign.
+    counted = instants(events, "ts").groupBy(window.alias("w"), "campaign_id").agg(
         F.count_if(F.col("kind") == "sent").alias("sent"), F.count_if(F.col("kind") == "replied").alias("replies"),
         F.count_if(F.col("kind") == "bounced").alias("bounces"))
     return counted.select(
@@ -128,17 +135,17 @@ def _rates(events: DataFrame, window: Column, delay: str) -> DataFrame:
 RATE_KEY = ("window_start", "campaign_id")
 
 
-def weekly_rates(events: DataFrame, delay: str = "30 days") -> DataFrame:
+def weekly_rates(events: DataFrame) -> DataFrame:
     """Changes of reply and bounce rates per campaign and calendar span of seven days, the running one included.
 
-    Events older than ``delay`` no longer move a rate.
+    Events count however late they come. The state has a row per span and campaign, as the result has.
     """
-    return _rates(events, F.window("ts", "7 days"), delay)
+    return _rates(events, F.window("ts", "7 days"))
 
 
-def trailing_rates(events: DataFrame, days: int = 7, delay: str = "30 days") -> DataFrame:
+def trailing_rates(events: DataFrame, days: int = 7) -> DataFrame:
     """The same over the last ``days`` days, one span per day, the current ones included."""
-    return _rates(events, F.window("ts", f"{days} days", "1 day"), delay)
+    return _rates(events, F.window("ts", f"{days} days", "1 day"))
 
 
 # --- contact state -------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 import datetime
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -75,6 +76,18 @@ def test_rates_hold_the_running_spans_and_later_events(spark):
     assert sorted((r["sent"], r["replies"], r["reply_pct"]) for r in got.collect()) == [(1, 0, 0.0), (2, 1, 50.0)]
 
 
+@pytest.mark.parametrize("rates, spans", [(jobs.weekly_rates, 1), (jobs.trailing_rates, 7)])
+def test_rates_add_a_load_that_is_months_old(spark, rates, spans):
+    src, path, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
+    schema = "ts timestamp, kind string, campaign_id long"
+    for load in ([(day(5), "sent", 1), (day(5), "sent", 1)], [(day(200), "sent", 1)], [(day(201), "sent", 2)],
+                 [(day(5), "replied", 1), (day(40), "sent", 1), (day(40), "bounced", 1)]):
+        feed(spark, src, load, schema)
+        changes = jobs.append_changes(rates(spark.readStream.schema(schema).parquet(src)), path, cp)
+    got = [(r["campaign_id"], r["sent"], r["replies"], r["bounces"]) for r in jobs.newest_changes(changes, jobs.RATE_KEY).collect()]
+    assert sorted(got) == sorted([(1, 2, 1, 0), (1, 1, 0, 0), (2, 1, 0, 0), (1, 1, 0, 1)] * spans)
+
+
 def test_contact_state_keeps_the_latest_touch_and_expires(spark):
     src, path, cp = (fresh_path(spark, n) for n in ("src", "out", "cp"))
     schema = "workspace string, lead_email string, campaign_id long, step int, sent_at timestamp"
