@@ -11,8 +11,8 @@ several automata, each for one scan that returns the documents with hits only, a
 of a document are merged by (id, hash of the text). A task never holds two automata.
 
 Null texts have no words: such a document is clean, such an item has no pattern. Items are
-told apart by their id; an item id that repeats contributes the patterns of all its rows, a
-null item id is skipped. Repeated documents yield a row each; an empty benchmark leaves every
+told apart by their id; an item id that repeats contributes the patterns of all its rows. Items
+without an id count as one item, whose name is missing in the list of ids. Repeated documents yield a row each; an empty benchmark leaves every
 document clean; other columns are ignored.
 """
 
@@ -59,13 +59,13 @@ def item_patterns(benchmark: DataFrame, item: str, text: str, window: int) -> Da
                     yield b" ".join(words[i:i + window]), name
         yield from batched(rows(), _PAIRS)
 
-    named = benchmark.where(F.col(item).isNotNull()).select(
+    named = benchmark.select(
         F.col(item).cast("string").alias("item"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
     return named.mapInArrow(cut, "pattern binary, item string").groupBy("pattern") \
-                .agg(F.collect_set("item").alias("items"))
+                .agg(F.transform(F.collect_set(F.struct("item")), lambda x: x["item"]).alias("items"))  # keeps the null
 
 
-def build_automaton(patterns: list[tuple[bytes, list[str]]]) -> ahocorasick.Automaton:
+def build_automaton(patterns: list[tuple[bytes, list[str | None]]]) -> ahocorasick.Automaton:
     """Patterns as keys between blanks, so that only whole words match."""
     automaton = ahocorasick.Automaton()
     for pattern, items in patterns:
@@ -75,11 +75,11 @@ def build_automaton(patterns: list[tuple[bytes, list[str]]]) -> ahocorasick.Auto
     return automaton
 
 
-def hit_words(body: bytes, automaton: ahocorasick.Automaton) -> tuple[int, list[Run], set[str]]:
+def hit_words(body: bytes, automaton: ahocorasick.Automaton) -> tuple[int, list[Run], set[str | None]]:
     """Number of words, runs of hit words, and the items that occur."""
     words = body.translate(WORD_TABLE).split()
     found: list[tuple[int, int]] = []
-    items: set[str] = set()
+    items: set[str | None] = set()
     if words and len(automaton):
         flat = f" {b' '.join(words).decode('latin-1')} "
         at = last = 0
@@ -106,9 +106,9 @@ def joined(runs: list[Run]) -> list[Run]:
     return out
 
 
-def _report(key: int, n_words: int, runs: list[Run], items: set[str]) -> tuple:
+def _report(key: int, n_words: int, runs: list[Run], items: set[str | None]) -> tuple:
     hit = sum(end - first for first, end, _, _ in runs)
-    digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    digest = hashlib.sha256(",".join(sorted(items - {None})).encode()).hexdigest()
     return key, n_words, hit, len(items), digest, hit > 0, _structs(runs)
 
 
@@ -127,7 +127,7 @@ def _scan(patterns, only_hits: bool):
                 if not only_hits:
                     yield _report(key, n_words, runs, items)
                 elif runs:
-                    yield key, text_hash, n_words, _structs(runs), sorted(items)
+                    yield key, text_hash, n_words, _structs(runs), list(items)
 
         yield from batched(rows(), _HITS if only_hits else _RESULT)
     return scan

@@ -235,6 +235,17 @@ def test_spans_point_into_the_original_text(spark):
     assert (span["first"], span["end"]) == (1, 4)
 
 
+@pytest.mark.parametrize("block", [50_000, 1])
+def test_items_without_an_id_contaminate(spark, block):
+    bench = spark.createDataFrame([(None, "one two three"), (None, "five six"), (7, "five six")], "item_id long, text string")
+    docs = documents(spark, [(1, "zero ONE two three"), (2, "four five six"), (3, "one two")])
+    got = decontam.decontaminate(docs, bench, block_patterns=block)
+    none, seven = (hashlib.sha256(x).hexdigest() for x in (b"", b"7"))
+    assert sorted_rows(got, "doc_id", "n_hit", "n_items", "items_sha256", "contaminated") == [
+        (1, 3, 1, none, True), (2, 2, 2, seven, True), (3, 0, 0, none, False)]  # as the SQL twin counts them
+    assert sorted_rows(decontam.keep_clean(docs, bench, block_patterns=block), "doc_id") == [(3,)]
+
+
 def test_decontamination_without_benchmark_or_documents(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     got = decontam.decontaminate(documents(spark, AWKWARD), empty)
