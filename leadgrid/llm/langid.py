@@ -3,8 +3,8 @@
 A text becomes a hashed vector of its letter n-grams (1 to 3 bytes of lower-cased UTF-8, other
 bytes blank), with logarithmic counts, inverse document frequencies and unit length. The
 frequencies are counted over all training texts, per partition and added in a tree. Of each
-language at most ``per_language`` training texts, those with the smallest id hashes, are
-clustered into ``clusters`` centroids by spherical k-means; a language is one small task. A
+language at most ``per_language`` distinct training rows, those with the smallest hashes of id
+and text, are clustered into ``clusters`` centroids by spherical k-means; a language is one small task. A
 text gets the language of the centroid with the largest cosine. ``rejected`` marks texts whose
 distance to it is beyond all distances seen in its cluster, with a margin.
 
@@ -92,18 +92,19 @@ def learn(rows: DataFrame, clusters: int, per_language: int, margin: float, slac
     """(idf, [(language, centroid, reach)]) from training rows (key, lang, body)."""
     n, frequency = document_frequencies(rows)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    # The sample is chosen by ids alone: the last hash that each language takes.
-    ids = rows.select("lang", F.xxhash64("key").alias("h"))
-    sizes = written(ids.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
+    # The sample is chosen by hashes alone: the last one that each language takes. Rows that repeat count once.
+    hashed = rows.withColumn("h", F.xxhash64("key", "body"))
+    hashes = written(hashed.select("lang", "h").distinct(), "language-hashes")
+    sizes = written(hashes.groupBy(F.col("lang").alias("_lang")).agg(F.count(F.lit(1)).alias("n")), "languages")
     # About four times the sample passes this bound, so a large language sends no more to be ranked.
     share = F.lit(4.0 * per_language) / F.col("n")
     bound = F.when(share < 1, (share * 2.0 ** 64 - 2.0 ** 63).cast("long")).otherwise(F.lit(2 ** 63 - 1))
-    few = ids.join(sizes, F.col("lang") == F.col("_lang")).where(F.col("h") <= bound).select("lang", "h")
-    last = best_k_per_key(few.withColumn("u", F.monotonically_increasing_id()), ["lang"], [F.col("h"), F.col("u")],
-                          per_language).groupBy("lang").agg(F.max("h").alias("last")) \
+    few = hashes.join(sizes, F.col("lang") == F.col("_lang")).where(F.col("h") <= bound).select("lang", "h")
+    last = best_k_per_key(few, ["lang"], [F.col("h")], per_language).groupBy("lang").agg(F.max("h").alias("last")) \
         .withColumnRenamed("lang", "_lang")
     # Written, so that its size is known: texts are not shuffled to meet one row per language.
-    sample = rows.join(written(last, "languages"), F.col("lang") == F.col("_lang")).where(F.xxhash64("key") <= F.col("last"))
+    sample = hashed.join(written(last, "languages"), F.col("lang") == F.col("_lang")).where(F.col("h") <= F.col("last")) \
+                   .dropDuplicates(["lang", "h"])
 
     def cluster(key: tuple, table: pa.Table) -> pa.Table:
         vectors = np.stack([vector(ngram_counts(b), idf) for b in table.column("body").to_pylist()])

@@ -274,6 +274,15 @@ def test_language_of_awkward_rows(spark):
     assert {r["lang_pred"] for r in unknown.collect()} == {"und"}
 
 
+@pytest.mark.parametrize("repeated", [1, 2, 3, 4])
+def test_language_sample_counts_repeated_rows_once(spark, repeated):
+    rows = [(repeated, "the cat and the dog", "en")] * 60 + [(repeated, f"the dog {i}", "en") for i in range(30)]
+    rows += [(100 + i, "der Hund und die Katze", "de") for i in range(20)]
+    df = spark.createDataFrame([(i, t.encode(), n) for i, t, n in rows], "key long, body binary, lang string")
+    _, found = langid.learn(df, 100, 5, 1.1, 0.01)  # more centroids than texts: one for each text taken
+    assert {n: len([c for c in found if c[0] == n]) for n in ("de", "en")} == {"de": 5, "en": 5}
+
+
 def test_rejection_by_distance(spark):
     rows = [(i, f"the cat {w} and the dog", "en") for i, w in enumerate(["sat", "ran", "ate", "hid"] * 10)]
     rows.append((1000, "zxq vvkj qqzx xxjk", None))
