@@ -398,7 +398,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     parts = max(1, -(-total // group_bytes))
     # Rows without an id are spread by their text.
     spread = F.coalesce(F.xxhash64(F.col(key).cast("long")) + F.when(F.col(key).isNotNull(), 0), F.xxhash64(body))
-    slim = docs.select(F.col(key).cast("long").alias("key"), F.pmod(spread, F.lit(parts)).cast("int").alias("group"),
+    # Both sides of a cogroup are hashed by their own type: the group is a long, as ``to`` is.
+    slim = docs.select(F.col(key).cast("long").alias("key"), F.pmod(spread, F.lit(parts)).cast("long").alias("group"),
                        body.alias("body"))
     grams = slim.mapInArrow(_find_anchors(parts), _BLOB_SQL)
     shared = grams.groupBy("to").applyInArrow(_shared_grams(crowd), _BLOB_SQL)

@@ -132,6 +132,27 @@ def test_repeats_equal_brute_force(spark, options):
     assert sorted_rows(got, *names) == brute_repeats(rows)
 
 
+@pytest.fixture(params=[1, 4, 211])
+def plain_partitions(spark, request):
+    """The exchange keeps its partitions: nothing is coalesced at run time."""
+    names = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    for n, v in zip(names, ("false", str(request.param))):
+        spark.conf.set(n, v)
+    yield request.param
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("crowd", [4096, 3])
+def test_repeats_on_any_number_of_partitions(spark, plain_partitions, crowd):
+    """A gram in every document, many groups, and an exchange of 1, 4 or 211 partitions."""
+    line = "every page repeats this line, which is longer than fifty bytes\n"
+    rows = passages(5) + [(500 + i, line + (t or "")) for i, (_, t) in enumerate(passages(6))]
+    got = suffixes.remove_repeats(documents(spark, rows), with_text=False, group_bytes=4000, crowd=crowd)
+    assert sorted_rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute_repeats(rows)
+
+
 def test_repeats_return_the_kept_bytes(spark):
     passage = "the same passage stands in two documents and is longer than fifty bytes"
     got = suffixes.remove_repeats(documents(spark, [(1, passage), (2, "before " + passage + " after")]))
