@@ -335,25 +335,32 @@ def _merge_bucket(table: pa.Table) -> pa.Table:
             continue
         rows, rest = unpacked(blob, _UNIT)
         units.append(rows)
-        keys.append(front_decoded(rows["lcp"].astype(np.int64), rest))
-        sizes.append(len(rows))
+        lead = rows["lcp"][rows["lcp"] < WIDTH].astype(np.int64)
+        keys.append(front_decoded(lead, rest))
+        sizes.append(len(lead))
     if not units:
         return _table(out)
+    # A key that repeats in its run (a line that fills a document) is merged once and has many places.
     unit, key = np.concatenate(units), np.concatenate(keys)
-    order, lcp = merge_runs(key, unit["lcp"].astype(np.int64), sizes)
-    unit, key = unit[order], key[order]
+    lead = np.flatnonzero(unit["lcp"] < WIDTH)
+    times = np.diff(np.r_[lead, len(unit)])
+    order, lcp = merge_runs(key, unit["lcp"][lead].astype(np.int64), sizes)
+    key, lead, times = key[order], lead[order], times[order]
     new = lcp < WIDTH
     distinct, number = np.flatnonzero(new), np.cumsum(new) - 1
-    least = np.minimum.reduceat(unit["doc"], distinct)
+    least = np.minimum.reduceat(unit["doc"][lead], distinct)
     gram = np.cumsum(lcp[distinct] < GRAM) - 1
     gram -= gram[0]
     smallest = smallest_documents(key[distinct], least, gram)
     n = key[:, LENGTH].astype(np.int64) + key[:, _USED - 1] - LENGTH
     column = np.arange(_REACH + 2)
-    hit = np.zeros((len(unit), _REACH + 3), bool)  # a column without strings on either side
-    hit[:, 1:_REACH + 2] = (smallest[number] < unit["doc"][:, None]) & (column[:_REACH + 1] < n[:, None])
+    hit = np.zeros((len(lead), _REACH + 3), bool)  # a column without strings on either side
+    hit[:, 1:_REACH + 2] = (smallest[number] < unit["doc"][lead, None]) & (column[:_REACH + 1] < n[:, None])
     row, begin = np.nonzero(hit[:, 1:] & ~hit[:, :-1])
     end = np.nonzero(hit[:, :-1] & ~hit[:, 1:])[1]
+    repeat = times[row]  # the places of a key follow its first one
+    place = np.repeat(lead[row], repeat) + np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
+    row, begin, end = place, np.repeat(begin, repeat), np.repeat(end, repeat)
     ranges = np.empty(len(row), _RANGE)
     ranges["slot"], ranges["at"], ranges["n"] = unit["slot"][row], unit["at"][row] + begin, end - begin - 1 + LENGTH
     group = unit["group"][row]
