@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadgrid.llm import decontam, langid, licenses, mixing, quality, shards, simhash, suffixes, topk, warc
+from leadgrid.llm import decontam, hardneg, langid, licenses, mixing, quality, shards, simhash, suffixes, topk, warc
 from leadgrid.session import fresh_path
 
 
@@ -64,9 +64,16 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, folder, "embeddings").withColumn("label", relabelled)
+    return hardneg.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_decontaminate, op4_exact_top_k, op5_quality,
-                            op6_simhash, op7_warc, op8_mix_sources, op9_rendezvous_shards, op10_language)}
+                            op6_simhash, op7_warc, op8_mix_sources, op9_rendezvous_shards, op10_language,
+                            op12_hard_negatives)}
 
 _FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -190,5 +197,20 @@ SELECT doc_id, strlen(body)::BIGINT + 1 AS size, text_crc32, 'key' AS law, shard
     grown::INTEGER AS grown_shard
 FROM d JOIN sums USING (rid) JOIN shard USING (rid)"""
 
+OP12 = """
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.e) = len(c.e) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS place FROM scored WHERE same
+    QUALIFY place <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+    row_number() OVER (PARTITION BY p.rid, p.place ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank,
+    n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.rid = p.rid AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5"""
+
 ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op3_decontaminate": OP3, "op4_exact_top_k": OP4, "op7_warc": OP7,
-                           "op8_mix_sources": OP8, "op9_rendezvous_shards": OP9}
+                           "op8_mix_sources": OP8, "op9_rendezvous_shards": OP9, "op12_hard_negatives": OP12}
