@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadgrid.llm import decontam, hardneg, langid, licenses, mixing, quality, shards, simhash, suffixes, topk, warc
+from leadgrid.llm import decontam, hardneg, langid, licenses, merkle, mixing, quality, shards, simhash, suffixes, topk, warc
 from leadgrid.session import fresh_path
 
 
@@ -70,10 +70,14 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hardneg.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.merkle_manifest(table(spark, folder, "documents"), claimed=merkle.without_line_breaks()).drop("steps")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_decontaminate, op4_exact_top_k, op5_quality,
                             op6_simhash, op7_warc, op8_mix_sources, op9_rendezvous_shards, op10_language,
-                            op12_hard_negatives)}
+                            op12_hard_negatives, op13_merkle_manifest)}
 
 _FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -212,5 +216,49 @@ SELECT p.anchor_id, p.vec_id AS positive_id,
 FROM positives p JOIN scored n ON n.rid = p.rid AND NOT n.same AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
 QUALIFY rank <= 5"""
 
+def _leaf(text: str) -> str:
+    fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+
+# CRC-32 of the decimal id, bit by bit as above; nodes by tree (a source, or all of them), level and place.
+OP13 = f"""
+WITH RECURSIVE poly(b, step, c) AS (SELECT b, 0, b::BIGINT FROM range(256) t(b) UNION ALL
+    SELECT b, step + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM poly WHERE step < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM poly WHERE step = 8),
+checked AS (SELECT *, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(
+    regexp_extract_all(hex(doc_id::VARCHAR), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]))) AS crc FROM documents, crc),
+d AS (SELECT *, {_leaf("text")} AS leaf,
+    CASE WHEN crc % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS claimed FROM checked),
+leaves AS (SELECT *, {_leaf("claimed")} AS claim,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+tree(source, level, pos, n, digest) AS (SELECT source, 0, pos, n, leaf FROM leaves UNION ALL
+    SELECT source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tree WHERE n > 1
+    GROUP BY source, level, pos // 3, n),
+subroots AS (SELECT source, digest, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+    FROM tree WHERE n = 1),
+top(level, pos, n, digest) AS (SELECT 0, pos, n, digest FROM subroots UNION ALL
+    SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1
+    GROUP BY level, pos // 3, n),
+sides AS (SELECT a.source, a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS lo,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS hi FROM tree a JOIN tree b
+    ON a.source IS NOT DISTINCT FROM b.source AND a.level = b.level AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY ALL),
+top_sides AS (SELECT a.level, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS lo,
+    coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS hi FROM top a JOIN top b
+    ON a.level = b.level AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY ALL),
+numbered AS (SELECT leaves.*, row_number() OVER () AS rid, subroots.digest AS subroot, subroots.pos AS place FROM leaves
+    JOIN subroots ON leaves.source IS NOT DISTINCT FROM subroots.source),
+steps AS (SELECT rid, s.level AS level, lo, hi FROM numbered n JOIN sides s ON n.source IS NOT DISTINCT FROM s.source
+    AND s.pos = n.pos // (3 ** s.level)::BIGINT
+    UNION ALL SELECT rid, 1000 + s.level, lo, hi FROM numbered n JOIN top_sides s ON s.pos = n.place // (3 ** s.level)::BIGINT),
+paths AS (SELECT rid, list({{'lo': lo, 'hi': hi}} ORDER BY level) AS path FROM steps GROUP BY rid),
+fold(rid, step, h) AS (SELECT rid, 0, claim FROM numbered UNION ALL
+    SELECT fold.rid, step + 1, sha256(path[step + 1].lo || h || path[step + 1].hi) FROM fold JOIN paths USING (rid) WHERE step < len(path)),
+ends AS (SELECT rid, arg_max(h, step) AS folded_root FROM fold GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, sha256(coalesce(list_reduce(list_concat([''], list_transform(path, lambda s: s.lo || s.hi)),
+    lambda a, b: a || b), '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM numbered JOIN ends USING (rid) LEFT JOIN paths USING (rid), (SELECT digest AS root FROM top WHERE n = 1)"""
+
 ORACLES: dict[str, str] = {"op1_license_scan": OP1, "op3_decontaminate": OP3, "op4_exact_top_k": OP4, "op7_warc": OP7,
-                           "op8_mix_sources": OP8, "op9_rendezvous_shards": OP9, "op12_hard_negatives": OP12}
+                           "op8_mix_sources": OP8, "op9_rendezvous_shards": OP9, "op12_hard_negatives": OP12, "op13_merkle_manifest": OP13}
