@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadgrid.llm import decontam, hardneg, langid, licenses, merkle, mixing, quality, shards, simhash, suffixes, topk, warc
+from leadgrid.llm import decontam, hardneg, langid, licenses, merkle, mixing, quality, shards, simhash, suffixes, topk, toxicity, warc
 from leadgrid.session import fresh_path
 
 
@@ -64,6 +64,10 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = table(spark, folder, "embeddings").withColumn("label", relabelled)
@@ -77,7 +81,7 @@ def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_suffix_dedup, op3_decontaminate, op4_exact_top_k, op5_quality,
                             op6_simhash, op7_warc, op8_mix_sources, op9_rendezvous_shards, op10_language,
-                            op12_hard_negatives, op13_merkle_manifest)}
+                            op11_toxicity, op12_hard_negatives, op13_merkle_manifest)}
 
 _FOLD = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
