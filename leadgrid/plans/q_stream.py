@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from leadgrid.operators.crawl import sync_profile_queue
 from leadgrid.plans.q_pages import QUEUE_SQL, crawls_now, queue_after, queue_before
 from leadgrid.plans.registry import query
 from leadgrid.plans.standins import STANDINS
 from leadgrid.plans.sqltext import rate, rnd
 from leadgrid.session import fresh_path
 from leadgrid.streaming import jobs
+from leadgrid.streaming.store import Store
 
 
 def stream(t, name):
@@ -27,10 +27,15 @@ def restream(df, name):
     return df.sparkSession.readStream.schema(df.schema).parquet(path)
 
 
+def keyed(source, name, rule):
+    """A stream folded into a keyed table, to the end."""
+    return jobs.current(jobs.to_keyed(source, name, rule), source.schema)
+
+
 @query("stream_dedupe_postings", """SELECT user_id, event_type, props, min(ts) AS first_at FROM events GROUP BY 1, 2, 3""")
 def stream_dedupe_postings(t):
-    loads = jobs.to_table(stream(t, "events").select("user_id", "event_type", "props", "ts"), "postings")
-    return jobs.stream_dedupe_postings(loads, "ts", ["user_id", "event_type", "props"]).withColumnRenamed("ts", "first_at")
+    return keyed(stream(t, "events").select("user_id", "event_type", "props", "ts"), "postings",
+                 jobs.postings("ts", ["user_id", "event_type", "props"])).withColumnRenamed("ts", "first_at")
 
 
 @query("stream_richest_postings", """SELECT lang, source, doc_id, length(text)::BIGINT AS n_text FROM documents
@@ -48,15 +53,14 @@ def twice(df):
 
 @query("stream_replies", "SELECT event_id, label, replied_at FROM replies")
 def stream_replies(t):
-    loads = jobs.to_table(twice(stream(t, "replies")), "replies")
-    return jobs.stream_replies(loads, "event_id").select("event_id", "label", "replied_at")
+    return keyed(twice(stream(t, "replies")), "replies", jobs.replies("event_id")).select("event_id", "label", "replied_at")
 
 
 @query("stream_sends", """SELECT min(event_id) AS event_id, lead_email, campaign_id, step, sent_at,
     sha256('main|' || lead_email || '|' || campaign_id || '|' || step || '|' || epoch_us(sent_at)) AS send_id FROM sends GROUP BY ALL""")
 def stream_sends(t):
-    loads = jobs.to_table(twice(stream(t, "sends")), "sends")
-    return jobs.stream_sends(loads).select("event_id", "lead_email", "campaign_id", "step", "sent_at", "send_id")
+    loads = jobs.with_send_id(twice(stream(t, "sends")))
+    return keyed(loads, "sends", jobs.sends()).select("event_id", "lead_email", "campaign_id", "step", "sent_at", "send_id")
 
 
 def _spans(step_days: int) -> str:
@@ -69,29 +73,23 @@ def _spans(step_days: int) -> str:
     SELECT *, {rnd(rate('replies', 'sent', 100), 2)} AS reply_pct, {rnd(rate('bounces', 'sent', 100), 2)} AS bounce_pct FROM g"""
 
 
-def windows(changes):
-    rates = jobs.newest_changes(changes, jobs.RATE_KEY)
-    return rates.select(jobs.wall_clock("window_start"), jobs.wall_clock("window_end"), *rates.columns[2:])
-
-
 @query("weekly_rates", _spans(7))
 def weekly_rates(t):
-    return windows(jobs.to_changes(jobs.weekly_rates(stream(t, "mail_events")), "weekly"))
+    return jobs.weekly_rates(jobs.to_panes(stream(t, "mail_events"), "weekly"))
 
 
 @query("trailing_rates", _spans(1))
 def trailing_rates(t):
-    return windows(jobs.to_changes(jobs.trailing_rates(stream(t, "mail_events")), "trailing"))
+    return jobs.trailing_rates(jobs.to_panes(stream(t, "mail_events"), "trailing"))
 
 
 @query("contact_state", """SELECT workspace, lead_email, campaign_id, step, sent_at AS last_at FROM sends
     QUALIFY row_number() OVER (PARTITION BY workspace, lead_email ORDER BY sent_at DESC, campaign_id DESC, step DESC) = 1
       AND sent_at > (SELECT max(sent_at) FROM sends) - INTERVAL 7 DAY""")
 def contact_state(t):
-    changes = jobs.to_changes(jobs.contact_state(stream(t, "sends"), 7), "touch")
-    newest = changes.agg(F.max("last_at").alias("m"))
-    live = jobs.live_contacts(changes, newest.scalar(), 7)
-    return live.select("workspace", "lead_email", "campaign_id", "step", jobs.wall_clock("last_at"))
+    leads = keyed(stream(t, "sends"), "touch", jobs.touches(7))
+    live = jobs.live_contacts(leads, leads.agg(F.max("sent_at")).scalar(), 7)
+    return live.select("workspace", "lead_email", "campaign_id", "step", F.col("sent_at").alias("last_at"))
 
 
 @query("late_replies", """WITH r AS (SELECT r.event_id AS reply_event, arg_max(s.event_id, (s.sent_at, s.event_id)) AS send_event, max(s.sent_at) AS sent_at,
@@ -99,8 +97,11 @@ def contact_state(t):
     SELECT s.event_id, s.lead, s.campaign_id, r.reply_event FROM sends s LEFT JOIN r ON r.send_event = s.event_id
       AND r.replied_at <= r.sent_at + INTERVAL 21 DAY""")
 def late_replies(t):
-    sends, replies = jobs.to_table(stream(t, "sends"), "sends"), jobs.to_table(stream(t, "replies"), "replies")
-    return jobs.late_replies(sends, replies, 21).select("event_id", "lead", "campaign_id", "reply_event")
+    sends, replies = stream(t, "sends"), stream(t, "replies")
+    stores = [jobs.to_keyed(loads, name, jobs.earliest(["event_id", time], time, moves=False)) for loads, name, time in
+              ((sends, "sends", "sent_at"), (replies, "replies", "replied_at"))]
+    found = jobs.refresh_late_replies(Store(t.spark, fresh_path(t.spark, "earned")), *stores, sends.schema, replies.schema, 21)
+    return found.select("event_id", "lead", "campaign_id", "reply_event")
 
 
 @query("freshness_stream", """SELECT event_id, event_type FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-20' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-20'""")
@@ -112,5 +113,8 @@ def freshness_stream(t):
 @query("sync_profile_queue_stream", f"WITH {QUEUE_SQL} SELECT * FROM after")
 def sync_profile_queue_stream(t):
     now = F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")
-    loads = jobs.to_table(twice(restream(crawls_now(t), "crawls")), "crawls")
-    return queue_after(sync_profile_queue(queue_before(t), loads, now))
+    store, queue, crawls = Store(t.spark, fresh_path(t.spark, "queue")), queue_before(t), twice(restream(crawls_now(t), "crawls"))
+    jobs.open_queue(store, queue)
+    jobs.fold(crawls, store, fresh_path(t.spark, "queue-checkpoint"),
+              lambda at, batch, number: jobs.sync_queue(at, batch, number, queue.schema, now))
+    return queue_after(store.read("queue", queue.schema))
