@@ -6,8 +6,9 @@ document gets its expected copies, ``min(cap, c * w)``: ``w`` is its inclusion w
 given) and ``c`` makes the expected words the target. The whole part of that are certain copies.
 The fractions are inclusion probabilities of a fixed-size Pareto sample: documents are ranked by
 the odds of a random number divided by the odds of their probability, and taken from the smallest
-on while their words fit. A second round fills what is left with the next documents that are at
-most an eighth of it, so that a long document at the edge leaves no gap.
+on while their words fit. The document that ends a round leaves a gap; further rounds take, in the same
+order, documents that fit what is left, until none does. A source then lacks less than its smallest
+document that was not taken, however few or unequal its documents are.
 
 Random numbers are digits of the MD5 of the id, so reruns agree. Running sums are taken per
 (source, bucket of the rank) and offset by the sums of the buckets before: no task
@@ -32,6 +33,8 @@ from leadgrid.session import written
 
 # Buckets of the logarithm of the rank: at most one in 1,600 documents of a source meets in one.
 STEPS = 400
+# Type of the ends of a source's rounds (``_new_cut``).
+CUTS = "array<struct<most:double,place:struct<q:double,key:{key},size:bigint>>>"
 # Digits of the MD5 that make the random number, and the number of their values.
 _DIGITS = 13
 _RANGE = float(16 ** _DIGITS)
@@ -130,22 +133,32 @@ def cut_points(slim: DataFrame, weight: Callable[[Column], Column], cap: float,
     certain = with_copies(slim, plan, cap).groupBy(F.col("source").alias("_source")) \
         .agg(F.sum(F.col("whole") * F.col("size")).alias("certain"))
     plan = written(_beside(plan, certain).withColumn("wanted", F.col("target") - F.col("certain")).drop("certain"), "mix-plan")
-    rows = with_copies(slim, plan, cap).where("p > 0").withColumn("bucket", F.floor(F.log("q") * STEPS))
-    first = running(rows, "size", "cum").where(F.col("cum") <= F.col("wanted"))
-    taken = first.groupBy(F.col("source").alias("_source")).agg(F.sum("size").alias("got"), F.max("place").alias("cut"))
-    plan = written(_beside(plan, taken).withColumn("gap", F.col("wanted") - F.coalesce(F.col("got"), F.lit(0)))
-                   .drop("got"), "mix-plan")
-    rows = with_copies(slim, plan, cap).where("p > 0").withColumn("bucket", F.floor(F.log("q") * STEPS)) \
-        .where(F.expr(FITS) & ~F.coalesce(F.col("place") <= F.col("cut"), F.lit(False)))
-    second = running(rows, "size", "cum").where(F.col("cum") - F.col("size") / 2.0 <= F.col("gap"))
-    last = second.groupBy(F.col("source").alias("_source")).agg(F.max("place").alias("cut_small"))
-    # Written, so that its size is known when documents are joined to it: one row per source is
-    # broadcast, and no source's documents meet in one task.
-    return written(_beside(plan, last), "mix-plan")
-
-
-# A document fits the second round when it is small beside the gap.
-FITS = "size * 8 <= gap"
+    # The first round takes documents of any size.
+    plan = plan.withColumn("gap", F.col("wanted")).withColumn("cuts", F.lit(None).cast(CUTS.format(key=slim.schema["key"].dataType.simpleString())))
+    most, cuts = F.lit(float("inf")), _new_cut()
+    while True:
+        rows = with_copies(slim, plan, cap).where((F.col("p") > 0) & (F.col("size") <= most) & ~_sampled()) \
+            .withColumn("bucket", F.floor(F.log("q") * STEPS))
+        taken = running(rows, "size", "cum").where(F.col("cum") <= F.col("gap")).groupBy(F.col("source").alias("_source")) \
+            .agg(F.sum("size").alias("got"), F.max("place").alias("cut"), F.first(most).alias("most"))
+        taken = written(taken, "mix-round")
+        if taken.isEmpty():  # nothing fits any more
+            # The plan was written, so that its size is known when documents are joined to it: one row per
+            # source is broadcast, and no source's documents meet in one task.
+            return plan
+        plan = _beside(plan, taken).withColumn("cuts", F.when(F.col("cut").isNull(), F.col("cuts")).otherwise(cuts)) \
+            .withColumn("gap", F.col("gap") - F.coalesce(F.col("got"), F.lit(0)))
+        plan = written(plan.drop("got", "cut", "most"), "mix-plan")
+        most, cuts = F.col("gap"), F.concat(F.coalesce("cuts", F.array().cast(plan.schema["cuts"].dataType)), _new_cut())
+
+
+def _new_cut() -> Column:
+    """Where a round ended: the largest size it took into account, and the place of the last document it took."""
+    return F.array(F.struct("most", F.col("cut").alias("place")))
+
+
+def _sampled() -> Column:
+    return F.coalesce(F.exists("cuts", lambda c: (F.col("size") <= c["most"]) & (F.col("place") <= c["place"])), F.lit(False))
 
 
 def with_copies(rows: DataFrame, plan: DataFrame, cap: float) -> DataFrame:
@@ -165,8 +178,7 @@ def _beside(rows: DataFrame, by_source: DataFrame) -> DataFrame:
 
 
 def _copies() -> Column:
-    sampled = (F.col("place") <= F.col("cut")) | (F.expr(FITS) & (F.col("place") <= F.col("cut_small")))
-    return (F.col("whole") + F.when((F.col("p") > 0) & sampled, 1).otherwise(0)).cast("long")
+    return (F.col("whole") + F.when((F.col("p") > 0) & _sampled(), 1).otherwise(0)).cast("long")
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",

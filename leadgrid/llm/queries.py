@@ -140,12 +140,12 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(words.n, 0)::BIGINT AS n_hit,
 FROM texts LEFT JOIN words USING (rid) LEFT JOIN names USING (rid)"""
 
 OP4 = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
-    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.rid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 20 = 0)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM
-    (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS rank FROM scored)
 WHERE rank <= 20"""
 
 # SHA-1 as hexadecimal digits, five of which make four base-32 digits.
@@ -163,7 +163,7 @@ SELECT page_id, n::BIGINT AS payload_bytes,
 _UNIT = "(('0x' || substr(md5({0}), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0"
 
 OP8 = f"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size
     FROM documents),
 s AS (SELECT source, sum(size)::DOUBLE AS n FROM d GROUP BY source),
 weighted AS (SELECT *, (1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3)::DOUBLE AS weight FROM s),
@@ -180,13 +180,17 @@ r AS (SELECT d.*, n, target, CASE WHEN n > 0 THEN floor(target / n) ELSE 0 END A
     FROM d JOIN targets ON d.source IS NOT DISTINCT FROM targets.source),
 q AS (SELECT *, CASE WHEN p > 0 THEN u / (1 - u) / (p / (1 - p)) END AS q, target - whole * n AS wanted FROM r),
 one AS (SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) <= wanted
-    AS taken1 FROM q),
-gaps AS (SELECT *, wanted - sum(CASE WHEN taken1 THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM one),
-fits AS (SELECT *, p > 0 AND NOT taken1 AND size * 8 <= gap AS small FROM gaps),
-two AS (SELECT *, small AND sum(CASE WHEN small THEN size ELSE 0 END)
-    OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2.0 <= gap AS taken2 FROM fits)
-SELECT doc_id, size, n::BIGINT AS source_size, target,
-    ((whole + CASE WHEN taken1 OR taken2 THEN 1 ELSE 0 END) * size)::BIGINT AS taken FROM two"""
+    AS first_taken FROM q),
+rounds(r, rid, doc_id, source, size, n, target, whole, p, q, taken, gap, moved) AS (
+    SELECT 0, row_number() OVER (), doc_id, source, size, n, target, whole, p, q, first_taken,
+        wanted - sum(CASE WHEN first_taken THEN size ELSE 0 END) OVER (PARTITION BY source), true FROM one
+    UNION ALL SELECT r + 1, rid, doc_id, source, size, n, target, whole, p, q, taken OR now,
+        gap - sum(CASE WHEN now THEN size ELSE 0 END) OVER (PARTITION BY source), bool_or(now) OVER () FROM
+        (SELECT *, fits AND sum(CASE WHEN fits THEN size ELSE 0 END)
+            OVER (PARTITION BY source ORDER BY q, doc_id, size ROWS UNBOUNDED PRECEDING) <= gap AS now FROM
+            (SELECT *, NOT taken AND p > 0 AND size <= gap AS fits FROM rounds WHERE moved)))
+SELECT doc_id, size, n::BIGINT AS source_size, target, ((whole + CASE WHEN taken THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM rounds WHERE r = (SELECT max(r) FROM rounds)"""
 
 # CRC-32 bit by bit over the bytes of the text; the polynomial is the fixed value 0xEDB88320.
 OP9 = f"""

@@ -10,8 +10,9 @@ Components become ``floor(scale * x)`` and scores are integers: products of doub
 every partial sum stays below 2**53, else exact integers, cut off at the range of a long.
 
 Vectors that are null, or hold a null or a non-finite component, and rows without an id take
-no part. Of rows that repeat an id, the one with the smallest vector counts. A query never
-meets its own id. Vectors of different lengths are not compared. Ties go to the smaller id.
+no part. Rows that repeat an id are rows of their own, as candidates and as queries: each query
+row has its list. A query never meets its own id. Vectors of different lengths are not compared.
+Ties go to the smaller id.
 A query without candidates has no rows, nor has an empty table; other columns are ignored.
 """
 
@@ -37,19 +38,20 @@ _TOP_SCHEMA = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("vec_i
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(key, vector) of the rows that take part, one per id."""
+    """(key, vector, row) of the rows that take part; ``row`` tells rows of one id apart."""
     finite = F.forall(F.col(vector).cast("array<double>"),
                       lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return vectors.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(
         F.col(key).cast("long").alias("key"), F.col(vector).alias("vector"), finite.alias("_finite")) \
-        .where("_finite").groupBy("key").agg(F.min("vector").alias("vector"))
+        .where("_finite").drop("_finite").withColumn("row", F.monotonically_increasing_id())
 
 
 def pack(rows: DataFrame, blocks: int, scale: float) -> DataFrame:
     """One row per (block, length): sorted ids and the matrix of scaled, floored components."""
     def pack_block(keys: tuple, table: pa.Table) -> pa.Table:
         ids = table.column("key").to_numpy()
-        order = np.argsort(ids)
+        # A block that is packed again, after the loss of an executor, has the same order.
+        order = np.lexsort((table.column("row").to_numpy(), ids))
         flat = table.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         dim = keys[1].as_py()
         cells = np.floor(scale * flat.astype(np.float64).reshape(len(ids), dim))[order]
@@ -58,7 +60,7 @@ def pack(rows: DataFrame, blocks: int, scale: float) -> DataFrame:
         return pa.table([[keys[0].as_py()], [dim], [ids[order].astype("<i8").tobytes()],
                          [cells.astype(kind).tobytes()]], schema=_PACK_SCHEMA)
 
-    return rows.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks))).withColumn("dim", F.size("vector")) \
+    return rows.withColumn("block", F.pmod(F.xxhash64("key", "row"), F.lit(blocks))).withColumn("dim", F.size("vector")) \
                .groupBy("block", "dim").applyInArrow(pack_block, _PACK)
 
 

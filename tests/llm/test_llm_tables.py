@@ -5,12 +5,13 @@ import math
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyarrow import fs
 from pyspark.sql import functions as F
 
-from leadgrid.llm import langid, mixing, quality, shards, topk, warc
+from leadgrid.llm import langid, mixing, quality, queries, shards, topk, warc
 from leadgrid.session import fresh_path
 
 SF = "/root/testdata/sf0.01"
@@ -19,16 +20,13 @@ SF = "/root/testdata/sf0.01"
 # --- top k
 
 def brute_top(rows, k, every):
-    kept = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            kept[i] = min(kept.get(i, v), v)
-    cells = {i: [math.floor(64 * float(x)) for x in v] for i, v in kept.items()}
+    cells = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in cells.items():
+    for q, a in cells:
         if q % every == 0:
             scored = [(-max(-2 ** 63 + 1, min(2 ** 63 - 1, sum(x * y for x, y in zip(a, b)))), i)
-                      for i, b in cells.items() if i != q and len(a) == len(b)]
+                      for i, b in cells if i != q and len(a) == len(b)]
             out += [(q, r, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
 
@@ -39,7 +37,8 @@ def test_top_k_equals_brute_force(spark, options):
     rows = [(rng.choice([i, i, -i]), [rng.choice([-0.5, 0.0, 0.01, 0.25]) for _ in range(3)]) for i in range(150)]
     rows += [(500, None), (505, [1.0, None, 2.0]), (510, [float("nan")] * 3), (515, [float("inf"), 1.0, 1.0]),
              (None, [1.0, 1.0, 1.0]), (520, [1.0, 2.0]), (525, [2.0, 1.0]), (530, []), (535, []), (540, [1e30, 1.0, 1.0]),
-             (545, [-1e30, 1.0, 0.0]), (5, [0.25, 0.25, 0.25])]
+             (545, [-1e30, 1.0, 0.0]), (5, [0.25, 0.25, 0.25]), (5, [-0.5, 0.25, 0.25]), (6, [0.25, 0.25, 0.25])]
+    rows += [(10, [0.5, 0.5, 0.5])] * 30
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows],
                                "vec_id long, embedding array<double>, key int, vector string")
     got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=7, **options)
@@ -145,10 +144,36 @@ def test_mix_meets_its_targets(spark):
     for s in names:
         assert by_source[s][0]["target"] == pytest.approx(target[s])
         assert sum(r["taken"] for r in by_source[s]) == pytest.approx(target[s], rel=0.01, abs=8)
+    for s in names:
+        lacking(by_source[s])
     again = mixing.mix(mixed(spark, rows).repartition(5)).collect()
     assert sorted(map(repr, got)) == sorted(map(repr, again))
 
 
+def lacking(mine):
+    """What a source lacks: nothing that was left would have fitted."""
+    gap = mine[0]["target"] - sum(r["taken"] for r in mine)
+    share = mine[0]["target"] / max(1, mine[0]["source_size"])
+    left = [r["size"] for r in mine if r["copies"] == math.floor(share) and share % 1]
+    assert -1e-6 <= gap and (not left or gap < min(left))
+    return gap
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_small_sources_are_filled_as_far_as_a_document_fits(spark, seed):
+    rng = random.Random(seed)
+    rows = [(100 * s + i, "w " * (20_000 if i == 0 and s < 4 else rng.choice([3, 50, 700])), f"s{s}") for s in range(12) for i in range(10)]
+    got = mixing.mix(mixed(spark, rows)).collect()
+    for s in {r["source"] for r in got}:
+        lacking([r for r in got if r["source"] == s])
+    text = queries.ORACLES["op8_mix_sources"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = sorted((r[0], r[4]) for r in con.sql(text).fetchall())
+    assert sorted((r["doc_id"], r["taken"]) for r in got) == want
+
+
 def test_inclusion_weights_make_unequal_probabilities(spark):
     rows = [(i, "w " * (1 + i % 7), "only" if i % 3 else "other", [0.0, 1.0, 4.0, 40.0, None][i % 5]) for i in range(6000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, pull double")
