@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadgrid.llm.common import batched, id_and_bytes, rows_of, space_words
+from leadgrid.llm.common import batched, id_and_bytes, rows_of, space_words, utf8
 from leadgrid.llm.components import stars
 from leadgrid.session import written
 
@@ -42,6 +42,7 @@ _CHUNK = 65536
 _CROWD = 64
 _ENTRIES = 250_000
 _PRINT_SCHEMA = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
+_ROW_SCHEMA = pa.schema([("key", pa.int64()), ("hash", pa.int64()), ("sketch", pa.binary())])
 _BLOB_SCHEMA = pa.schema([("bucket", pa.int64()), ("blob", pa.binary())])
 
 
@@ -317,13 +318,47 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         .select(F.col("key").alias(key), "component_id")
 
 
-def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents, all columns, without those whose near-duplicate group has a smaller id.
-
-    Rows without an id stay: they are no copy of a smaller one.
+def near_duplicate_rows(docs: DataFrame, key: str, text: str, shingle: int, similarity: float, segments: int,
+                        sketch_words: int) -> tuple[DataFrame, DataFrame]:
+    """(key, hash, group) of every row, ``hash`` being that of its text, and (group, first) of every group, the
+    row that stays: the smallest id, nulls last, and of one id the text with the smallest hash."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(((k, h, simhash(shingles(space_words(b), shingle), sketch_words))
+                            for k, h, b in rows_of(batches, "key", "hash", "body")), _ROW_SCHEMA)
+
+    hashed = id_and_bytes(docs, key, text).withColumn("hash", F.xxhash64("body"))
+    prints = written(hashed.mapInArrow(scan, "key long, hash long, sketch binary"), "sketches")
+    row = F.struct(F.col("key").isNull().alias("no_id"), "key", "hash")
+    # Nodes get numbers of their own, which the written table fixes: rows without an id link like all others.
+    nodes = written(prints.groupBy("sketch").agg(F.min(row).alias("first")).withColumn("node", F.monotonically_increasing_id()), "nodes")
+    joined = stars(sketch_links(nodes, sketch_bits(similarity, 64 * sketch_words), segments, sketch_words))
+    placed = written(nodes.join(joined.withColumnRenamed("a", "node"), "node", "left")
+                     .select("sketch", "first", F.coalesce("b", "node").alias("group")), "groups")
+    firsts = placed.groupBy("group").agg(F.min("first").alias("first"))
+    return prints.join(placed.select("sketch", "group"), "sketch").drop("sketch"), firsts
+
+
+def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8,
+               segments: int = 15, sketch_words: int = 4) -> DataFrame:
+    """The documents, all columns, one row of each near-duplicate group.
+
+    The row with the smallest id stays, rows without an id coming last; of rows that repeat that id, the
+    one whose text has the smallest hash; of rows that repeat id and text, the one whose columns have
+    the smallest hash. Rows are judged by id and text: another text under the id of a copy stays.
+    Texts are shuffled only where id and text repeat.
     """
-    found = near_duplicates(docs, key, text, **options)
-    copies = found.where(F.col("component_id") < F.col(key)).select(F.col(key).alias("_copy")).distinct()
-    # Written first, so that the size of the list is known when the join is planned.
-    copies = written(copies, "copies")
-    return docs.join(copies, F.col(key) == F.col("_copy"), "left_anti")
+    rows, firsts = near_duplicate_rows(docs, key, text, shingle, similarity, segments, sketch_words)
+    judged = rows.groupBy("key", "hash", "group").agg(F.count(F.lit(1)).alias("n")) \
+        .join(firsts, "group").withColumn("stays", F.col("key").eqNullSafe(F.col("first.key")) & (F.col("hash") == F.col("first.hash")))
+    # Written, so that their sizes are known when the joins are planned.
+    gone = written(judged.where("NOT stays").select(F.col("key").alias("_key"), F.col("hash").alias("_hash")), "copies")
+    repeated = written(judged.where("stays AND n > 1").select(F.col("key").alias("_key"), F.col("hash").alias("_hash")), "repeated")
+    body = utf8(text)
+    same = docs[key].cast("long").eqNullSafe(F.col("_key")) & (F.xxhash64(body) == F.col("_hash"))
+    kept = docs.join(gone, same, "left_anti")
+    if repeated.isEmpty():
+        return kept
+    whole = F.struct(*[F.col(c) for c in docs.columns])
+    once = kept.join(repeated, same, "left_semi").groupBy(F.col(key).alias("_key"), F.xxhash64(body).alias("_hash")) \
+        .agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias("_row")).select("_row.*")
+    return kept.join(repeated, same, "left_anti").unionByName(once)
