@@ -40,8 +40,7 @@ PHRASES = {
     "cc by nc": "cc-by-nc",
 }
 TEMPLATES = {
-    "mit": ["released under the MIT License",
-            "permission is hereby granted free of charge to any person obtaining a copy of this software"],
+    "mit": ["permission is hereby granted free of charge to any person obtaining a copy of this software"],
     "apache-2": ["licensed under the Apache License Version 2.0"],
     "cc-by-nc": ["licensed under CC BY-NC 4.0", "Creative Commons Attribution NonCommercial license"],
     "gpl-3": ["licensed under the GNU General Public License version 3"],

@@ -89,7 +89,6 @@ _WORDS = f"regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 # Templates as folded words with the number of distinct words that must be common (0.8 of them).
 OP1 = f"""
 WITH templates(label, words, need) AS (VALUES
-    ('mit', ['released','under','the','mit','license'], 4),
     ('mit', ['permission','is','hereby','granted','free','of','charge','to','any','person','obtaining','a','copy',
              'this','software'], 12),
     ('apache-2', ['licensed','under','the','apache','license','version','2','0'], 7),
@@ -105,15 +104,15 @@ places AS (SELECT rid, label, p - 1 AS start FROM (SELECT rid, w, unnest(range(1
     WHERE w[p] = words[1] AND list_slice(w, p, p + len(words) - 1) = words),
 base AS (SELECT rid, count(*) AS n, min(start) AS lo, max(start) AS hi, list(DISTINCT label) AS labels
     FROM places GROUP BY rid),
-lines AS (SELECT rid, {_WORDS.format('line')} AS w FROM (SELECT rid, unnest(string_split(coalesce(text, ''), chr(10))) AS line
-    FROM texts)),
-blocks AS (SELECT rid, w FROM lines WHERE len(w) BETWEEN 1 AND 32
-    UNION ALL SELECT rid, list_slice(w, cut + 1, cut + 32) FROM
-        (SELECT rid, w, unnest(range(0, len(w) - 16, 16)) AS cut FROM lines WHERE len(w) > 32)),
-met AS (SELECT rid, row_number() OVER () AS b, w FROM blocks),
-common AS (SELECT rid, b, label, len(words) AS size, need, len(list_intersect(list_distinct(w), words)) AS n
+runs AS (SELECT rid, true AS in_line, {_WORDS.format('line')} AS w FROM (SELECT rid, unnest(string_split(coalesce(text, ''), chr(10))) AS line
+    FROM texts) UNION ALL SELECT rid, false, w FROM texts WHERE contains(text, chr(10))),
+blocks AS (SELECT rid, in_line, w FROM runs WHERE len(w) BETWEEN 1 AND 32
+    UNION ALL SELECT rid, in_line, list_slice(w, cut + 1, cut + 32) FROM
+        (SELECT rid, in_line, w, unnest(range(0, len(w) - 16, 16)) AS cut FROM runs WHERE len(w) > 32)),
+met AS (SELECT rid, in_line, row_number() OVER () AS b, w FROM blocks),
+common AS (SELECT rid, in_line, b, label, len(words) AS size, need, len(list_intersect(list_distinct(w), words)) AS n
     FROM met, templates),
-found AS (SELECT rid, list(DISTINCT label) AS labels, max(n * 1.0::DOUBLE / size) AS score, count(DISTINCT b) AS n
+found AS (SELECT rid, list(DISTINCT label) AS labels, max(n * 1.0::DOUBLE / size) AS score, count(DISTINCT b) FILTER (in_line) AS n
     FROM common WHERE n >= need GROUP BY rid)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word,
     hi::BIGINT AS last_word, coalesce(array_to_string(list_sort(base.labels), ','), '') AS base_labels,

@@ -3,13 +3,15 @@
 import hashlib
 import random
 import re
+import textwrap
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
 
-from leadgrid.llm import decontam, licenses, losertree, simhash, suffixes
+from leadgrid.llm import decontam, licenses, losertree, queries, simhash, suffixes
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -48,8 +50,8 @@ def brute_license(text):
                 base.add(label)
     templates = [(label, set(words(t))) for label, texts in licenses.TEMPLATES.items() for t in texts]
     labels, best = set(base), 0.0
-    for line in (text or "").split("\n"):
-        w = words(line)
+    lines = [words(line) for line in (text or "").split("\n")]
+    for w in lines + [flat] * (len(lines) > 1):
         blocks = [w] if len(w) <= 32 else [w[i:i + 32] for i in range(0, len(w) - 16, 16)]
         for label, t in templates:
             for block in blocks:
@@ -76,7 +78,7 @@ def test_license_scan_equals_brute_force(spark):
 def test_wrapped_notices_are_found(spark):
     notices = [("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", "bsd"),
                ("licensed under the GNU General Public License\nversion 3", "gpl-3"),
-               ("\n".join(licenses.TEMPLATES["mit"][1].split()), "mit"), ("licensed under the\n\nGNU", "")]
+               ("\n".join(licenses.TEMPLATES["mit"][0].split()), "mit"), ("licensed under the\n\nGNU", "")]
     rows = [(10 * i + at, "zebra\n" * at + text) for i, (text, _) in enumerate(notices) for at in range(10)]
     rows += [(100 * at, "zebra " * at + notices[0][0]) for at in range(1, 70)]
     got = {r["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in licenses.license_scan(documents(spark, rows)).collect()}
@@ -85,6 +87,34 @@ def test_wrapped_notices_are_found(spark):
     assert {got[100 * at][0] for at in range(1, 70)} == {"bsd"}
 
 
+FULL_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this
+software and associated documentation files, to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute,
+sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the conditions below."""
+
+
+@pytest.mark.parametrize("width", [20, 45, 96, 400])
+def test_a_full_text_is_found_however_it_is_wrapped(spark, width):
+    text = "some words before it\n" + textwrap.fill(" ".join(FULL_TEXT.split()), width) + "\nand after"
+    german = "Lizenziert mit Freude.\nLicensed under the Apache License, Version 2.0, see the license"
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_scan(documents(spark, [(1, text), (2, german)])).collect()}
+    assert got == {1: "mit", 2: "apache-2"}
+
+
+def test_the_sql_twin_sees_wrapped_notices(spark):
+    rng = random.Random(9)
+    vocabulary = [w for texts in licenses.TEMPLATES.values() for t in texts for w in t.split()] + ["zebra"]
+    rows = [(i, "".join(rng.choice(vocabulary) + rng.choice("  \n") for _ in range(rng.randint(0, 90)))) for i in range(60)] + [(99, None)]
+    rows += [(200 + i, t.replace(" ", "\n", 1 + i % 7)) for i, t in enumerate(t for ts in licenses.TEMPLATES.values() for t in ts)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    twin = con.sql(queries.ORACLES["op1_license_scan"])
+    got = licenses.license_scan(documents(spark, rows))
+    assert sorted_rows(got, *twin.columns) == sorted(map(tuple, twin.fetchall()), key=repr)
+
+
 def test_license_scan_of_nothing(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
