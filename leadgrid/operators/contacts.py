@@ -102,15 +102,16 @@ def cap_per_company(df: DataFrame, key: str, order: Sequence[Column], k: int) ->
 def dedupe_either_key(df: DataFrame, order: str, keys: Sequence[str]) -> DataFrame:
     """Drop a row when any of its keys was seen on an earlier *kept* row.
 
-    A dropped row registers nothing, so the outcome is the sequential one; it is reached in
-    rounds instead of one pass in order. Per round, a row that is the first undecided one for
-    each of its keys is kept, and rows that share a key with a kept row are dropped. Rows
-    without keys stay. Each round decides at least the earliest undecided row and, on real
-    data, nearly all of them. ``order`` must be unique.
-
-    Hot keys: equal key sets collapse to their first row with a map-side minimum, the first
-    row per key is again a minimum, kept keys are unique on their side of each join, and the
-    joins are semi and anti joins, whose large side adaptive execution may split.
+    A dropped row registers nothing, so the outcome is the sequential one; it is reached in rounds
+    instead of one pass in order. Per round, a row that no earlier undecided row shares a key with
+    is kept. A row with exactly one such row gets the opposite of that row's decision: chains of these
+    are settled by pointer doubling, so a chain of n rows takes about log2(n) steps. Rows that
+    share a key with a kept row are dropped. Rows without keys stay. Each round decides at least the
+    earliest undecided row and, on real data, nearly all of them. ``order`` must be unique.
+
+    Hot keys: equal key sets collapse to their first row with a map-side minimum, the first two rows
+    per key come from a group limit before the exchange, kept keys are unique on their side of
+    each join, and the joins are semi and anti joins, whose large side adaptive execution may split.
     """
     blank_safe = {k: F.nullif(F.col(k), F.lit("")) for k in keys}
     narrow = df.select(order, *[blank_safe[k].alias(f"_k{i}") for i, k in enumerate(keys)])
@@ -119,14 +120,7 @@ def dedupe_either_key(df: DataFrame, order: str, keys: Sequence[str]) -> DataFra
     kept = narrow.where(~keyed).select(order)
     undecided = cut_lineage(narrow.where(keyed).groupBy(*names).agg(F.min(order).alias(order)))
     while not undecided.isEmpty():
-        firsts = None
-        for name in names:
-            lead = undecided.where(F.col(name).isNotNull()).groupBy(name).agg(F.min(order).alias(order)).select(order)
-            firsts = lead if firsts is None else firsts.unionByName(lead)
-        # A row that leads as many keys as it has is blocked by nobody.
-        leads = firsts.groupBy(order).agg(F.count(F.lit(1)).alias("_leads"))
-        own = sum(F.col(n).isNotNull().cast("int") for n in names)
-        winners = cut_lineage(undecided.join(leads, order).where(F.col("_leads") == own).drop("_leads"))
+        winners = undecided.join(_settled(undecided, order, names), order, "left_semi")
         kept = kept.unionByName(winners.select(order))
         rest = undecided
         for name in names:
@@ -135,6 +129,37 @@ def dedupe_either_key(df: DataFrame, order: str, keys: Sequence[str]) -> DataFra
     return df.join(kept, order, "left_semi")
 
 
+def _settled(undecided: DataFrame, order: str, names: Sequence[str]) -> DataFrame:
+    """``order`` of the rows that are kept for sure: those that nothing blocks, and every second row of the chains
+    that start at one."""
+    tops = None
+    for name in names:
+        pair = best_k_per_key(undecided.where(F.col(name).isNotNull()).select(name, order), [name], [F.col(order)], 2) \
+            .groupBy(name).agg(F.min(order).alias("_first"), F.max(order).alias("_second"))
+        rows = pair.select(F.explode(F.array(
+            F.struct(F.col("_first").alias(order), F.when(F.lit(False), F.col("_first")).alias("_by")),
+            F.struct(F.when(F.col("_second") != F.col("_first"), F.col("_second")).alias(order), F.col("_first").alias("_by")))).alias("_r")) \
+            .select("_r.*").where(F.col(order).isNotNull())
+        tops = rows if tops is None else tops.unionByName(rows)
+    # A row among the first two of each of its keys is blocked by the rows named and no others.
+    own = sum(F.col(n).isNotNull().cast("int") for n in names)
+    blocked = tops.groupBy(order).agg(F.count(F.lit(1)).alias("_seen"), F.min("_by").alias("_to"), F.max("_by").alias("_last"))
+    simple = undecided.join(blocked, order).where((F.col("_seen") == own) & F.col("_to").eqNullSafe(F.col("_last")))
+    # ``_flip`` is true where a row's decision is the opposite of that of the row it points to.
+    links = cut_lineage(simple.select(order, "_to", F.col("_to").isNotNull().alias("_flip")))
+    while True:
+        ahead = links.where("_to IS NOT NULL").select(F.col(order).alias("_at"), F.col("_to").alias("_next"), F.col("_flip").alias("_turn"))
+        if links.join(ahead, F.col("_to") == F.col("_at"), "left_semi").isEmpty():
+            break
+        joined = links.join(ahead, F.col("_to") == F.col("_at"), "left")
+        links = cut_lineage(joined.select(order, F.coalesce("_next", "_to").alias("_to"),
+                                          (F.col("_flip") != F.coalesce("_turn", F.lit(False))).alias("_flip")))
+    # Where a chain ends at a row that several rows block, it waits for that row.
+    roots = links.where("_to IS NULL").select(order)
+    ends = links.where("_to IS NOT NULL AND NOT _flip").join(roots.select(F.col(order).alias("_root")), F.col("_to") == F.col("_root"), "left_semi")
+    return roots.unionByName(ends.select(order))
+
+
 def suppress_contacted(leads: DataFrame, sends: DataFrame, key: str, as_of: Column, days: int,
                        time_col: str = "sent_at") -> DataFrame:
     """Leads without a send in the last ``days``; the cut is pushed to the scan of sends."""

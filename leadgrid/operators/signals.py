@@ -338,29 +338,59 @@ def folded_words(col: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
-def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, term_col: str) -> DataFrame:
+# Words of a phrase's beginning that are hashed: the most of these that it has.
+PREFIXES = (2, 4, 8)
+
+
+def prefix_hash(words: Column, at: Column, size: int) -> Column:
+    """Hash of the ``size`` words from a place on; words behind the end are passed over."""
+    return F.xxhash64(*[F.get(words, at + i) for i in range(size)])
+
+
+def term_join(texts: DataFrame, id_col: str, text_col: str, terms: DataFrame, term_col: str,
+              broadcast_bytes: int = 16 << 20) -> DataFrame:
     """One (id, term) row for every dictionary term whose words stand in a text one after the other.
 
-    The same plan for a dictionary of any size: single words meet the distinct words of each
-    text in an equi-join; a phrase meets the places that hold its first two words and is then
-    compared with the words that follow there. Places that start no phrase are dropped before
-    their words are joined up. Terms without a word match nothing; terms that differ in case or
-    punctuation only are one.
+    Single words meet the distinct words of each text in an equi-join. A phrase is filed under the hash of its first two words and that of its first two, four or
+    eight, as many as it has. A text has these hashes at each place; places meet phrases by the first, with the
+    other as a condition, so that a few numbers are exchanged for a place, however long the phrases
+    are. What met is compared word by word with the text, read again by its id. Phrases of at most
+    ``broadcast_bytes`` are sent to every task instead, and nothing is exchanged for a place.
+    Terms without a word match nothing; terms that differ in case or punctuation only are one.
     """
-    dictionary = terms.select(folded_words(F.col(term_col)).alias("_w")).where(F.size("_w") > 0).select(
-        F.array_join("_w", " ").alias("term"), F.array_join(F.slice("_w", 1, 2), " ").alias("_start"),
-        F.size("_w").alias("_n")).distinct()
-    phrases = dictionary.where("_n > 1")
-    words = texts.select(F.col(id_col), folded_words(F.col(text_col)).alias("_w"))
-    single = words.select(id_col, F.explode(F.array_distinct("_w")).alias("_start")) \
-                  .join(dictionary.where("_n = 1"), "_start").select(id_col, "term")
-    longest = phrases.agg(F.coalesce(F.max("_n"), F.lit(1)).alias("n")).scalar()
-    places = words.withColumn("_n", longest).select(id_col, "_w", "_n", F.posexplode("_w").alias("_at", "_word")).select(
-        id_col, F.concat_ws(" ", "_word", F.get("_w", F.col("_at") + 1)).alias("_start"),
-        F.array_join(F.slice("_w", F.col("_at") + 1, F.col("_n")), " ").alias("_run"))
-    started = places.join(phrases.select("_start").distinct(), "_start", "left_semi")
-    found = started.join(phrases, "_start").where(F.startswith(F.concat("_run", F.lit(" ")), F.concat("term", F.lit(" "))))
-    return single.unionByName(found.select(id_col, "term").distinct())
+    words = terms.select(folded_words(F.col(term_col)).alias("_w")).where(F.size("_w") > 0).distinct()
+    # Written, so that its size is known when the joins are planned, and its words are extracted once.
+    dictionary = written(words.select(F.array_join("_w", " ").alias("term"), "_w", F.size("_w").alias("_n")), "terms")
+    flat = texts.select(F.col(id_col), folded_words(F.col(text_col)).alias("_w"))
+    single = flat.select(id_col, F.explode(F.array_distinct("_w")).alias("term")) \
+                 .join(dictionary.where("_n = 1").select("term"), "term").select(id_col, "term")
+
+    def of_length(pick) -> Column:
+        """``pick`` of the longest prefix that a phrase of ``_n`` words has."""
+        return F.coalesce(*[F.when(F.col("_n") >= size, pick(size)) for size in reversed(PREFIXES)])
+
+    heads = dictionary.where("_n > 1").select("term", "_n", prefix_hash(F.col("_w"), F.lit(0), 2).alias("_start"),
+                                              of_length(lambda size: prefix_hash(F.col("_w"), F.lit(0), size)).alias("_head"))
+    at_word = flat.select(id_col, "_w", F.posexplode("_w").alias("_at", "_word"))
+
+    def spelled(at: Column, n: Column) -> Column:
+        return F.array_join(F.slice("_w", at + 1, n), " ")
+
+    size = dictionary.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
+    if size <= broadcast_bytes:
+        # Every task has the whole dictionary: nothing is exchanged, and words are compared where they are.
+        here = at_word.withColumn("_h2", prefix_hash(F.col("_w"), F.col("_at"), 2))
+        found = here.join(F.broadcast(heads), (F.col("_h2") == F.col("_start")) & (spelled(F.col("_at"), F.col("_n")) == F.col("term")))
+        return single.unionByName(found.select(id_col, "term").distinct())
+    places = at_word.select(id_col, "_at", *[prefix_hash(F.col("_w"), F.col("_at"), n).alias(f"_h{n}") for n in PREFIXES])
+    met = places.join(heads, (F.col("_h2") == F.col("_start")) & (of_length(lambda n: F.col(f"_h{n}")) == F.col("_head")))
+    # The places of a text that met a phrase are few beside its words.
+    found = met.groupBy(F.col(id_col).alias("_id")).agg(F.collect_set(F.struct("_at", "_n", "term")).alias("_met"))
+    read = texts.select(id_col, text_col).join(found, F.col(id_col).eqNullSafe(F.col("_id"))) \
+                .select(id_col, folded_words(F.col(text_col)).alias("_w"), "_met")
+    same = F.filter("_met", lambda m: spelled(m["_at"], m["_n"]) == m["term"])
+    phrases = read.select(id_col, F.explode(F.array_distinct(F.transform(same, lambda m: m["term"]))).alias("term"))
+    return single.unionByName(phrases.distinct())
 
 
 def search_grid(places: DataFrame, place_col: str, keywords: Sequence[str], seconds: int,

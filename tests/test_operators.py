@@ -540,3 +540,52 @@ def test_removed_intermediate_tables(spark):
     with pytest.raises(Exception):
         spark.read.parquet(kept.inputFiles()[0]).count()
     session._WRITTEN[spark.sparkContext.applicationId] = held
+
+
+def sequential_dedupe(records, n_keys):
+    seen, kept = [set() for _ in range(n_keys)], []
+    for r in sorted(records):
+        keyed = [(s, k) for s, k in zip(seen, r[1:]) if k]
+        if not any(k in s for s, k in keyed):
+            kept.append(r[0])
+            for s, k in keyed:
+                s.add(k)
+    return kept
+
+
+def test_either_key_dedupe_settles_a_chain_in_few_rounds(spark, monkeypatch):
+    steps, cut = [], contacts.cut_lineage
+    monkeypatch.setattr(contacts, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    n = 4096
+    chain = spark.range(n).select("id", F.concat(F.lit("a"), F.floor((F.col("id") + 1) / 2).cast("string")).alias("email"),
+                                  F.concat(F.lit("b"), F.floor(F.col("id") / 2).cast("string")).alias("profile"))
+    got = [r["id"] for r in contacts.dedupe_either_key(chain, "id", ["email", "profile"]).orderBy("id").collect()]
+    assert got == list(range(0, n, 2)) and len(steps) <= 20
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_either_key_dedupe_is_sequential_where_chains_meet(spark, seed):
+    rng = random.Random(seed)
+    records = [(i, *[rng.choice([None, "", str(rng.randrange(n))]) for n in (60, 25, 90)]) for i in range(160)]
+    df = spark.createDataFrame(records, "id long, a string, b string, c string")
+    got = sorted(r["id"] for r in contacts.dedupe_either_key(df, "id", ["a", "b", "c"]).collect())
+    assert got == sequential_dedupe(records, 3)
+
+
+def test_term_join_exchanges_numbers_only(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven"), (2, "two three"), (2, "three four five"), (None, "six seven"), (3, None)],
+                                 "id long, t string")
+    terms = spark.createDataFrame([(x,) for x in ("Two three", "three four five", "one two three four five six seven", "seven eight", "six", "", "...",
+                                                  "one two three four five six eight")], "term string")
+    want = [(1, "one two three four five six seven"), (1, "six"), (1, "three four five"), (1, "two three"), (2, "three four five"), (2, "two three"),
+            (None, "six")]
+    assert rows(signals.term_join(docs, "id", "t", terms, "term")) == sorted(want, key=repr)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = signals.term_join(docs, "id", "t", terms, "term", broadcast_bytes=0)  # as for a large dictionary
+        assert rows(large) == sorted(want, key=repr)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
