@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import html as html_names
+import json
 import re
+import zlib
 from collections.abc import Callable, Sequence
 from functools import reduce
+from html import unescape
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -254,18 +256,60 @@ def decode_basic_entities(col: Column) -> Column:
     return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), BASIC_ENTITIES, col)
 
 
-def decode_entities(col: Column) -> Column:
-    """All named and numeric entities. The Python helper gets null for texts without ``&``: it is
-    evaluated for every row, whatever condition stands round it."""
-    return F.coalesce(_unescape()(F.when(F.contains(col, F.lit("&")), col)), col)
+# A reference as HTML defines it: decimal, hexadecimal, or a name; the semicolon may be missing.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_NAME_BUCKETS = 64
+# Codes up to here may stand for another character than their own or for none.
+_LOW_CODES = 160
 
 
-def _unescape():
-    @F.pandas_udf("string")
-    def unescape(texts: pd.Series) -> pd.Series:
-        return texts.map(html_names.unescape, na_action="ignore")
+def decode_entities(col: Column) -> Column:
+    """All named and numeric entities, as browsers read them: a name without its semicolon counts where
+    HTML allows that, an unknown one stays, a number that is no character becomes U+FFFD.
 
-    return unescape
+    Compiled on the JVM; texts without ``&`` are passed through.
+    """
+    found = F.regexp_extract_all(col, F.lit(_REFERENCE), F.lit(1))
+    between = F.split(col, _REFERENCE)
+    decoded = F.concat(F.transform(found, _reference), F.array(F.lit("")))
+    whole = F.array_join(F.zip_with(between, decoded, lambda kept, new: F.concat(kept, new)), "")
+    return F.when(F.contains(col, F.lit("&")), whole).otherwise(col)
+
+
+def _reference(body: Column) -> Column:
+    """Characters for what follows ``&``."""
+    number = F.regexp_replace(body, r"^#[xX]?0*|;$", "")
+    # Longer numbers are beyond the last character; conv and casts never see them.
+    code = F.when(F.length(number) > 8, F.lit(1 << 32)) \
+        .when(F.lower(F.substring(body, 2, 1)) == "x", F.conv(F.concat(F.lit("0"), number), 16, 10).cast("long")) \
+        .otherwise(F.concat(F.lit("0"), number).cast("long"))
+    return F.when(body.startswith("#"), let(code, _character)).otherwise(_named(body))
+
+
+def _character(code: Column) -> Column:
+    low = F.array(*[F.lit(unescape(f"&#{n};")) for n in range(_LOW_CODES)])
+    surrogate = code.between(0xD800, 0xDFFF)
+    unassigned = code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    return F.when(code < _LOW_CODES, F.get(low, code.cast("int"))) \
+        .when(surrogate | (code > 0x10FFFF), F.lit("\ufffd")) \
+        .when(unassigned, F.lit("")).otherwise(F.decode(utf32, "UTF-32"))
+
+
+def _named(body: Column) -> Column:
+    """The whole name, else its longest beginning that HTML lets end without a semicolon."""
+    buckets: list[dict[str, str]] = [{} for _ in range(_NAME_BUCKETS)]
+    for name, value in html5.items():
+        buckets[zlib.crc32(name.encode()) % _NAME_BUCKETS][name] = value
+    # One literal that the optimizer parses once; buckets, since look-ups in a map are linear.
+    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
+
+    def known(name: Column) -> Column:
+        return F.element_at(F.get(table, (F.crc32(name.cast("binary")) % _NAME_BUCKETS).cast("int")), name)
+
+    open_ended = max(len(n) for n in html5 if not n.endswith(";"))
+    starts = [F.concat(known(F.substring(body, 1, k)), body.substr(F.lit(k + 1), F.length(body))) for k in range(open_ended, 1, -1)]
+    return F.coalesce(known(body), *starts, F.concat(F.lit("&"), body))
 
 
 def strip_html(html: Column, drop_blocks: TermList = ("script", "style", "nav", "footer", "noscript"),

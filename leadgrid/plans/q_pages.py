@@ -96,7 +96,8 @@ _LINES = rf"""raw AS (SELECT page_id, {_HOST} AS site, len({hits('url', _LEGAL)}
       unnest(range(len(string_split_regex({_MD}, '\r?\n')))) AS pos FROM pages),
     vis AS (SELECT * EXCLUDE (r), trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(r, '!\[([^\]]*)\]\(([^)\s]*)\)', 'Image: \1 ', 'g'),
       '\[([^\]]*)\]\(mailto:([^)?\s]*)[^)]*\)', '\1 \2', 'g'), '\[([^\]]*)\]\([^)]*\)', '\1', 'g'), '^[\s#>*]+|[*_`]{{2,}}', ' ', 'g'), chr(160), ' '), '\s+', ' ', 'g')) AS line FROM raw),
-    lines AS (SELECT *, starts_with(line, 'Image:') AS is_image FROM vis WHERE line <> '' AND NOT list_contains({quoted((*pages.NOISE, 'the'))}, lower(line)) AND line <> 'Image:')"""
+    lines AS (SELECT *, starts_with(line, 'Image:') AS is_image FROM vis WHERE line <> '' AND NOT list_contains(['inicio', 'home', 'menu', 'menú', 'nombre', 'mensaje', 'enviar', 'name', 'message', 'send',
+      'submit', 'search', 'buscar', 'login', 'leer más', 'read more', 'the'], lower(line)) AND line <> 'Image:')"""
 
 
 def useful_lines(t):

@@ -1,5 +1,8 @@
 """Text and key helpers on hand-made rows with nulls, blanks and odd spellings."""
 
+from html import unescape
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from leadgrid.functions import bands, keys, text
@@ -116,6 +119,18 @@ def test_entities(spark):
     assert one(spark, "caf&eacute; &#39;x&#39;", text.decode_entities(C())) == "café 'x'"
 
 
+def test_every_entity_as_browsers_read_it(spark):
+    names = [f"&{n}" for n in html5] + [f"a&{n.rstrip(';')}b &{n.rstrip(';')}" for n in html5]
+    numbers = [f"&#{n};&#x{n:X} &#X{n:x};" for n in (*range(300), 0xD7FF, 0xD800, 0xDFFF, 0xFDD0, 0xFFFD, 0xFFFE, 0x1F600, 0x1FFFF, 0x10FFFF, 0x110000, 10**9, 10**40)]
+    odd = [None, "", "&", "&&amp;amp;&", "x &unknown; y", "&ampamp;", "&notit; &notin;", "&#; &#x; &#xg", "&#0000065;&#x00041", "a&\n&lt b", "&" + "q" * 40 + ";",
+           "&eacute;" * 3000, "&\u00e9;&\U0001F600;", "no entity \U0001F600"]
+    given = [*names, *numbers, *odd]
+    df = spark.createDataFrame(list(enumerate(given)), "n int, c string").select("n", text.decode_entities(C()).alias("x"))
+    assert "Python" not in df._jdf.queryExecution().toString()
+    got = {r["n"]: r["x"] for r in df.collect()}
+    assert [(c, got[n]) for n, c in enumerate(given) if got[n] != (c if c is None else unescape(c))] == []
+
+
 def test_html(spark):
     page = "<title> A &amp; B </title><script>var x</script><nav>menu</nav><p>Hello&nbsp;<b>you</b></p>"
     assert one(spark, page, text.strip_html(C())) == "A & B Hello you"
