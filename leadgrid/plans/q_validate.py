@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from leadgrid.operators import validate
 from leadgrid.plans.registry import query
 from leadgrid.plans.sqltext import nd, rate, rnd, sp
-from leadgrid.sources import tables
+from leadgrid.session import fresh_path
+from leadgrid.sources import keyed, tables
+from leadgrid.streaming.store import Store
 
 # The profile constraints in words of their own: each expression is true for a row that breaks the rule.
 _ACCEPTED = "coalesce(profile_status, '') = 'accepted'"
@@ -161,24 +163,57 @@ def queue_filter(t):
                                ["entity_type"], ["business_model"]).select("profile_id")
 
 
-@query("upsert", f"""WITH u AS (SELECT {nd('domain')} AS domain, employee_count AS n FROM companies
+_UPSERT = f"""WITH u AS (SELECT {nd('domain')} AS domain, employee_count AS n FROM companies
       QUALIFY row_number() OVER (PARTITION BY {nd('domain')} ORDER BY id DESC) = 1),
     b AS (SELECT {nd('domain')} AS domain, max(name) AS name, max(staff_linkedin) AS n, max(source) AS source FROM list_companies GROUP BY 1)
     SELECT coalesce(b.domain, u.domain) AS domain, b.name, CASE WHEN u.domain IS NOT NULL THEN u.n ELSE b.n END AS n, b.source
-    FROM (SELECT * FROM b WHERE domain IS NOT NULL) b FULL JOIN (SELECT * FROM u WHERE domain IS NOT NULL) u ON b.domain = u.domain""")
-def upsert(t):
+    FROM (SELECT * FROM b WHERE domain IS NOT NULL) b FULL JOIN (SELECT * FROM u WHERE domain IS NOT NULL) u ON b.domain = u.domain"""
+
+
+def upsert_rows(t):
+    """A table with one row a domain, and updates that give every domain twice."""
     from leadgrid.operators.entity import with_domain
     base = with_domain(t("list_companies")).groupBy(F.col("nd").alias("domain")).agg(
         F.max("name").alias("name"), F.max("staff_linkedin").alias("n"), F.max("source").alias("source"))
     # Every company twice: its older row has the smaller id and must not win.
     now = with_domain(t("companies")).where("nd IS NOT NULL").select(F.col("nd").alias("domain"), F.col("employee_count").alias("n"), "id")
     updates = now.unionByName(now.select("domain", F.lit(-1).alias("n"), (F.col("id") - 1_000_000_000).alias("id")))
-    return tables.upsert(base.where("domain IS NOT NULL"), updates, ["domain"], "id")
+    return base.where("domain IS NOT NULL"), updates
 
 
-@query("patch", """SELECT c_custkey, CASE WHEN n IS NULL THEN c_acctbal ELSE mx END AS c_acctbal, CASE WHEN n IS NULL THEN DATE '2024-01-01' ELSE DATE '2024-06-01' END AS updated_at
-    FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS mx FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey""")
-def patch(t):
+@query("upsert", _UPSERT)
+def upsert(t):
+    return tables.upsert(*upsert_rows(t), ["domain"], "id")
+
+
+@query("upsert_stored", _UPSERT)
+def upsert_stored(t):
+    base, updates = upsert_rows(t)
+    store = Store(t.spark, fresh_path(t.spark, "keyed"))
+    keyed.create(store, "companies", base, ["domain"], 16)
+    keyed.upsert(store, "companies", base, updates, ["domain"], "id")
+    return keyed.read(store, "companies", base)
+
+
+_PATCH = """SELECT c_custkey, CASE WHEN n IS NULL THEN c_acctbal ELSE mx END AS c_acctbal, CASE WHEN n IS NULL THEN DATE '2024-01-01' ELSE DATE '2024-06-01' END AS updated_at
+    FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_totalprice) AS mx FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey"""
+
+
+def patch_rows(t):
     base = t("customer").select("c_custkey", "c_acctbal", F.lit("2024-01-01").cast("date").alias("updated_at"))
     changes = t("orders").where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("c_acctbal"))
-    return tables.patch(base, changes, "c_custkey", F.lit("2024-06-01").cast("date"))
+    return base, changes
+
+
+@query("patch", _PATCH)
+def patch(t):
+    return tables.patch(*patch_rows(t), "c_custkey", F.lit("2024-06-01").cast("date"))
+
+
+@query("patch_stored", _PATCH)
+def patch_stored(t):
+    base, changes = patch_rows(t)
+    store = Store(t.spark, fresh_path(t.spark, "keyed"))
+    keyed.create(store, "customers", base, ["c_custkey"], 16)
+    keyed.patch(store, "customers", base, changes, "c_custkey", F.lit("2024-06-01").cast("date"))
+    return keyed.read(store, "customers", base)

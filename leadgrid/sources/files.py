@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
+
+from leadgrid.sources import json_items
 
 # The lead file contract.
 LEAD_COLUMNS = ("email", "first_name", "last_name", "job_title", "seniority", "linkedin_url", "company_name",
@@ -16,20 +18,22 @@ def read_items(spark: SparkSession, path: str, schema: StructType | str, layout:
     """JSON items of a file or of a folder of ``*.json``; empty files add nothing.
 
     ``lines``: one object per line, files are split and read in parallel. ``array``: one array
-    or object per file. ``mixed``: files of either kind; each is read whole and parsed by its
-    first character, in the task that read it.
+    or object per file. ``mixed``: files of either kind, known by their first character. Arrays are
+    streamed item by item and files of lines are cut into pieces, so no file is ever held whole.
+    An item that is no JSON gives a row of nulls; what follows the end of an array is ignored.
     """
     if layout in ("lines", "array"):
         return spark.read.schema(schema).option("multiLine", layout == "array").json(path, pathGlobFilter=_glob(path))
     if layout != "mixed":
         raise ValueError(f"unknown layout {layout}")
     item = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
-    files = spark.read.schema("value string").text(path, wholetext=True, pathGlobFilter=_glob(path))
-    body = F.btrim("value", F.lit(" \r\n\t"))
-    whole = F.from_json(body, ArrayType(item))
-    lines = F.transform(F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != ""), lambda x: F.from_json(x, item))
-    items = F.when(body.startswith("["), whole).otherwise(lines)
-    return files.select(F.explode(items).alias("item")).select("item.*")
+    # Only names and sizes: the contents column is not read.
+    files = spark.read.format("binaryFile").load(path, pathGlobFilter=_glob(path)).select("path", "length")
+    pieces = files.mapInArrow(json_items.cut_pieces(), json_items.PIECE)
+    # A fixed number of partitions: the few bytes of a piece's name would be coalesced into one task.
+    spread = pieces.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path", "start")
+    return spread.mapInArrow(json_items.read_pieces(), "value string") \
+        .select(F.from_json("value", item).alias("item")).select("item.*")
 
 
 def _glob(path: str) -> str:

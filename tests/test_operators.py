@@ -1,7 +1,9 @@
 """Operators on hand-made rows: the behaviours that must not change."""
 
 import datetime
+import json
 import random
+import tracemalloc
 
 import pytest
 from conftest import rows
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadgrid.operators import contacts, crawl, delivery, entity, grouping, lists, pages, rules, signals, validate
 from leadgrid.plans.q_signals import RULES
-from leadgrid.sources import files, tables
+from leadgrid.sources import files, json_items, tables
 
 
 def ntz(text):
@@ -403,6 +405,53 @@ def test_read_items_all_shapes(spark, tmp_path):
     assert sorted(r["id"] for r in got.collect()) == ["1", "2", "3", "4"]
 
 
+def test_read_items_odd_files(spark, tmp_path):
+    (tmp_path / "mark and blank.json").write_bytes(b"\xef\xbb\xbf \n[{\"id\": \"a,]\\\"[{\"} , {\"id\": \"b\", \"x\": [{}, [1]]}]\n")
+    (tmp_path / "crlf.json").write_bytes(b"\xef\xbb\xbf{\"id\": \"c\"}\r\n\r\n{\"id\": \"\xc3\xa9\"}")
+    (tmp_path / "cut.json").write_text('[{"id": "d"}, {"id": "lost')
+    (tmp_path / "none.json").write_text(" [ ] ")
+    (tmp_path / "other.txt").write_text('{"id": "no"}')
+    got = files.read_items(spark, str(tmp_path), "id string", "mixed")
+    assert sorted((r["id"] or "") for r in got.collect()) == ["", 'a,]"[{', "b", "c", "d", "é"]
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 1 << 20])
+def test_items_whatever_the_blocks(block):
+    items = [{"id": i, "text": '\\"],[{' * (i % 3) + "é\\", "more": [[], {"a": [i]}]} for i in range(30)]
+
+    def cut(data, start=0):
+        return (data[i:i + block] for i in range(start, len(data), block))
+
+    whole = json.dumps(items, ensure_ascii=False, indent=1).encode()
+    assert [json.loads(x) for x in json_items.array_items(cut(whole))] == items
+    lines = "\n".join(json.dumps(x) for x in items).encode() + b"\n"
+    for piece in (1, 5, 64, 1000, len(lines)):
+        bounds = [(a, min(len(lines), a + piece)) for a in range(0, len(lines), piece)]
+        got = [x for a, b in bounds for x in json_items.line_items(cut(lines, max(0, a - 1)), a, b)]
+        assert [json.loads(x) for x in got] == items
+
+
+def test_a_long_array_is_read_in_bounded_memory():
+    """300 MB of array, made while it is read: never more than a few blocks are held."""
+    item = json.dumps({"id": "x" * 1000}).encode() + b",\n"
+    block = item * (json_items.BLOCK_BYTES // len(item))
+    tracemalloc.start()
+    n = sum(1 for _ in json_items.array_items(b for part in ([b"["], *[[block]] * 75, [b"1]"]) for b in part))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 75 * (len(block) // len(item)) + 1 and peak < 4 * json_items.BLOCK_BYTES
+
+
+def test_long_files_are_cut_and_read_in_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(json_items, "PIECE_BYTES", 4096)
+    (tmp_path / "a.json").write_text("\n".join(json.dumps({"id": i}) for i in range(5000)))
+    (tmp_path / "b.json").write_text(json.dumps([{"id": i} for i in range(5000, 6000)]))
+    got = files.read_items(spark, str(tmp_path), "id int", "mixed").select("id", F.spark_partition_id().alias("part"))
+    read = got.collect()
+    assert sorted(r["id"] for r in read) == list(range(6000))
+    assert len({r["part"] for r in read}) > 3
+
+
 def test_terms_file(spark, tmp_path):
     path = tmp_path / "terms.txt"
     path.write_text("# note\nSDR\n\n cold call \nsdr\nBDR\n")
