@@ -52,6 +52,11 @@ def _entry(sketch_words: int) -> np.dtype:
     return np.dtype([("key", "<u4"), filed, ("node", "<i8")])
 
 
+def sketch(body: bytes, shingle: int, words: int) -> bytes:
+    """SimHash of the distinct word shingles: how often one repeats says nothing about the sets' similarity."""
+    return simhash(set(shingles(space_words(body), shingle)), words)
+
+
 def shingles(words: list[bytes], n: int) -> Iterator[bytes]:
     """Runs of ``n`` words, repeats included; fewer words make one run."""
     for i in range(max(1, len(words) - n + 1) if words else 0):
@@ -59,25 +64,37 @@ def shingles(words: list[bytes], n: int) -> Iterator[bytes]:
 
 
 def simhash(features: Iterable[bytes], words: int = 1) -> bytes:
-    """SimHash of the features, 64 bits for each of the hash seeds SEED, SEED + 1, ...; zeros without features."""
+    """SimHash of the features, 64 bits for each word; zeros without features.
+
+    The first word's votes are the XXH64 hashes with the seed SEED, those of each further word the same
+    hashes mixed anew, so that a feature is hashed once.
+    """
     votes, n = np.zeros((words, 64), np.int64), 0
     features = iter(features)
     while part := list(islice(features, _CHUNK)):
         n += len(part)
+        hashes = np.array([xxhash.xxh64_intdigest(f, SEED) for f in part], dtype=np.uint64)
         for w in range(words):
-            hashes = np.array([xxhash.xxh64_intdigest(f, SEED + w) for f in part], dtype=">u8")
-            votes[w] += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+            bits = (_mixed(hashes, w) if w else hashes).astype(">u8").view(np.uint8)
+            votes[w] += np.unpackbits(bits.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * votes > n, axis=1).tobytes() if n else bytes(8 * words)
 
 
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """The hashes moved by a multiple of an odd constant, then mixed by shifts and odd products (modulo 2**64)."""
+    x = hashes + np.uint64(word * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
 def fingerprints(docs: DataFrame, key: str, text: str, shingle: int, sketch_words: int = 0) -> DataFrame:
-    """(key, fp, sketch): fp is the SimHash of the word shingles. With ``sketch_words`` the sketch is a
-    SimHash with so many 64-bit words, whose first is fp."""
+    """(key, fp, sketch): fp is the SimHash of the word shingles, repeats included. With ``sketch_words`` the
+    sketch is that of the distinct shingles, of so many 64-bit words, whose first is fp."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for doc, body in rows_of(batches, "key", "body"):
-                words = space_words(body)
-                bits = simhash(shingles(words, shingle), max(1, sketch_words))
+                bits = sketch(body, shingle, sketch_words) if sketch_words else simhash(shingles(space_words(body), shingle))
                 yield doc, int.from_bytes(bits[:8], "big", signed=True), bits if sketch_words else b""
         yield from batched(rows(), _PRINT_SCHEMA)
 
@@ -298,16 +315,16 @@ def simhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 
 def sketch_bits(similarity: float, bits: int) -> int:
-    """Differing bits of sketches of shingle sets of that Jaccard similarity, half a deviation added.
+    """Differing bits of sketches of shingle sets of that Jaccard similarity, one deviation added.
 
     Equal-sized sets of similarity s have the cosine 2s / (1 + s); a bit differs with probability angle / pi.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(bits * p + 0.5 * math.sqrt(bits * p * (1 - p)))
+    return round(bits * p + math.sqrt(bits * p * (1 - p)))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    similarity: float = 0.8, segments: int = 15, sketch_words: int = 4) -> DataFrame:
+                    similarity: float = 0.8, segments: int = 19, sketch_words: int = 5) -> DataFrame:
     """(key, component_id) of documents whose word shingles are about ``similarity`` alike or more.
 
     The sketch of the shingles decides, and the tables are searched by its own segments: every
@@ -323,7 +340,7 @@ def near_duplicate_rows(docs: DataFrame, key: str, text: str, shingle: int, simi
     """(key, hash, group) of every row, ``hash`` being that of its text, and (group, first) of every group, the
     row that stays: the smallest id, nulls last, and of one id the text with the smallest hash."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batched(((k, h, simhash(shingles(space_words(b), shingle), sketch_words))
+        yield from batched(((k, h, sketch(b, shingle, sketch_words))
                             for k, h, b in rows_of(batches, "key", "hash", "body")), _ROW_SCHEMA)
 
     hashed = id_and_bytes(docs, key, text).withColumn("hash", F.xxhash64("body"))
@@ -339,7 +356,7 @@ def near_duplicate_rows(docs: DataFrame, key: str, text: str, shingle: int, simi
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8,
-               segments: int = 15, sketch_words: int = 4) -> DataFrame:
+               segments: int = 19, sketch_words: int = 5) -> DataFrame:
     """The documents, all columns, one row of each near-duplicate group.
 
     The row with the smallest id stays, rows without an id coming last; of rows that repeat that id, the

@@ -379,20 +379,21 @@ def test_near_duplicates_link_edited_copies_only(spark):
     assert kept.columns == documents(spark, []).columns
 
 
-@pytest.mark.parametrize("top", [0, 1, 5, 17])
-def test_sketches_within_the_distance_always_meet(top):
+@pytest.mark.parametrize("top, segments, words, distance", [(0, 15, 4, 42), (1, 15, 4, 42), (5, 15, 4, 42), (17, 15, 4, 42),
+                                                            (0, 19, 5, 55), (3, 19, 5, 55), (16, 19, 5, 55)])
+def test_sketches_within_the_distance_always_meet(top, segments, words, distance):
     rng = np.random.default_rng(3)
-    sketches = rng.integers(0, 1 << 63, (60, 4), dtype=np.uint64)
+    sketches = rng.integers(0, 1 << 63, (60, words), dtype=np.uint64)
     near = sketches.copy()
-    for row in near:  # 42 differing bits, the most that link
-        for bit in rng.choice(256, 42, replace=False).tolist():
+    for row in near:  # the most differing bits that link
+        for bit in rng.choice(64 * words, distance, replace=False).tolist():
             row[bit // 64] ^= np.uint64(1 << bit % 64)
-    kind, file = simhash._sketches(15, top, 4)
+    kind, file = simhash._sketches(segments, top, words)
     batch = pa.RecordBatch.from_pydict({"node": list(range(120)), "sketch": [r.tobytes() for r in [*sketches, *near]]})
     forest = simhash.Forest()
     for blob in file([batch]):
         bucket, packed = blob.column("bucket")[0].as_py(), np.frombuffer(blob.column("blob")[0].as_py(), kind)
-        for a, b in simhash.near_pairs(simhash.sketch_entries(packed, bucket, 15, top), 0, 42).links():
+        for a, b in simhash.near_pairs(simhash.sketch_entries(packed, bucket, segments, top), 0, distance).links():
             forest.link(a, b)
     assert [forest.root(i) for i in range(120)] == [*range(60), *range(60)]
 
@@ -412,3 +413,23 @@ def test_appended_cut_and_replaced_copies_are_linked(spark):
 
 def test_simhash_of_nothing(spark):
     assert simhash.simhash_components(documents(spark, [])).count() == 0
+
+
+def test_repeats_in_a_text_do_not_decide(spark):
+    """A passage that fills half of a text by repeating neither links other texts nor parts edited copies."""
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(5000)]
+    passage = [rng.choice(vocabulary) for _ in range(10)] * 60
+    rows = []
+    for i in range(40):
+        text = [rng.choice(vocabulary) for _ in range(600)]
+        rows += [(2 * i, " ".join(text + passage)), (2 * i + 1, " ".join(text[:-70] + passage))]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(documents(spark, rows)).collect()}
+    assert all(got[2 * i] == 2 * i for i in range(40)) and sum(got[2 * i + 1] == 2 * i for i in range(40)) >= 38
+
+
+def test_the_sketch_starts_with_the_fingerprint():
+    features = [f"word {i}".encode() for i in range(200)]
+    assert simhash.simhash(features, 5)[:8] == simhash.simhash(features) and len(simhash.simhash(features, 5)) == 40
+    assert simhash.sketch(b"", 5, 5) == bytes(40) == simhash.simhash([], 5)
+    assert simhash.sketch_bits(0.8, 320) < 3 * 19  # a ball of radius 2 in one of 19 segments
