@@ -324,7 +324,7 @@ def sketch_bits(similarity: float, bits: int) -> int:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5,
-                    similarity: float = 0.8, segments: int = 19, sketch_words: int = 5) -> DataFrame:
+                    similarity: float = 0.8, segments: int = 16, sketch_words: int = 4) -> DataFrame:
     """(key, component_id) of documents whose word shingles are about ``similarity`` alike or more.
 
     The sketch of the shingles decides, and the tables are searched by its own segments: every
@@ -356,7 +356,7 @@ def near_duplicate_rows(docs: DataFrame, key: str, text: str, shingle: int, simi
 
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8,
-               segments: int = 19, sketch_words: int = 5) -> DataFrame:
+               segments: int = 16, sketch_words: int = 4) -> DataFrame:
     """The documents, all columns, one row of each near-duplicate group.
 
     The row with the smallest id stays, rows without an id coming last; of rows that repeat that id, the
@@ -365,14 +365,18 @@ def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
     Texts are shuffled only where id and text repeat.
     """
     rows, firsts = near_duplicate_rows(docs, key, text, shingle, similarity, segments, sketch_words)
-    judged = rows.groupBy("key", "hash", "group").agg(F.count(F.lit(1)).alias("n")) \
-        .join(firsts, "group").withColumn("stays", F.col("key").eqNullSafe(F.col("first.key")) & (F.col("hash") == F.col("first.hash")))
+    judged = written(
+        rows.groupBy("key", "hash", "group").agg(F.count(F.lit(1)).alias("n")).join(firsts, "group")
+        .select(F.col("key").alias("_key"), F.col("hash").alias("_hash"), "n",
+                (F.col("key").eqNullSafe(F.col("first.key")) & (F.col("hash") == F.col("first.hash"))).alias("stays")), "judged")
+    ids = written(judged.groupBy("_key").agg(F.max("stays").alias("some")).where("NOT some AND _key IS NOT NULL").select("_key"), "ids")
+    # Ids of which no text stays go by the id alone; only where texts of one id part is the text's hash compared.
     # Written, so that their sizes are known when the joins are planned.
-    gone = written(judged.where("NOT stays").select(F.col("key").alias("_key"), F.col("hash").alias("_hash")), "copies")
-    repeated = written(judged.where("stays AND n > 1").select(F.col("key").alias("_key"), F.col("hash").alias("_hash")), "repeated")
-    body = utf8(text)
-    same = docs[key].cast("long").eqNullSafe(F.col("_key")) & (F.xxhash64(body) == F.col("_hash"))
-    kept = docs.join(gone, same, "left_anti")
+    gone = written(judged.where("NOT stays").select("_key", "_hash").join(ids, "_key", "left_anti"), "copies")
+    repeated = written(judged.where("stays AND n > 1").select("_key", "_hash"), "repeated")
+    body, number = utf8(text), docs[key].cast("long")
+    same = number.eqNullSafe(F.col("_key")) & (F.xxhash64(body) == F.col("_hash"))
+    kept = docs.join(ids, number == F.col("_key"), "left_anti").join(gone, same, "left_anti")
     if repeated.isEmpty():
         return kept
     whole = F.struct(*[F.col(c) for c in docs.columns])

@@ -380,7 +380,7 @@ def test_near_duplicates_link_edited_copies_only(spark):
 
 
 @pytest.mark.parametrize("top, segments, words, distance", [(0, 15, 4, 42), (1, 15, 4, 42), (5, 15, 4, 42), (17, 15, 4, 42),
-                                                            (0, 19, 5, 55), (3, 19, 5, 55), (16, 19, 5, 55)])
+                                                            (0, 19, 5, 55), (16, 19, 5, 55), (0, 16, 4, 45), (3, 16, 4, 45), (16, 16, 4, 45)])
 def test_sketches_within_the_distance_always_meet(top, segments, words, distance):
     rng = np.random.default_rng(3)
     sketches = rng.integers(0, 1 << 63, (60, words), dtype=np.uint64)
@@ -432,4 +432,4 @@ def test_the_sketch_starts_with_the_fingerprint():
     features = [f"word {i}".encode() for i in range(200)]
     assert simhash.simhash(features, 5)[:8] == simhash.simhash(features) and len(simhash.simhash(features, 5)) == 40
     assert simhash.sketch(b"", 5, 5) == bytes(40) == simhash.simhash([], 5)
-    assert simhash.sketch_bits(0.8, 320) < 3 * 19  # a ball of radius 2 in one of 19 segments
+    assert simhash.sketch_bits(0.8, 256) < 3 * 16  # a ball of radius 2 in one of 16 segments
