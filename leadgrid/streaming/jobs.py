@@ -27,7 +27,7 @@ from leadgrid.functions.keys import epoch_micros, send_key
 from leadgrid.operators.crawl import sync_profile_queue
 from leadgrid.operators.grouping import best_per_key
 from leadgrid.operators.signals import dedupe_richest
-from leadgrid.session import fresh_path, written
+from leadgrid.session import fresh_path, is_folder, written
 from leadgrid.streaming.store import PART, Store
 
 
@@ -45,9 +45,13 @@ def wall_clock(col: str) -> Column:
 
 
 def read_stream(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """Stream over Parquet files of one name in a folder, schema taken from them."""
-    schema = spark.read.parquet(os.path.join(folder, file_name)).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+    """Stream over a Parquet table in a folder, one file or a folder of files; schema taken from it."""
+    path = os.path.join(folder, file_name)
+    source = spark.readStream.schema(spark.read.parquet(path).schema)
+    if is_folder(spark, path):
+        return source.parquet(path)
+    # Spark streams folders or patterns; as a pattern the name stands for the one file.
+    return source.option("basePath", folder).parquet(os.path.join(folder, f"{{{file_name}}}"))
 
 
 def run_once(writer: DataStreamWriter, checkpoint: str) -> None:

@@ -223,3 +223,13 @@ def test_each_reply_belongs_to_the_latest_send_before_it(spark):
                                      (15, 1, 1, day(5))], schema.format("replied_at"))
     got = rows(jobs.late_replies(sends, replies, 21).select("event_id", "reply_event"))
     assert got == [(1, None), (2, 10), (2, 11), (2, 15), (3, None), (4, None)]
+
+
+def test_a_stream_reads_a_table_that_is_one_file_or_a_folder(spark, tmp_path):
+    table = spark.createDataFrame([(n, "ab"[n % 2]) for n in range(60)], "id int, kind string").repartition(3)
+    table.write.parquet(str(tmp_path / "files.parquet"))
+    table.write.partitionBy("kind").parquet(str(tmp_path / "kinds.parquet"))
+    table.toPandas().to_parquet(tmp_path / "one.parquet")
+    for name in ("files", "kinds", "one"):
+        got = jobs.to_table(jobs.read_stream(spark, str(tmp_path), f"{name}.parquet"), "whole")
+        assert rows(got.select("id", "kind")) == rows(table), name
