@@ -1,5 +1,6 @@
 """Text and key helpers on hand-made rows with nulls, blanks and odd spellings."""
 
+import re
 from html import unescape
 from html.entities import html5
 
@@ -108,6 +109,18 @@ def test_patterns_ignore_case_even_after_a_plain_group(spark):
     assert one(spark, "x", text.pattern_labels(C(), [("a", "X"), ("b", "y"), ("c", ".")]), "string") == ["a", "c"]
 
 
+def test_word_edges_are_the_same_on_every_java(spark):
+    given = ["çleç", "le", "a le.", "ale", "le_", "élé", "LE9", "le é"]
+    df = spark.createDataFrame([(c,) for c in given], "c string")
+    for rx in (r"\ble\b", r"(?i)\ble\b", r"le\B", r"\Ble", r"\\b|\ble"):
+        got = df.select(F.get(text.pattern_labels(C(), [("hit", rx)]), F.lit(0)).alias("a"), text.any_pattern(C(), [rx]).alias("b"),
+                        text.pattern_label(C(), [("hit", rx)]).alias("c")).collect()
+        expected = [bool(re.search(rx, c, re.ASCII | re.IGNORECASE)) for c in given]
+        assert [r["b"] for r in got] == [r["a"] == "hit" for r in got] == [r["c"] == "hit" for r in got] == expected, rx
+    assert one(spark, "çleç", text.any_pattern(C(), [r"(?U)\ble\b"])) is False
+    assert one(spark, "ç le ç", text.any_pattern(C(), [r"(?U)\ble\b"])) is True
+
+
 def test_fragments_with_all_entities(spark):
     source = "Das ist ein l&auml;ngerer Satz, der ganz erhalten bleiben soll."
     assert one(spark, source, text.split_fragments(C(), decode=text.decode_entities)) == [
