@@ -33,3 +33,11 @@ def test_entry(spark):
 def test_registry_is_complete():
     assert len(QUERIES) > 190
     assert set(ORACLES) <= set(QUERIES)
+
+
+def test_decoded_titles_equal_sql_whatever_they_hold(spark, tmp_path):
+    titles = ["a &lt;b&gt; &#39;c&#39;", "&quot;q&quot; &nbsp; &eacute;", "x&amp", "&amp;lt; &amp;amp; &&amp;&", "&lt &#039; &#x27; &LT; &ltx;", "&#39;9; &#399;", None, ""]
+    pages = [(n, None if c is None else f"<title>{c}</title>") for n, c in enumerate(titles)]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    result = verify.compare(QUERIES["decode_entities"](spark, str(tmp_path)), verify.connect(str(tmp_path)), ORACLES["decode_entities"])
+    assert result == f"ok {len(titles)} rows", result
