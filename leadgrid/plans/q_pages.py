@@ -250,15 +250,18 @@ def read_lead_csv(t):
     return files.read_lead_csv(t.spark, path)
 
 
+TERMS_A_FILE = 250_000
+
+
 @query("load_terms", """SELECT min_by(term, event_id) AS term FROM (SELECT event_id, trim(CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END || user_id % 20) AS term FROM events)
     WHERE term <> '' GROUP BY lower(term)""")
 def load_terms(t):
     terms = t("events").select(F.col("event_id").alias("place"), F.concat(F.expr(
         "CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END"), F.col("user_id") % 20).alias("term"))
-    # One file in order, with the comments and blank lines that word lists have.
+    # Files in order, each of a bounded number of terms, with the comments and blank lines that word lists have.
     path = fresh_path(t.spark, "terms")
-    lines = terms.select("place", F.explode(F.array(F.lit("# note"), F.lit(""), F.concat(F.lit(" "), "term"))).alias("value"))
-    lines.repartitionByRange(1, "place").sortWithinPartitions("place").select("value").write.text(path)
+    in_order = terms.repartitionByRange(terms.count() // TERMS_A_FILE + 1, "place").sortWithinPartitions("place")
+    in_order.select(F.explode(F.array(F.lit("# note"), F.lit(""), F.concat(F.lit(" "), "term"))).alias("value")).write.text(path)
     return files.term_rows(t.spark.read.text(path)).select("term")
 
 

@@ -66,10 +66,16 @@ def load_terms(spark: SparkSession, path: str) -> list[str]:
 
 
 def term_rows(lines: DataFrame) -> DataFrame:
-    """(place, term) of a text DataFrame with one ``value`` per line."""
-    numbered = lines.select(F.monotonically_increasing_id().alias("place"), F.trim("value").alias("term")) \
+    """(place, term) of what ``spark.read.text`` gives for a word list: a file, or files in the order of their names.
+
+    A place is file, block and line. Spark deals files to tasks by size, so a line number alone does not follow
+    their order. Spellings are counted by file and block before they meet: the lines are never sorted.
+    """
+    block = ["_metadata.file_path", "_metadata.file_block_start"]
+    numbered = lines.select(*block, F.monotonically_increasing_id().alias("line"), F.trim("value").alias("term")) \
         .where((F.col("term") != "") & ~F.col("term").startswith("#"))
-    return first_spelling(numbered)
+    spelled = numbered.groupBy("term", "file_path", "file_block_start").agg(F.min("line").alias("line"))
+    return first_spelling(spelled.select(F.struct("file_path", "file_block_start", "line").alias("place"), "term"))
 
 
 def first_spelling(terms: DataFrame) -> DataFrame:

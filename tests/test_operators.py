@@ -6,11 +6,15 @@ import random
 import tracemalloc
 
 import pytest
+import verify
 from conftest import rows
 from pyspark.sql import functions as F
 
 from leadgrid.operators import contacts, crawl, delivery, entity, grouping, lists, pages, rules, signals, validate
+from leadgrid.plans import q_pages
 from leadgrid.plans.q_signals import RULES
+from leadgrid.plans.registry import REGISTRY
+from leadgrid.session import fresh_path
 from leadgrid.sources import files, json_items, tables
 
 
@@ -458,6 +462,24 @@ def test_terms_file(spark, tmp_path):
     assert files.load_terms(spark, str(path)) == ["SDR", "cold call", "BDR"]
 
 
+def test_terms_of_several_files_come_in_the_order_of_their_names(spark, tmp_path):
+    (tmp_path / "part-0.txt").write_text("SDR\n")
+    (tmp_path / "part-1.txt").write_text("# note\nsdr\ncold call\n" * 50)
+    (tmp_path / "part-2.txt").write_text("COLD CALL\nBDR\n" * 10)
+    assert files.load_terms(spark, str(tmp_path)) == ["SDR", "cold call", "BDR"]
+
+
+def test_a_long_word_list_is_written_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(q_pages, "TERMS_A_FILE", 100)
+    paths = []
+    monkeypatch.setattr(q_pages, "fresh_path", lambda *a: paths.append(fresh_path(*a)) or paths[-1])
+    folder = "/root/testdata/sf0.001"
+    query = REGISTRY["load_terms"]
+    result = verify.compare(query(spark, folder), verify.connect(folder), query.sql)
+    assert result.startswith("ok"), result
+    assert len(spark.read.text(paths[0]).inputFiles()) > 5
+
+
 def test_lead_csv(spark, tmp_path):
     path = tmp_path / "leads.csv"
     path.write_text('Email , First_Name,note\n"a@x.mx","Ana ""A"", x","two\nlines"\nb@x.mx,Bo\n')
